@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The workload this library rebuilds is a batch job (a full load, enrichment,
+aggregation and report per run); it has no watermarks, event-time windows or
+stateful stream operators, so none are provided here.
+"""
