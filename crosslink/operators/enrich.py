@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from crosslink.config import Options
 from crosslink.functions import flag_to_int, primary_tag, tag_count
 from crosslink.operators.clean import cast_key, dedup_first, drop_incomplete, rename_key
-from crosslink.operators.joins import maybe_broadcast
+from crosslink.operators.joins import bounded_counts, maybe_broadcast
 from crosslink.sources.readers import Sources
 
 
@@ -98,42 +98,64 @@ def join_reviews(games: DataFrame, reviews: DataFrame) -> DataFrame:
 
 
 def join_popularity(
-    df: DataFrame, popularity: DataFrame, options: Options = Options()
+    df: DataFrame, popularity: DataFrame, options: Options = Options(), small: bool | None = None
 ) -> DataFrame:
     """⟕ popularity feed on ``app_id`` (broadcast when proven small)."""
-    return df.join(maybe_broadcast(popularity, options.broadcast_max_rows), "app_id", "left")
+    side = maybe_broadcast(popularity, options.broadcast_max_rows, small)
+    return df.join(side, "app_id", "left")
 
 
 def add_primary_tag(df: DataFrame) -> DataFrame:
     return df.withColumn("primary_tag", primary_tag("tags"))
 
 
-def join_category(df: DataFrame, categories: DataFrame, options: Options = Options()) -> DataFrame:
+def join_category(
+    df: DataFrame, categories: DataFrame, options: Options = Options(), small: bool | None = None
+) -> DataFrame:
     """⟕ category lookup on ``lower(primary_tag) = lower(genre)``."""
-    cat = maybe_broadcast(categories, options.broadcast_max_rows)
+    cat = maybe_broadcast(categories, options.broadcast_max_rows, small)
     joined = df.join(cat, F.lower(df["primary_tag"]) == cat["genre_key"], "left")
     return joined.drop("genre_key")
 
 
+def probe_dimensions(sources: Sources, options: Options = Options()) -> dict[str, bool]:
+    """Which small-side dimensions are proven to fit a broadcast (one job).
+
+    The probe runs on the *raw* sources: cleaning and de-duplication only
+    remove rows, so a bound on the raw rows bounds every derived join side.
+    """
+    if options.broadcast_max_rows <= 0:
+        return {"popularity": False, "categories": False, "kb": False}
+    frames = {"popularity": sources.popularity, "categories": sources.categories}
+    if sources.kb is not None:
+        frames["kb"] = sources.kb
+    small = bounded_counts(frames, options.broadcast_max_rows)
+    small.setdefault("kb", False)
+    return small
+
+
 def game_dimensions(
     base: DataFrame,
     sources: Sources,
     options: Options = Options(),
     provenance: bool = False,
+    small: dict[str, bool] | None = None,
 ) -> DataFrame:
     """Attach every dimension to a game-grain frame holding ``app_id, title``.
 
     metadata (→ tag_count) → popularity → primary_tag → category → KB (two
-    stages), in the reference's order; all joins are left joins.
+    stages), in the reference's order; all joins are left joins. ``small``
+    holds the broadcast decisions (probed once here when not given).
     """
     from crosslink.operators.resolve import resolve_entities
 
+    small = small if small is not None else probe_dimensions(sources, options)
     df = join_metadata(base, clean_metadata(sources.metadata, options))
-    df = join_popularity(df, clean_popularity(sources.popularity, options), options)
+    df = join_popularity(df, clean_popularity(sources.popularity, options), options, small["popularity"])
     df = add_primary_tag(df)
-    df = join_category(df, clean_categories(sources.categories, options), options)
+    df = join_category(df, clean_categories(sources.categories, options), options, small["categories"])
     if sources.kb is not None:
-        df = resolve_entities(df, sources.kb, options, provenance=provenance)
+        df = resolve_entities(df, sources.kb, options, provenance=provenance, small=small["kb"])
     return df
 
 

@@ -2,26 +2,48 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True iff ``df`` has ≤ ``max_rows`` rows.
+def bounded_counts(frames: Mapping[str, DataFrame], max_rows: int) -> dict[str, bool]:
+    """For each frame: does it have at most ``max_rows`` rows?
 
-    ``limit(max_rows + 1).count()`` stops reading once the bound is exceeded,
-    so the probe costs at most ``max_rows + 1`` rows whatever the table size.
+    One job for all frames: a union of ``limit(max_rows + 1)`` counts. Each
+    probe stops reading once the bound is exceeded, so the job reads at most
+    ``max_rows + 1`` rows per frame whatever the table sizes, and returns one
+    tiny row per frame to the driver.
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    if not frames:
+        return {}
+    parts = [
+        df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n")
+        for name, df in frames.items()
+    ]
+    probe = parts[0]
+    for p in parts[1:]:
+        probe = probe.unionByName(p)
+    return {r["name"]: r["n"] <= max_rows for r in probe.collect()}
 
 
-def maybe_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """``broadcast(df)`` when it is proven small, else ``df`` unchanged.
+def has_at_most(df: DataFrame, max_rows: int) -> bool:
+    """True iff ``df`` has ≤ ``max_rows`` rows (reads at most ``max_rows + 1``)."""
+    return bounded_counts({"df": df}, max_rows)["df"]
+
 
-    In the unchanged case Spark plans a shuffle join; with AQE on it may
-    still switch to a broadcast at runtime, using the *measured* size of the
-    shuffled side.
+def broadcast_if(df: DataFrame, small: bool) -> DataFrame:
+    """``broadcast(df)`` when proven small, else ``df`` for a shuffle join.
+
+    In the unchanged case Spark plans a shuffle join; with AQE on it may still
+    switch to a broadcast at runtime, using the *measured* shuffle size.
     """
-    if max_rows > 0 and has_at_most(df, max_rows):
-        return F.broadcast(df)
-    return df
+    return F.broadcast(df) if small else df
+
+
+def maybe_broadcast(df: DataFrame, max_rows: int, small: bool | None = None) -> DataFrame:
+    """Broadcast ``df`` if ``small`` (or, when unknown, if a probe proves it)."""
+    if small is None:
+        small = max_rows > 0 and has_at_most(df, max_rows)
+    return broadcast_if(df, small)

@@ -33,8 +33,17 @@ CATEGORY_ROWS = (("RED", "Warm"), ("Hot", "Warm"), ("small", "Size"), ("Old", "A
 KB_URI_PREFIX = "http://www.wikidata.org/entity/"
 
 
+_TABLES: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A test table (the lazy reader is reused within one session)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = _TABLES.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = _TABLES[key] = spark.read.parquet(path)
+    return df
 
 
 def _m(c: str, k: int) -> Column:
