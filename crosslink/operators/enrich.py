@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from crosslink.config import Options
 from crosslink.functions import flag_to_int, primary_tag, tag_count
 from crosslink.operators.clean import cast_key, dedup_first, drop_incomplete, rename_key
-from crosslink.operators.joins import bounded_counts, maybe_broadcast
+from crosslink.operators.joins import bounded_counts, broadcast_if, maybe_broadcast
 from crosslink.sources.readers import Sources
 
 
@@ -92,9 +92,12 @@ def join_metadata(games: DataFrame, metadata: DataFrame) -> DataFrame:
     return games.join(metadata, "app_id", "left").withColumn("tag_count", tag_count("tags"))
 
 
-def join_reviews(games: DataFrame, reviews: DataFrame) -> DataFrame:
-    """Inner join: reviewless games and reviews of unknown games vanish."""
-    return games.join(reviews, "app_id", "inner")
+def join_reviews(games: DataFrame, reviews: DataFrame, small: bool = False) -> DataFrame:
+    """Inner join: reviewless games and reviews of unknown games vanish.
+
+    ``small`` broadcasts the game side (game grain, proven bounded).
+    """
+    return broadcast_if(games, small).join(reviews, "app_id", "inner")
 
 
 def join_popularity(
@@ -125,8 +128,12 @@ def probe_dimensions(sources: Sources, options: Options = Options()) -> dict[str
     remove rows, so a bound on the raw rows bounds every derived join side.
     """
     if options.broadcast_max_rows <= 0:
-        return {"popularity": False, "categories": False, "kb": False}
-    frames = {"popularity": sources.popularity, "categories": sources.categories}
+        return {"popularity": False, "categories": False, "games": False, "kb": False}
+    frames = {
+        "popularity": sources.popularity,
+        "categories": sources.categories,
+        "games": sources.games,
+    }
     if sources.kb is not None:
         frames["kb"] = sources.kb
     small = bounded_counts(frames, options.broadcast_max_rows)
@@ -164,7 +171,12 @@ def enrich_reviews(sources: Sources, options: Options = Options()) -> DataFrame:
 
     Dimensions are assembled at game grain first, then joined to the reviews
     once on ``app_id``; the reviews are never joined to a dimension directly.
+    When the games table is proven small, the finished game row is broadcast,
+    so the review table is not shuffled for this join at all (and a game with
+    a third of all reviews cannot land in one join task). Otherwise it is a
+    shuffle join whose hot partitions AQE's skew handling splits.
     """
-    games = game_dimensions(clean_games(sources.games, options), sources, options)
+    small = probe_dimensions(sources, options)
+    games = game_dimensions(clean_games(sources.games, options), sources, options, small=small)
     reviews = clean_recs(sources.recs, sources.review_order, options)
-    return join_reviews(games, reviews)
+    return join_reviews(games, reviews, small=small["games"])

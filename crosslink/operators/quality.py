@@ -3,8 +3,8 @@
 Each metric is one aggregation pass producing a small long-format frame;
 ``dq_report`` unions them into ``(section, subject, metric, value)`` rows.
 The processed (review-grain) stage is measured from the game-grain facts,
-weighting each game by its review count, so the review table is not walked
-again for the report.
+weighting each game by its review count (every review of a game shares the
+game's columns), so the review table is not walked again for the report.
 """
 
 from __future__ import annotations
@@ -74,31 +74,6 @@ def null_rates(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return counts.select(_stack(pairs, "column_name", "null_rate"))
 
 
-def weighted_null_rates(facts: DataFrame, columns: Sequence[str], weight: str = "num_reviews") -> DataFrame:
-    """Null rates of the review-grain stage computed from game-grain facts.
-
-    Every review of a game shares the game's columns, so a game-level null
-    counts ``weight`` times. ``is_recommended`` uses the per-game count of
-    present flags. Same output shape as ``null_rates``.
-    """
-    if not columns:
-        return facts.sparkSession.createDataFrame([], "column_name string, null_rate double")
-    dtypes = {f.name: f.dataType for f in facts.schema.fields}
-    total = F.sum(weight)
-    pairs = []
-    for c in columns:
-        if c == "is_recommended" and FLAGS_PRESENT in dtypes:
-            missing = F.sum(F.col(weight) - F.col(FLAGS_PRESENT))
-        elif c in dtypes:
-            missing = F.sum(F.when(null_or_nan(c, dtypes[c]), F.col(weight)).otherwise(0))
-        else:
-            pairs.append((c, F.lit(float("nan"))))
-            continue
-        pairs.append((c, F.when(F.coalesce(total, F.lit(0)) == 0, F.lit(0.0)).otherwise(missing / total)))
-    agg = facts.agg(*[p[1].alias(f"_r{i}") for i, p in enumerate(pairs)])
-    return agg.select(_stack([(c, F.col(f"_r{i}")) for i, (c, _) in enumerate(pairs)], "column_name", "null_rate"))
-
-
 def summary_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(column_name, min, max, mean)`` of the numeric columns present."""
     dtypes = {f.name: f.dataType for f in df.schema.fields}
@@ -188,6 +163,55 @@ def threshold_violations(
     return low.unionByName(high)
 
 
+def _facts_metrics(facts: DataFrame, options: Options) -> DataFrame:
+    """Every game-grain metric of the report from ONE aggregation pass.
+
+    Stage counts, weighted null rates of the processed stage, summary
+    statistics and match rate are all expressions of a single ``agg`` over
+    ``facts``; the one-row result is unpivoted with ``stack``.
+    """
+    dtypes = {f.name: f.dataType for f in facts.schema.fields}
+    total = F.coalesce(F.sum("num_reviews"), F.lit(0))
+    metrics: list[tuple[str, str, str, Column]] = [
+        ("record_counts", "processed", "rows", total),
+        ("record_counts", "aggregated", "rows", F.count(F.lit(1))),
+    ]
+    for c in options.critical_columns:
+        if c == "is_recommended" and FLAGS_PRESENT in dtypes:
+            missing = F.sum(F.col("num_reviews") - F.col(FLAGS_PRESENT))
+        elif c in dtypes:
+            missing = F.sum(F.when(null_or_nan(c, dtypes[c]), F.col("num_reviews")).otherwise(0))
+        else:
+            metrics.append(("null_rates", c, "null_rate", F.lit(float("nan"))))
+            continue
+        rate = F.when(total == 0, F.lit(0.0)).otherwise(missing / total)
+        metrics.append(("null_rates", c, "null_rate", rate))
+    for c in options.summary_columns:
+        if c in dtypes and isinstance(dtypes[c], NumericType):
+            metrics += [
+                ("summary_stats", c, "min", F.min(c)),
+                ("summary_stats", c, "max", F.max(c)),
+                ("summary_stats", c, "mean", F.avg(c)),
+            ]
+    if "wikidata_qid" in dtypes:
+        matched = F.count_distinct(F.when(F.col("wikidata_qid").isNotNull(), F.col("app_id")))
+        games = F.count_distinct("app_id")
+        metrics += [
+            ("match_rate", "kb", "matched", matched),
+            ("match_rate", "kb", "total", games),
+            ("match_rate", "kb", "match_rate_pct", F.when(games == 0, F.lit(0.0)).otherwise(matched / games * 100)),
+        ]
+        if MATCH_STAGE in dtypes:
+            for stage in ("id", "title"):
+                hit = F.count_distinct(F.when(F.col(MATCH_STAGE) == stage, F.col("app_id")))
+                metrics.append(("match_rate", "kb", f"matched_by_{stage}", hit))
+    one = facts.agg(*[m[3].cast("double").alias(f"_m{i}") for i, m in enumerate(metrics)])
+    args: list[Column] = [F.lit(len(metrics))]
+    for i, (section, subject, metric, _) in enumerate(metrics):
+        args += [F.lit(section), F.lit(subject), F.lit(metric), F.col(f"_m{i}")]
+    return one.select(F.stack(*args).alias("section", "subject", "metric", "value"))
+
+
 def dq_report(
     sources: Sources,
     facts: DataFrame,
@@ -195,69 +219,29 @@ def dq_report(
 ) -> DataFrame:
     """The full report as ``(section, subject, metric, value)`` rows.
 
-    ``facts`` is the game-grain table of ``aggregate.game_facts`` (ideally
-    checkpointed or read back); from it come the processed-stage count and
-    null rates (weighted), the aggregated count, summary statistics and the
-    match rate. Raw sources contribute counts and their own null rates.
+    ``facts`` is the game-grain table of ``aggregate.game_facts`` (the job
+    checkpoints it first). Game-grain metrics come from one pass over it
+    (``_facts_metrics``); raw sources contribute one count each; threshold
+    violations are filters over those two metric frames.
     """
     counts = record_counts(sources)
-    rates = weighted_null_rates(facts, options.critical_columns)
-    parts = [
-        counts.select(
-            F.lit("record_counts").alias("section"),
-            F.concat(F.lit("raw:"), F.col("source")).alias("subject"),
-            F.lit("rows").alias("metric"),
-            F.col("num_rows").cast("double").alias("value"),
-        ),
-        facts.agg(
-            F.coalesce(F.sum("num_reviews"), F.lit(0)).cast("double").alias("processed"),
-            F.count(F.lit(1)).cast("double").alias("aggregated"),
-        ).select(
-            F.lit("record_counts").alias("section"),
-            F.stack(F.lit(2), F.lit("processed"), F.col("processed"), F.lit("aggregated"), F.col("aggregated")).alias(
-                "subject", "value"
-            ),
-            F.lit("rows").alias("metric"),
-        ),
-        rates.select(
-            F.lit("null_rates").alias("section"),
-            F.col("column_name").alias("subject"),
-            F.lit("null_rate").alias("metric"),
-            F.col("null_rate").alias("value"),
-        ),
-        summary_stats(facts, options.summary_columns).select(
-            F.lit("summary_stats").alias("section"),
-            F.col("column_name").alias("subject"),
-            F.stack(F.lit(3), F.lit("min"), F.col("min"), F.lit("max"), F.col("max"), F.lit("mean"), F.col("mean")).alias(
-                "metric", "value"
-            ),
-        ),
-        threshold_violations(counts, rates, options).select(
-            F.lit("threshold_violations").alias("section"),
-            F.concat(F.col("check_name"), F.lit(":"), F.col("subject")).alias("subject"),
-            F.lit("observed").alias("metric"),
-            F.col("observed").alias("value"),
-        ),
-    ]
-    if "wikidata_qid" in facts.columns:
-        m = match_rate(facts)
-        metrics = ["matched", "total", "match_rate_pct"] + [
-            c for c in ("matched_by_id", "matched_by_title") if c in m.columns
-        ]
-        args = [F.lit(len(metrics))]
-        for c in metrics:
-            args += [F.lit(c), F.col(c).cast("double")]
-        parts.append(
-            m.select(
-                F.lit("match_rate").alias("section"),
-                F.lit("kb").alias("subject"),
-                F.stack(*args).alias("metric", "value"),
-            )
-        )
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select("section", "subject", "metric", "value")
+    fm = _facts_metrics(facts, options)
+    rates = fm.filter(F.col("section") == "null_rates").select(
+        F.col("subject").alias("column_name"), F.col("value").alias("null_rate")
+    )
+    raw = counts.select(
+        F.lit("record_counts").alias("section"),
+        F.concat(F.lit("raw:"), F.col("source")).alias("subject"),
+        F.lit("rows").alias("metric"),
+        F.col("num_rows").cast("double").alias("value"),
+    )
+    violations = threshold_violations(counts, rates, options).select(
+        F.lit("threshold_violations").alias("section"),
+        F.concat(F.col("check_name"), F.lit(":"), F.col("subject")).alias("subject"),
+        F.lit("observed").alias("metric"),
+        F.col("observed").alias("value"),
+    )
+    return raw.unionByName(fm).unionByName(violations)
 
 
 def empty_report(spark: SparkSession) -> DataFrame:

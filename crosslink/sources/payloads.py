@@ -22,7 +22,7 @@ from crosslink import schemas
 from crosslink.config import DEFAULT_MAX_GAMES
 from crosslink.functions import qid_from_uri, to_int_key
 from crosslink.operators.clean import keep_first_or_null
-from crosslink.sources.standins import KB_URI_PREFIX, table
+from crosslink.sources.standins import KB_URI_PREFIX, RESIDUES, supplier_slice, table
 
 ARRIVAL_ORDER = ("page_no", "pos")
 
@@ -86,10 +86,8 @@ def kb_payload_pages(spark: SparkSession, sf_dir: str, page_parts: int = 100) ->
     ``page_parts`` consecutive parts, so page size stays bounded.
     """
     part = table(spark, sf_dir, "part")
-    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
-    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    base = part.join(supplier, F.col("s_suppkey") == F.col("p_partkey") % 10, "left").join(
-        nation, F.col("s_nationkey") == F.col("n_nationkey"), "left"
+    base = part.join(
+        supplier_slice(spark, sf_dir, how="left"), F.col("s_suppkey") == F.col("p_partkey") % RESIDUES, "left"
     )
     key = F.col("p_partkey")
     ks = key.cast("string")

@@ -127,15 +127,31 @@ def _kb_release(c: str) -> Column:
     )
 
 
+RESIDUES = 10  # a part's publisher is the supplier whose key is p_partkey % 10
+
+
+def supplier_slice(spark: SparkSession, sf_dir: str, how: str = "inner") -> DataFrame:
+    """Suppliers whose key is a possible residue, with their nation.
+
+    ``p_partkey % 10`` only takes values in [-9, 9], so only those supplier
+    keys can ever join; the slice is probed (bounded count) and broadcast.
+    Joining the whole supplier table on a 10-valued key instead would hash
+    all parts into at most 10 shuffle partitions.
+    """
+    from crosslink.operators.joins import maybe_broadcast
+
+    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    sl = supplier.filter(F.col("s_suppkey").between(-(RESIDUES - 1), RESIDUES - 1))
+    sl = sl.join(nation, F.col("s_nationkey") == F.col("n_nationkey"), how)
+    return maybe_broadcast(sl.select("s_suppkey", "s_name", "n_name"), 10_000)
+
+
 def knowledge_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K: flattened KB rows (the JSON-lines file of a real deployment)."""
     part = table(spark, sf_dir, "part")
-    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
-    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    base = (
-        part.filter(_m("p_partkey", 5) < 3)
-        .join(supplier, F.col("s_suppkey") == _m("p_partkey", 10))
-        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+    base = part.filter(_m("p_partkey", 5) < 3).join(
+        supplier_slice(spark, sf_dir), F.col("s_suppkey") == _m("p_partkey", RESIDUES)
     )
     qid = F.concat(F.lit("Q"), _s("p_partkey"))
     title_name = F.concat(F.col("p_name"), F.lit(" "), F.lower("p_brand"), F.lit(" "), _s("p_partkey"))
