@@ -56,9 +56,11 @@ def dedup_first(
     most one row per key — a key holding a third of the table costs one row
     per map task in the exchange, not a third of the table in one task.
     """
-    order_cols = list(order) if order else [c for c in df.columns if c not in keys]
+    cols = df.columns
+    order_cols = list(order) if order else [c for c in cols if c not in keys]
     w = Window.partitionBy(*[F.col(k) for k in keys]).orderBy(*_order(order_cols))
-    return df.withColumn(_RN, F.row_number().over(w)).filter(F.col(_RN) == 1).drop(_RN)
+    ranked = df.select("*", F.row_number().over(w).alias(_RN))
+    return ranked.filter(F.col(_RN) == 1).select(*cols)
 
 
 def keep_first_or_null(

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crosslink.config import Options
-from crosslink.functions import flag_to_int, primary_tag, tag_count
+from crosslink.functions import flag_to_int, primary_tag, tag_count, to_int_key
 from crosslink.operators.clean import cast_key, dedup_first, drop_incomplete, rename_key
 from crosslink.operators.joins import bounded_counts, broadcast_if, maybe_broadcast
 from crosslink.sources.readers import Sources
@@ -24,7 +24,7 @@ from crosslink.sources.readers import Sources
 
 def clean_games(games: DataFrame, options: Options = Options()) -> DataFrame:
     """INT key, drop rows without key or title, one row per game."""
-    df = drop_incomplete(cast_key(games.select("app_id", "title")), ["app_id", "title"])
+    df = drop_incomplete(games.select(to_int_key("app_id").alias("app_id"), "title"), ["app_id", "title"])
     if options.dedup_dimensions:
         df = dedup_first(df, ["app_id"], ["title"])
     return df
@@ -32,10 +32,8 @@ def clean_games(games: DataFrame, options: Options = Options()) -> DataFrame:
 
 def clean_metadata(metadata: DataFrame, options: Options = Options()) -> DataFrame:
     """INT key, drop rows without key, one row per game (tags may be absent)."""
-    cols = ["app_id"] + (["tags"] if "tags" in metadata.columns else [])
-    df = drop_incomplete(cast_key(metadata.select(*cols)), ["app_id"])
-    if "tags" not in df.columns:
-        df = df.withColumn("tags", F.lit(None).cast("array<string>"))
+    tags = F.col("tags") if "tags" in metadata.columns else F.lit(None).cast("array<string>")
+    df = drop_incomplete(metadata.select(to_int_key("app_id").alias("app_id"), tags.alias("tags")), ["app_id"])
     if options.dedup_dimensions:
         df = dedup_first(df, ["app_id"], ["tags"])
     return df

@@ -27,31 +27,31 @@ _RESULT_COLS = [r for _, r in KB_RESULT_FIELDS]
 _TIE_ORDER = _RESULT_COLS  # wikidata_qid first, then the other fields
 
 
-def project_kb(kb: DataFrame, key: str, key_expr, suffix: str = "") -> DataFrame:
+def project_kb(kb: DataFrame, key: str, key_expr, suffix: str = "", extra=()) -> DataFrame:
     """KB projected to ``key`` plus the result fields (renamed, suffixed)."""
     cols = [key_expr.alias(key)] + [F.col(s).alias(r + suffix) for s, r in KB_RESULT_FIELDS]
-    return kb.select(*cols)
+    return kb.select(*cols, *extra)
 
 
-def kb_by_id(kb: DataFrame) -> DataFrame:
+def kb_by_id(kb: DataFrame, extra=()) -> DataFrame:
     """Stage-1 side: one entity per INT ``app_id`` (bad ids dropped)."""
-    df = project_kb(kb, "app_id", to_int_key("steam_app_id"))
+    df = project_kb(kb, "app_id", to_int_key("steam_app_id"), extra=extra)
     df = df.filter(F.col("app_id").isNotNull())
     return dedup_first(df, ["app_id"], _TIE_ORDER)
 
 
-def kb_by_title(kb: DataFrame, empty_matches: bool = False) -> DataFrame:
+def kb_by_title(kb: DataFrame, empty_matches: bool = False, suffix: str = "", extra=()) -> DataFrame:
     """Stage-2 side: one entity per normalized title (null keys dropped)."""
-    df = project_kb(kb, "title_key", title_key("name", empty_matches))
+    df = project_kb(kb, "title_key", title_key("name", empty_matches), suffix, extra)
     df = df.filter(F.col("title_key").isNotNull())
-    return dedup_first(df, ["title_key"], _TIE_ORDER)
+    return dedup_first(df, ["title_key"], [c + suffix for c in _TIE_ORDER])
 
 
 def join_kb_by_id(
     df: DataFrame, kb: DataFrame, options: Options = Options(), small: bool | None = None
 ) -> DataFrame:
     """df ⟕ stage-1 entities on ``app_id``; adds ``wikidata_qid, wd_*``."""
-    side = kb_by_id(kb).withColumn(ID_HIT, F.lit(True))
+    side = kb_by_id(kb, extra=[F.lit(True).alias(ID_HIT)])
     return df.join(maybe_broadcast(side, options.broadcast_max_rows, small), "app_id", "left")
 
 
@@ -63,15 +63,12 @@ def join_kb_by_title(
     small: bool | None = None,
 ) -> DataFrame:
     """df ⟕ stage-2 entities on the normalized title; adds ``*_t`` fields."""
-    side = kb_by_title(kb, options.empty_title_matches)
-    side = side.select(
-        F.col("title_key").alias("_title_key"),
-        *[F.col(c).alias(c + TITLE_SUFFIX) for c in _RESULT_COLS],
-        F.lit(True).alias(TITLE_HIT),
+    side = kb_by_title(
+        kb, options.empty_title_matches, TITLE_SUFFIX, [F.lit(True).alias(TITLE_HIT)]
     )
     side = maybe_broadcast(side, options.broadcast_max_rows, small)
-    keyed = df.withColumn("_title_key", title_key(title_col, options.empty_title_matches))
-    return keyed.join(side, "_title_key", "left").drop("_title_key")
+    key = title_key(df[title_col], options.empty_title_matches)
+    return df.join(side, key == side["title_key"], "left").drop(side["title_key"])
 
 
 def coalesce_fields(df: DataFrame, mode: str = "field", provenance: bool = False) -> DataFrame:
@@ -81,19 +78,21 @@ def coalesce_fields(df: DataFrame, mode: str = "field", provenance: bool = False
     may mix two entities. ``entity``: stage 2 only where stage 1 found nothing.
     """
     id_hit = F.col(ID_HIT).isNotNull()
-    out = df
-    for c in _RESULT_COLS:
-        alt = F.col(c + TITLE_SUFFIX)
-        if mode == "field":
-            out = out.withColumn(c, F.coalesce(F.col(c), alt))
+    helpers = {ID_HIT, TITLE_HIT, *[c + TITLE_SUFFIX for c in _RESULT_COLS]}
+    out = []
+    for c in df.columns:
+        if c in helpers:
+            continue
+        if c in _RESULT_COLS:
+            alt = F.col(c + TITLE_SUFFIX)
+            combined = F.coalesce(F.col(c), alt) if mode == "field" else F.when(id_hit, F.col(c)).otherwise(alt)
+            out.append(combined.alias(c))
         else:
-            out = out.withColumn(c, F.when(id_hit, F.col(c)).otherwise(alt))
+            out.append(F.col(c))
     if provenance:
-        out = out.withColumn(
-            MATCH_STAGE,
-            F.when(id_hit, F.lit("id")).when(F.col(TITLE_HIT).isNotNull(), F.lit("title")),
-        )
-    return out.drop(ID_HIT, TITLE_HIT, *[c + TITLE_SUFFIX for c in _RESULT_COLS])
+        stage = F.when(id_hit, F.lit("id")).when(F.col(TITLE_HIT).isNotNull(), F.lit("title"))
+        out.append(stage.alias(MATCH_STAGE))
+    return df.select(*out)
 
 
 def resolve_entities(

@@ -49,6 +49,14 @@ s AS (
   SELECT p_partkey AS appid,
          CASE WHEN p_partkey % 40 = 0 THEN NULL ELSE CAST(floor(p_retailprice) AS INTEGER) END AS price
   FROM part WHERE p_partkey % 20 = 0),
+sup AS (
+  SELECT s_suppkey, min(s_name) AS s_name, arg_min(n_name, s_name) AS n_name
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey
+  WHERE s_suppkey BETWEEN -9 AND 9 GROUP BY s_suppkey),
+supl AS (
+  SELECT s_suppkey, min(s_name) AS s_name, arg_min(n_name, s_name) AS n_name
+  FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey
+  WHERE s_suppkey BETWEEN -9 AND 9 GROUP BY s_suppkey),
 c AS (SELECT * FROM (VALUES ('RED', 'Warm'), ('Hot', 'Warm'), ('small', 'Size'), ('Old', 'Age')) t(genre, category)),
 k AS (
   SELECT 'Q' || CAST(p_partkey AS VARCHAR) AS wikidata_qid,
@@ -60,7 +68,7 @@ k AS (
          CASE WHEN p_partkey % 11 = 0 THEN CAST(p_size * 2 AS VARCHAR) END AS metacritic,
          CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE s_name END AS publisher,
          n_name AS country
-  FROM part JOIN supplier ON s_suppkey = p_partkey % 10 JOIN nation ON s_nationkey = n_nationkey
+  FROM part JOIN sup ON s_suppkey = p_partkey % 10
   WHERE p_partkey % 5 < 3
   UNION ALL
   SELECT 'QD' || CAST(p_partkey AS VARCHAR), '{URI}QD' || CAST(p_partkey AS VARCHAR), CAST(p_partkey AS VARCHAR),
@@ -158,8 +166,7 @@ bind AS (
          CASE WHEN v.variant = 1 THEN 'Second publisher' WHEN p_partkey % 7 <> 0 THEN s_name END AS publisher,
          n_name AS country
   FROM part
-  LEFT JOIN supplier ON s_suppkey = p_partkey % 10
-  LEFT JOIN nation ON s_nationkey = n_nationkey
+  LEFT JOIN supl ON s_suppkey = p_partkey % 10
   JOIN (VALUES (0), (1), (2)) v(variant)
     ON v.variant = 0 OR (v.variant = 1 AND p_partkey % 13 = 0) OR (v.variant = 2 AND p_partkey % 17 = 0)),
 bindings AS (

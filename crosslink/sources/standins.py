@@ -13,13 +13,14 @@ query reads real tables and its work grows with them:
 
 Rules below use the key's residue only to shape the data (inject nulls,
 missing rows, duplicates); no query filters the tables to make itself
-cheaper. The same rules, written in SQL, make up the DuckDB oracle.
+cheaper. Each stand-in is one parameterized Spark SQL statement over the
+table readers (parsed and analyzed once). The DuckDB oracle restates the same
+rules independently.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from crosslink.sources.readers import Sources
 
@@ -46,164 +47,153 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
-def _m(c: str, k: int) -> Column:
-    return F.col(c) % F.lit(k)
-
-
-def _s(c: str) -> Column:
-    return F.col(c).cast("string")
+def _sql(spark: SparkSession, text: str, **frames: DataFrame) -> DataFrame:
+    """One parameterized Spark SQL statement (parsed and analyzed once)."""
+    return spark.sql(text, **frames)
 
 
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R: one review per line item; user = the order's customer."""
-    li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_linenumber", "l_returnflag", "l_shipdate"
-    )
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    j = li.join(orders, li["l_orderkey"] == orders["o_orderkey"], "inner")
-    flag = (
-        F.when(_m("l_orderkey", 97) == 0, F.lit(None).cast("string"))
-        .when(F.col("l_returnflag") == "R", F.lit("False"))
-        .when(F.col("l_returnflag") == "A", F.lit("true"))
-        .otherwise(F.lit("True"))
-    )
-    return j.select(
-        F.col("l_partkey").alias("app_id"),
-        F.when(_m("l_orderkey", 101) == 0, F.lit(None).cast("bigint"))
-        .otherwise(F.col("o_custkey"))
-        .alias("user_id"),
-        flag.alias("is_recommended"),
-        "l_shipdate",
-        "l_orderkey",
-        "l_linenumber",
+    return _sql(
+        spark,
+        """
+        SELECT l_partkey AS app_id,
+               CASE WHEN l_orderkey % 101 = 0 THEN NULL ELSE o_custkey END AS user_id,
+               CASE WHEN l_orderkey % 97 = 0 THEN NULL
+                    WHEN l_returnflag = 'R' THEN 'False'
+                    WHEN l_returnflag = 'A' THEN 'true'
+                    ELSE 'True' END AS is_recommended,
+               l_shipdate, l_orderkey, l_linenumber
+        FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey
+        """,
+        lineitem=table(spark, sf_dir, "lineitem"),
+        orders=table(spark, sf_dir, "orders"),
     )
 
 
 def games(spark: SparkSession, sf_dir: str) -> DataFrame:
     """G: one game per part; nulls and all-CJK titles injected."""
-    p = table(spark, sf_dir, "part")
-    title = (
-        F.when(_m("p_partkey", 50) == 49, F.lit(None).cast("string"))
-        .when(_m("p_partkey", 50) == 48, F.lit("東方"))
-        .otherwise(
-            F.concat(
-                F.upper("p_name"), F.lit(": "), F.col("p_brand"), F.lit("  -- "),
-                _s("p_partkey"), F.lit("!"),
-            )
-        )
+    return _sql(
+        spark,
+        """
+        SELECT p_partkey AS app_id,
+               CASE WHEN p_partkey % 50 = 49 THEN NULL
+                    WHEN p_partkey % 50 = 48 THEN '東方'
+                    ELSE upper(p_name) || ': ' || p_brand || '  -- ' || CAST(p_partkey AS STRING) || '!'
+               END AS title
+        FROM {part}
+        """,
+        part=table(spark, sf_dir, "part"),
     )
-    return p.select(F.col("p_partkey").alias("app_id"), title.alias("title"))
 
 
 def metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M: name words as tags; some games absent, some tags null or empty."""
-    p = table(spark, sf_dir, "part").filter(_m("p_partkey", 10) != 9)
-    tags = (
-        F.when(_m("p_partkey", 10) == 3, F.lit(None).cast("array<string>"))
-        .when(_m("p_partkey", 10) == 7, F.array().cast("array<string>"))
-        .otherwise(F.split("p_name", " "))
+    return _sql(
+        spark,
+        """
+        SELECT p_partkey AS app_id,
+               CASE WHEN p_partkey % 10 = 3 THEN CAST(NULL AS ARRAY<STRING>)
+                    WHEN p_partkey % 10 = 7 THEN CAST(array() AS ARRAY<STRING>)
+                    ELSE split(p_name, ' ') END AS tags
+        FROM {part} WHERE p_partkey % 10 <> 9
+        """,
+        part=table(spark, sf_dir, "part"),
     )
-    return p.select(F.col("p_partkey").alias("app_id"), tags.alias("tags"))
 
 
 def popularity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S: a top-list feed covering one part in twenty; some prices missing."""
-    p = table(spark, sf_dir, "part").filter(_m("p_partkey", 20) == 0)
-    price = F.when(_m("p_partkey", 40) == 0, F.lit(None).cast("int")).otherwise(
-        F.floor("p_retailprice").cast("int")
+    return _sql(
+        spark,
+        """
+        SELECT p_partkey AS appid,
+               CASE WHEN p_partkey % 40 = 0 THEN NULL ELSE CAST(floor(p_retailprice) AS INT) END AS price
+        FROM {part} WHERE p_partkey % 20 = 0
+        """,
+        part=table(spark, sf_dir, "part"),
     )
-    return p.select(F.col("p_partkey").alias("appid"), price.alias("price"))
 
 
 def categories(spark: SparkSession) -> DataFrame:
     """C: the fixed lookup (a curated file in a real deployment)."""
-    return spark.createDataFrame(list(CATEGORY_ROWS), "genre string, category string")
-
-
-def _kb_release(c: str) -> Column:
-    year = (F.col("p_size") + F.lit(1970)).cast("string")
-    return F.when(_m(c, 3) == 0, F.lit(None).cast("string")).otherwise(
-        F.concat(year, F.lit("-01-01T00:00:00Z"))
-    )
+    rows = ", ".join(f"('{g}', '{c}')" for g, c in CATEGORY_ROWS)
+    return spark.sql(f"SELECT genre, category FROM VALUES {rows} AS t(genre, category)")
 
 
 RESIDUES = 10  # a part's publisher is the supplier whose key is p_partkey % 10
 
 
 def supplier_slice(spark: SparkSession, sf_dir: str, how: str = "inner") -> DataFrame:
-    """Suppliers whose key is a possible residue, with their nation.
+    """The publisher lookup: one supplier (and its nation) per residue key.
 
     ``p_partkey % 10`` only takes values in [-9, 9], so only those supplier
-    keys can ever join; the slice is probed (bounded count) and broadcast.
-    Joining the whole supplier table on a 10-valued key instead would hash
-    all parts into at most 10 shuffle partitions.
+    keys can join. Grouping by the key keeps one row per key (the smallest
+    name), so the slice has at most 19 rows *by construction* and is
+    broadcast without a probe. Joining the whole supplier table on a
+    10-valued key instead would hash all parts into at most 10 partitions.
     """
-    from crosslink.operators.joins import maybe_broadcast
-
-    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
-    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    sl = supplier.filter(F.col("s_suppkey").between(-(RESIDUES - 1), RESIDUES - 1))
-    sl = sl.join(nation, F.col("s_nationkey") == F.col("n_nationkey"), how)
-    return maybe_broadcast(sl.select("s_suppkey", "s_name", "n_name"), 10_000)
+    from pyspark.sql import functions as F
+
+    join = "JOIN" if how == "inner" else "LEFT JOIN"
+    sl = _sql(
+        spark,
+        f"""
+        SELECT s_suppkey, min(s_name) AS s_name, min_by(n_name, s_name) AS n_name
+        FROM {{supplier}} {join} {{nation}} ON s_nationkey = n_nationkey
+        WHERE s_suppkey BETWEEN -{RESIDUES - 1} AND {RESIDUES - 1}
+        GROUP BY s_suppkey
+        """,
+        supplier=table(spark, sf_dir, "supplier"),
+        nation=table(spark, sf_dir, "nation"),
+    )
+    return F.broadcast(sl)
 
 
 def knowledge_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K: flattened KB rows (the JSON-lines file of a real deployment)."""
-    part = table(spark, sf_dir, "part")
-    base = part.filter(_m("p_partkey", 5) < 3).join(
-        supplier_slice(spark, sf_dir), F.col("s_suppkey") == _m("p_partkey", RESIDUES)
-    )
-    qid = F.concat(F.lit("Q"), _s("p_partkey"))
-    title_name = F.concat(F.col("p_name"), F.lit(" "), F.lower("p_brand"), F.lit(" "), _s("p_partkey"))
-    main = base.select(
-        qid.alias("wikidata_qid"),
-        F.concat(F.lit(KB_URI_PREFIX), qid).alias("wikidata_uri"),
-        F.when(_m("p_partkey", 5) == 0, _s("p_partkey"))
-        .when(_m("p_partkey", 5) == 2, F.lit("n/a"))
-        .alias("steam_app_id"),
-        F.when(_m("p_partkey", 5) == 2, F.lit(None).cast("string"))
-        .when(_m("p_partkey", 35) == 0, F.concat(F.lit("renamed "), _s("p_partkey")))
-        .otherwise(title_name)
-        .alias("name"),
-        _kb_release("p_partkey").alias("release_date"),
-        F.when(_m("p_partkey", 11) == 0, (F.col("p_size") * 2).cast("string")).alias("metacritic"),
-        F.when(_m("p_partkey", 7) == 0, F.lit(None).cast("string")).otherwise(F.col("s_name")).alias("publisher"),
-        F.col("n_name").alias("country"),
-    )
+    """K: flattened KB rows (the JSON-lines file of a real deployment).
 
-    def extra(df: DataFrame, prefix: str, app: Column, name: Column, pub: str, country: str) -> DataFrame:
-        q = F.concat(F.lit(prefix), _s("p_partkey"))
-        return df.select(
-            q.alias("wikidata_qid"),
-            F.concat(F.lit(KB_URI_PREFIX), q).alias("wikidata_uri"),
-            app.alias("steam_app_id"),
-            name.alias("name"),
-            F.lit(None).cast("string").alias("release_date"),
-            F.lit(None).cast("string").alias("metacritic"),
-            F.lit(pub).alias("publisher"),
-            F.lit(country).alias("country"),
-        )
-
-    dups = extra(
-        part.filter(_m("p_partkey", 25) == 0), "QD", _s("p_partkey"),
-        F.concat(F.lit("dup "), _s("p_partkey")), "Dup", "NATION_0",
-    )
-    title_only = extra(
-        part.filter(_m("p_partkey", 35) == 0), "QT", F.lit(None).cast("string"),
-        title_name, "Title only", "NATION_1",
-    )
-    region = table(spark, sf_dir, "region").filter(F.col("r_regionkey") == 0)
-    empty = region.select(
-        F.lit("QEMPTY").alias("wikidata_qid"),
-        F.lit(KB_URI_PREFIX + "QEMPTY").alias("wikidata_uri"),
-        F.lit(None).cast("string").alias("steam_app_id"),
-        F.lit("!!!").alias("name"),
-        F.lit(None).cast("string").alias("release_date"),
-        F.lit(None).cast("string").alias("metacritic"),
-        F.lit("Empty").alias("publisher"),
-        F.lit("NATION_2").alias("country"),
+    Entities matching by id (key % 5 = 0), by title only (1), with a garbage
+    id and no name (2); duplicates by id ('QD'), title-only twins ('QT') and
+    one entity whose name normalizes to the empty key.
+    """
+    uri = KB_URI_PREFIX
+    return _sql(
+        spark,
+        f"""
+        SELECT 'Q' || CAST(p_partkey AS STRING) AS wikidata_qid,
+               '{uri}Q' || CAST(p_partkey AS STRING) AS wikidata_uri,
+               CASE WHEN p_partkey % 5 = 0 THEN CAST(p_partkey AS STRING)
+                    WHEN p_partkey % 5 = 2 THEN 'n/a' END AS steam_app_id,
+               CASE WHEN p_partkey % 5 = 2 THEN NULL
+                    WHEN p_partkey % 35 = 0 THEN 'renamed ' || CAST(p_partkey AS STRING)
+                    ELSE p_name || ' ' || lower(p_brand) || ' ' || CAST(p_partkey AS STRING) END AS name,
+               CASE WHEN p_partkey % 3 = 0 THEN NULL
+                    ELSE CAST(p_size + 1970 AS STRING) || '-01-01T00:00:00Z' END AS release_date,
+               CASE WHEN p_partkey % 11 = 0 THEN CAST(p_size * 2 AS STRING) END AS metacritic,
+               CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE s_name END AS publisher,
+               n_name AS country
+        FROM {{part}} JOIN {{suppliers}} ON s_suppkey = p_partkey % {RESIDUES}
+        WHERE p_partkey % 5 < 3
+        UNION ALL
+        SELECT 'QD' || CAST(p_partkey AS STRING), '{uri}QD' || CAST(p_partkey AS STRING),
+               CAST(p_partkey AS STRING), 'dup ' || CAST(p_partkey AS STRING),
+               CAST(NULL AS STRING), CAST(NULL AS STRING), 'Dup', 'NATION_0'
+        FROM {{part}} WHERE p_partkey % 25 = 0
+        UNION ALL
+        SELECT 'QT' || CAST(p_partkey AS STRING), '{uri}QT' || CAST(p_partkey AS STRING),
+               CAST(NULL AS STRING), p_name || ' ' || lower(p_brand) || ' ' || CAST(p_partkey AS STRING),
+               CAST(NULL AS STRING), CAST(NULL AS STRING), 'Title only', 'NATION_1'
+        FROM {{part}} WHERE p_partkey % 35 = 0
+        UNION ALL
+        SELECT 'QEMPTY', '{uri}QEMPTY', CAST(NULL AS STRING), '!!!',
+               CAST(NULL AS STRING), CAST(NULL AS STRING), 'Empty', 'NATION_2'
+        FROM {{region}} WHERE r_regionkey = 0
+        """,
+        part=table(spark, sf_dir, "part"),
+        suppliers=supplier_slice(spark, sf_dir),
+        region=table(spark, sf_dir, "region"),
     )
-    return main.unionByName(dups).unionByName(title_only).unionByName(empty)
 
 
 def standin_sources(spark: SparkSession, sf_dir: str, with_kb: bool = True) -> Sources:
