@@ -50,13 +50,15 @@ s AS (
          CASE WHEN p_partkey % 40 = 0 THEN NULL ELSE CAST(floor(p_retailprice) AS INTEGER) END AS price
   FROM part WHERE p_partkey % 20 = 0),
 sup AS (
-  SELECT s_suppkey, min(s_name) AS s_name, arg_min(n_name, s_name) AS n_name
+  SELECT s_suppkey, s_name, n_name
   FROM supplier JOIN nation ON s_nationkey = n_nationkey
-  WHERE s_suppkey BETWEEN -9 AND 9 GROUP BY s_suppkey),
+  WHERE s_suppkey BETWEEN -9 AND 9
+  QUALIFY row_number() OVER (PARTITION BY s_suppkey ORDER BY s_name NULLS LAST, n_name NULLS LAST) = 1),
 supl AS (
-  SELECT s_suppkey, min(s_name) AS s_name, arg_min(n_name, s_name) AS n_name
+  SELECT s_suppkey, s_name, n_name
   FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey
-  WHERE s_suppkey BETWEEN -9 AND 9 GROUP BY s_suppkey),
+  WHERE s_suppkey BETWEEN -9 AND 9
+  QUALIFY row_number() OVER (PARTITION BY s_suppkey ORDER BY s_name NULLS LAST, n_name NULLS LAST) = 1),
 c AS (SELECT * FROM (VALUES ('RED', 'Warm'), ('Hot', 'Warm'), ('small', 'Size'), ('Old', 'Age')) t(genre, category)),
 k AS (
   SELECT 'Q' || CAST(p_partkey AS VARCHAR) AS wikidata_qid,

@@ -128,9 +128,8 @@ def supplier_slice(spark: SparkSession, sf_dir: str, how: str = "inner") -> Data
     """The publisher lookup: one supplier (and its nation) per residue key.
 
     ``p_partkey % 10`` only takes values in [-9, 9], so only those supplier
-    keys can join. Grouping by the key keeps one row per key (the smallest
-    name), so the slice has at most 19 rows *by construction* and is
-    broadcast without a probe. Joining the whole supplier table on a
+    keys can join. Keeping one row per key (the smallest name) bounds the
+    slice to 19 rows *by construction*, so it is broadcast without a probe. Joining the whole supplier table on a
     10-valued key instead would hash all parts into at most 10 partitions.
     """
     from pyspark.sql import functions as F
@@ -139,10 +138,12 @@ def supplier_slice(spark: SparkSession, sf_dir: str, how: str = "inner") -> Data
     sl = _sql(
         spark,
         f"""
-        SELECT s_suppkey, min(s_name) AS s_name, min_by(n_name, s_name) AS n_name
-        FROM {{supplier}} {join} {{nation}} ON s_nationkey = n_nationkey
-        WHERE s_suppkey BETWEEN -{RESIDUES - 1} AND {RESIDUES - 1}
-        GROUP BY s_suppkey
+        SELECT s_suppkey, s_name, n_name FROM (
+          SELECT s_suppkey, s_name, n_name,
+                 row_number() OVER (PARTITION BY s_suppkey ORDER BY s_name NULLS LAST, n_name NULLS LAST) AS rn
+          FROM {{supplier}} {join} {{nation}} ON s_nationkey = n_nationkey
+          WHERE s_suppkey BETWEEN -{RESIDUES - 1} AND {RESIDUES - 1})
+        WHERE rn = 1
         """,
         supplier=table(spark, sf_dir, "supplier"),
         nation=table(spark, sf_dir, "nation"),
