@@ -34,7 +34,12 @@ def result_columns(df: DataFrame) -> list[str]:
     return [c for c in wanted if c in df.columns]
 
 
-def game_facts(sources: Sources, options: Options = Options(), provenance: bool = True) -> DataFrame:
+def game_facts(
+    sources: Sources,
+    options: Options = Options(),
+    provenance: bool = True,
+    small: dict[str, bool] | None = None,
+) -> DataFrame:
     """Game-grain table: review stats ⋈ games, then every dimension.
 
     The reviews are shuffled once for de-duplication and reduced to one row
@@ -44,7 +49,7 @@ def game_facts(sources: Sources, options: Options = Options(), provenance: bool
     """
     stats = review_stats(clean_recs(sources.recs, sources.review_order, options))
     base = stats.join(clean_games(sources.games, options), "app_id", "inner")
-    return game_dimensions(base, sources, options, provenance=provenance)
+    return game_dimensions(base, sources, options, provenance=provenance, small=small)
 
 
 def game_summary(sources: Sources, options: Options = Options()) -> DataFrame:

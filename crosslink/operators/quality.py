@@ -32,16 +32,28 @@ def _stack(pairs: Sequence[tuple[str, Column]], key: str, val: str) -> Column:
     return F.stack(*args).alias(key, val)
 
 
-def record_counts(sources: Sources) -> DataFrame:
-    """``(source, num_rows, num_columns)`` for every present source."""
-    frames = [
-        df.agg(F.count(F.lit(1)).alias("num_rows")).select(
-            F.lit(name).alias("source"),
-            F.col("num_rows"),
-            F.lit(len(df.columns)).alias("num_columns"),
+def record_counts(sources: Sources, known: dict[str, int] | None = None) -> DataFrame:
+    """``(source, num_rows, num_columns)`` for every present source.
+
+    ``known`` holds counts already measured (e.g. observed while the job ran,
+    see ``plans.pipeline``); only the other sources are scanned.
+    """
+    known = known or {}
+    spark = sources.games.sparkSession
+    frames = []
+    measured = [(n, known[n], len(df.columns)) for n, df in sources.items() if n in known]
+    if measured:
+        frames.append(spark.createDataFrame(measured, "source string, num_rows long, num_columns int"))
+    for name, df in sources.items():
+        if name in known:
+            continue
+        frames.append(
+            df.agg(F.count(F.lit(1)).alias("num_rows")).select(
+                F.lit(name).alias("source"),
+                F.col("num_rows"),
+                F.lit(len(df.columns)).alias("num_columns"),
+            )
         )
-        for name, df in sources.items()
-    ]
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
@@ -216,15 +228,17 @@ def dq_report(
     sources: Sources,
     facts: DataFrame,
     options: Options = Options(),
+    known_counts: dict[str, int] | None = None,
 ) -> DataFrame:
     """The full report as ``(section, subject, metric, value)`` rows.
 
     ``facts`` is the game-grain table of ``aggregate.game_facts`` (the job
     checkpoints it first). Game-grain metrics come from one pass over it
     (``_facts_metrics``); raw sources contribute one count each; threshold
-    violations are filters over those two metric frames.
+    violations are filters over those two metric frames. ``known_counts``
+    are raw-source counts measured during the job (not scanned again).
     """
-    counts = record_counts(sources)
+    counts = record_counts(sources, known_counts)
     fm = _facts_metrics(facts, options)
     rates = fm.filter(F.col("section") == "null_rates").select(
         F.col("subject").alias("column_name"), F.col("value").alias("null_rate")
