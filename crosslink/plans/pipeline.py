@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from crosslink.config import Options
 from crosslink.operators.aggregate import game_facts, result_columns
 from crosslink.operators.enrich import probe_dimensions
-from crosslink.operators.quality import dq_report
+from crosslink.operators.quality import dq_report, sample_rows
 from crosslink.session import checkpoint_dir
 from crosslink.sinks import write_csv_preview, write_parquet
 from crosslink.sources.readers import Sources
@@ -41,6 +41,7 @@ class PipelineResult:
     result_path: str
     preview_path: str
     report_path: str
+    samples_path: str  # the report's sample rows (first rows by app_id)
     runtime_seconds: float  # load → save, excluding validation (as published)
 
 
@@ -76,6 +77,8 @@ def run_pipeline(
     report = dq_report(sources, facts, options, known_counts=raw_counts)
     report_path = write_parquet(report, f"{out}/dq_report")
     report = spark.read.parquet(report_path)
+    samples = sample_rows(spark.read.parquet(result_path), options.sample_rows)
+    samples_path = write_parquet(samples.coalesce(1), f"{out}/dq_samples")
     for row in report.filter("section = 'threshold_violations'").collect():
         log.warning("threshold violated: %s = %s", row["subject"], row["value"])
     log.info("pipeline done in %.1fs (validation excluded)", runtime)
@@ -85,5 +88,6 @@ def run_pipeline(
         result_path=result_path,
         preview_path=preview_path,
         report_path=report_path,
+        samples_path=samples_path,
         runtime_seconds=runtime,
     )

@@ -89,6 +89,8 @@ def test_a6_load_sources_and_run_pipeline(spark, tmp_path):
     # B2: preview is a directory holding one CSV file
     parts = [f for f in os.listdir(res.preview_path) if f.endswith(".csv")]
     assert len(parts) == 1
+    samples = spark.read.parquet(res.samples_path).orderBy("app_id").collect()
+    assert [r.app_id for r in samples] == [70, 300]
     rep = {(r.section, r.subject, r.metric): r.value for r in res.report.collect()}
     assert rep[("record_counts", "processed", "rows")] == 3.0
     assert rep[("record_counts", "aggregated", "rows")] == 2.0
