@@ -13,6 +13,11 @@ DEFAULT_PREVIEW_ROWS = 100
 DEFAULT_SAMPLE_ROWS = 5
 DEFAULT_PAGE_SIZE = 500
 
+# Means over floating-point values (e.g. the mean of per-game rates) depend on
+# summation order, which varies with partitioning; they are reported rounded
+# to this many decimals so results are identical run to run.
+MEAN_DECIMALS = 9
+
 
 @dataclass(frozen=True)
 class Options:

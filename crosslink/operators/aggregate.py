@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crosslink.config import Options
+from crosslink.config import MEAN_DECIMALS, Options
 from crosslink.operators.enrich import clean_games, clean_recs, enrich_reviews, game_dimensions
 from crosslink.schemas import RESULT_DESCRIPTOR_COLUMNS, RESULT_KB_COLUMNS, RESULT_STEAM_COLUMNS
 from crosslink.sources.readers import Sources
@@ -85,7 +85,7 @@ def rate_by_country(summary: DataFrame) -> DataFrame:
             F.count(F.lit(1)).alias("num_games"),
             F.sum("num_reviews").alias("num_reviews"),
             F.sum("num_positive_reviews").alias("num_positive_reviews"),
-            F.avg("steam_recommend_rate").alias("mean_game_rate"),
+            F.round(F.avg("steam_recommend_rate"), MEAN_DECIMALS).alias("mean_game_rate"),
         )
         .withColumn(
             "review_weighted_rate", F.col("num_positive_reviews") / F.col("num_reviews")

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from crosslink.config import Options
+from crosslink.config import MEAN_DECIMALS, Options
 from crosslink.functions import null_or_nan
 from crosslink.operators.aggregate import FLAGS_PRESENT
 from crosslink.operators.resolve import MATCH_STAGE
@@ -87,7 +87,10 @@ def null_rates(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def summary_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``(column_name, min, max, mean)`` of the numeric columns present."""
+    """``(column_name, min, max, mean)`` of the numeric columns present.
+
+    ``mean`` is rounded to ``MEAN_DECIMALS`` (order-independent result).
+    """
     dtypes = {f.name: f.dataType for f in df.schema.fields}
     avail = [c for c in columns if c in dtypes and isinstance(dtypes[c], NumericType)]
     spark = df.sparkSession
@@ -98,7 +101,7 @@ def summary_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         aggs += [
             F.min(c).cast("double").alias(f"_mi{i}"),
             F.max(c).cast("double").alias(f"_ma{i}"),
-            F.avg(c).alias(f"_me{i}"),
+            F.round(F.avg(c), MEAN_DECIMALS).alias(f"_me{i}"),
         ]
     one = df.agg(*aggs)
     rows = F.array(
@@ -203,7 +206,7 @@ def _facts_metrics(facts: DataFrame, options: Options) -> DataFrame:
             metrics += [
                 ("summary_stats", c, "min", F.min(c)),
                 ("summary_stats", c, "max", F.max(c)),
-                ("summary_stats", c, "mean", F.avg(c)),
+                ("summary_stats", c, "mean", F.round(F.avg(c), MEAN_DECIMALS)),
             ]
     if "wikidata_qid" in dtypes:
         matched = F.count_distinct(F.when(F.col("wikidata_qid").isNotNull(), F.col("app_id")))

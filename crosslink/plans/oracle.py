@@ -349,19 +349,19 @@ def _sql() -> dict[str, str]:
     o["summary_stats"] = _w(
         """
         SELECT 'steam_recommend_rate' AS column_name, CAST(min(steam_recommend_rate) AS DOUBLE) AS min,
-               CAST(max(steam_recommend_rate) AS DOUBLE) AS max, avg(steam_recommend_rate) AS mean FROM summary
+               CAST(max(steam_recommend_rate) AS DOUBLE) AS max, round(avg(steam_recommend_rate), 9) AS mean FROM summary
         UNION ALL
-        SELECT 'num_reviews', CAST(min(num_reviews) AS DOUBLE), CAST(max(num_reviews) AS DOUBLE), avg(num_reviews) FROM summary
+        SELECT 'num_reviews', CAST(min(num_reviews) AS DOUBLE), CAST(max(num_reviews) AS DOUBLE), round(avg(num_reviews), 9) FROM summary
         UNION ALL
         SELECT 'num_positive_reviews', CAST(min(num_positive_reviews) AS DOUBLE), CAST(max(num_positive_reviews) AS DOUBLE),
-               avg(num_positive_reviews) FROM summary
+               round(avg(num_positive_reviews), 9) FROM summary
         """
     )
     o["rate_by_country"] = _w(
         """
         SELECT wd_country, count(*) AS num_games, CAST(sum(num_reviews) AS BIGINT) AS num_reviews,
                CAST(sum(num_positive_reviews) AS BIGINT) AS num_positive_reviews,
-               avg(steam_recommend_rate) AS mean_game_rate,
+               round(avg(steam_recommend_rate), 9) AS mean_game_rate,
                CAST(sum(num_positive_reviews) AS DOUBLE) / sum(num_reviews) AS review_weighted_rate
         FROM summary WHERE wd_country IS NOT NULL GROUP BY wd_country
         """
@@ -395,13 +395,13 @@ def _sql() -> dict[str, str]:
         UNION ALL SELECT 'null_rates', column_name, 'null_rate', null_rate FROM wrates
         UNION ALL SELECT 'summary_stats', 'steam_recommend_rate', 'min', min(steam_recommend_rate) FROM facts
         UNION ALL SELECT 'summary_stats', 'steam_recommend_rate', 'max', max(steam_recommend_rate) FROM facts
-        UNION ALL SELECT 'summary_stats', 'steam_recommend_rate', 'mean', avg(steam_recommend_rate) FROM facts
+        UNION ALL SELECT 'summary_stats', 'steam_recommend_rate', 'mean', round(avg(steam_recommend_rate), 9) FROM facts
         UNION ALL SELECT 'summary_stats', 'num_reviews', 'min', CAST(min(num_reviews) AS DOUBLE) FROM facts
         UNION ALL SELECT 'summary_stats', 'num_reviews', 'max', CAST(max(num_reviews) AS DOUBLE) FROM facts
-        UNION ALL SELECT 'summary_stats', 'num_reviews', 'mean', avg(num_reviews) FROM facts
+        UNION ALL SELECT 'summary_stats', 'num_reviews', 'mean', round(avg(num_reviews), 9) FROM facts
         UNION ALL SELECT 'summary_stats', 'num_positive_reviews', 'min', CAST(min(num_positive_reviews) AS DOUBLE) FROM facts
         UNION ALL SELECT 'summary_stats', 'num_positive_reviews', 'max', CAST(max(num_positive_reviews) AS DOUBLE) FROM facts
-        UNION ALL SELECT 'summary_stats', 'num_positive_reviews', 'mean', avg(num_positive_reviews) FROM facts
+        UNION ALL SELECT 'summary_stats', 'num_positive_reviews', 'mean', round(avg(num_positive_reviews), 9) FROM facts
         UNION ALL SELECT 'threshold_violations', 'min_records:' || source, 'observed', CAST(num_rows AS DOUBLE)
                   FROM counts WHERE num_rows < 100
         UNION ALL SELECT 'threshold_violations', 'max_null_rate:' || column_name, 'observed', null_rate
