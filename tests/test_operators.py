@@ -16,7 +16,7 @@ KB_DDL = (
 
 
 def _sources(spark, kb_rows=None, pop_rows=None, games=None, recs=None, cats=None):
-    games = games or [("1", "Half-Life"), ("2", "Portal"), ("3", "東方")]
+    games = games or [("1", "Star-Fall"), ("2", "Harbor"), ("3", "東方")]
     recs = recs or [
         ("1", "10", "true"), ("1", "11", "False"), ("1", "12", "True"),
         ("2", "10", "TRUE"), ("3", "10", "false"), ("9", "10", "true"),
@@ -64,16 +64,16 @@ def test_category_lookup_case_fold_and_dedup(spark):
 
 
 def test_t4_field_vs_entity_fallback(spark):
-    games = spark.createDataFrame([(1, "Half-Life")], "app_id int, title string")
+    games = spark.createDataFrame([(1, "Star-Fall")], "app_id int, title string")
     kb = spark.createDataFrame(
         [
             ("Q1", "u", "1", "Other name", None, None, None, "US"),
-            ("Q2", "u", None, "HALF-LIFE!", "1998", None, "Valve", "DE"),
+            ("Q2", "u", None, "STAR-FALL!", "1998", None, "North", "DE"),
         ],
         KB_DDL,
     )
     field = resolve_entities(games, kb, Options(fallback="field"), provenance=True).first()
-    assert (field.wikidata_qid, field.wd_publisher, field.wd_country, field.wd_release_date) == ("Q1", "Valve", "US", "1998")
+    assert (field.wikidata_qid, field.wd_publisher, field.wd_country, field.wd_release_date) == ("Q1", "North", "US", "1998")
     assert field.wd_match_stage == "id"
     entity = resolve_entities(games, kb, Options(fallback="entity")).first()
     assert (entity.wikidata_qid, entity.wd_publisher, entity.wd_country) == ("Q1", None, "US")
@@ -89,9 +89,9 @@ def test_t5_empty_title_key_matches_nothing_by_default(spark):
 
 def test_kb_never_changes_row_count(spark):
     kb = [
-        ("Q1", "u", "1", "Half-Life", None, None, "Valve", "US"),
-        ("Q1b", "u", "1", "Half Life", None, None, "Valve", "US"),
-        ("Q9", "u", "n/a", "portal", None, None, "Valve", "US"),
+        ("Q1", "u", "1", "Star-Fall", None, None, "North", "US"),
+        ("Q1b", "u", "1", "Star Fall", None, None, "North", "US"),
+        ("Q9", "u", "n/a", "harbor", None, None, "North", "US"),
     ]
     src = _sources(spark, kb_rows=kb)
     with_kb = game_summary(src)
@@ -116,12 +116,12 @@ def test_summary_values(spark):
     r1 = rows[1]
     assert (r1.num_reviews, r1.num_positive_reviews) == (3, 2)
     assert abs(r1.steam_recommend_rate - 2 / 3) < 1e-15
-    assert (r1.title, r1.primary_tag, r1.genre_category, r1.price) == ("Half-Life", "Action", "Popular", 999)
+    assert (r1.title, r1.primary_tag, r1.genre_category, r1.price) == ("Star-Fall", "Action", "Popular", 999)
     assert rows[2].primary_tag is None and rows[2].price is None
 
 
 def test_t6_duplicate_dimension_rows_do_not_inflate(spark):
-    src = _sources(spark, pop_rows=[("1", 999), ("1", 999), ("1", 5)], games=[("1", "Half-Life"), ("1", "Half-Life")])
+    src = _sources(spark, pop_rows=[("1", 999), ("1", 999), ("1", 5)], games=[("1", "Star-Fall"), ("1", "Star-Fall")])
     r1 = game_summary(src).filter("app_id = 1").first()
     assert r1.num_reviews == 3 and r1.price == 5
 

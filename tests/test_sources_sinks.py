@@ -53,20 +53,20 @@ def test_csv_columns_by_header_name(spark, tmp_path):
 def _source_files(tmp_path, with_kb=True):
     d = tmp_path / "raw"
     d.mkdir()
-    _write(d / "games.csv", "app_id,title,date\n70,Half-Life,1998\n300,Day of Defeat: Source,2005\n5,,2000\n")
+    _write(d / "games.csv", "app_id,title,date\n70,Star-Fall,1998\n300,Night Shift: Redux,2005\n5,,2000\n")
     _write(d / "meta.json", "\n".join(json.dumps(r) for r in [
         {"app_id": 70, "tags": ["FPS", "Action"], "description": "x"},
         {"app_id": 300, "tags": ["FPS"]},
     ]) + "\n")
     _write(d / "recs.csv", "app_id,helpful,is_recommended,user_id\n70,1,true,1\n70,0,false,2\n70,0,true,2\n300,0,True,1\n999,0,true,1\n")
-    _write(d / "pop.csv", "appid,name,developer,publisher,owners,average_forever,median_forever,ccu,price\n70,Half-Life,Valve,Valve,\"10,000\",1,1,1,999\n")
+    _write(d / "pop.csv", "appid,name,developer,publisher,owners,average_forever,median_forever,ccu,price\n70,Star-Fall,North,North,\"10,000\",1,1,1,999\n")
     _write(d / "genres.csv", "genre\tcategory\r\nAction\tPopular\r\nFPS\tShooter\r\n")
     kb = str(d / "kb.json")
     if with_kb:
         _write(d / "kb.json", json.dumps({
-            "wikidata_qid": "Q279744", "wikidata_uri": "http://www.wikidata.org/entity/Q279744",
-            "steam_app_id": 70, "name": "Half-Life", "release_date": "1998-11-19T00:00:00Z",
-            "metacritic": None, "publisher": "Valve Corporation", "country": "United States",
+            "wikidata_qid": "Q1001", "wikidata_uri": "http://www.wikidata.org/entity/Q1001",
+            "steam_app_id": 70, "name": "Star-Fall", "release_date": "1998-11-19T00:00:00Z",
+            "metacritic": None, "publisher": "North Studio", "country": "Freedonia",
         }, ensure_ascii=False) + "\n")
     return SourcePaths(
         games=str(d / "games.csv"), metadata=str(d / "meta.json"), recs=str(d / "recs.csv"),
@@ -84,7 +84,7 @@ def test_a6_load_sources_and_run_pipeline(spark, tmp_path):
     assert set(rows) == {70, 300}
     hl = rows[70]
     assert (hl.num_reviews, hl.num_positive_reviews, hl.price, hl.primary_tag, hl.genre_category) == (2, 1, 999, "FPS", "Shooter")
-    assert (hl.wikidata_qid, hl.wd_publisher, hl.wd_country) == ("Q279744", "Valve Corporation", "United States")
+    assert (hl.wikidata_qid, hl.wd_publisher, hl.wd_country) == ("Q1001", "North Studio", "Freedonia")
     assert rows[300].wikidata_qid is None
     # B2: preview is a directory holding one CSV file
     parts = [f for f in os.listdir(res.preview_path) if f.endswith(".csv")]
@@ -136,7 +136,7 @@ def test_a8_parse_bindings_and_e4_dedup(spark):
 
 
 def test_a9_parse_popularity_payload(spark):
-    page = {"70": {"appid": 70, "name": "Half-Life", "price": 999}, "10": {"appid": 10, "name": "CS"}}
+    page = {"70": {"appid": 70, "name": "Star-Fall", "price": 999}, "10": {"appid": 10, "name": "Cards"}}
     pages = spark.createDataFrame([(0, json.dumps(page))], "page_no long, payload string")
     rows = {r.appid: r for r in parse_popularity_payload(pages).collect()}
     assert rows[70].price == 999 and rows[10].price is None and rows[10].developer is None
