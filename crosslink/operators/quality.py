@@ -60,6 +60,53 @@ def record_counts(sources: Sources, known: dict[str, int] | None = None) -> Data
     return out
 
 
+def profile_exprs(df: DataFrame, columns: Sequence[str]) -> list[Column]:
+    """Aggregate expressions of a raw-source profile: rows, nulls per column.
+
+    Usable both in ``agg`` and in ``observe`` (metrics gathered while another
+    job reads the source).
+    """
+    present = [c for c in columns if c in df.columns]
+    return [F.count(F.lit(1)).alias("rows")] + [
+        F.sum(F.when(F.col(c).isNull(), 1).otherwise(0)).alias(f"nulls_{c}") for c in present
+    ]
+
+
+def source_profiles(
+    sources: Sources,
+    columns: Sequence[str],
+    known: dict[str, dict[str, int]] | None = None,
+) -> DataFrame:
+    """``(source, column_name, num_rows, num_nulls)`` per source and column.
+
+    ``column_name`` is null on the row-count line of each source. ``known``
+    holds profiles already observed during the job; the other sources are
+    profiled with one aggregation each.
+    """
+    known = known or {}
+    spark = sources.games.sparkSession
+    schema = "source string, column_name string, num_rows long, num_nulls long"
+    rows, frames = [], []
+    for name, df in sources.items():
+        present = [c for c in columns if c in df.columns]
+        if name in known:
+            m = known[name]
+            rows.append((name, None, int(m["rows"]), None))
+            rows += [(name, c, int(m["rows"]), int(m[f"nulls_{c}"] or 0)) for c in present]
+            continue
+        one = df.agg(*profile_exprs(df, columns))
+        pairs = [F.struct(F.lit(None).cast("string").alias("c"), F.lit(None).cast("long").alias("n"))]
+        pairs += [F.struct(F.lit(c).alias("c"), F.col(f"nulls_{c}").cast("long").alias("n")) for c in present]
+        frames.append(
+            one.select(F.lit(name).alias("source"), F.col("rows").alias("num_rows"), F.inline(F.array(*pairs)))
+            .select("source", F.col("c").alias("column_name"), "num_rows", F.col("n").alias("num_nulls"))
+        )
+    out = spark.createDataFrame(rows, schema) if rows else None
+    for f in frames:
+        out = f if out is None else out.unionByName(f)
+    return out
+
+
 def null_rates(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(column_name, null_rate)`` in one pass.
 
@@ -231,17 +278,31 @@ def dq_report(
     sources: Sources,
     facts: DataFrame,
     options: Options = Options(),
-    known_counts: dict[str, int] | None = None,
+    known_profiles: dict[str, dict[str, int]] | None = None,
 ) -> DataFrame:
     """The full report as ``(section, subject, metric, value)`` rows.
 
     ``facts`` is the game-grain table of ``aggregate.game_facts`` (the job
     checkpoints it first). Game-grain metrics come from one pass over it
     (``_facts_metrics``); raw sources contribute one count each; threshold
-    violations are filters over those two metric frames. ``known_counts``
-    are raw-source counts measured during the job (not scanned again).
+    violations are filters over those two metric frames. Raw sources give
+    their row counts and the null rates of the critical columns they hold
+    (``raw_null_rates``; the processed-stage rates are structurally 0 after
+    the required-field filter). ``known_profiles`` are raw-source profiles
+    observed during the job (not scanned again).
     """
-    counts = record_counts(sources, known_counts)
+    profiles = source_profiles(sources, options.critical_columns, known_profiles)
+    widths = {name: len(df.columns) for name, df in sources.items()}
+    width_col = F.create_map(*[x for n, w in widths.items() for x in (F.lit(n), F.lit(w))])
+    counts = profiles.filter(F.col("column_name").isNull()).select(
+        "source", "num_rows", width_col[F.col("source")].alias("num_columns")
+    )
+    raw_nulls = profiles.filter(F.col("column_name").isNotNull()).select(
+        F.lit("raw_null_rates").alias("section"),
+        F.concat(F.col("source"), F.lit("."), F.col("column_name")).alias("subject"),
+        F.lit("null_rate").alias("metric"),
+        F.when(F.col("num_rows") == 0, F.lit(0.0)).otherwise(F.col("num_nulls") / F.col("num_rows")).alias("value"),
+    )
     fm = _facts_metrics(facts, options)
     rates = fm.filter(F.col("section") == "null_rates").select(
         F.col("subject").alias("column_name"), F.col("value").alias("null_rate")
@@ -258,7 +319,7 @@ def dq_report(
         F.lit("observed").alias("metric"),
         F.col("observed").alias("value"),
     )
-    return raw.unionByName(fm).unionByName(violations)
+    return raw.unionByName(raw_nulls).unionByName(fm).unionByName(violations)
 
 
 def empty_report(spark: SparkSession) -> DataFrame:

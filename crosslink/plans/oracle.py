@@ -390,6 +390,16 @@ def _sql() -> dict[str, str]:
                  ELSE sum(num_reviews - num_flags_present) / sum(num_reviews) END FROM facts)
         SELECT 'record_counts' AS section, 'raw:' || source AS subject, 'rows' AS metric, CAST(num_rows AS DOUBLE) AS value
         FROM counts
+        UNION ALL SELECT 'raw_null_rates', 'games.app_id', 'null_rate',
+                  CASE WHEN count(*) = 0 THEN 0.0 ELSE sum(CASE WHEN app_id IS NULL THEN 1 ELSE 0 END) / count(*) END FROM g
+        UNION ALL SELECT 'raw_null_rates', 'games.title', 'null_rate',
+                  CASE WHEN count(*) = 0 THEN 0.0 ELSE sum(CASE WHEN title IS NULL THEN 1 ELSE 0 END) / count(*) END FROM g
+        UNION ALL SELECT 'raw_null_rates', 'metadata.app_id', 'null_rate',
+                  CASE WHEN count(*) = 0 THEN 0.0 ELSE sum(CASE WHEN app_id IS NULL THEN 1 ELSE 0 END) / count(*) END FROM m
+        UNION ALL SELECT 'raw_null_rates', 'recs.app_id', 'null_rate',
+                  CASE WHEN count(*) = 0 THEN 0.0 ELSE sum(CASE WHEN app_id IS NULL THEN 1 ELSE 0 END) / count(*) END FROM r
+        UNION ALL SELECT 'raw_null_rates', 'recs.is_recommended', 'null_rate',
+                  CASE WHEN count(*) = 0 THEN 0.0 ELSE sum(CASE WHEN is_recommended IS NULL THEN 1 ELSE 0 END) / count(*) END FROM r
         UNION ALL SELECT 'record_counts', 'processed', 'rows', CAST(coalesce(sum(num_reviews), 0) AS DOUBLE) FROM facts
         UNION ALL SELECT 'record_counts', 'aggregated', 'rows', CAST(count(*) AS DOUBLE) FROM facts
         UNION ALL SELECT 'null_rates', column_name, 'null_rate', null_rate FROM wrates

@@ -7,12 +7,11 @@ import time
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
 
 from crosslink.config import Options
 from crosslink.operators.aggregate import game_facts, result_columns
 from crosslink.operators.enrich import probe_dimensions
-from crosslink.operators.quality import dq_report, sample_rows
+from crosslink.operators.quality import dq_report, profile_exprs, sample_rows
 from crosslink.session import checkpoint_dir
 from crosslink.sinks import write_csv_preview, write_parquet
 from crosslink.sources.readers import Sources
@@ -25,13 +24,14 @@ log = logging.getLogger(__name__)
 _OBSERVED = ("games", "metadata", "recs", "popularity", "categories")
 
 
-def _observe_sources(sources: Sources) -> tuple[Sources, dict[str, Observation]]:
-    obs = {name: Observation(f"crosslink_rows_{name}") for name in _OBSERVED}
-    observed = replace(
-        sources,
-        **{name: getattr(sources, name).observe(o, F.count(F.lit(1)).alias("rows")) for name, o in obs.items()},
-    )
-    return observed, obs
+def _observe_sources(sources: Sources, options: Options) -> tuple[Sources, dict[str, Observation]]:
+    """Attach a profile (rows, nulls of critical columns) to each source."""
+    obs = {name: Observation(f"crosslink_profile_{name}") for name in _OBSERVED}
+    observed = {}
+    for name, o in obs.items():
+        df = getattr(sources, name)
+        observed[name] = df.observe(o, *profile_exprs(df, options.critical_columns))
+    return replace(sources, **observed), obs
 
 
 @dataclass
@@ -56,17 +56,18 @@ def run_pipeline(
     The game-grain facts are checkpointed (reliably, to the cluster's
     checkpoint folder): the result, the preview and the report all read that
     small table, so the review table is scanned and shuffled exactly once.
-    Raw-source row counts for the report are ``observe()``-d during that same
-    pass instead of being scanned again.
+    Raw-source profiles for the report (row counts, nulls of critical
+    columns) are ``observe()``-d during that same pass instead of being
+    scanned again.
     """
     start = time.time()
     out = out_dir.rstrip("/")
     checkpoint_dir(spark)
     small = probe_dimensions(sources, options)
-    observed, observations = _observe_sources(sources)
+    observed, observations = _observe_sources(sources, options)
     facts = game_facts(observed, options, provenance=sources.kb is not None, small=small)
     facts = facts.checkpoint(eager=True)
-    raw_counts = {name: int(o.get["rows"]) for name, o in observations.items()}
+    profiles = {name: dict(o.get) for name, o in observations.items()}
 
     result_path = write_parquet(facts.select(*result_columns(facts)), f"{out}/result_parquet")
     preview_path = write_csv_preview(
@@ -74,7 +75,7 @@ def run_pipeline(
     )
     runtime = time.time() - start
 
-    report = dq_report(sources, facts, options, known_counts=raw_counts)
+    report = dq_report(sources, facts, options, known_profiles=profiles)
     report_path = write_parquet(report, f"{out}/dq_report")
     report = spark.read.parquet(report_path)
     samples = sample_rows(spark.read.parquet(result_path), options.sample_rows)

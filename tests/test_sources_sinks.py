@@ -98,6 +98,10 @@ def test_a6_load_sources_and_run_pipeline(spark, tmp_path):
     assert rep[("match_rate", "kb", "matched")] == 1.0
     assert rep[("match_rate", "kb", "match_rate_pct")] == 50.0
     assert ("threshold_violations", "min_records:games", "observed") in rep
+    # raw-source null rates of critical columns (observed during the facts pass)
+    assert rep[("raw_null_rates", "games.title", "null_rate")] == 1 / 3
+    assert rep[("raw_null_rates", "recs.is_recommended", "null_rate")] == 0.0
+    assert ("raw_null_rates", "popularity.app_id", "null_rate") not in rep
     # raw counts: observed during the facts pass (kb is counted by a scan)
     raw = {k[1]: v for k, v in rep.items() if k[0] == "record_counts" and k[1].startswith("raw:")}
     assert raw == {"raw:games": 3.0, "raw:metadata": 2.0, "raw:recs": 5.0, "raw:popularity": 1.0,
