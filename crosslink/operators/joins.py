@@ -1,4 +1,4 @@
-"""Join helpers: broadcast only what a bounded count proved small."""
+"""Join helpers: broadcast only what a measured row count proved small."""
 
 from __future__ import annotations
 
@@ -11,15 +11,17 @@ from pyspark.sql import functions as F
 def bounded_counts(frames: Mapping[str, DataFrame], max_rows: int) -> dict[str, bool]:
     """For each frame: does it have at most ``max_rows`` rows?
 
-    One job for all frames: a union of ``limit(max_rows + 1)`` counts. Each
-    probe stops reading once the bound is exceeded, so the job reads at most
-    ``max_rows + 1`` rows per frame whatever the table sizes, and returns one
-    tiny row per frame to the driver.
+    One job for all frames: a union of per-frame ``count()`` aggregates. Each
+    count is partial per partition, so the shuffle carries one row per input
+    partition and the driver receives one row per frame. (A ``limit(n + 1)``
+    probe would instead funnel up to n + 1 rows *per partition* into a single
+    task.) The cost is one distributed scan of each small-side input, which is
+    small next to the fact table.
     """
     if not frames:
         return {}
     parts = [
-        df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n")
+        df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n")
         for name, df in frames.items()
     ]
     probe = parts[0]
@@ -29,7 +31,7 @@ def bounded_counts(frames: Mapping[str, DataFrame], max_rows: int) -> dict[str,
 
 
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True iff ``df`` has ≤ ``max_rows`` rows (reads at most ``max_rows + 1``)."""
+    """True iff ``df`` has ≤ ``max_rows`` rows."""
     return bounded_counts({"df": df}, max_rows)["df"]
 
 
@@ -43,7 +45,7 @@ def broadcast_if(df: DataFrame, small: bool) -> DataFrame:
 
 
 def maybe_broadcast(df: DataFrame, max_rows: int, small: bool | None = None) -> DataFrame:
-    """Broadcast ``df`` if ``small`` (or, when unknown, if a probe proves it)."""
+    """Broadcast ``df`` if ``small`` (or, when unknown, if a count proves it)."""
     if small is None:
         small = max_rows > 0 and has_at_most(df, max_rows)
     return broadcast_if(df, small)
