@@ -35,6 +35,9 @@ class Options:
         A dimension is broadcast only after a bounded count proved it has at
         most this many rows; otherwise the join is left to a shuffle join
         (and to AQE's runtime conversion, which uses measured sizes).
+    ``broadcast_max_bytes``
+        The same count also sums an estimate of the rows' in-memory size; a
+        dimension above this many bytes is not broadcast either.
     ``dedup_dimensions``
         Deduplicate games / metadata / popularity / category map on their
         key (first by a total order) so they cannot fan out review counts.
@@ -43,6 +46,7 @@ class Options:
     fallback: str = "field"
     empty_title_matches: bool = False
     broadcast_max_rows: int = 1_000_000
+    broadcast_max_bytes: int = 256 * 1024 * 1024
     dedup_dimensions: bool = True
     min_expected_records: int = DEFAULT_MIN_EXPECTED_RECORDS
     max_null_rate: float = DEFAULT_MAX_NULL_RATE

@@ -102,7 +102,7 @@ def join_popularity(
     df: DataFrame, popularity: DataFrame, options: Options = Options(), small: bool | None = None
 ) -> DataFrame:
     """⟕ popularity feed on ``app_id`` (broadcast when proven small)."""
-    side = maybe_broadcast(popularity, options.broadcast_max_rows, small)
+    side = maybe_broadcast(popularity, options.broadcast_max_rows, small, options.broadcast_max_bytes)
     return df.join(side, "app_id", "left")
 
 
@@ -114,7 +114,7 @@ def join_category(
     df: DataFrame, categories: DataFrame, options: Options = Options(), small: bool | None = None
 ) -> DataFrame:
     """⟕ category lookup on ``lower(primary_tag) = lower(genre)``."""
-    cat = maybe_broadcast(categories, options.broadcast_max_rows, small)
+    cat = maybe_broadcast(categories, options.broadcast_max_rows, small, options.broadcast_max_bytes)
     joined = df.join(cat, F.lower(df["primary_tag"]) == cat["genre_key"], "left")
     return joined.drop("genre_key")
 
@@ -123,7 +123,8 @@ def probe_dimensions(sources: Sources, options: Options = Options()) -> dict[str
     """Which small-side dimensions are proven to fit a broadcast (one job).
 
     The probe runs on the *raw* sources: cleaning and de-duplication only
-    remove rows, so a bound on the raw rows bounds every derived join side.
+    remove rows (and projection only drops columns), so a bound on the raw
+    rows and bytes bounds every derived join side.
     """
     if options.broadcast_max_rows <= 0:
         return {"popularity": False, "categories": False, "games": False, "kb": False}
@@ -134,7 +135,7 @@ def probe_dimensions(sources: Sources, options: Options = Options()) -> dict[str
     }
     if sources.kb is not None:
         frames["kb"] = sources.kb
-    small = bounded_counts(frames, options.broadcast_max_rows)
+    small = bounded_counts(frames, options.broadcast_max_rows, options.broadcast_max_bytes)
     small.setdefault("kb", False)
     return small
 

@@ -1,38 +1,67 @@
-"""Join helpers: broadcast only what a measured row count proved small."""
+"""Join helpers: broadcast only what a measured size proved small."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+_VARIABLE = (T.StringType, T.BinaryType)
+_NESTED = (T.ArrayType, T.MapType, T.StructType)
 
-def bounded_counts(frames: Mapping[str, DataFrame], max_rows: int) -> dict[str, bool]:
-    """For each frame: does it have at most ``max_rows`` rows?
 
-    One job for all frames: a union of per-frame ``count()`` aggregates. Each
-    count is partial per partition, so the shuffle carries one row per input
-    partition and the driver receives one row per frame. (A ``limit(n + 1)``
-    probe would instead funnel up to n + 1 rows *per partition* into a single
-    task.) The cost is one distributed scan of each small-side input, which is
-    small next to the fact table.
+def row_bytes(df: DataFrame) -> Column:
+    """Estimated in-memory size of one row, in bytes.
+
+    Follows Spark's row layout: 8 bytes per field plus the variable-length
+    payload of strings and binaries (nested values are sized by their JSON
+    text, an over-estimate).
+    """
+    size: Column = F.lit(8 * max(1, len(df.schema.fields)))
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, _VARIABLE):
+            size = size + F.coalesce(F.octet_length(c), F.lit(0))
+        elif isinstance(f.dataType, _NESTED):
+            size = size + F.coalesce(F.octet_length(F.to_json(c)), F.lit(0))
+    return size
+
+
+def bounded_counts(
+    frames: Mapping[str, DataFrame], max_rows: int, max_bytes: int | None = None
+) -> dict[str, bool]:
+    """For each frame: at most ``max_rows`` rows (and ``max_bytes`` bytes)?
+
+    One job for all frames: a union of per-frame ``count()`` / byte-sum
+    aggregates. Each aggregate is partial per partition, so the shuffle
+    carries one row per input partition and the driver receives one row per
+    frame. (A ``limit(n + 1)`` probe would instead funnel up to n + 1 rows
+    *per partition* into a single task.) The cost is one distributed scan of
+    each small-side input, which is small next to the fact table.
     """
     if not frames:
         return {}
     parts = [
-        df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n")
+        df.agg(
+            F.count(F.lit(1)).alias("n"),
+            F.coalesce(F.sum(row_bytes(df)), F.lit(0)).cast("long").alias("b"),
+        ).select(F.lit(name).alias("name"), "n", "b")
         for name, df in frames.items()
     ]
     probe = parts[0]
     for p in parts[1:]:
         probe = probe.unionByName(p)
-    return {r["name"]: r["n"] <= max_rows for r in probe.collect()}
+    return {
+        r["name"]: r["n"] <= max_rows and (max_bytes is None or r["b"] <= max_bytes)
+        for r in probe.collect()
+    }
 
 
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True iff ``df`` has ≤ ``max_rows`` rows."""
-    return bounded_counts({"df": df}, max_rows)["df"]
+def has_at_most(df: DataFrame, max_rows: int, max_bytes: int | None = None) -> bool:
+    """True iff ``df`` has ≤ ``max_rows`` rows (and ≤ ``max_bytes`` bytes)."""
+    return bounded_counts({"df": df}, max_rows, max_bytes)["df"]
 
 
 def broadcast_if(df: DataFrame, small: bool) -> DataFrame:
@@ -44,8 +73,10 @@ def broadcast_if(df: DataFrame, small: bool) -> DataFrame:
     return F.broadcast(df) if small else df
 
 
-def maybe_broadcast(df: DataFrame, max_rows: int, small: bool | None = None) -> DataFrame:
+def maybe_broadcast(
+    df: DataFrame, max_rows: int, small: bool | None = None, max_bytes: int | None = None
+) -> DataFrame:
     """Broadcast ``df`` if ``small`` (or, when unknown, if a count proves it)."""
     if small is None:
-        small = max_rows > 0 and has_at_most(df, max_rows)
+        small = max_rows > 0 and has_at_most(df, max_rows, max_bytes)
     return broadcast_if(df, small)

@@ -52,7 +52,8 @@ def join_kb_by_id(
 ) -> DataFrame:
     """df ⟕ stage-1 entities on ``app_id``; adds ``wikidata_qid, wd_*``."""
     side = kb_by_id(kb, extra=[F.lit(True).alias(ID_HIT)])
-    return df.join(maybe_broadcast(side, options.broadcast_max_rows, small), "app_id", "left")
+    side = maybe_broadcast(side, options.broadcast_max_rows, small, options.broadcast_max_bytes)
+    return df.join(side, "app_id", "left")
 
 
 def join_kb_by_title(
@@ -66,7 +67,7 @@ def join_kb_by_title(
     side = kb_by_title(
         kb, options.empty_title_matches, TITLE_SUFFIX, [F.lit(True).alias(TITLE_HIT)]
     )
-    side = maybe_broadcast(side, options.broadcast_max_rows, small)
+    side = maybe_broadcast(side, options.broadcast_max_rows, small, options.broadcast_max_bytes)
     key = title_key(df[title_col], options.empty_title_matches)
     return df.join(side, key == side["title_key"], "left").drop(side["title_key"])
 
@@ -112,7 +113,9 @@ def resolve_entities(
     is probed once on the raw KB (de-duplication only removes rows).
     """
     if small is None:
-        small = options.broadcast_max_rows > 0 and has_at_most(kb, options.broadcast_max_rows)
+        small = options.broadcast_max_rows > 0 and has_at_most(
+            kb, options.broadcast_max_rows, options.broadcast_max_bytes
+        )
     staged = join_kb_by_id(df, kb, options, small)
     staged = join_kb_by_title(staged, kb, options, title_col, small)
     return coalesce_fields(staged, options.fallback, provenance)
