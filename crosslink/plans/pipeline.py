@@ -14,6 +14,7 @@ from crosslink.operators.enrich import probe_dimensions
 from crosslink.operators.quality import dq_report, profile_exprs, sample_rows
 from crosslink.session import checkpoint_dir
 from crosslink.sinks import write_csv_preview, write_parquet
+from crosslink.sinks.report import write_report_markdown
 from crosslink.sources.readers import Sources
 
 log = logging.getLogger(__name__)
@@ -42,6 +43,7 @@ class PipelineResult:
     preview_path: str
     report_path: str
     samples_path: str  # the report's sample rows (first rows by app_id)
+    markdown_path: str  # the report rendered as Markdown (one text file)
     runtime_seconds: float  # load → save, excluding validation (as published)
 
 
@@ -80,6 +82,9 @@ def run_pipeline(
     report = spark.read.parquet(report_path)
     samples = sample_rows(spark.read.parquet(result_path), options.sample_rows)
     samples_path = write_parquet(samples.coalesce(1), f"{out}/dq_samples")
+    markdown_path = write_report_markdown(
+        spark, report, f"{out}/dq_report_md", spark.read.parquet(samples_path), runtime
+    )
     for row in report.filter("section = 'threshold_violations'").collect():
         log.warning("threshold violated: %s = %s", row["subject"], row["value"])
     log.info("pipeline done in %.1fs (validation excluded)", runtime)
@@ -90,5 +95,6 @@ def run_pipeline(
         preview_path=preview_path,
         report_path=report_path,
         samples_path=samples_path,
+        markdown_path=markdown_path,
         runtime_seconds=runtime,
     )

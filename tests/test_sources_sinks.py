@@ -98,6 +98,14 @@ def test_a6_load_sources_and_run_pipeline(spark, tmp_path):
     assert rep[("match_rate", "kb", "matched")] == 1.0
     assert rep[("match_rate", "kb", "match_rate_pct")] == 50.0
     assert ("threshold_violations", "min_records:games", "observed") in rep
+    # B5: the report rendered as Markdown, one text file
+    md_parts = [f for f in os.listdir(res.markdown_path) if f.startswith("part-")]
+    assert len(md_parts) == 1
+    md = open(os.path.join(res.markdown_path, md_parts[0]), encoding="utf-8").read()
+    assert md.startswith("# Data quality report")
+    assert "## 1. Record counts" in md and "| processed | rows | 3 |" in md
+    assert "Threshold violations" in md and "min_records:games" in md
+    assert "Sample rows" in md and "North Studio" in md
     # raw-source null rates of critical columns (observed during the facts pass)
     assert rep[("raw_null_rates", "games.title", "null_rate")] == 1 / 3
     assert rep[("raw_null_rates", "recs.is_recommended", "null_rate")] == 0.0
@@ -166,3 +174,28 @@ def test_parquet_round_trip_and_pushdown(spark, small_sources, tmp_path):
     # column pruning: only the five needed columns are read
     assert "ReadSchema: struct<app_id:int,steam_recommend_rate:double,num_reviews:bigint,title:string,wd_publisher:string,wd_country:string>" in plan
     assert F is not None
+
+
+def test_b5_render_report_markdown():
+    from datetime import datetime, timezone
+
+    from crosslink.sinks.report import render_report_markdown
+
+    rows = [
+        ("record_counts", "raw:games", "rows", 200.0),
+        ("null_rates", "title", "null_rate", float("nan")),
+        ("summary_stats", "steam_recommend_rate", "mean", 0.66838),
+        ("custom", "a|b", "m", None),
+    ]
+    md = render_report_markdown(
+        rows, ["app_id", "title"], [(1, "A")], 1.26, datetime(2026, 1, 2, tzinfo=timezone.utc)
+    )
+    lines = md.splitlines()
+    assert lines[2] == "_Generated: 2026-01-02 00:00:00 UTC_"
+    assert "| raw:games | rows | 200 |" in lines
+    assert "| title | null_rate | NaN |" in lines
+    assert "| steam_recommend_rate | mean | 0.6684 |" in lines
+    # no violations → an explicit "None."; unknown sections are kept, pipes escaped
+    assert "None." in lines and "| a\\|b | m |  |" in lines
+    assert "| 1 | A |" in lines
+    assert lines[-1].endswith("1.3 s")
