@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from crosslink.config import Options
 from crosslink.functions import flag_to_int, primary_tag, tag_count, to_int_key
 from crosslink.operators.clean import cast_key, dedup_first, drop_incomplete, rename_key
-from crosslink.operators.joins import bounded_counts, broadcast_if, maybe_broadcast
+from crosslink.operators.joins import broadcast_if, fits, maybe_broadcast, measure
 from crosslink.sources.readers import Sources
 
 
@@ -120,11 +120,14 @@ def join_category(
 
 
 def probe_dimensions(sources: Sources, options: Options = Options()) -> dict[str, bool]:
-    """Which small-side dimensions are proven to fit a broadcast (one job).
+    """Which join sides are proven to fit a broadcast (one job).
 
     The probe runs on the *raw* sources: cleaning and de-duplication only
     remove rows (and projection only drops columns), so a bound on the raw
-    rows and bytes bounds every derived join side.
+    rows and bytes bounds each dimension's join side. The finished game row
+    (``games``, broadcast against the reviews) is one game plus at most one
+    row of each dimension, so its size is bounded by the games' bytes plus
+    ``rows × Σ widest dimension row``.
     """
     if options.broadcast_max_rows <= 0:
         return {"popularity": False, "categories": False, "games": False, "kb": False}
@@ -132,10 +135,16 @@ def probe_dimensions(sources: Sources, options: Options = Options()) -> dict[str
         "popularity": sources.popularity,
         "categories": sources.categories,
         "games": sources.games,
+        "metadata": sources.metadata,
     }
     if sources.kb is not None:
         frames["kb"] = sources.kb
-    small = bounded_counts(frames, options.broadcast_max_rows, options.broadcast_max_bytes)
+    m = measure(frames)
+    rows, limit = options.broadcast_max_rows, options.broadcast_max_bytes
+    small = {name: fits(n, b, rows, limit) for name, (n, b, _) in m.items() if name != "metadata"}
+    n_games, b_games, _ = m["games"]
+    widest = sum(w for name, (_, _, w) in m.items() if name != "games")
+    small["games"] = fits(n_games, b_games + n_games * widest, rows, limit)
     small.setdefault("kb", False)
     return small
 

@@ -29,33 +29,43 @@ def row_bytes(df: DataFrame) -> Column:
     return size
 
 
-def bounded_counts(
-    frames: Mapping[str, DataFrame], max_rows: int, max_bytes: int | None = None
-) -> dict[str, bool]:
-    """For each frame: at most ``max_rows`` rows (and ``max_bytes`` bytes)?
-
-    One job for all frames: a union of per-frame ``count()`` / byte-sum
-    aggregates. Each aggregate is partial per partition, so the shuffle
-    carries one row per input partition and the driver receives one row per
-    frame. (A ``limit(n + 1)`` probe would instead funnel up to n + 1 rows
-    *per partition* into a single task.) The cost is one distributed scan of
-    each small-side input, which is small next to the fact table.
+def measure(frames: Mapping[str, DataFrame]) -> dict[str, tuple[int, int, int]]:
+    """Per frame: ``(rows, estimated bytes, widest row's bytes)``, in one job.
+
+    A union of per-frame aggregates, each partial per partition, so the
+    shuffle carries one row per input partition and the driver receives one
+    row per frame. (A ``limit(n + 1)`` probe would instead funnel up to n + 1
+    rows *per partition* into a single task.) The cost is one distributed scan
+    of each small-side input, which is small next to the fact table.
     """
     if not frames:
         return {}
-    parts = [
-        df.agg(
-            F.count(F.lit(1)).alias("n"),
-            F.coalesce(F.sum(row_bytes(df)), F.lit(0)).cast("long").alias("b"),
-        ).select(F.lit(name).alias("name"), "n", "b")
-        for name, df in frames.items()
-    ]
+    parts = []
+    for name, df in frames.items():
+        size = row_bytes(df)
+        parts.append(
+            df.agg(
+                F.count(F.lit(1)).alias("n"),
+                F.coalesce(F.sum(size), F.lit(0)).cast("long").alias("b"),
+                F.coalesce(F.max(size), F.lit(0)).cast("long").alias("w"),
+            ).select(F.lit(name).alias("name"), "n", "b", "w")
+        )
     probe = parts[0]
     for p in parts[1:]:
         probe = probe.unionByName(p)
+    return {r["name"]: (r["n"], r["b"], r["w"]) for r in probe.collect()}
+
+
+def fits(rows: int, nbytes: int, max_rows: int, max_bytes: int | None) -> bool:
+    return rows <= max_rows and (max_bytes is None or nbytes <= max_bytes)
+
+
+def bounded_counts(
+    frames: Mapping[str, DataFrame], max_rows: int, max_bytes: int | None = None
+) -> dict[str, bool]:
+    """For each frame: at most ``max_rows`` rows (and ``max_bytes`` bytes)?"""
     return {
-        r["name"]: r["n"] <= max_rows and (max_bytes is None or r["b"] <= max_bytes)
-        for r in probe.collect()
+        name: fits(n, b, max_rows, max_bytes) for name, (n, b, _) in measure(frames).items()
     }
 
 

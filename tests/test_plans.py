@@ -35,7 +35,7 @@ def test_small_dims_broadcast_after_probe(small_sources):
 
 
 def test_counting_probe_rows_and_bytes(spark):
-    from crosslink.operators.joins import bounded_counts, row_bytes
+    from crosslink.operators.joins import bounded_counts, measure, row_bytes
 
     df = spark.createDataFrame([(1, "abcd"), (2, None), (3, "xy")], "k INT, s STRING")
     # 8 bytes per field (2 fields) plus the string payload
@@ -46,6 +46,25 @@ def test_counting_probe_rows_and_bytes(spark):
     assert bounded_counts(frames, 2) == {"d": False, "empty": True}
     assert bounded_counts(frames, 3, max_bytes=54) == {"d": True, "empty": True}
     assert bounded_counts(frames, 3, max_bytes=53) == {"d": False, "empty": True}
+    assert measure(frames) == {"d": (3, 54, 20), "empty": (0, 0, 0)}
+
+
+def test_finished_game_rows_bounded_with_dimension_widths(small_sources):
+    from crosslink.config import Options
+    from crosslink.operators.enrich import probe_dimensions
+    from crosslink.operators.joins import measure
+
+    s = small_sources
+    m = measure({"games": s.games, "metadata": s.metadata, "popularity": s.popularity,
+                 "categories": s.categories, "kb": s.kb})
+    n_games, b_games, _ = m["games"]
+    finished = b_games + n_games * sum(w for k, (_, _, w) in m.items() if k != "games")
+    # every raw source fits, but the finished game row (games + one row of each dimension) does not
+    limit = max(b for _, b, _ in m.values())
+    assert limit < finished
+    small = probe_dimensions(s, Options(broadcast_max_bytes=limit))
+    assert small == {"popularity": True, "categories": True, "games": False, "kb": True}
+    assert probe_dimensions(s, Options(broadcast_max_bytes=finished))["games"] is True
 
 
 def test_dimension_over_byte_bound_is_not_broadcast(small_sources):
