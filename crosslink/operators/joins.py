@@ -40,6 +40,11 @@ def measure(frames: Mapping[str, DataFrame]) -> dict[str, tuple[int, int, int]]:
     """
     if not frames:
         return {}
+    return {r["name"]: (r["n"], r["b"], r["w"]) for r in probe_frame(frames).collect()}
+
+
+def probe_frame(frames: Mapping[str, DataFrame]) -> DataFrame:
+    """The one-row-per-frame aggregate behind ``measure``."""
     parts = []
     for name, df in frames.items():
         size = row_bytes(df)
@@ -53,7 +58,7 @@ def measure(frames: Mapping[str, DataFrame]) -> dict[str, tuple[int, int, int]]:
     probe = parts[0]
     for p in parts[1:]:
         probe = probe.unionByName(p)
-    return {r["name"]: (r["n"], r["b"], r["w"]) for r in probe.collect()}
+    return probe
 
 
 def fits(rows: int, nbytes: int, max_rows: int, max_bytes: int | None) -> bool:

@@ -81,3 +81,15 @@ def test_dimension_over_byte_bound_is_not_broadcast(small_sources):
     assert all("s_suppkey" in ln for ln in hinted)
     default = game_summary(small_sources)._jdf.queryExecution().analyzed().toString()
     assert default.count("ResolvedHint (strategy=broadcast)") > len(hinted)
+
+
+def test_counting_probe_has_no_limit_funnel(small_sources):
+    from crosslink.operators.joins import probe_frame
+
+    # The probe is a partial/final aggregate per frame: no limit node funnels
+    # rows from many partitions into one task.
+    s = small_sources
+    df = probe_frame({"games": s.games, "kb": s.kb, "popularity": s.popularity})
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not any(n in plan for n in ("GlobalLimit", "LocalLimit", "CollectLimit"))
+    assert plan.count("partial_count") == 3
