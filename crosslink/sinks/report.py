@@ -24,7 +24,7 @@ SECTIONS = (
     ("threshold_violations", "Threshold violations (warnings)"),
 )
 
-# Upper bound on report rows collected for rendering (the report has a few dozen).
+# Upper bound on report and sample rows collected for rendering (there are a few dozen).
 MAX_REPORT_ROWS = 10_000
 
 
@@ -95,7 +95,9 @@ def write_report_markdown(
     srows: list[tuple] = []
     if samples is not None:
         cols = samples.columns
-        srows = [tuple(r) for r in samples.collect()]
+        srows = [tuple(r) for r in samples.limit(MAX_REPORT_ROWS + 1).collect()]
+        if len(srows) > MAX_REPORT_ROWS:
+            raise ValueError(f"more than {MAX_REPORT_ROWS} sample rows; pass the sample, not the table")
     text = render_report_markdown(rows, cols, srows, runtime_seconds)
     spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
     return path
