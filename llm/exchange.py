@@ -41,15 +41,16 @@ class Shards:
     buckets: int
 
 
-def deal(docs: DataFrame, shard_bytes: int = SHARD_BYTES, bucket_bytes: int = BUCKET_BYTES) -> Shards:
+def deal(docs: DataFrame, shard_bytes: int | None = None) -> Shards:
     """Deal the texts by doc_id (null ids: by text) into shards of about ``shard_bytes``."""
+    shard_bytes = shard_bytes or SHARD_BYTES
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, math.ceil(total / shard_bytes))
     least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # with fewer, a cogroup would deal the texts again
     parts = max(least, min(MOST_PARTITIONS, math.ceil(total / PARTITION_BYTES)))
     key = F.xxhash64(F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text")))
     frame = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"), F.pmod(key, F.lit(shards)).cast("int").alias("shard"))
-    return Shards(frame.repartition(parts, "shard"), shards, max(1, math.ceil(total / bucket_bytes)))
+    return Shards(frame.repartition(parts, "shard"), shards, max(1, math.ceil(total / BUCKET_BYTES)))
 
 
 def ids(table: pa.Table) -> np.ndarray:
@@ -127,3 +128,21 @@ def contains(ascending: np.ndarray, values: np.ndarray) -> np.ndarray:
     if not len(ascending):
         return np.zeros(len(values), bool)
     return ascending[np.minimum(np.searchsorted(ascending, values), len(ascending) - 1)] == values
+
+
+def answer_earlier(kind: int):
+    """Of a bucket with columns (name, more bits, least doc_id): does a smaller doc_id have the name in another shard?"""
+
+    def run(table: pa.Table) -> pa.Table:
+        bucket = table["bucket"][0].as_py()
+        shards, sizes, (h, h2, least) = gathered(table)
+        order = np.lexsort((least, h2, h))
+        a, b, d = h[order], h2[order], least[order]
+        new = np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))
+        count = np.diff(np.append(np.flatnonzero(new), len(a)))
+        earlier = np.zeros(len(a), bool)
+        earlier[order] = np.repeat(d[new], count) < d
+        ends = np.cumsum(sizes)
+        return replies([(s, bucket, kind, pack_flags(earlier[i:j])) for s, i, j in zip(shards, ends - sizes, ends, strict=True)])
+
+    return run

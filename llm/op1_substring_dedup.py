@@ -114,20 +114,6 @@ def _ask_windows(window: int, buckets: int):
     return run
 
 
-def answer_earlier(table: pa.Table) -> pa.Table:
-    """For each name that a shard asked about: does a smaller doc_id have it in another shard?"""
-    bucket = table["bucket"][0].as_py()
-    shards, sizes, (h, h2, least) = X.gathered(table)
-    order = np.lexsort((least, h2, h))
-    a, b, d = h[order], h2[order], least[order]
-    new = np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))
-    count = np.diff(np.append(np.flatnonzero(new), len(a)))
-    earlier = np.zeros(len(a), bool)
-    earlier[order] = np.repeat(d[new], count) < d
-    ends = np.cumsum(sizes)
-    return X.replies([(s, bucket, EARLIER, X.pack_flags(earlier[i:j])) for s, i, j in zip(shards, ends - sizes, ends, strict=True)])
-
-
 def _cover(window: int, keep_text: bool):
     def run(table: pa.Table, told: pa.Table) -> pa.Table:
         words = Texts(table["text"]).words(SPACE_WORDS)
@@ -158,7 +144,7 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, keep_text: bool = Tru
     shards, block = dealt.frame.groupBy("shard"), block_words(window)
     live = shards.applyInArrow(_ask_blocks(block, dealt.buckets), X.REQUEST).groupBy("bucket").applyInArrow(_answer_blocks, X.REPLY)
     asked = shards.cogroup(live.groupBy("shard")).applyInArrow(_ask_windows(window, dealt.buckets), X.REQUEST)
-    earlier = asked.groupBy("bucket").applyInArrow(answer_earlier, X.REPLY)
+    earlier = asked.groupBy("bucket").applyInArrow(X.answer_earlier(EARLIER), X.REPLY)
     told = X.union([live, earlier])
     return shards.cogroup(told.groupBy("shard")).applyInArrow(_cover(window, keep_text), RESULT)
 

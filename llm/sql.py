@@ -16,3 +16,66 @@ SELECT w.doc_id, len(words)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT A
               ELSE list_transform(list_filter(range(1, len(words) + 1), lambda x: NOT list_contains(gone, x)), lambda x: words[x]) END, ' '), '')) AS kept_sha256
 FROM w LEFT JOIN k ON w.doc_id = k.doc_id
 """
+
+OP2 = r"""
+WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b, hex(encode(coalesce(text, ''))) AS h FROM documents),
+     g AS (SELECT doc_id, unnest(range(1, length(h) // 2 - 98)) AS i, h FROM d WHERE length(h) >= 200),
+     s AS (SELECT doc_id, i, md5_number(h[2 * i - 1 : 2 * i + 198]) AS m FROM g),
+     r AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY m ORDER BY doc_id, i) AS k FROM s) WHERE k > 1),
+     n AS (SELECT doc_id, i, CASE WHEN i > 100 + coalesce(max(i) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), -1000) THEN 1 ELSE 0 END AS fresh FROM r),
+     q AS (SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM n),
+     p AS (SELECT doc_id, span, min(i) AS a, max(i) + 100 AS z FROM q GROUP BY doc_id, span),
+     k AS (SELECT doc_id, count(*) AS n_spans, sum(z - a) AS n_removed, list(a ORDER BY a) AS starts, list(z ORDER BY a) AS ends FROM p GROUP BY doc_id)
+SELECT d.doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(CASE WHEN starts IS NULL THEN h ELSE
+              array_to_string(list_transform(range(1, len(starts) + 2), lambda x:
+                substr(h, 2 * (CASE WHEN x = 1 THEN 1 ELSE ends[x - 1] END) - 1,
+                       2 * ((CASE WHEN x = len(starts) + 1 THEN length(h) // 2 + 1 ELSE starts[x] END) - (CASE WHEN x = 1 THEN 1 ELSE ends[x - 1] END)))), '') END)) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)
+"""
+
+OP6 = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents),
+     s AS (SELECT DISTINCT doc_id, md5_number(array_to_string(list_slice(words, i, i + 3), ' ')) AS g
+           FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 2, 2))) AS i FROM w WHERE len(words) > 0)),
+     n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+     pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+     e AS MATERIALIZED (SELECT x, y FROM pairs JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * c >= 85 * (p.n + q.n - c)),
+     u AS MATERIALIZED (SELECT x, y FROM e UNION ALL SELECT y, x FROM e),
+     t(doc_id, seen) AS (SELECT doc_id, doc_id FROM documents UNION SELECT t.doc_id, u.y FROM t JOIN u ON t.seen = u.x),
+     m AS (SELECT doc_id, min(seen) AS component_id FROM t GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, m.component_id
+FROM documents d LEFT JOIN n USING (doc_id) JOIN m USING (doc_id)
+"""
+
+OP9 = r"""
+WITH crc AS (SELECT doc_id, xor(list_reduce(list_prepend(4294967295::BIGINT, range(0, 8 * length(doc_id::VARCHAR))),
+               lambda a, k: xor(xor(a, CASE WHEN k % 8 = 0 THEN ascii(substr(doc_id::VARCHAR, (k // 8 + 1)::BIGINT, 1))::BIGINT ELSE 0 END) >> 1,
+                 (xor(a, CASE WHEN k % 8 = 0 THEN ascii(substr(doc_id::VARCHAR, (k // 8 + 1)::BIGINT, 1))::BIGINT ELSE 0 END) & 1) * 3988292384)), 4294967295::BIGINT) % 10 = 0 AS held_out FROM documents),
+     w AS (SELECT doc_id, held_out, list_append(list_prepend('<start>', regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')), ' end ') AS words FROM documents JOIN crc USING (doc_id)),
+     t AS (SELECT doc_id, held_out, CASE WHEN i = 2 THEN ' start ' ELSE words[i - 1] END AS h, words[i] AS w FROM (SELECT doc_id, held_out, words, unnest(range(2, len(words) + 1)) AS i FROM w)),
+     u AS (SELECT w, count(*) AS c FROM t WHERE NOT held_out GROUP BY w),
+     g AS (SELECT h, count(*) AS c FROM t WHERE NOT held_out GROUP BY h),
+     b AS (SELECT h, w, count(*) AS c FROM t WHERE NOT held_out GROUP BY h, w),
+     z AS (SELECT sum(c) AS n, count(*) AS v FROM u),
+     p AS (SELECT t.doc_id, t.held_out, coalesce(u.c, 0) AS c, (coalesce(u.c, 0) + 0.1::DOUBLE) / (z.n + 0.1::DOUBLE * (z.v + 1)) AS p, coalesce(g.c, 0) AS ch, coalesce(b.c, 0) AS cb, z.n
+           FROM t LEFT JOIN u ON t.w = u.w LEFT JOIN g ON t.h = g.h LEFT JOIN b ON t.h = b.h AND t.w = b.w CROSS JOIN z)
+SELECT doc_id, held_out, count(*)::BIGINT AS n_tokens, count(*) FILTER (c > 0)::BIGINT AS n_known, max(n)::BIGINT AS train_tokens,
+       round(sum(log10(p)), 6) AS base_score, round(sum(log10(CASE WHEN ch > 0 THEN (cb + 20.0::DOUBLE * p) / (ch + 20.0::DOUBLE) ELSE p END)), 6) AS score
+FROM p GROUP BY doc_id, held_out
+"""
+
+OP8 = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
+     b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark),
+     p AS (SELECT DISTINCT item_id, least(10, len(words)) AS n, array_to_string(list_slice(words, i, i + 9), ' ') AS win
+           FROM (SELECT item_id, words, unnest(range(1, greatest(len(words) - 9, 1) + 1)) AS i FROM b WHERE len(words) > 0)),
+     z AS (SELECT DISTINCT n FROM p),
+     w AS (SELECT doc_id, i, n, array_to_string(list_slice(words, i, i + n - 1), ' ') AS win
+           FROM (SELECT doc_id, n, words, unnest(range(1, len(words) - n + 2)) AS i FROM d, z WHERE len(words) >= n)),
+     h AS (SELECT w.doc_id, w.i, w.n, p.item_id FROM w JOIN p ON w.win = p.win AND w.n = p.n),
+     k AS (SELECT doc_id, count(DISTINCT x) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS x FROM h) GROUP BY doc_id),
+     s AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, array_to_string(list_sort(list(DISTINCT item_id::VARCHAR)), ',') AS ids FROM h GROUP BY doc_id)
+SELECT d.doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN k USING (doc_id) LEFT JOIN s USING (doc_id)
+"""
