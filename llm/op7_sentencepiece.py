@@ -1,13 +1,13 @@
 """SentencePiece encoding and decoding through a table of distinct chunks.
 
 In the model no piece holds a whitespace marker after another character (this is
-checked when it is loaded), so no merge crosses from a word into the next
-marker.  A text is therefore cut before each run of markers into *marked words*,
+checked when it is loaded), so no merge crosses from a word into the next marker.  A text is therefore cut before each run of markers into *marked words*,
 each distinct one is segmented once, and the ids are joined back by position.
-The table of distinct chunks belongs to a task and is bounded: at
-``TABLE_CHUNKS`` entries it starts anew, and chunks over ``LONG_CHUNK``
-characters are segmented without being kept.  (A table over the whole corpus
-would need each word's position in a shuffle, several times the input.)
+The table of distinct chunks belongs to a task and is bounded: beyond
+``TABLE_CHUNKS`` entries it starts anew with those of the texts at hand, a
+portion of ``PORTION_CHARS`` characters or one longer text.  (One table over the
+whole corpus would need each word's position in a shuffle, several times the
+input.)
 
 Defined results: a null or empty text gives the end id alone and decodes to the
 empty text; repeated rows are encoded each; a null doc_id stays null; other
@@ -19,6 +19,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -26,8 +27,8 @@ from pyspark.sql import functions as F
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
-TABLE_CHUNKS = 200_000
-LONG_CHUNK = 64
+TABLE_CHUNKS = 300_000
+PORTION_CHARS = 1 << 20
 CHUNKS = re.compile(f"{MARK}+[^{MARK}]*")
 RESULT = "doc_id long, n_tokens long, ids array<int>, decoded string, ids_sha256 string, decoded_sha256 string"
 
@@ -50,30 +51,47 @@ class ChunkTable:
             raise ValueError("pieces of this model cross whitespace markers")
         self.mark = [self.model.piece_to_id(MARK)]
         self.end = self.model.eos_id()
-        self.table: dict[str, tuple[list[int], str]] = {}
-
-    def look_up(self, chunk: str) -> tuple[list[int], str]:
-        """The ids of a chunk, also as text; the model itself puts a marker before its input."""
-        ids = self.model.encode(chunk[1:]) if len(chunk) > 1 else self.mark
-        entry = (ids, " ".join(map(str, ids)))
-        if len(chunk) <= LONG_CHUNK:
-            if len(self.table) >= TABLE_CHUNKS:
-                self.table.clear()
-            self.table[chunk] = entry
-        return entry
-
-    def encode(self, text: str) -> tuple[list[int], str]:
-        """Ids of a text with the end id, and the same as text."""
-        if not text:
-            return [self.end], str(self.end)
-        get, ids, said = self.table.get, [], []
-        for chunk in CHUNKS.findall(MARK + text.replace(" ", MARK)):
-            own, as_text = get(chunk) or self.look_up(chunk)
-            ids += own
-            said.append(as_text)
-        ids.append(self.end)
-        said.append(str(self.end))
-        return ids, " ".join(said)
+        self.table: dict[str, str] = {}  # marked word: its ids, in decimal
+
+    def fill(self, chunks: set[str]) -> None:
+        """Segment the chunks that the table lacks; the model itself puts a marker before its input."""
+        new = [c for c in chunks if c not in self.table]
+        if len(self.table) + len(new) > TABLE_CHUNKS:
+            self.table.clear()
+            new = list(chunks)
+        for chunk, ids in zip(new, self.model.encode([c[1:] for c in new], num_threads=1), strict=True):
+            self.table[chunk] = " ".join(map(str, ids if len(chunk) > 1 else self.mark))
+
+    def encode(self, texts: list[str]) -> Iterator[tuple[list[int], str]]:
+        """Ids of each text with the end id, and the same as text."""
+        cut = [marked_words(t) for t in texts]
+        self.fill(set(chain.from_iterable(cut)))
+        for chunks in cut:
+            said = " ".join([*map(self.table.__getitem__, chunks), str(self.end)])
+            yield list(map(int, said.split())), said
+
+
+def marked_words(text: str) -> list[str]:
+    """The text, with a marker before it and one for each space, cut before each run of markers."""
+    if not text:
+        return []
+    text = MARK + text.replace(" ", MARK)
+    if MARK + MARK in text or text[-1] == MARK:
+        return CHUNKS.findall(text)
+    return [MARK + word for word in text[1:].split(MARK)]
+
+
+def portions(texts: list[str]) -> Iterator[list[str]]:
+    """Consecutive texts of PORTION_CHARS characters together, or one longer text."""
+    own: list[str] = []
+    size = 0
+    for text in texts:
+        if own and size + len(text) > PORTION_CHARS:
+            yield own
+            own, size = [], 0
+        own.append(text)
+        size += len(text)
+    yield own
 
 
 def _encode(path: str | None, keep: bool):
@@ -81,13 +99,13 @@ def _encode(path: str | None, keep: bool):
         table = ChunkTable(path or model_path())
         for batch in batches:
             rows: list[tuple] = []
-            for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"], strict=True):
-                ids, said = table.encode(text.as_py() or "")
-                decoded = table.model.decode(ids)
-                rows.append((doc_id, len(ids), ids if keep else None, decoded if keep else None, hashlib.sha256(said.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()))
-            kinds = (pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.string(), pa.string(), pa.string())
-            names = ("doc_id", "n_tokens", "ids", "decoded", "ids_sha256", "decoded_sha256")
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], list(names))
+            for own in portions([t or "" for t in batch["text"].to_pylist()]):
+                for ids, said in table.encode(own):
+                    decoded = table.model.decode(ids)
+                    rows.append((len(ids), ids if keep else None, decoded if keep else None, hashlib.sha256(said.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()))
+            kinds = (pa.int64(), pa.list_(pa.int32()), pa.string(), pa.string(), pa.string())
+            names = ("n_tokens", "ids", "decoded", "ids_sha256", "decoded_sha256")
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], *(pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds))], ["doc_id", *names])
 
     return run
 

@@ -4,11 +4,25 @@ from __future__ import annotations
 
 from llm import sql
 from llm.op1_substring_dedup import op1_substring_dedup
+from llm.op2_suffix_dedup import op2_suffix_dedup
+from llm.op6_ngram_jaccard_join import op6_ngram_jaccard_join
+from llm.op7_sentencepiece import op7_sentencepiece
+from llm.op8_decontamination import op8_decontamination
+from llm.op9_lm_scoring import op9_lm_scoring
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_suffix_dedup": op2_suffix_dedup,
+    "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
+    "op7_sentencepiece": op7_sentencepiece,
+    "op8_decontamination": op8_decontamination,
+    "op9_lm_scoring": op9_lm_scoring,
 }
 
 ORACLE_SQL = {
     "op1_substring_dedup": sql.OP1,
+    "op2_suffix_dedup": sql.OP2,
+    "op6_ngram_jaccard_join": sql.OP6,
+    "op8_decontamination": sql.OP8,
+    "op9_lm_scoring": sql.OP9,
 }
