@@ -181,3 +181,15 @@ def unpack(blob: bytes) -> list[np.ndarray]:
         c = np.ascontiguousarray(c.T).view(kind).reshape(n)
         out.append(np.cumsum(c, dtype=kind) if i == 0 else c)
     return out
+
+
+def slices(batch: pa.RecordBatch, column: str, most: int = 2 << 20):
+    """Consecutive rows of a batch with about ``most`` bytes of text together, or one longer text."""
+    if not batch.num_rows:
+        return
+    off = Texts(batch[column]).off
+    begin = 0
+    while begin < batch.num_rows:
+        end = max(begin + 1, int(np.searchsorted(off, off[begin] + most, side="right")) - 1)
+        yield batch.slice(begin, end - begin)
+        begin = end
