@@ -33,13 +33,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from llm import exchange as X
-from llm.rolling import BYTE_VALUES, BYTE_VALUES_2, Texts, mix, pack, prefix_sums, span_hash
+from llm.rolling import BYTE_VALUES, BYTE_VALUES_2, Texts, each_width, mix, pack, prefix_sums, ranges, span_hash
 
 LENGTH = 100
 FIRST = 32
 SAMPLE_BITS = 48
 POSITION_BITS = 31
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 1 << 20
 LIVE, STRETCH_EARLIER, STRETCH_MIXED, EARLIER = 1, 2, 3, 4
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_bytes binary"
 
@@ -69,18 +69,18 @@ class Shard:
         if len(buf) >= 1 << POSITION_BITS:
             raise ValueError("a shard holds over 2 GB of text")
         self.sums = prefix_sums(BYTE_VALUES[buf])
-        n = max(0, len(buf) - first + 1)
-        at = np.arange(n)
-        self.first_rank = span_hash(self.sums, at, at + first)
-        places = (self.first_rank >> np.uint64(POSITION_BITS) << np.uint64(POSITION_BITS)) | at.astype(np.uint64)
+        self.first_rank = each_width(self.sums, first)
+        shift = np.uint64(POSITION_BITS)
+        places = self.first_rank >> shift
+        places <<= shift
+        places |= np.arange(len(places), dtype=np.uint64)
         least = sliding_least(places, length - first + 1)
+        del places
         size = np.diff(off)
-        inside = np.zeros(len(buf) + 1, np.int64)  # starts of strings that end in the same text
         long = size >= length
-        inside[off[:-1][long]] += 1
-        inside[off[1:][long] - length + 1] -= 1
-        x = np.flatnonzero(np.cumsum(inside)[: len(least)] > 0)
+        x = ranges(off[:-1][long], size[long] - length + 1)  # starts of all strings
         sample = (least[x] & np.uint64((1 << POSITION_BITS) - 1)).astype(np.int64)
+        del least
         new = np.append(True, (sample[1:] != sample[:-1]) | (x[1:] != x[:-1] + 1)) if len(x) else np.zeros(0, bool)
         begin = np.flatnonzero(new)
         last = np.append(begin[1:], len(x)) - 1
@@ -125,8 +125,7 @@ class Shard:
         mixed = X.flags(told, STRETCH_MIXED, s.n)
         gone = earlier[s.member] | ~s.is_first
         own = mixed[s.member] & ~gone
-        a, count = self.from_[own], (self.to - self.from_ + 1)[own]
-        x = np.repeat(a - np.cumsum(count) + count, count) + np.arange(count.sum())
+        x = ranges(self.from_[own], (self.to - self.from_ + 1)[own])
         return gone, Grouped(self, x, self.full_rank(x), self.second(x, x + self.length))
 
 

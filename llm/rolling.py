@@ -68,6 +68,22 @@ def span_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarra
     return mix((sums[end] - sums[start]) * q[start] + (end - start).astype(np.uint64))
 
 
+def each_width(sums: np.ndarray, width: int) -> np.ndarray:
+    """span_hash of every run of ``width`` consecutive values, without index arrays."""
+    n = len(sums) - width
+    if n <= 0:
+        return np.zeros(0, np.uint64)
+    h = sums[width:] - sums[:-width]
+    h *= _power(len(sums))[1][:n]
+    h += U(width)
+    return mix(h)
+
+
+def ranges(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... (count of them) for each pair, end to end."""
+    return np.repeat(start - np.cumsum(count) + count, count) + np.arange(count.sum())
+
+
 def rolling(values: np.ndarray, width: int) -> np.ndarray:
     """Hash of every run of ``width`` consecutive values."""
     n = len(values) - width + 1
