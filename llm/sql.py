@@ -79,3 +79,20 @@ WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCD
 SELECT d.doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN k USING (doc_id) LEFT JOIN s USING (doc_id)
 """
+
+OP10 = """
+WITH said AS (SELECT *, printf('call_%d_%d', conv_id, turn) AS cid, turn % 8 AS k FROM conversations WHERE role = 'assistant'),
+     calls AS (SELECT conv_id, turn, cid, text,
+                 CASE WHEN k = 3 THEN to_json({'limit': '5', 'text': text}) WHEN k = 5 THEN to_json({'limit': 5}) ELSE to_json({'limit': turn, 'text': text}) END AS arguments,
+                 CASE WHEN k = 7 THEN 'count_lines' ELSE 'count_words' END AS name, k NOT IN (3, 5, 7) AS valid FROM said),
+     results AS (SELECT conv_id, turn - CASE WHEN conv_id % 2 = 1 THEN 1 ELSE 0 END AS turn, turn AS call_turn, CASE WHEN conv_id % 7 = 0 THEN 'lost' ELSE cid END AS call_id,
+                   len(string_split(text, ' '))::VARCHAR AS content, conv_id % 7 <> 0 AS linked FROM said)
+SELECT conv_id, turn, role, 'content' AS kind, NULL::VARCHAR AS call_id, 0::BIGINT AS n_calls, 0::BIGINT AS n_valid, false AS linked, turn AS order_turn, 0::BIGINT AS order_step, 0::BIGINT AS order_call,
+       to_json({'content': text, 'role': role})::VARCHAR AS json FROM conversations WHERE role <> 'assistant'
+UNION ALL
+SELECT conv_id, turn, 'assistant', 'calls', NULL, 1, valid::BIGINT, false, turn, 0, 0,
+       to_json({'content': text, 'role': 'assistant', 'tool_calls': [{'arguments': arguments, 'id': cid, 'name': name, 'valid': valid}]})::VARCHAR FROM calls
+UNION ALL
+SELECT conv_id, turn, 'tool', 'result', call_id, 0, 0, linked, CASE WHEN linked THEN call_turn ELSE turn END, linked::BIGINT, 0,
+       to_json({'content': content, 'role': 'tool', 'tool_call_id': call_id})::VARCHAR FROM results
+"""
