@@ -17,12 +17,12 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from llm.rolling import pack, unpack
 
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 2 << 20
 BUCKET_BYTES = 32 << 20
 PARTITION_BYTES = 16 << 20
 MOST_PARTITIONS = 20_000
@@ -41,15 +41,21 @@ class Shards:
     buckets: int
 
 
-def deal(docs: DataFrame, shard_bytes: int | None = None) -> Shards:
-    """Deal the texts by doc_id (null ids: by text) into shards of about ``shard_bytes``."""
+def shard_of(shards: int) -> Column:
+    """The shard of a row, by its doc_id; without one by its text."""
+    key = F.xxhash64(F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text")))
+    return F.pmod(key, F.lit(shards)).cast("int")
+
+
+def deal(docs: DataFrame, shard_bytes: int | None = None, carry: bool = False) -> Shards:
+    """Deal the texts into shards of about ``shard_bytes``; ``carry``: with the whole row as a struct."""
     shard_bytes = shard_bytes or SHARD_BYTES
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, math.ceil(total / shard_bytes))
     least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # with fewer, a cogroup would deal the texts again
     parts = max(least, min(MOST_PARTITIONS, math.ceil(total / PARTITION_BYTES)))
-    key = F.xxhash64(F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text")))
-    frame = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"), F.pmod(key, F.lit(shards)).cast("int").alias("shard"))
+    carried = [F.struct("*").alias("row")] if carry else []
+    frame = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", shard_of(shards).alias("shard"), *carried)
     return Shards(frame.repartition(parts, "shard"), shards, max(1, math.ceil(total / BUCKET_BYTES)))
 
 

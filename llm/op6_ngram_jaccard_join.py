@@ -21,22 +21,24 @@
 Defined results: texts without words have an empty set and are linked with
 nothing; with fewer words than a shingle has, the whole sequence is the one
 shingle; a null doc_id never is a component's id (null if it has no other);
-rows that share a doc_id are members like others; other columns are ignored; an
-empty table gives an empty result.  doc_ids from 2**62 on are reserved.
+rows that share a doc_id are members each by its own text; other columns are
+ignored; an empty table gives an empty result.  doc_ids from 2**62 on are
+reserved.
 """
 
 from __future__ import annotations
 
 import sys
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from llm import exchange as X
 from llm.components import components
-from llm.rolling import SPACE_WORDS, Texts, mix, pack, rolling, unpack
+from llm.rolling import SPACE_WORDS, Texts, mix, pack, rolling, slices, unpack
 from llm.storage import saved
 
 WORDS = 4
@@ -45,7 +47,7 @@ BLOCK_SETS = 1000
 BITS = 48
 RESERVED = 1 << 62
 LEVELS, CLASSES = 1, 2
-SETS = "shard int, id long, doc_id long, n long, h1 long, h2 long"
+SETS = "shard int, id long, n long, h1 long, h2 long"
 CANDIDATES = "cls long, n long, tokens binary, prefix array<long>"
 
 
@@ -66,38 +68,40 @@ class Shingles:
         self.hash, self.doc = h[new], doc[new]
         self.first = np.searchsorted(self.doc, np.arange(table.num_rows + 1))
         self.n = np.diff(self.first)
-        self.id = table["id"].to_numpy()
 
-    def sums(self, values: np.ndarray) -> np.ndarray:
-        return np.diff(np.append(np.uint64(0), np.cumsum(values))[self.first])
+    def keys(self) -> tuple[np.ndarray, np.ndarray]:
+        """128 bits that name the set of each text, as two columns."""
+        sums = [np.append(np.uint64(0), np.cumsum(mix(self.hash ^ np.uint64(k)))) for k in (0x1D8E4E27C47D124F, 0xEB44ACCAB455D165)]
+        h1, h2 = (np.diff(c[self.first]).view(np.int64) for c in sums)
+        return h1, h2
+
+    def chosen(self, told: pa.Table) -> np.ndarray:
+        """Of a shard: the class for which each text stands; -1: another text does."""
+        want = {}
+        for kind, p in zip(told["kind"].to_pylist(), told["payload"].to_pylist(), strict=True):
+            if kind == CLASSES:
+                h1, h2, cls = (int.from_bytes(p[i : i + 8], "big", signed=True) for i in (0, 8, 16))
+                want[h1, h2] = cls
+        return np.array([want.pop((int(x), int(y)), -1) if n else -1 for x, y, n in zip(*self.keys(), self.n, strict=True)], np.int64)
 
 
 def _sets(width: int):
-    def run(table: pa.Table) -> pa.Table:
-        s = Shingles(table, width)
-        h1, h2 = (s.sums(mix(s.hash ^ np.uint64(k))).astype(np.int64) for k in (0x1D8E4E27C47D124F, 0xEB44ACCAB455D165))
-        return pa.table({"shard": table["shard"], "id": table["id"], "doc_id": table["doc_id"], "n": pa.array(s.n, pa.int64()), "h1": h1, "h2": h2})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for own in slices(batch, "text"):
+                s = Shingles(pa.table(own.columns, names=own.schema.names), width)
+                h1, h2 = s.keys()
+                yield pa.RecordBatch.from_arrays([own["shard"], own["id"], pa.array(s.n, pa.int64()), pa.array(h1), pa.array(h2)], [c.split()[0] for c in SETS.split(", ")])
 
     return run
 
 
-def _classes(table: pa.Table, told: pa.Table) -> tuple[pa.Table, pa.Table]:
-    """Of a shard: the rows that stand for their class, and its other replies."""
-    own = told["kind"].to_numpy() == CLASSES
-    ids = np.array([int.from_bytes(p, "big", signed=True) for p in told["payload"].filter(pa.array(own)).to_pylist()], np.int64)
-    order = np.argsort(table["id"].to_numpy(), kind="stable")
-    table = table.take(pa.array(order))
-    at = table["id"].to_numpy()
-    first = np.append(True, at[1:] != at[:-1])
-    return table.filter(pa.array(np.isin(at, ids) & first)), told.filter(pa.array(~own))
-
-
 def _ask_counts(width: int, buckets: int):
     def run(table: pa.Table, told: pa.Table) -> pa.Table:
-        shard = X.one_shard(table)
-        s = Shingles(_classes(table, told)[0], width)
-        name, count = np.unique(s.hash >> np.uint64(64 - BITS), return_counts=True)
-        return X.requests(shard, buckets, BITS, name, count.astype(np.uint32))
+        s = Shingles(table, width)
+        own = s.chosen(told)[s.doc] >= 0
+        name, count = np.unique(s.hash[own] >> np.uint64(64 - BITS), return_counts=True)
+        return X.requests(X.one_shard(table), buckets, BITS, name, count.astype(np.uint32))
 
     return run
 
@@ -119,23 +123,24 @@ def prefix_length(n: int, percent: int) -> int:
 
 def _candidates(width: int, percent: int):
     def run(table: pa.Table, told: pa.Table) -> pa.Table:
-        own, told = _classes(table, told)
-        s = Shingles(own, width)
-        name = s.hash >> np.uint64(64 - BITS)
-        names, member = np.unique(name, return_inverse=True)
+        s = Shingles(table, width)
+        cls = s.chosen(told)
+        own = cls[s.doc] >= 0
+        h, doc = s.hash[own], s.doc[own]
+        names, member = np.unique(h >> np.uint64(64 - BITS), return_inverse=True)
         _, level = X.joined(X.answers(told, LEVELS), np.int64, np.uint8)
         if len(level) != len(names):
             raise RuntimeError(f"{len(level)} answers to {len(names)} questions")
         level = level[member]
-        order = np.lexsort((s.hash, name, level, s.doc))
-        level, h = level[order], s.hash[order]
+        order = np.lexsort((h, level, doc))  # rarest first
+        level, h = level[order], h[order]
+        first = np.searchsorted(doc, np.arange(table.num_rows + 1))
         rows = []
-        for i in range(own.num_rows):
-            a, b = s.first[i], s.first[i + 1]
-            alone = int((level[a:b] == 0).sum())
-            m = prefix_length(b - a, percent)
-            if b > a and alone < m:
-                rows.append((int(s.id[i]), int(b - a), pack(np.arange(b - a - alone), h[a + alone : b], level[a + alone : b]), h[a + alone : a + m].astype(np.int64)))
+        for i in np.flatnonzero(cls >= 0):
+            a, b = first[i], first[i + 1]
+            alone, m = int((level[a:b] == 0).sum()), prefix_length(int(b - a), percent)
+            if alone < m:
+                rows.append((int(cls[i]), int(b - a), pack(np.arange(b - a - alone), h[a + alone : b], level[a + alone : b]), h[a + alone : a + m].view(np.int64)))
         cols = list(zip(*rows, strict=True)) if rows else [[], [], [], []]
         return pa.table({"cls": pa.array(cols[0], pa.int64()), "n": pa.array(cols[1], pa.int64()), "tokens": pa.array(cols[2], pa.binary()), "prefix": pa.array(cols[3], pa.list_(pa.int64()))})
 
@@ -299,28 +304,50 @@ def connect(candidates: DataFrame, percent: int, block_sets: int) -> DataFrame:
     return components(links).select(F.col("node").alias("cls"), "label")
 
 
-def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, block_sets: int = BLOCK_SETS) -> DataFrame:
-    """Components of documents whose ``words``-word shingle sets have a Jaccard similarity of ``percent`` or more.
-
-    Returns doc_id, n_shingles, component_id (the smallest doc_id that links
-    reach, the document's own included).
-    """
+def with_id(docs: DataFrame) -> DataFrame:
+    """``id``: the doc_id, or for null a number from the text beyond all doc_ids."""
     surrogate = F.lit(RESERVED) + F.xxhash64("text").bitwiseAND(F.lit(RESERVED - 1))
+    return docs.withColumn("id", F.coalesce(F.col("doc_id").cast("long"), surrogate))
+
+
+def components_of(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, block_sets: int = BLOCK_SETS) -> DataFrame:
+    """(id, n_shingles, component) for each row; see with_id."""
     dealt = X.deal(docs)
-    texts = dealt.frame.withColumn("id", F.coalesce("doc_id", surrogate))
-    shards, buckets = texts.groupBy("shard"), dealt.buckets
-    sets = saved(shards.applyInArrow(_sets(words), SETS))
+    shards, buckets = dealt.frame.groupBy("shard"), dealt.buckets
+    rows = with_id(docs.select("doc_id", "text")).withColumn("shard", X.shard_of(dealt.shards)).drop("doc_id")
+    sets = saved(rows.mapInArrow(_sets(words), SETS))
     classes = sets.where("n > 0").groupBy("h1", "h2", "n").agg(F.min(F.struct("id", "shard")).alias("first"))
-    classes = saved(classes.select("h1", "h2", "n", F.col("first.id").alias("cls"), F.col("first.shard").alias("shard")))
-    chosen = classes.select("shard", F.lit(0).alias("bucket"), F.lit(CLASSES).alias("kind"), F.unhex(F.lpad(F.hex("cls"), 16, "0")).alias("payload"))
+    classes = saved(classes.select("h1", "h2", "n", "first.*", F.monotonically_increasing_id().alias("cls")))
+    number = lambda c: F.unhex(F.lpad(F.hex(c), 16, "0"))
+    chosen = classes.select("shard", F.lit(0).alias("bucket"), F.lit(CLASSES).alias("kind"), F.concat(*map(number, ("h1", "h2", "cls"))).alias("payload"))
     asked = shards.cogroup(chosen.groupBy("shard")).applyInArrow(_ask_counts(words, buckets), X.REQUEST)
     levels = asked.groupBy("bucket").applyInArrow(_answer_levels, X.REPLY)
     told = X.union([chosen, levels])
     candidates = saved(shards.cogroup(told.groupBy("shard")).applyInArrow(_candidates(words, percent), CANDIDATES))
     labels = connect(candidates, percent, block_sets)
-    named = classes.join(labels, "cls", "left").select("h1", "h2", "n", F.coalesce("label", "cls").alias("label"))
-    out = sets.join(named, ["h1", "h2", "n"], "left").withColumn("component", F.coalesce("label", "id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("component") < RESERVED, F.col("component")).alias("component_id"))
+    linked = classes.join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
+    least = linked.groupBy("label").agg(F.min("id").alias("component"))
+    named = linked.join(least, "label").select("h1", "h2", "n", "component")
+    out = sets.join(named, ["h1", "h2", "n"], "left")
+    return out.select("id", F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component"))
+
+
+def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, block_sets: int = BLOCK_SETS) -> DataFrame:
+    """Components of documents whose ``words``-word shingle sets have a Jaccard similarity of ``percent`` or more.
+
+    Returns doc_id, n_shingles, component_id (the smallest doc_id that links
+    reach, the document's own included).
+    """
+    real = lambda c: F.when(F.col(c) < RESERVED, F.col(c))
+    return components_of(docs, words, percent, block_sets).select(real("id").alias("doc_id"), "n_shingles", real("component").alias("component_id"))
+
+
+def distinct_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """The rows of the least doc_id of each component, with all columns; of rows with equal doc_id and text one."""
+    least = components_of(docs, words, percent).where("id = component").select("id").distinct()
+    rows = with_id(docs.select(F.struct("*").alias("row"), "doc_id", "text")).select("row", "id", F.xxhash64("text").alias("said"))
+    once = rows.join(least, "id", "left_semi").withColumn("nth", F.row_number().over(Window.partitionBy("id", "said").orderBy("id")))
+    return once.where("nth = 1").select("row.*")
 
 
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
