@@ -43,7 +43,7 @@ from llm.storage import saved
 
 WORDS = 4
 PERCENT = 85
-BLOCK_SETS = 1000
+BLOCK_SETS = 250
 BITS = 48
 RESERVED = 1 << 62
 LEVELS, CLASSES = 1, 2
