@@ -1,13 +1,61 @@
-"""Training-data pipeline over ``documents``: five stages, each one of the operators in llm/."""
+"""Training-data pipeline over ``documents``: five stages, each one of the operators in llm/.
+
+Each stage takes (spark, docs, sf_dir) and works on all rows that the one before
+it kept; the first four return the columns of documents, the last one the
+encoded texts.  No stage can be left out or reordered without changing what the
+later ones see, so they are plain functions over DataFrames.
+"""
 
 from __future__ import annotations
 
-STAGES = []
+from pyspark.sql import DataFrame, SparkSession
+
+from llm.op2_suffix_dedup import without_repeats
+from llm.op5_quality_rules import good_documents
+from llm.op6_ngram_jaccard_join import distinct_documents
+from llm.op7_sentencepiece import encode_texts
+from llm.op8_decontamination import clean_documents
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the weakly supervised quality rules keep."""
+    return good_documents(docs)
+
+
+def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that of the smallest doc_id, of each group of near duplicates."""
+    return distinct_documents(docs)
+
+
+def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the 100-byte strings that occur earlier; none goes as a whole."""
+    return without_repeats(docs)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no window of a benchmark item."""
+    return clean_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The token ids of each document, with digests of the ids and of the text they decode to."""
+    return encode_texts(docs).drop("decoded")
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("ngram_jaccard_join", ngram_jaccard_join),
+    ("suffix_dedup", suffix_dedup),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("sentencepiece", sentencepiece),
+]
+
+#: expectation-maximisation and BPE can't be stated in SQL; tests/llm/ compare the stages with brute force
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    """Apply the stages, in order, to the documents table."""
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages, in order, over the documents table."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES:
         docs = stage(spark, docs, sf_dir)

@@ -48,13 +48,13 @@ def shard_of(shards: int) -> Column:
 
 
 def deal(docs: DataFrame, shard_bytes: int | None = None, carry: bool = False) -> Shards:
-    """Deal the texts into shards of about ``shard_bytes``; ``carry``: with the whole row as a struct."""
+    """Deal the texts into shards of about ``shard_bytes``; ``carry``: with the whole row, but for its text, as a struct."""
     shard_bytes = shard_bytes or SHARD_BYTES
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, math.ceil(total / shard_bytes))
     least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # with fewer, a cogroup would deal the texts again
     parts = max(least, min(MOST_PARTITIONS, math.ceil(total / PARTITION_BYTES)))
-    carried = [F.struct("*").alias("row")] if carry else []
+    carried = [F.struct(*(F.lit(None).cast("string").alias(c) if c == "text" else F.col(c) for c in docs.columns)).alias("row")] if carry else []
     frame = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", shard_of(shards).alias("shard"), *carried)
     return Shards(frame.repartition(parts, "shard"), shards, max(1, math.ceil(total / BUCKET_BYTES)))
 

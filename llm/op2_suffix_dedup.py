@@ -30,7 +30,9 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, GroupedData, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from llm import exchange as X
 from llm.rolling import BYTE_VALUES, BYTE_VALUES_2, Texts, each_width, mix, pack, prefix_sums, ranges, span_hash
@@ -230,6 +232,18 @@ def _cut(length: int, keep_bytes: bool):
     return run
 
 
+def _answers(shards: GroupedData, buckets: int, length: int) -> DataFrame:
+    """The three rounds: all replies to the shards."""
+
+    def ask(told: DataFrame, question) -> GroupedData:
+        return shards.cogroup(told.groupBy("shard")).applyInArrow(question(length, buckets), X.REQUEST).groupBy("bucket")
+
+    live = shards.applyInArrow(_ask_samples(length, buckets), X.REQUEST).groupBy("bucket").applyInArrow(_answer_samples, X.REPLY)
+    stretches = ask(live, _ask_stretches).applyInArrow(_answer_stretches, X.REPLY)
+    strings = ask(X.union([live, stretches]), _ask_strings).applyInArrow(X.answer_earlier(EARLIER), X.REPLY)
+    return X.union([live, stretches, strings])
+
+
 def suffix_dedup(docs: DataFrame, length: int = LENGTH, keep_bytes: bool = True) -> DataFrame:
     """Remove every byte covered by a ``length``-byte string that also starts earlier.
 
@@ -238,15 +252,33 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, keep_bytes: bool = True)
     ``keep_bytes``, kept_bytes.
     """
     dealt = X.deal(docs, SHARD_BYTES)
-    shards, n = dealt.frame.groupBy("shard"), dealt.buckets
-    ask = lambda told, f: shards.cogroup(told.groupBy("shard")).applyInArrow(f(length, n), X.REQUEST).groupBy("bucket")
-    live = shards.applyInArrow(_ask_samples(length, n), X.REQUEST).groupBy("bucket").applyInArrow(_answer_samples, X.REPLY)
-    stretches = ask(live, _ask_stretches).applyInArrow(_answer_stretches, X.REPLY)
-    told = X.union([live, stretches])
-    strings = ask(told, _ask_strings).applyInArrow(X.answer_earlier(EARLIER), X.REPLY)
-    told = X.union([live, stretches, strings])
+    shards = dealt.frame.groupBy("shard")
+    told = _answers(shards, dealt.buckets, length)
     return shards.cogroup(told.groupBy("shard")).applyInArrow(_cut(length, keep_bytes), RESULT)
 
 
+def _texts_left(length: int):
+    """The carried rows with what is left of their text; characters that a cut divides go too."""
+
+    def run(table: pa.Table, told: pa.Table) -> pa.Table:
+        cut = _cut(length, True)(table, told)
+        text = [x.decode(errors="ignore") for x in cut["kept_bytes"].to_pylist()]
+        table = X.in_order(table)
+        left = [None if was is None else now for was, now in zip(table["text"].to_pylist(), text, strict=True)]
+        return pa.table({"row": table["row"], "kept": pa.array(left, pa.string())})
+
+    return run
+
+
+def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """All rows and columns of documents, without the repeated bytes of ``text``; n_chars, if there, follows it."""
+    dealt = X.deal(docs, SHARD_BYTES, carry=True)
+    shards = dealt.frame.groupBy("shard")
+    kinds = T.StructType([T.StructField("row", docs.schema), T.StructField("kept", T.StringType())])
+    out = shards.cogroup(_answers(shards, dealt.buckets, length).groupBy("shard")).applyInArrow(_texts_left(length), kinds)
+    new = {"text": F.col("kept"), "n_chars": F.char_length("kept").cast("long")}
+    return out.select(*(new[c].alias(c) if c in new else F.col("row")[c].alias(c) for c in docs.columns))
+
+
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"), keep_bytes=False).drop("kept_bytes")

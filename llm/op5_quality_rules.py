@@ -18,8 +18,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from llm.rolling import SPACE_WORDS, SPACES, Texts, covered, slices
 from llm.storage import saved
@@ -55,10 +56,13 @@ RULES = {
 }
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for own in slices(batch, "text"):
-            yield pa.RecordBatch.from_arrays([own["doc_id"], *(pa.array(c, pa.int64()) for c in counts(own["text"]))], ["doc_id", *COUNTS])
+def _count(keep: tuple[str, ...]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for own in slices(batch, "text"):
+                yield pa.RecordBatch.from_arrays([*(own[c] for c in keep), *(pa.array(c, pa.int64()) for c in counts(own["text"]))], [*keep, *COUNTS])
+
+    return run
 
 
 def counts(column: pa.Array) -> list[np.ndarray]:
@@ -124,19 +128,39 @@ def fit(patterns: np.ndarray, weight: np.ndarray, rounds: int = ROUNDS) -> np.nd
     return p
 
 
-def quality(docs: DataFrame, keep: float = KEEP, rounds: int = ROUNDS) -> DataFrame:
-    """Returns doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept and p_good."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    counted = texts.mapInArrow(_count, "doc_id long, " + ", ".join(f"{c} long" for c in COUNTS))
+def _judged(docs: DataFrame, *keep: str) -> DataFrame:
+    """The columns ``keep`` with COUNTS, base_failed and the pattern of votes."""
+    counted = docs.mapInArrow(_count(keep), T.StructType([docs.schema[c] for c in keep] + [T.StructField(c, T.LongType()) for c in COUNTS]))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
     pattern = F.concat(*(F.coalesce(v.cast("string"), F.lit("-")) for v in votes().values()))
-    judged = saved(counted.withColumn("base_failed", failed).withColumn("pattern", pattern).select("doc_id", *BASE, "base_failed", "pattern"))
+    return counted.withColumn("base_failed", failed).withColumn("pattern", pattern)
+
+
+def _posteriors(judged: DataFrame, rounds: int) -> DataFrame:
+    """(pattern, p_good), fitted to the patterns of all rows."""
     seen = sorted(judged.groupBy("pattern").count().collect())  # at most 3 ** rules rows
     value = {"0": 0, "1": 1, "-": -1}
     p = fit(np.array([[value[c] for c in r[0]] for r in seen]), np.array([float(r[1]) for r in seen]), rounds) if seen else []
-    told = docs.sparkSession.createDataFrame([(r[0], float(x)) for r, x in zip(seen, p, strict=True)], "pattern string, p_good double")
-    out = judged.join(F.broadcast(told), "pattern")
-    return out.select("doc_id", *BASE, "base_failed", (~F.col("base_failed") & (F.col("p_good") >= keep)).alias("kept"), "p_good")
+    return F.broadcast(judged.sparkSession.createDataFrame([(r[0], float(x)) for r, x in zip(seen, p, strict=True)], "pattern string, p_good double"))
+
+
+def _kept(keep: float) -> Column:
+    return ~F.col("base_failed") & (F.col("p_good") >= keep)
+
+
+def quality(docs: DataFrame, keep: float = KEEP, rounds: int = ROUNDS) -> DataFrame:
+    """Returns doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept and p_good."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    judged = saved(_judged(texts, "doc_id").select("doc_id", *BASE, "base_failed", "pattern"))
+    out = judged.join(_posteriors(judged, rounds), "pattern")
+    return out.select("doc_id", *BASE, "base_failed", _kept(keep).alias("kept"), "p_good")
+
+
+def good_documents(docs: DataFrame, keep: float = KEEP, rounds: int = ROUNDS) -> DataFrame:
+    """The rows that the base rules and the posterior keep, with all columns; texts are read twice, none is shuffled."""
+    fitted = _posteriors(_judged(docs.select("text")), rounds)
+    rows = docs.select(F.struct("*").alias("row"), "text")
+    return _judged(rows, "row").join(fitted, "pattern").where(_kept(keep)).select("row.*")
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from llm.rolling import ALNUM_WORDS, LOWER, Texts, covered
 
@@ -35,7 +36,7 @@ BLOCK_CHARS = 8 << 20
 # bytes of a text to those of its words: A-Z to a-z, separators to spaces; all bytes of other characters stay
 NORMAL = bytes(int(LOWER[b]) if ALNUM_WORDS[LOWER[b]] else 0x20 for b in range(256))
 SPANS = "array<struct<start:long,end:long>>"
-RESULT = f"doc_id long, text string, n_words long, n_hit long, item_ids array<string>, spans {SPANS}"
+FOUND = f"n_words long, n_hit long, item_ids array<string>, spans {SPANS}"
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -72,7 +73,7 @@ def runs(gone: np.ndarray, start: np.ndarray, end: np.ndarray) -> list[dict]:
     return [{"start": int(start[a]), "end": int(end[b - 1])} for a, b in zip(np.flatnonzero(edge > 0), np.flatnonzero(edge < 0), strict=True)]
 
 
-def _scan(items: list[tuple], width: int, go_on: bool):
+def _scan(items: list[tuple], width: int, keep: list[str], go_on: bool):
     """Hits of one block of items; ``go_on``: added to those of the blocks before."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -98,7 +99,7 @@ def _scan(items: list[tuple], width: int, go_on: bool):
                 rows.append((n, int(gone.sum()), sorted(ids.union(*(i for _, (_, i) in hits))), runs(gone, start, end)))
             kinds = (pa.int64(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))
             cols = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["text"], *cols], ["doc_id", "text", "n_words", "n_hit", "item_ids", "spans"])
+            yield pa.RecordBatch.from_arrays([*(batch[c] for c in keep), *cols], [*keep, "n_words", "n_hit", "item_ids", "spans"])
 
     return run
 
@@ -124,11 +125,22 @@ def decontaminate(docs: DataFrame, items: DataFrame, width: int = WIDTH) -> Data
     offsets of maximal hit runs in the original text), contaminated.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    out = None
-    for block in item_blocks(items):
-        hit = texts.mapInArrow(_scan(block, width, out is not None), RESULT)
-        texts, out = hit, hit
-    return out.drop("text").withColumn("contaminated", F.col("n_hit") > 0)
+    return _scanned(texts, items, width).drop("text").withColumn("contaminated", F.col("n_hit") > 0)
+
+
+def _scanned(rows: DataFrame, items: DataFrame, width: int) -> DataFrame:
+    """All columns of rows, with those of FOUND."""
+    schema = T.StructType([*rows.schema.fields, *T.StructType.fromDDL(FOUND).fields])
+    out = rows
+    for k, block in enumerate(item_blocks(items)):
+        out = out.mapInArrow(_scan(block, width, rows.columns, k > 0), schema)
+    return out
+
+
+def clean_documents(docs: DataFrame, items: DataFrame, width: int = WIDTH) -> DataFrame:
+    """The rows without any benchmark window, with all columns."""
+    rows = docs.select(F.struct("*").alias("row"), "text")
+    return _scanned(rows, items, width).where("n_hit = 0").select("row.*")
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

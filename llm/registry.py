@@ -5,18 +5,26 @@ from __future__ import annotations
 from llm import sql
 from llm.op1_substring_dedup import op1_substring_dedup
 from llm.op2_suffix_dedup import op2_suffix_dedup
+from llm.op3_license_scan import op3_license_scan
+from llm.op4_html_extraction import op4_html_extraction
+from llm.op5_quality_rules import op5_quality_rules
 from llm.op6_ngram_jaccard_join import op6_ngram_jaccard_join
 from llm.op7_sentencepiece import op7_sentencepiece
 from llm.op8_decontamination import op8_decontamination
 from llm.op9_lm_scoring import op9_lm_scoring
+from llm.op10_chat_formatting import op10_chat_formatting
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_suffix_dedup": op2_suffix_dedup,
+    "op3_license_scan": op3_license_scan,
+    "op4_html_extraction": op4_html_extraction,
+    "op5_quality_rules": op5_quality_rules,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_decontamination": op8_decontamination,
     "op9_lm_scoring": op9_lm_scoring,
+    "op10_chat_formatting": op10_chat_formatting,
 }
 
 ORACLE_SQL = {
@@ -25,4 +33,5 @@ ORACLE_SQL = {
     "op6_ngram_jaccard_join": sql.OP6,
     "op8_decontamination": sql.OP8,
     "op9_lm_scoring": sql.OP9,
+    "op10_chat_formatting": sql.OP10,
 }
