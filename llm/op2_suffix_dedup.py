@@ -89,21 +89,21 @@ class Shard:
         self.from_, self.to = x[begin], x[last]  # stretches: starts of their first and last string
         self.name = self.first_rank[sample[begin]] >> np.uint64(64 - SAMPLE_BITS)
 
-    def full_rank(self, x: np.ndarray) -> np.ndarray:
-        """Rank of ``length`` bytes at places x, doubled from pairs of shorter ranks."""
-        first = min(FIRST, self.length)
-
-        def rank(p: np.ndarray, w: int) -> np.ndarray:
-            if w == first:
-                return self.first_rank[p]
-            return mix(rank(p, w // 2) * np.uint64(0x9FB21C651E98DF25) + rank(p + w // 2, w // 2))
+    def rank(self, x: np.ndarray, width: int) -> np.ndarray:
+        """Rank of ``width`` bytes (FIRST, or twice a width that has ranks) at places x."""
+        if width <= FIRST:
+            return self.first_rank[x]
+        half = width // 2
+        return mix(self.rank(x, half) * np.uint64(0x9FB21C651E98DF25) + self.rank(x + half, half))
 
-        width = first
+    def full_rank(self, x: np.ndarray) -> np.ndarray:
+        """Rank of ``length`` bytes at places x, from a pair of the longest ranks that fit."""
+        width = min(FIRST, self.length)
         while 2 * width <= self.length:
             width *= 2
         if width == self.length:
-            return rank(x, width)
-        return mix(rank(x, width) * np.uint64(0xA0761D6478BD642F) + rank(x + self.length - width, width))
+            return self.rank(x, width)
+        return mix(self.rank(x, width) * np.uint64(0xA0761D6478BD642F) + self.rank(x + self.length - width, width))
 
     def second(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """16 more bits of the spans' names, from other byte values."""
