@@ -21,6 +21,7 @@ import statistics
 import sys
 import tempfile
 import time
+from collections import defaultdict
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -31,7 +32,6 @@ from crosslink.sources.standins import standin_sources  # noqa: E402
 
 HEADLINE = (
     "game_summary",
-    "game_summary_review_grain",
     "enrich_reviews",
     "dedup_reviews",
     "resolve_entities",
@@ -66,28 +66,35 @@ def main() -> None:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="crosslink-bench-"))
 
-    from crosslink.operators.aggregate import game_summary_review_grain
+    samples: dict[str, list[float]] = defaultdict(list)
 
-    plans = dict(QUERIES)
-    plans["game_summary_review_grain"] = lambda s, d: game_summary_review_grain(standin_sources(s, d))
+    def pipeline(where: str = sf_dir) -> float:
+        return run_pipeline(spark, standin_sources(spark, where), scratch_path(spark, "bench-out")).runtime_seconds
 
-    times: dict[str, float] = {}
-
-    def pipeline() -> None:
-        res = run_pipeline(spark, standin_sources(spark, sf_dir), scratch_path(spark, "bench-out"))
-        times.setdefault("_pipeline_runs", []).append(round(res.runtime_seconds, 3))
+    def timed_pipeline() -> None:
+        samples["pipeline_job"].append(pipeline())
 
+    jobs = {
+        name: lambda q=QUERIES[name]: q(spark, sf_dir).write.format("noop").mode("overwrite").save() for name in HEADLINE
+    }
+    jobs["pipeline_with_validation"] = timed_pipeline
     pipeline()  # warm-up (JIT, codegen caches, file listings)
-    for name in HEADLINE:
-        run = lambda: plans[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        times[name] = round(statistics.median(_time(run) for _ in range(runs)), 3)
-
-    total = [_time(pipeline) for _ in range(runs)]
-    job = times.pop("_pipeline_runs")[1:]
-    times["pipeline_job"] = round(statistics.median(job), 3)
-    times["pipeline_with_validation"] = round(statistics.median(total), 3)
+    for k in range(runs):  # every second round backwards, so that no query always follows the same one
+        for name in sorted(jobs, key=list(jobs).index, reverse=k % 2 == 1):
+            samples[name].append(_time(jobs[name]))
+    times = {name: round(statistics.median(own), 3) for name, own in samples.items()}
+
+    # marginal rate: further reviews over further seconds between this scale and the next smaller one
+    reviews, marginal = standin_sources(spark, sf_dir).recs.count(), None
+    smaller = os.path.join(os.path.dirname(sf_dir), f"sf{sf / 10:g}") if sf else ""
+    if os.path.isdir(smaller):
+        few = standin_sources(spark, smaller).recs.count()
+        pipeline(smaller)
+        less = statistics.median(pipeline(smaller) for _ in range(runs))
+        times["pipeline_job_smaller_sf"] = round(less, 3)
+        if times["pipeline_job"] > less:
+            marginal = round((reviews - few) / (times["pipeline_job"] - less))
 
-    reviews = standin_sources(spark, sf_dir).recs.count()
     out = {
         "metric": "pipeline_seconds",
         "value": times["pipeline_job"],
@@ -96,6 +103,7 @@ def main() -> None:
         "sf": sf,
         "cpus": cpus,
         "reviews": reviews,
+        "marginal_reviews_per_sec": marginal,
         "reviews_per_sec": round(reviews / times["pipeline_job"]) if times["pipeline_job"] else None,
     }
     print(json.dumps(out))

@@ -11,11 +11,10 @@ DEFAULT_CRITICAL_COLUMNS = ("app_id", "title", "is_recommended")
 DEFAULT_MAX_GAMES = 15000
 DEFAULT_PREVIEW_ROWS = 100
 DEFAULT_SAMPLE_ROWS = 5
-DEFAULT_PAGE_SIZE = 500
 
-# Means over floating-point values (e.g. the mean of per-game rates) depend on
-# summation order, which varies with partitioning; they are reported rounded
-# to this many decimals so results are identical run to run.
+# Means of integer columns are exact (sum / count). Means of floating-point
+# columns (e.g. of per-game rates) depend on summation order, which varies with
+# partitioning; they are reported to this many decimals.
 MEAN_DECIMALS = 9
 
 
@@ -28,26 +27,16 @@ class Options:
         is ``coalesce(id_stage, title_stage)`` independently, so one output row
         may mix two entities. ``"entity"``: the title stage is used only for
         rows the id stage did not match.
+    ``sample_rows`` / ``rendered_sample_rows``
+        Rows of the report's sample table, and how many of them the Markdown
+        rendering shows (it says so when it shows fewer).
     ``empty_title_matches``
         When False (default) a title that normalizes to ``""`` is treated as
         no key; True restores the reference, where all such titles match.
-    ``broadcast_max_rows``
-        A dimension is broadcast only after a bounded count proved it has at
-        most this many rows; otherwise the join is left to a shuffle join
-        (and to AQE's runtime conversion, which uses measured sizes).
-    ``broadcast_max_bytes``
-        The same count also sums an estimate of the rows' in-memory size; a
-        dimension above this many bytes is not broadcast either.
-    ``dedup_dimensions``
-        Deduplicate games / metadata / popularity / category map on their
-        key (first by a total order) so they cannot fan out review counts.
     """
 
     fallback: str = "field"
     empty_title_matches: bool = False
-    broadcast_max_rows: int = 1_000_000
-    broadcast_max_bytes: int = 256 * 1024 * 1024
-    dedup_dimensions: bool = True
     min_expected_records: int = DEFAULT_MIN_EXPECTED_RECORDS
     max_null_rate: float = DEFAULT_MAX_NULL_RATE
     critical_columns: tuple[str, ...] = DEFAULT_CRITICAL_COLUMNS
@@ -55,6 +44,7 @@ class Options:
         default=("steam_recommend_rate", "num_reviews", "num_positive_reviews")
     )
     sample_rows: int = DEFAULT_SAMPLE_ROWS
+    rendered_sample_rows: int = DEFAULT_PREVIEW_ROWS
     preview_rows: int = DEFAULT_PREVIEW_ROWS
 
     def __post_init__(self) -> None:

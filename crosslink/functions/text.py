@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed values (must equal the reference): characters kept after lower-casing,
+# Fixed values (must equal the reference): characters deleted after lower-casing,
 # and the whitespace class that is collapsed to one space.
-KEEP_PATTERN = r"[^a-z0-9\s]"
+DELETE_PATTERN = r"[^a-z0-9\s]"
 SPACE_PATTERN = r"\s+"
 
 
@@ -19,7 +19,7 @@ def normalize_title(c: str | Column) -> Column:
     """
     x = F.col(c) if isinstance(c, str) else c
     lowered = F.lower(x)
-    kept = F.regexp_replace(lowered, KEEP_PATTERN, "")
+    kept = F.regexp_replace(lowered, DELETE_PATTERN, "")
     squeezed = F.regexp_replace(kept, SPACE_PATTERN, " ")
     return F.trim(squeezed)
 

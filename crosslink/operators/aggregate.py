@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crosslink.config import MEAN_DECIMALS, Options
-from crosslink.operators.enrich import clean_games, clean_recs, enrich_reviews, game_dimensions
+from crosslink.operators.enrich import clean_games, clean_recs, game_dimensions
 from crosslink.schemas import RESULT_DESCRIPTOR_COLUMNS, RESULT_KB_COLUMNS, RESULT_STEAM_COLUMNS
 from crosslink.sources.readers import Sources
 
@@ -34,22 +34,16 @@ def result_columns(df: DataFrame) -> list[str]:
     return [c for c in wanted if c in df.columns]
 
 
-def game_facts(
-    sources: Sources,
-    options: Options = Options(),
-    provenance: bool = True,
-    small: dict[str, bool] | None = None,
-) -> DataFrame:
+def game_facts(sources: Sources, options: Options = Options(), provenance: bool = True) -> DataFrame:
     """Game-grain table: review stats ⋈ games, then every dimension.
 
     The reviews are shuffled once for de-duplication and reduced to one row
-    per game before any join; dimensions then join at game grain. Equal to the
-    reference's review-grain join + ``first()`` when dimensions are unique on
-    their key (which ``Options.dedup_dimensions`` guarantees).
+    per game before any join; dimensions, unique on their key, then join at
+    game grain.
     """
-    stats = review_stats(clean_recs(sources.recs, sources.review_order, options))
-    base = stats.join(clean_games(sources.games, options), "app_id", "inner")
-    return game_dimensions(base, sources, options, provenance=provenance, small=small)
+    stats = review_stats(clean_recs(sources.recs, sources.review_order))
+    base = stats.join(clean_games(sources.games), "app_id", "inner")
+    return game_dimensions(base, sources, options, provenance=provenance)
 
 
 def game_summary(sources: Sources, options: Options = Options()) -> DataFrame:
@@ -58,24 +52,6 @@ def game_summary(sources: Sources, options: Options = Options()) -> DataFrame:
     return facts.select(*result_columns(facts))
 
 
-def game_summary_review_grain(sources: Sources, options: Options = Options()) -> DataFrame:
-    """The reference's plan shape: review-grain joins, then group + ``first``.
-
-    Kept for equivalence tests and benchmarks only; ``game_summary`` is the
-    plan to use.
-    """
-    df = enrich_reviews(sources, options)
-    aggs = [
-        F.avg("is_recommended_num").alias("steam_recommend_rate"),
-        F.count(F.lit(1)).alias("num_reviews"),
-        F.sum("is_recommended_num").alias("num_positive_reviews"),
-    ]
-    for c in RESULT_DESCRIPTOR_COLUMNS + RESULT_KB_COLUMNS:
-        if c in df.columns:
-            aggs.append(F.first(c, ignorenulls=True).alias(c))
-    return df.groupBy("app_id").agg(*aggs)
-
-
 def rate_by_country(summary: DataFrame) -> DataFrame:
     """Recommend rate by publisher country, game- and review-weighted."""
     return (

@@ -41,6 +41,10 @@ def _order(cols: Sequence[str | Column]) -> list[Column]:
     return out
 
 
+def _row_hash(df: DataFrame) -> Column:
+    return F.xxhash64(*[F.col(f"`{c}`") for c in sorted(df.columns)])
+
+
 def dedup_first(
     df: DataFrame,
     keys: Sequence[str],
@@ -48,8 +52,9 @@ def dedup_first(
 ) -> DataFrame:
     """Keep one row per ``keys``: the first in ``order`` (ascending, nulls last).
 
-    Without ``order`` all non-key columns form the order, so the survivor is
-    still deterministic. Null keys compare equal (one survivor per null key).
+    Without ``order`` a hash of the whole row decides (then all its columns), so
+    the survivor is deterministic and no column's smaller values are favoured.
+    Null keys compare equal (one survivor per null key).
 
     Plan shape: ``row_number() = 1`` lets Spark insert a partial
     ``WindowGroupLimit`` *before* the shuffle, so each map task forwards at
@@ -57,21 +62,21 @@ def dedup_first(
     per map task in the exchange, not a third of the table in one task.
     """
     cols = df.columns
-    order_cols = list(order) if order else [c for c in cols if c not in keys]
+    order_cols = list(order) if order else [_row_hash(df), *(c for c in cols if c not in keys)]
     w = Window.partitionBy(*[F.col(k) for k in keys]).orderBy(*_order(order_cols))
     ranked = df.select("*", F.row_number().over(w).alias(_RN))
     return ranked.filter(F.col(_RN) == 1).select(*cols)
 
 
-def keep_first_or_null(
+def keep_first_with_key(
     df: DataFrame,
     key: str,
-    order: Sequence[str | Column],
+    order: Sequence[str],
 ) -> DataFrame:
-    """Keep-first by ``key`` in ``order``; rows whose key is null are all kept."""
-    w = Window.partitionBy(F.col(key)).orderBy(*_order(order))
-    return (
-        df.withColumn(_RN, F.row_number().over(w))
-        .filter(F.col(key).isNull() | (F.col(_RN) == 1))
-        .drop(_RN)
-    )
+    """Keep-first by ``key`` in ``order``; rows whose key is null or empty are all kept.
+
+    Rows without a key bypass the window: only keyed rows are ranked, limited
+    on the map side and shuffled, so any number of keyless rows stays spread.
+    """
+    keyless = F.col(key).isNull() | (F.col(key) == "")
+    return dedup_first(df.filter(~keyless), [key], order).unionByName(df.filter(keyless))

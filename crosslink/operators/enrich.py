@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from crosslink.config import Options
 from crosslink.functions import flag_to_int, primary_tag, tag_count, to_int_key
 from crosslink.operators.clean import cast_key, dedup_first, drop_incomplete, rename_key
-from crosslink.operators.joins import broadcast_if, fits, maybe_broadcast, measure
+from crosslink.operators.joins import spread_nulls
+from crosslink.schemas import POPULARITY_FIELDS
 from crosslink.sources.readers import Sources
 
 
@@ -22,131 +23,87 @@ from crosslink.sources.readers import Sources
 #  Per-source cleaning
 # --------------------------------------------------------------------------- #
 
-def clean_games(games: DataFrame, options: Options = Options()) -> DataFrame:
+def clean_games(games: DataFrame) -> DataFrame:
     """INT key, drop rows without key or title, one row per game."""
     df = drop_incomplete(games.select(to_int_key("app_id").alias("app_id"), "title"), ["app_id", "title"])
-    if options.dedup_dimensions:
-        df = dedup_first(df, ["app_id"], ["title"])
-    return df
+    return dedup_first(df, ["app_id"], ["title"])
+
 
+def clean_metadata(metadata: DataFrame) -> DataFrame:
+    """INT key, drop rows without key, one row per game: ``tag_count``, ``primary_tag``.
 
-def clean_metadata(metadata: DataFrame, options: Options = Options()) -> DataFrame:
-    """INT key, drop rows without key, one row per game (tags may be absent)."""
+    Both are derived in the scan, so tag lists never reach a shuffle.
+    """
     tags = F.col("tags") if "tags" in metadata.columns else F.lit(None).cast("array<string>")
-    df = drop_incomplete(metadata.select(to_int_key("app_id").alias("app_id"), tags.alias("tags")), ["app_id"])
-    if options.dedup_dimensions:
-        df = dedup_first(df, ["app_id"], ["tags"])
-    return df
+    df = metadata.select(to_int_key("app_id").alias("app_id"), tags.alias("tags"))
+    df = df.select("app_id", tag_count("tags").alias("tag_count"), primary_tag("tags").alias("primary_tag"))
+    return dedup_first(drop_incomplete(df, ["app_id"]), ["app_id"], ["primary_tag", "tag_count"])
 
 
-def clean_popularity(popularity: DataFrame, options: Options = Options()) -> DataFrame:
-    """``appid`` → INT ``app_id``, one row per game.
+def clean_popularity(popularity: DataFrame) -> DataFrame:
+    """``appid`` → INT ``app_id`` with the feed's fields, one row per game.
 
     Rows whose key is null (or unparsable) are dropped here: a left join on
-    ``app_id`` could never match them anyway.
+    ``app_id`` could never match them anyway. Columns that are no feed fields
+    are left out, so they cannot clash with other sources' columns.
     """
-    df = cast_key(rename_key(popularity)).filter(F.col("app_id").isNotNull())
-    if options.dedup_dimensions:
-        df = dedup_first(df, ["app_id"])
-    return df
+    fields = [c for c in popularity.columns if c in ("app_id", *POPULARITY_FIELDS)]
+    df = cast_key(rename_key(popularity.select(*fields))).filter(F.col("app_id").isNotNull())
+    return dedup_first(df, ["app_id"], [c for c in df.columns if c != "app_id"])
 
 
-def clean_categories(categories: DataFrame, options: Options = Options()) -> DataFrame:
+def clean_categories(categories: DataFrame) -> DataFrame:
     """Lookup keyed by ``lower(genre)``; ``Action`` and ``action`` collapse."""
     df = categories.select(
         F.lower(F.col("genre")).alias("genre_key"),
         F.col("genre"),
         F.col("category").alias("genre_category"),
     )
-    if options.dedup_dimensions:
-        df = dedup_first(df, ["genre_key"], ["genre", "genre_category"])
-    return df.select("genre_key", "genre_category")
+    return dedup_first(df, ["genre_key"], ["genre", "genre_category"]).select("genre_key", "genre_category")
 
 
-def clean_recs(
-    recs: DataFrame,
-    review_order: tuple[str, ...] = (),
-    options: Options = Options(),
-) -> DataFrame:
+def clean_recs(recs: DataFrame, review_order: tuple[str, ...] = ()) -> DataFrame:
     """INT key, drop rows without key or flag, one review per (game, user).
 
     No ``user_id`` column → no de-duplication. Null users compare equal, so a
     game's null-user reviews collapse to one (as ``dropDuplicates`` does).
-    The survivor is the first in ``review_order`` (deterministic).
+    The survivor is the first in ``review_order``, else by a hash of the row.
     """
     df = drop_incomplete(cast_key(recs), ["app_id", "is_recommended"])
     if "user_id" in df.columns:
-        order = list(review_order) or None
-        df = dedup_first(df, ["app_id", "user_id"], order)
+        df = dedup_first(df, ["app_id", "user_id"], list(review_order) or None)
     return df.withColumn("is_recommended_num", flag_to_int("is_recommended"))
 
 
 # --------------------------------------------------------------------------- #
 #  Joins (each keeps the left side's rows; dims are unique on their key)
 # --------------------------------------------------------------------------- #
+#  No join carries a hint: AQE broadcasts a side once its measured size is
+#  below its threshold, and splits skewed partitions otherwise.
 
 def join_metadata(games: DataFrame, metadata: DataFrame) -> DataFrame:
-    """games ⟕ metadata on ``app_id``, plus ``tag_count``."""
-    return games.join(metadata, "app_id", "left").withColumn("tag_count", tag_count("tags"))
+    """games ⟕ metadata on ``app_id``; without metadata ``tag_count`` is 0."""
+    return games.join(metadata, "app_id", "left").withColumn("tag_count", F.coalesce("tag_count", F.lit(0)))
 
 
-def join_reviews(games: DataFrame, reviews: DataFrame, small: bool = False) -> DataFrame:
+def join_reviews(games: DataFrame, reviews: DataFrame) -> DataFrame:
     """Inner join: reviewless games and reviews of unknown games vanish.
 
-    ``small`` broadcasts the game side (game grain, proven bounded).
+    A review column that a game column has the name of is prefixed ``review_``.
     """
-    return broadcast_if(games, small).join(reviews, "app_id", "inner")
-
-
-def join_popularity(
-    df: DataFrame, popularity: DataFrame, options: Options = Options(), small: bool | None = None
-) -> DataFrame:
-    """⟕ popularity feed on ``app_id`` (broadcast when proven small)."""
-    side = maybe_broadcast(popularity, options.broadcast_max_rows, small, options.broadcast_max_bytes)
-    return df.join(side, "app_id", "left")
+    clash = {c: f"review_{c}" for c in reviews.columns if c in games.columns and c != "app_id"}
+    return games.join(reviews.withColumnsRenamed(clash), "app_id", "inner")
 
 
-def add_primary_tag(df: DataFrame) -> DataFrame:
-    return df.withColumn("primary_tag", primary_tag("tags"))
+def join_popularity(df: DataFrame, popularity: DataFrame) -> DataFrame:
+    """⟕ popularity feed on ``app_id``."""
+    return df.join(popularity, "app_id", "left")
 
 
-def join_category(
-    df: DataFrame, categories: DataFrame, options: Options = Options(), small: bool | None = None
-) -> DataFrame:
+def join_category(df: DataFrame, categories: DataFrame) -> DataFrame:
     """⟕ category lookup on ``lower(primary_tag) = lower(genre)``."""
-    cat = maybe_broadcast(categories, options.broadcast_max_rows, small, options.broadcast_max_bytes)
-    joined = df.join(cat, F.lower(df["primary_tag"]) == cat["genre_key"], "left")
-    return joined.drop("genre_key")
-
-
-def probe_dimensions(sources: Sources, options: Options = Options()) -> dict[str, bool]:
-    """Which join sides are proven to fit a broadcast (one job).
-
-    The probe runs on the *raw* sources: cleaning and de-duplication only
-    remove rows (and projection only drops columns), so a bound on the raw
-    rows and bytes bounds each dimension's join side. The finished game row
-    (``games``, broadcast against the reviews) is one game plus at most one
-    row of each dimension, so its size is bounded by the games' bytes plus
-    ``rows × Σ widest dimension row``.
-    """
-    if options.broadcast_max_rows <= 0:
-        return {"popularity": False, "categories": False, "games": False, "kb": False}
-    frames = {
-        "popularity": sources.popularity,
-        "categories": sources.categories,
-        "games": sources.games,
-        "metadata": sources.metadata,
-    }
-    if sources.kb is not None:
-        frames["kb"] = sources.kb
-    m = measure(frames)
-    rows, limit = options.broadcast_max_rows, options.broadcast_max_bytes
-    small = {name: fits(n, b, rows, limit) for name, (n, b, _) in m.items() if name != "metadata"}
-    n_games, b_games, _ = m["games"]
-    widest = sum(w for name, (_, _, w) in m.items() if name != "games")
-    small["games"] = fits(n_games, b_games + n_games * widest, rows, limit)
-    small.setdefault("kb", False)
-    return small
+    key = spread_nulls(F.lower(df["primary_tag"]), df["app_id"])
+    return df.join(categories, key == categories["genre_key"], "left").drop("genre_key")
 
 
 def game_dimensions(
@@ -154,23 +111,19 @@ def game_dimensions(
     sources: Sources,
     options: Options = Options(),
     provenance: bool = False,
-    small: dict[str, bool] | None = None,
 ) -> DataFrame:
     """Attach every dimension to a game-grain frame holding ``app_id, title``.
 
-    metadata (→ tag_count) → popularity → primary_tag → category → KB (two
-    stages), in the reference's order; all joins are left joins. ``small``
-    holds the broadcast decisions (probed once here when not given).
+    metadata (→ tag_count, primary_tag) → popularity → category → KB (two
+    stages), in the reference's order; all joins are left joins.
     """
     from crosslink.operators.resolve import resolve_entities
 
-    small = small if small is not None else probe_dimensions(sources, options)
-    df = join_metadata(base, clean_metadata(sources.metadata, options))
-    df = join_popularity(df, clean_popularity(sources.popularity, options), options, small["popularity"])
-    df = add_primary_tag(df)
-    df = join_category(df, clean_categories(sources.categories, options), options, small["categories"])
+    df = join_metadata(base, clean_metadata(sources.metadata))
+    df = join_popularity(df, clean_popularity(sources.popularity))
+    df = join_category(df, clean_categories(sources.categories))
     if sources.kb is not None:
-        df = resolve_entities(df, sources.kb, options, provenance=provenance, small=small["kb"])
+        df = resolve_entities(df, sources.kb, options, provenance=provenance)
     return df
 
 
@@ -179,12 +132,9 @@ def enrich_reviews(sources: Sources, options: Options = Options()) -> DataFrame:
 
     Dimensions are assembled at game grain first, then joined to the reviews
     once on ``app_id``; the reviews are never joined to a dimension directly.
-    When the games table is proven small, the finished game row is broadcast,
-    so the review table is not shuffled for this join at all (and a game with
-    a third of all reviews cannot land in one join task). Otherwise it is a
-    shuffle join whose hot partitions AQE's skew handling splits.
+    A game with a third of all reviews makes a skewed partition of that join,
+    which AQE splits (or avoids by broadcasting the games, if they measure
+    small).
     """
-    small = probe_dimensions(sources, options)
-    games = game_dimensions(clean_games(sources.games, options), sources, options, small=small)
-    reviews = clean_recs(sources.recs, sources.review_order, options)
-    return join_reviews(games, reviews, small=small["games"])
+    games = game_dimensions(clean_games(sources.games), sources, options)
+    return join_reviews(games, clean_recs(sources.recs, sources.review_order))

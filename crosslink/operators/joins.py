@@ -1,97 +1,18 @@
-"""Join helpers: broadcast only what a measured size proved small."""
+"""Join helpers."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-_VARIABLE = (T.StringType, T.BinaryType)
-_NESTED = (T.ArrayType, T.MapType, T.StructType)
-
 
-def row_bytes(df: DataFrame) -> Column:
-    """Estimated in-memory size of one row, in bytes.
-
-    Follows Spark's row layout: 8 bytes per field plus the variable-length
-    payload of strings and binaries (nested values are sized by their JSON
-    text, an over-estimate).
-    """
-    size: Column = F.lit(8 * max(1, len(df.schema.fields)))
-    for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, _VARIABLE):
-            size = size + F.coalesce(F.octet_length(c), F.lit(0))
-        elif isinstance(f.dataType, _NESTED):
-            size = size + F.coalesce(F.octet_length(F.to_json(c)), F.lit(0))
-    return size
+_NEVER = "\x00"  # no cleaned key begins with it
 
 
-def measure(frames: Mapping[str, DataFrame]) -> dict[str, tuple[int, int, int]]:
-    """Per frame: ``(rows, estimated bytes, widest row's bytes)``, in one job.
+def spread_nulls(key: Column, row_id: Column) -> Column:
+    """A text key for the left side of a left join; rows without one get keys of their own.
 
-    A union of per-frame aggregates, each partial per partition, so the
-    shuffle carries one row per input partition and the driver receives one
-    row per frame. (A ``limit(n + 1)`` probe would instead funnel up to n + 1
-    rows *per partition* into a single task.) The cost is one distributed scan
-    of each small-side input, which is small next to the fact table.
+    A null key matches nothing, but in a shuffle join all its rows would meet in
+    one partition. A key made of the row's id, which no right-hand key equals,
+    matches nothing either and spreads them.
     """
-    if not frames:
-        return {}
-    return {r["name"]: (r["n"], r["b"], r["w"]) for r in probe_frame(frames).collect()}
-
-
-def probe_frame(frames: Mapping[str, DataFrame]) -> DataFrame:
-    """The one-row-per-frame aggregate behind ``measure``."""
-    parts = []
-    for name, df in frames.items():
-        size = row_bytes(df)
-        parts.append(
-            df.agg(
-                F.count(F.lit(1)).alias("n"),
-                F.coalesce(F.sum(size), F.lit(0)).cast("long").alias("b"),
-                F.coalesce(F.max(size), F.lit(0)).cast("long").alias("w"),
-            ).select(F.lit(name).alias("name"), "n", "b", "w")
-        )
-    probe = parts[0]
-    for p in parts[1:]:
-        probe = probe.unionByName(p)
-    return probe
-
-
-def fits(rows: int, nbytes: int, max_rows: int, max_bytes: int | None) -> bool:
-    return rows <= max_rows and (max_bytes is None or nbytes <= max_bytes)
-
-
-def bounded_counts(
-    frames: Mapping[str, DataFrame], max_rows: int, max_bytes: int | None = None
-) -> dict[str, bool]:
-    """For each frame: at most ``max_rows`` rows (and ``max_bytes`` bytes)?"""
-    return {
-        name: fits(n, b, max_rows, max_bytes) for name, (n, b, _) in measure(frames).items()
-    }
-
-
-def has_at_most(df: DataFrame, max_rows: int, max_bytes: int | None = None) -> bool:
-    """True iff ``df`` has ≤ ``max_rows`` rows (and ≤ ``max_bytes`` bytes)."""
-    return bounded_counts({"df": df}, max_rows, max_bytes)["df"]
-
-
-def broadcast_if(df: DataFrame, small: bool) -> DataFrame:
-    """``broadcast(df)`` when proven small, else ``df`` for a shuffle join.
-
-    In the unchanged case Spark plans a shuffle join; with AQE on it may still
-    switch to a broadcast at runtime, using the *measured* shuffle size.
-    """
-    return F.broadcast(df) if small else df
-
-
-def maybe_broadcast(
-    df: DataFrame, max_rows: int, small: bool | None = None, max_bytes: int | None = None
-) -> DataFrame:
-    """Broadcast ``df`` if ``small`` (or, when unknown, if a count proves it)."""
-    if small is None:
-        small = max_rows > 0 and has_at_most(df, max_rows, max_bytes)
-    return broadcast_if(df, small)
+    return F.coalesce(key, F.concat(F.lit(_NEVER), row_id.cast("string")), F.lit(_NEVER))

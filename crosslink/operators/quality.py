@@ -10,10 +10,11 @@ game's columns), so the review table is not walked again for the report.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import DataType, IntegralType, NumericType
 
 from crosslink.config import MEAN_DECIMALS, Options
 from crosslink.functions import null_or_nan
@@ -21,9 +22,6 @@ from crosslink.operators.aggregate import FLAGS_PRESENT
 from crosslink.operators.resolve import MATCH_STAGE
 from crosslink.sources.readers import Sources
 
-REPORT_SCHEMA = "section string, subject string, metric string, value double"
-
-
 def _stack(pairs: Sequence[tuple[str, Column]], key: str, val: str) -> Column:
     """``stack`` expression turning ``(name, value)`` pairs into rows."""
     args: list[Column] = [F.lit(len(pairs))]
@@ -32,79 +30,56 @@ def _stack(pairs: Sequence[tuple[str, Column]], key: str, val: str) -> Column:
     return F.stack(*args).alias(key, val)
 
 
-def record_counts(sources: Sources, known: dict[str, int] | None = None) -> DataFrame:
-    """``(source, num_rows, num_columns)`` for every present source.
+def _union(frames: Sequence[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, frames)
 
-    ``known`` holds counts already measured (e.g. observed while the job ran,
-    see ``plans.pipeline``); only the other sources are scanned.
-    """
-    known = known or {}
-    spark = sources.games.sparkSession
-    frames = []
-    measured = [(n, known[n], len(df.columns)) for n, df in sources.items() if n in known]
-    if measured:
-        frames.append(spark.createDataFrame(measured, "source string, num_rows long, num_columns int"))
-    for name, df in sources.items():
-        if name in known:
-            continue
-        frames.append(
+
+def record_counts(sources: Sources) -> DataFrame:
+    """``(source, num_rows, num_columns)`` for every present source."""
+    return _union(
+        [
             df.agg(F.count(F.lit(1)).alias("num_rows")).select(
-                F.lit(name).alias("source"),
-                F.col("num_rows"),
-                F.lit(len(df.columns)).alias("num_columns"),
+                F.lit(name).alias("source"), "num_rows", F.lit(len(df.columns)).alias("num_columns")
             )
-        )
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+            for name, df in sources.items()
+        ]
+    )
 
 
-def profile_exprs(df: DataFrame, columns: Sequence[str]) -> list[Column]:
-    """Aggregate expressions of a raw-source profile: rows, nulls per column.
+def source_report(sources: Sources, options: Options) -> DataFrame:
+    """Report rows of the raw sources: counts, null rates, too few records.
 
-    Usable both in ``agg`` and in ``observe`` (metrics gathered while another
-    job reads the source).
+    One aggregation over each source's critical columns only; all its report
+    rows are unpacked from that one row.
     """
-    present = [c for c in columns if c in df.columns]
-    return [F.count(F.lit(1)).alias("rows")] + [
-        F.sum(F.when(F.col(c).isNull(), 1).otherwise(0)).alias(f"nulls_{c}") for c in present
-    ]
+    frames = []
+    for name, df in sources.items():
+        present = [c for c in options.critical_columns if c in df.columns]
+        nulls = [F.count(F.when(F.col(c).isNull(), 1)).alias(f"nulls_{i}") for i, c in enumerate(present)]
+        rows = F.col("rows").cast("double")
+        lines = [_line("record_counts", f"raw:{name}", "rows", rows)]
+        for i, c in enumerate(present):
+            rate = F.when(rows == 0, F.lit(0.0)).otherwise(F.col(f"nulls_{i}") / rows)
+            lines.append(_line("raw_null_rates", f"{name}.{c}", "null_rate", rate))
+        low = F.when(rows < options.min_expected_records, rows)
+        lines.append(_line("threshold_violations", f"min_records:{name}", "observed", low))
+        frames.append(_lines(df.agg(F.count(F.lit(1)).alias("rows"), *nulls), lines))
+    return _union(frames)
+
+
+def _line(section: str, subject: str, metric: str, value: Column) -> Column:
+    return F.struct(
+        F.lit(section).alias("section"),
+        F.lit(subject).alias("subject"),
+        F.lit(metric).alias("metric"),
+        value.cast("double").alias("value"),
+    )
 
 
-def source_profiles(
-    sources: Sources,
-    columns: Sequence[str],
-    known: dict[str, dict[str, int]] | None = None,
-) -> DataFrame:
-    """``(source, column_name, num_rows, num_nulls)`` per source and column.
-
-    ``column_name`` is null on the row-count line of each source. ``known``
-    holds profiles already observed during the job; the other sources are
-    profiled with one aggregation each.
-    """
-    known = known or {}
-    spark = sources.games.sparkSession
-    schema = "source string, column_name string, num_rows long, num_nulls long"
-    rows, frames = [], []
-    for name, df in sources.items():
-        present = [c for c in columns if c in df.columns]
-        if name in known:
-            m = known[name]
-            rows.append((name, None, int(m["rows"]), None))
-            rows += [(name, c, int(m["rows"]), int(m[f"nulls_{c}"] or 0)) for c in present]
-            continue
-        one = df.agg(*profile_exprs(df, columns))
-        pairs = [F.struct(F.lit(None).cast("string").alias("c"), F.lit(None).cast("long").alias("n"))]
-        pairs += [F.struct(F.lit(c).alias("c"), F.col(f"nulls_{c}").cast("long").alias("n")) for c in present]
-        frames.append(
-            one.select(F.lit(name).alias("source"), F.col("rows").alias("num_rows"), F.inline(F.array(*pairs)))
-            .select("source", F.col("c").alias("column_name"), "num_rows", F.col("n").alias("num_nulls"))
-        )
-    out = spark.createDataFrame(rows, schema) if rows else None
-    for f in frames:
-        out = f if out is None else out.unionByName(f)
-    return out
+def _lines(one: DataFrame, lines: Sequence[Column]) -> DataFrame:
+    """Report rows out of a one-row aggregate; a violation that is null did not occur."""
+    out = one.select(F.inline(F.array(*lines)))
+    return out.filter((F.col("section") != "threshold_violations") | F.col("value").isNotNull())
 
 
 def null_rates(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -133,10 +108,17 @@ def null_rates(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return counts.select(_stack(pairs, "column_name", "null_rate"))
 
 
+def mean(c: str, dtype: DataType) -> Column:
+    if isinstance(dtype, IntegralType):
+        return F.sum(c).cast("double") / F.count(c)
+    return F.round(F.avg(c), MEAN_DECIMALS)
+
+
 def summary_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(column_name, min, max, mean)`` of the numeric columns present.
 
-    ``mean`` is rounded to ``MEAN_DECIMALS`` (order-independent result).
+    The mean of an integer column is exact, that of a floating-point column
+    has ``MEAN_DECIMALS`` decimals (see ``config``).
     """
     dtypes = {f.name: f.dataType for f in df.schema.fields}
     avail = [c for c in columns if c in dtypes and isinstance(dtypes[c], NumericType)]
@@ -148,7 +130,7 @@ def summary_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         aggs += [
             F.min(c).cast("double").alias(f"_mi{i}"),
             F.max(c).cast("double").alias(f"_ma{i}"),
-            F.round(F.avg(c), MEAN_DECIMALS).alias(f"_me{i}"),
+            mean(c, dtypes[c]).alias(f"_me{i}"),
         ]
     one = df.agg(*aggs)
     rows = F.array(
@@ -168,21 +150,21 @@ def summary_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def match_rate(summary: DataFrame) -> DataFrame:
     """Distinct games with a KB entity / distinct games, as a percentage.
 
-    One pass; ``(0, 0, 0.0)`` on empty input. With a ``wd_match_stage``
-    column the matches are also split into ``id`` and ``title`` stage.
+    ``(0, 0, 0.0)`` on empty input. With a ``wd_match_stage`` column the
+    matches are also split into ``id`` and ``title`` stage. Rows are reduced
+    to one per game first (a partial aggregate, no row expansion).
     """
     has_stage = MATCH_STAGE in summary.columns
-    matched_key = F.when(F.col("wikidata_qid").isNotNull(), F.col("app_id"))
-    aggs = [
-        F.count_distinct(matched_key).alias("matched"),
-        F.count_distinct("app_id").alias("total"),
-    ]
+    hits = [("matched", F.col("wikidata_qid").isNotNull())]
     if has_stage:
-        aggs += [
-            F.count_distinct(F.when(F.col(MATCH_STAGE) == "id", F.col("app_id"))).alias("matched_by_id"),
-            F.count_distinct(F.when(F.col(MATCH_STAGE) == "title", F.col("app_id"))).alias("matched_by_title"),
-        ]
-    out = summary.agg(*aggs)
+        hits += [(f"matched_by_{s}", F.col(MATCH_STAGE) == s) for s in ("id", "title")]
+    games = summary.filter(F.col("app_id").isNotNull()).groupBy("app_id")
+    games = games.agg(*[F.max(F.coalesce(c, F.lit(False))).alias(n) for n, c in hits])
+    out = games.agg(
+        F.count_if(F.col("matched")).alias("matched"),
+        F.count(F.lit(1)).alias("total"),
+        *[F.count_if(F.col(n)).alias(n) for n, _ in hits[1:]],
+    )
     return out.withColumn(
         "match_rate_pct",
         F.when(F.col("total") == 0, F.lit(0.0)).otherwise(F.col("matched") / F.col("total") * 100),
@@ -225,12 +207,12 @@ def threshold_violations(
     return low.unionByName(high)
 
 
-def _facts_metrics(facts: DataFrame, options: Options) -> DataFrame:
-    """Every game-grain metric of the report from ONE aggregation pass.
+def facts_report(facts: DataFrame, options: Options) -> DataFrame:
+    """Every game-grain row of the report from ONE aggregation pass.
 
-    Stage counts, weighted null rates of the processed stage, summary
-    statistics and match rate are all expressions of a single ``agg`` over
-    ``facts``; the one-row result is unpivoted with ``stack``.
+    ``facts`` has one row per game, so matches are conditional counts. Stage
+    counts, weighted null rates of the processed stage and their violations,
+    summary statistics and match rate are unpacked from one aggregate row.
     """
     dtypes = {f.name: f.dataType for f in facts.schema.fields}
     total = F.coalesce(F.sum("num_reviews"), F.lit(0))
@@ -253,11 +235,10 @@ def _facts_metrics(facts: DataFrame, options: Options) -> DataFrame:
             metrics += [
                 ("summary_stats", c, "min", F.min(c)),
                 ("summary_stats", c, "max", F.max(c)),
-                ("summary_stats", c, "mean", F.round(F.avg(c), MEAN_DECIMALS)),
+                ("summary_stats", c, "mean", mean(c, dtypes[c])),
             ]
     if "wikidata_qid" in dtypes:
-        matched = F.count_distinct(F.when(F.col("wikidata_qid").isNotNull(), F.col("app_id")))
-        games = F.count_distinct("app_id")
+        matched, games = F.count("wikidata_qid"), F.count(F.lit(1))
         metrics += [
             ("match_rate", "kb", "matched", matched),
             ("match_rate", "kb", "total", games),
@@ -265,62 +246,24 @@ def _facts_metrics(facts: DataFrame, options: Options) -> DataFrame:
         ]
         if MATCH_STAGE in dtypes:
             for stage in ("id", "title"):
-                hit = F.count_distinct(F.when(F.col(MATCH_STAGE) == stage, F.col("app_id")))
-                metrics.append(("match_rate", "kb", f"matched_by_{stage}", hit))
+                metrics.append(("match_rate", "kb", f"matched_by_{stage}", F.count_if(F.col(MATCH_STAGE) == stage)))
     one = facts.agg(*[m[3].cast("double").alias(f"_m{i}") for i, m in enumerate(metrics)])
-    args: list[Column] = [F.lit(len(metrics))]
+    lines = []
     for i, (section, subject, metric, _) in enumerate(metrics):
-        args += [F.lit(section), F.lit(subject), F.lit(metric), F.col(f"_m{i}")]
-    return one.select(F.stack(*args).alias("section", "subject", "metric", "value"))
+        value = F.col(f"_m{i}")
+        lines.append(_line(section, subject, metric, value))
+        if section == "null_rates":
+            high = F.when(~F.isnan(value) & (value > options.max_null_rate), value)
+            lines.append(_line("threshold_violations", f"max_null_rate:{subject}", "observed", high))
+    return _lines(one, lines)
 
 
-def dq_report(
-    sources: Sources,
-    facts: DataFrame,
-    options: Options = Options(),
-    known_profiles: dict[str, dict[str, int]] | None = None,
-) -> DataFrame:
+def dq_report(sources: Sources, facts: DataFrame, options: Options = Options()) -> DataFrame:
     """The full report as ``(section, subject, metric, value)`` rows.
 
     ``facts`` is the game-grain table of ``aggregate.game_facts`` (the job
-    checkpoints it first). Game-grain metrics come from one pass over it
-    (``_facts_metrics``); raw sources contribute one count each; threshold
-    violations are filters over those two metric frames. Raw sources give
-    their row counts and the null rates of the critical columns they hold
-    (``raw_null_rates``; the processed-stage rates are structurally 0 after
-    the required-field filter). ``known_profiles`` are raw-source profiles
-    observed during the job (not scanned again).
+    writes it first). One aggregate over it and one over each raw source's
+    critical columns give all sections, violations included. Without a KB there
+    are no ``match_rate`` rows.
     """
-    profiles = source_profiles(sources, options.critical_columns, known_profiles)
-    widths = {name: len(df.columns) for name, df in sources.items()}
-    width_col = F.create_map(*[x for n, w in widths.items() for x in (F.lit(n), F.lit(w))])
-    counts = profiles.filter(F.col("column_name").isNull()).select(
-        "source", "num_rows", width_col[F.col("source")].alias("num_columns")
-    )
-    raw_nulls = profiles.filter(F.col("column_name").isNotNull()).select(
-        F.lit("raw_null_rates").alias("section"),
-        F.concat(F.col("source"), F.lit("."), F.col("column_name")).alias("subject"),
-        F.lit("null_rate").alias("metric"),
-        F.when(F.col("num_rows") == 0, F.lit(0.0)).otherwise(F.col("num_nulls") / F.col("num_rows")).alias("value"),
-    )
-    fm = _facts_metrics(facts, options)
-    rates = fm.filter(F.col("section") == "null_rates").select(
-        F.col("subject").alias("column_name"), F.col("value").alias("null_rate")
-    )
-    raw = counts.select(
-        F.lit("record_counts").alias("section"),
-        F.concat(F.lit("raw:"), F.col("source")).alias("subject"),
-        F.lit("rows").alias("metric"),
-        F.col("num_rows").cast("double").alias("value"),
-    )
-    violations = threshold_violations(counts, rates, options).select(
-        F.lit("threshold_violations").alias("section"),
-        F.concat(F.col("check_name"), F.lit(":"), F.col("subject")).alias("subject"),
-        F.lit("observed").alias("metric"),
-        F.col("observed").alias("value"),
-    )
-    return raw.unionByName(raw_nulls).unionByName(fm).unionByName(violations)
-
-
-def empty_report(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], REPORT_SCHEMA)
+    return source_report(sources, options).unionByName(facts_report(facts, options))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from crosslink.config import Options
 from crosslink.functions import title_key, to_int_key
 from crosslink.operators.clean import dedup_first
-from crosslink.operators.joins import has_at_most, maybe_broadcast
+from crosslink.operators.joins import spread_nulls
 from crosslink.schemas import KB_RESULT_FIELDS
 
 ID_HIT = "_kb_id_hit"
@@ -47,13 +47,9 @@ def kb_by_title(kb: DataFrame, empty_matches: bool = False, suffix: str = "", ex
     return dedup_first(df, ["title_key"], [c + suffix for c in _TIE_ORDER])
 
 
-def join_kb_by_id(
-    df: DataFrame, kb: DataFrame, options: Options = Options(), small: bool | None = None
-) -> DataFrame:
+def join_kb_by_id(df: DataFrame, kb: DataFrame) -> DataFrame:
     """df ⟕ stage-1 entities on ``app_id``; adds ``wikidata_qid, wd_*``."""
-    side = kb_by_id(kb, extra=[F.lit(True).alias(ID_HIT)])
-    side = maybe_broadcast(side, options.broadcast_max_rows, small, options.broadcast_max_bytes)
-    return df.join(side, "app_id", "left")
+    return df.join(kb_by_id(kb, extra=[F.lit(True).alias(ID_HIT)]), "app_id", "left")
 
 
 def join_kb_by_title(
@@ -61,14 +57,12 @@ def join_kb_by_title(
     kb: DataFrame,
     options: Options = Options(),
     title_col: str = "title",
-    small: bool | None = None,
 ) -> DataFrame:
     """df ⟕ stage-2 entities on the normalized title; adds ``*_t`` fields."""
     side = kb_by_title(
         kb, options.empty_title_matches, TITLE_SUFFIX, [F.lit(True).alias(TITLE_HIT)]
     )
-    side = maybe_broadcast(side, options.broadcast_max_rows, small, options.broadcast_max_bytes)
-    key = title_key(df[title_col], options.empty_title_matches)
+    key = spread_nulls(title_key(df[title_col], options.empty_title_matches), df["app_id"])
     return df.join(side, key == side["title_key"], "left").drop(side["title_key"])
 
 
@@ -102,20 +96,12 @@ def resolve_entities(
     options: Options = Options(),
     title_col: str = "title",
     provenance: bool = False,
-    small: bool | None = None,
 ) -> DataFrame:
     """Two-stage ER on a game-grain frame with ``app_id`` and ``title_col``.
 
     Stage 2 is evaluated for every row (as in the reference), so with the
     default field-wise fallback a stage-1 match with a null field takes that
     field from the title match. ``provenance`` adds ``wd_match_stage``.
-    ``small`` is the broadcast decision for both KB sides; when not given it
-    is probed once on the raw KB (de-duplication only removes rows).
     """
-    if small is None:
-        small = options.broadcast_max_rows > 0 and has_at_most(
-            kb, options.broadcast_max_rows, options.broadcast_max_bytes
-        )
-    staged = join_kb_by_id(df, kb, options, small)
-    staged = join_kb_by_title(staged, kb, options, title_col, small)
+    staged = join_kb_by_title(join_kb_by_id(df, kb), kb, options, title_col)
     return coalesce_fields(staged, options.fallback, provenance)

@@ -46,18 +46,17 @@ m AS (
               ELSE string_split(p_name, ' ') END AS tags
   FROM part WHERE p_partkey % 10 <> 9),
 s AS (
-  SELECT p_partkey AS appid,
+  SELECT CASE WHEN p_partkey % 10 = 6 THEN -1 - p_partkey ELSE p_partkey END AS appid,
          CASE WHEN p_partkey % 40 = 0 THEN NULL ELSE CAST(floor(p_retailprice) AS INTEGER) END AS price
-  FROM part WHERE p_partkey % 20 = 0),
+  FROM part),
+ns AS (SELECT count(*) AS n FROM supplier),
 sup AS (
   SELECT s_suppkey, s_name, n_name
   FROM supplier JOIN nation ON s_nationkey = n_nationkey
-  WHERE s_suppkey BETWEEN -9 AND 9
   QUALIFY row_number() OVER (PARTITION BY s_suppkey ORDER BY s_name NULLS LAST, n_name NULLS LAST) = 1),
 supl AS (
   SELECT s_suppkey, s_name, n_name
   FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey
-  WHERE s_suppkey BETWEEN -9 AND 9
   QUALIFY row_number() OVER (PARTITION BY s_suppkey ORDER BY s_name NULLS LAST, n_name NULLS LAST) = 1),
 c AS (SELECT * FROM (VALUES ('RED', 'Warm'), ('Hot', 'Warm'), ('small', 'Size'), ('Old', 'Age')) t(genre, category)),
 k AS (
@@ -70,7 +69,7 @@ k AS (
          CASE WHEN p_partkey % 11 = 0 THEN CAST(p_size * 2 AS VARCHAR) END AS metacritic,
          CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE s_name END AS publisher,
          n_name AS country
-  FROM part JOIN sup ON s_suppkey = p_partkey % 10
+  FROM part JOIN sup ON s_suppkey = p_partkey % (SELECT n FROM ns)
   WHERE p_partkey % 5 < 3
   UNION ALL
   SELECT 'QD' || CAST(p_partkey AS VARCHAR), '{URI}QD' || CAST(p_partkey AS VARCHAR), CAST(p_partkey AS VARCHAR),
@@ -89,7 +88,7 @@ gc AS (
 mc AS (
   SELECT TRY_CAST(app_id AS INTEGER) AS app_id, tags FROM m
   WHERE TRY_CAST(app_id AS INTEGER) IS NOT NULL
-  QUALIFY row_number() OVER (PARTITION BY TRY_CAST(app_id AS INTEGER) ORDER BY tags NULLS LAST) = 1),
+  QUALIFY row_number() OVER (PARTITION BY TRY_CAST(app_id AS INTEGER) ORDER BY tags[1] NULLS LAST, len(tags) NULLS LAST) = 1),
 sc AS (
   SELECT TRY_CAST(appid AS INTEGER) AS app_id, price FROM s
   WHERE TRY_CAST(appid AS INTEGER) IS NOT NULL
@@ -158,19 +157,21 @@ enriched AS (
 bind AS (
   SELECT p_partkey AS p, v.variant,
          CAST(floor(p_partkey / 100) AS BIGINT) AS page_no,
-         CASE WHEN v.variant = 2 THEN NULL ELSE 'Q' || CAST(p_partkey AS VARCHAR) END AS wikidata_qid,
-         CASE WHEN v.variant = 2 THEN '' ELSE '{URI}Q' || CAST(p_partkey AS VARCHAR) END AS wikidata_uri,
+         CASE WHEN v.variant = 2 THEN NULL WHEN v.variant = 3 THEN '' ELSE 'Q' || CAST(p_partkey AS VARCHAR) END AS wikidata_qid,
+         CASE WHEN v.variant = 2 THEN '' WHEN v.variant = 3 THEN '{URI}' ELSE '{URI}Q' || CAST(p_partkey AS VARCHAR) END AS wikidata_uri,
          CASE WHEN p_partkey % 5 IN (0, 1, 3) THEN CAST(p_partkey AS INTEGER) END AS steam_app_id,
          CASE WHEN v.variant = 2 THEN 'unnamed ' || CAST(p_partkey AS VARCHAR)
+              WHEN v.variant = 3 THEN 'no id ' || CAST(p_partkey AS VARCHAR)
               ELSE p_name || ' ' || lower(p_brand) || ' ' || CAST(p_partkey AS VARCHAR) END AS name,
          CASE WHEN p_partkey % 3 <> 0 THEN CAST(p_size + 1970 AS VARCHAR) || '-01-01T00:00:00Z' END AS release_date,
          CASE WHEN p_partkey % 11 = 0 THEN CAST(p_size * 2 AS VARCHAR) END AS metacritic,
          CASE WHEN v.variant = 1 THEN 'Second publisher' WHEN p_partkey % 7 <> 0 THEN s_name END AS publisher,
          n_name AS country
   FROM part
-  LEFT JOIN supl ON s_suppkey = p_partkey % 10
-  JOIN (VALUES (0), (1), (2)) v(variant)
-    ON v.variant = 0 OR (v.variant = 1 AND p_partkey % 13 = 0) OR (v.variant = 2 AND p_partkey % 17 = 0)),
+  LEFT JOIN supl ON s_suppkey = p_partkey % (SELECT n FROM ns)
+  JOIN (VALUES (0), (1), (2), (3)) v(variant)
+    ON v.variant = 0 OR (v.variant = 1 AND p_partkey % 13 = 0) OR (v.variant = 2 AND p_partkey % 17 = 0)
+       OR (v.variant = 3 AND p_partkey % 19 = 0)),
 bindings AS (
   SELECT page_no,
          CAST(row_number() OVER (PARTITION BY page_no ORDER BY p, variant) - 1 AS INTEGER) AS pos,
@@ -185,7 +186,7 @@ def _w(sql: str) -> str:
     return f"WITH {BASE.strip()}\n{sql.strip()}"
 
 
-def _dropna_part(name: str, src: str, key: str, cond: str) -> str:
+def _dropna_part(name: str, src: str, cond: str) -> str:
     return (
         f"SELECT '{name}' AS source, count(*) AS rows_before, "
         f"CAST(sum(CASE WHEN {cond} THEN 1 ELSE 0 END) AS BIGINT) AS rows_after FROM {src}"
@@ -238,7 +239,7 @@ def _sql() -> dict[str, str]:
     )
     o["dedup_kb_by_qid"] = _w(
         f"SELECT page_no, pos, {KB_FLAT_COLS} FROM bindings "
-        "QUALIFY wikidata_qid IS NULL OR row_number() OVER (PARTITION BY wikidata_qid ORDER BY page_no, pos) = 1"
+        "QUALIFY wikidata_qid IS NULL OR wikidata_qid = '' OR row_number() OVER (PARTITION BY wikidata_qid ORDER BY page_no, pos) = 1"
     )
     o["parse_popularity_payload"] = _w(
         """
@@ -248,7 +249,7 @@ def _sql() -> dict[str, str]:
                CAST(p_size * 10 AS INTEGER) AS average_forever, CAST(p_size * 5 AS INTEGER) AS median_forever,
                CAST(p_size AS INTEGER) AS ccu,
                CASE WHEN p_partkey % 40 <> 0 THEN CAST(floor(p_retailprice) AS INTEGER) END AS price
-        FROM part WHERE p_partkey % 20 = 0
+        FROM part
         """
     )
     o["csv_preview"] = _w(f"SELECT * FROM summary ORDER BY app_id LIMIT {Q.PREVIEW_N}")
@@ -289,9 +290,9 @@ def _sql() -> dict[str, str]:
     o["dropna_required"] = _w(
         " UNION ALL ".join(
             [
-                _dropna_part("games", "g", "app_id", "TRY_CAST(app_id AS INTEGER) IS NOT NULL AND title IS NOT NULL"),
-                _dropna_part("metadata", "m", "app_id", "TRY_CAST(app_id AS INTEGER) IS NOT NULL"),
-                _dropna_part("recs", "r", "app_id", "TRY_CAST(app_id AS INTEGER) IS NOT NULL AND is_recommended IS NOT NULL"),
+                _dropna_part("games", "g", "TRY_CAST(app_id AS INTEGER) IS NOT NULL AND title IS NOT NULL"),
+                _dropna_part("metadata", "m", "TRY_CAST(app_id AS INTEGER) IS NOT NULL"),
+                _dropna_part("recs", "r", "TRY_CAST(app_id AS INTEGER) IS NOT NULL AND is_recommended IS NOT NULL"),
             ]
         )
     )
@@ -351,10 +352,10 @@ def _sql() -> dict[str, str]:
         SELECT 'steam_recommend_rate' AS column_name, CAST(min(steam_recommend_rate) AS DOUBLE) AS min,
                CAST(max(steam_recommend_rate) AS DOUBLE) AS max, round(avg(steam_recommend_rate), 9) AS mean FROM summary
         UNION ALL
-        SELECT 'num_reviews', CAST(min(num_reviews) AS DOUBLE), CAST(max(num_reviews) AS DOUBLE), round(avg(num_reviews), 9) FROM summary
+        SELECT 'num_reviews', CAST(min(num_reviews) AS DOUBLE), CAST(max(num_reviews) AS DOUBLE), CAST(sum(num_reviews) AS DOUBLE) / count(num_reviews) FROM summary
         UNION ALL
         SELECT 'num_positive_reviews', CAST(min(num_positive_reviews) AS DOUBLE), CAST(max(num_positive_reviews) AS DOUBLE),
-               round(avg(num_positive_reviews), 9) FROM summary
+               CAST(sum(num_positive_reviews) AS DOUBLE) / count(num_positive_reviews) FROM summary
         """
     )
     o["rate_by_country"] = _w(
@@ -366,14 +367,19 @@ def _sql() -> dict[str, str]:
         FROM summary WHERE wd_country IS NOT NULL GROUP BY wd_country
         """
     )
-    crit = ("app_id", "title", "is_recommended")
     o["threshold_violations"] = (
         f"WITH {BASE.strip()},\n{_COUNTS.strip()},\n"
-        f"rates AS ({_null_rate_sql('enriched', crit)})\n"
+        f"rates AS ({_null_rate_sql('g', ('app_id', 'title'))} UNION ALL {_null_rate_sql('r', ('is_recommended',))})\n"
         "SELECT 'min_records' AS check_name, source AS subject, CAST(num_rows AS DOUBLE) AS observed, "
         "100.0 AS threshold FROM counts WHERE num_rows < 100\n"
-        "UNION ALL SELECT 'max_null_rate', column_name, null_rate, 0.05 FROM rates WHERE null_rate > 0.05"
+        "UNION ALL SELECT 'max_null_rate', column_name, null_rate, "
+        f"{Q.MAX_NULL_RATE}::DOUBLE FROM rates WHERE null_rate > {Q.MAX_NULL_RATE}"
     )
+    o["load_sources"] = o["game_summary"]
+    o["run_pipeline"] = o["game_summary"]
+    o["required_sources"] = " UNION ALL ".join(
+        f"SELECT '{t}' AS source, true AS present, count(*) AS num_rows FROM {t}" for t in sorted(Q.REQUIRED_TABLES)
+    ) + " UNION ALL SELECT 'absent', false, 0"
     o["dq_report"] = (
         f"WITH {BASE.strip()},\n{_COUNTS.strip()},\n"
         """
@@ -408,10 +414,10 @@ def _sql() -> dict[str, str]:
         UNION ALL SELECT 'summary_stats', 'steam_recommend_rate', 'mean', round(avg(steam_recommend_rate), 9) FROM facts
         UNION ALL SELECT 'summary_stats', 'num_reviews', 'min', CAST(min(num_reviews) AS DOUBLE) FROM facts
         UNION ALL SELECT 'summary_stats', 'num_reviews', 'max', CAST(max(num_reviews) AS DOUBLE) FROM facts
-        UNION ALL SELECT 'summary_stats', 'num_reviews', 'mean', round(avg(num_reviews), 9) FROM facts
+        UNION ALL SELECT 'summary_stats', 'num_reviews', 'mean', CAST(sum(num_reviews) AS DOUBLE) / count(num_reviews) FROM facts
         UNION ALL SELECT 'summary_stats', 'num_positive_reviews', 'min', CAST(min(num_positive_reviews) AS DOUBLE) FROM facts
         UNION ALL SELECT 'summary_stats', 'num_positive_reviews', 'max', CAST(max(num_positive_reviews) AS DOUBLE) FROM facts
-        UNION ALL SELECT 'summary_stats', 'num_positive_reviews', 'mean', round(avg(num_positive_reviews), 9) FROM facts
+        UNION ALL SELECT 'summary_stats', 'num_positive_reviews', 'mean', CAST(sum(num_positive_reviews) AS DOUBLE) / count(num_positive_reviews) FROM facts
         UNION ALL SELECT 'threshold_violations', 'min_records:' || source, 'observed', CAST(num_rows AS DOUBLE)
                   FROM counts WHERE num_rows < 100
         UNION ALL SELECT 'threshold_violations', 'max_null_rate:' || column_name, 'observed', null_rate

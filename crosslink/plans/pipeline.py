@@ -4,15 +4,14 @@ from __future__ import annotations
 
 import logging
 import time
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from crosslink.config import Options
 from crosslink.operators.aggregate import game_facts, result_columns
-from crosslink.operators.enrich import probe_dimensions
-from crosslink.operators.quality import dq_report, profile_exprs, sample_rows
-from crosslink.session import checkpoint_dir
+from crosslink.operators.quality import dq_report, sample_rows
+from crosslink.session import scratch_path
 from crosslink.sinks import write_csv_preview, write_parquet
 from crosslink.sinks.report import write_report_markdown
 from crosslink.sources.readers import Sources
@@ -20,21 +19,6 @@ from crosslink.sources.readers import Sources
 log = logging.getLogger(__name__)
 
 
-# Sources read exactly once by the facts plan; their row counts are observed
-# while it runs (the KB feeds two join stages, so it is counted separately).
-_OBSERVED = ("games", "metadata", "recs", "popularity", "categories")
-
-
-def _observe_sources(sources: Sources, options: Options) -> tuple[Sources, dict[str, Observation]]:
-    """Attach a profile (rows, nulls of critical columns) to each source."""
-    obs = {name: Observation(f"crosslink_profile_{name}") for name in _OBSERVED}
-    observed = {}
-    for name, o in obs.items():
-        df = getattr(sources, name)
-        observed[name] = df.observe(o, *profile_exprs(df, options.critical_columns))
-    return replace(sources, **observed), obs
-
-
 @dataclass
 class PipelineResult:
     result: DataFrame  # the written result, read back
@@ -55,21 +39,15 @@ def run_pipeline(
 ) -> PipelineResult:
     """Run the job; outputs land under ``out_dir`` (shared storage).
 
-    The game-grain facts are checkpointed (reliably, to the cluster's
-    checkpoint folder): the result, the preview and the report all read that
-    small table, so the review table is scanned and shuffled exactly once.
-    Raw-source profiles for the report (row counts, nulls of critical
-    columns) are ``observe()``-d during that same pass instead of being
-    scanned again.
+    The game-grain facts are written once: the result, the preview and the
+    report all read that small table, so the review table is shuffled exactly
+    once. Raw counts and null rates come from plain aggregates over the critical
+    columns, so they stay right when a lost executor's stage runs again.
     """
     start = time.time()
     out = out_dir.rstrip("/")
-    checkpoint_dir(spark)
-    small = probe_dimensions(sources, options)
-    observed, observations = _observe_sources(sources, options)
-    facts = game_facts(observed, options, provenance=sources.kb is not None, small=small)
-    facts = facts.checkpoint(eager=True)
-    profiles = {name: dict(o.get) for name, o in observations.items()}
+    facts = game_facts(sources, options, provenance=sources.kb is not None)
+    facts = spark.read.parquet(write_parquet(facts, scratch_path(spark, "facts")))
 
     result_path = write_parquet(facts.select(*result_columns(facts)), f"{out}/result_parquet")
     preview_path = write_csv_preview(
@@ -77,13 +55,12 @@ def run_pipeline(
     )
     runtime = time.time() - start
 
-    report = dq_report(sources, facts, options, known_profiles=profiles)
-    report_path = write_parquet(report, f"{out}/dq_report")
+    report_path = write_parquet(dq_report(sources, facts, options), f"{out}/dq_report")
     report = spark.read.parquet(report_path)
     samples = sample_rows(spark.read.parquet(result_path), options.sample_rows)
     samples_path = write_parquet(samples.coalesce(1), f"{out}/dq_samples")
     markdown_path = write_report_markdown(
-        spark, report, f"{out}/dq_report_md", spark.read.parquet(samples_path), runtime
+        spark, report, f"{out}/dq_report_md", spark.read.parquet(samples_path), runtime, options.rendered_sample_rows
     )
     for row in report.filter("section = 'threshold_violations'").collect():
         log.warning("threshold violated: %s = %s", row["subject"], row["value"])

@@ -9,6 +9,7 @@ to the name used by the SQL oracle in ``plans.oracle``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,10 +19,12 @@ from crosslink import schemas
 from crosslink.config import Options
 from crosslink.functions import flag_to_int, normalize_title, primary_tag, tag_count, to_int_key
 from crosslink.operators import aggregate, clean, enrich, quality, resolve
+from crosslink.plans.pipeline import run_pipeline
 from crosslink.session import scratch_path
 from crosslink.sinks import write_csv, write_csv_preview, write_json_lines, write_parquet
 from crosslink.sources import payloads, standins
-from crosslink.sources.readers import read_csv, read_json_lines
+from crosslink.sources.contract import require
+from crosslink.sources.readers import SourcePaths, load_sources, read_csv, read_json_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +35,8 @@ TOP_K = 10
 CAP_ROWS = 1000
 SAMPLE_N = 5
 PREVIEW_N = 100
+MAX_NULL_RATE = 0.015  # of the raw columns: titles are null in 2 %, flags in 1 %
+REQUIRED_TABLES = ("part", "supplier", "orders", "lineitem")
 NULL_RATE_COLUMNS = (
     "app_id", "title", "is_recommended", "primary_tag", "genre_category", "price", "wd_publisher",
 )
@@ -73,10 +78,63 @@ def q_scan_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_scan_json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """KB rows written as JSON lines and read back with the explicit schema."""
-    kb = standins.knowledge_base(spark, sf_dir).withColumn("steam_app_id", to_int_key("steam_app_id"))
-    path = write_json_lines(kb, scratch_path(spark, "kb_jsonl"))
-    return read_json_lines(spark, path, schemas.KB)
+    """KB rows written as JSON lines, ids bare or quoted, and read back with the explicit schema."""
+    path = _write_kb_lines(spark, sf_dir)
+    return read_json_lines(spark, path, schemas.KB).withColumn("steam_app_id", to_int_key("steam_app_id"))
+
+
+def _write_kb_lines(spark: SparkSession, sf_dir: str) -> str:
+    """The KB as JSON lines: ids of half the entities as numbers, all others as text."""
+    kb = standins.knowledge_base(spark, sf_dir)
+    bare = F.to_json(F.struct(*[to_int_key(c).alias(c) if c == "steam_app_id" else F.col(c) for c in kb.columns]))
+    number = to_int_key("steam_app_id")
+    line = F.when(number.isNotNull() & (number % 2 == 0), bare).otherwise(F.to_json(F.struct(*kb.columns)))
+    path = scratch_path(spark, "kb_jsonl")
+    kb.select(line.alias("value")).write.text(path)
+    return path
+
+
+def _file_paths(spark: SparkSession, sf_dir: str) -> SourcePaths:
+    """The stand-ins written as files, columns in another order and with columns of no use to the job."""
+    s = _src(spark, sf_dir)
+    at = lambda name: scratch_path(spark, name)
+    extra = F.lit("x").alias("note")
+    return SourcePaths(
+        games=write_csv(s.games.select(extra, "title", "app_id"), at("games_csv")),
+        metadata=write_json_lines(s.metadata.select(extra, "tags", "app_id"), at("metadata_jsonl")),
+        recs=write_csv(
+            s.recs.select("l_linenumber", extra, "is_recommended", "l_orderkey", "user_id", "l_shipdate", "app_id"), at("recs_csv")
+        ),
+        popularity=write_csv(s.popularity.select("price", extra, "appid"), at("popularity_csv")),
+        categories=write_csv(s.categories.select(extra, "category", "genre"), at("categories_csv")),
+        kb=_write_kb_lines(spark, sf_dir),
+        review_order=standins.REVIEW_ORDER,
+        review_types={"l_shipdate": "date", "l_orderkey": "bigint", "l_linenumber": "int"},
+    )
+
+
+def q_load_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files → ``load_sources`` → the flagship summary."""
+    return aggregate.game_summary(load_sources(spark, _file_paths(spark, sf_dir)))
+
+
+def q_run_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files → ``load_sources`` → ``run_pipeline``; the written result, read back."""
+    sources = load_sources(spark, _file_paths(spark, sf_dir))
+    return run_pipeline(spark, sources, scratch_path(spark, "job")).result
+
+
+def q_required_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which of the given tables pass the required-source contract; one absent path does not."""
+    names = [*sorted(REQUIRED_TABLES), "absent"]
+    found = []
+    for name in names:
+        try:
+            require(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
+            found.append(standins.table(spark, sf_dir, name).agg(F.count(F.lit(1)).alias("num_rows")).select(F.lit(name).alias("source"), F.lit(True).alias("present"), "num_rows"))
+        except FileNotFoundError:
+            found.append(spark.range(1).select(F.lit(name).alias("source"), F.lit(False).alias("present"), F.lit(0).cast("long").alias("num_rows")))
+    return reduce(DataFrame.unionByName, found)
 
 
 def q_optional_kb_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -177,8 +235,7 @@ def q_coalesce_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_join_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = _src(spark, sf_dir)
-    df = enrich.add_primary_tag(_games_meta(spark, sf_dir))
-    return enrich.join_category(df, enrich.clean_categories(s.categories)).select(
+    return enrich.join_category(_games_meta(spark, sf_dir), enrich.clean_categories(s.categories)).select(
         "app_id", "primary_tag", "genre_category"
     )
 
@@ -284,7 +341,7 @@ def q_resolve_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_enrich_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = enrich.enrich_reviews(_src(spark, sf_dir))
-    return df.drop("tags", "l_shipdate")
+    return df.drop("l_shipdate")
 
 
 # ---- G / H / I: aggregates, top-k, quality ----------------------------------------
@@ -307,8 +364,9 @@ def q_sample_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_threshold_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = _src(spark, sf_dir)
-    rates = quality.null_rates(enrich.enrich_reviews(s), Options().critical_columns)
-    return quality.threshold_violations(quality.record_counts(s), rates)
+    rates = quality.null_rates(s.games, ("app_id", "title")).unionByName(quality.null_rates(s.recs, ("is_recommended", "user_id")))
+    options = Options(max_null_rate=MAX_NULL_RATE, critical_columns=("app_id", "title", "is_recommended"))
+    return quality.threshold_violations(quality.record_counts(s), rates, options)
 
 
 QUERIES: dict[str, Query] = {
@@ -352,4 +410,7 @@ QUERIES: dict[str, Query] = {
     "rate_by_country": q_rate_by_country,
     "sample_rows": q_sample_rows,
     "threshold_violations": q_threshold_violations,
+    "load_sources": q_load_sources,
+    "run_pipeline": q_run_pipeline,
+    "required_sources": q_required_sources,
 }

@@ -59,7 +59,7 @@ KB_FIELDS = (
     "publisher",
     "country",
 )
-KB = _s(*[(f, IntegerType() if f == "steam_app_id" else STR) for f in KB_FIELDS])
+KB = _s(*[(f, STR) for f in KB_FIELDS])
 
 # The SPARQL result variables of one binding.
 KB_BINDING_VARS = (
@@ -75,7 +75,8 @@ _NODE = _s(("type", STR), ("value", STR))
 KB_BINDING = _s(*[(v, _NODE) for v in KB_BINDING_VARS])
 KB_PAYLOAD = _s(("results", _s(("bindings", ArrayType(KB_BINDING)))))
 
-POPULARITY_RECORD = _s(*[(f, IntegerType() if f in _POP_INT else STR) for f in POPULARITY_FIELDS])
+# The feed writes numbers bare or quoted: read as text, then converted.
+POPULARITY_RECORD = _s(*[(f, STR) for f in POPULARITY_FIELDS])
 POPULARITY_PAYLOAD = MapType(STR, POPULARITY_RECORD)
 
 # Knowledge-base fields carried to the result, as (source column, result column).

@@ -7,6 +7,7 @@ master is local (tests, laptops) do we create one under the system temp dir.
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -63,5 +64,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared checkpoint folder."""
-    return f"{checkpoint_dir(spark)}/scratch/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique path under the shared checkpoint folder, removed when the program ends."""
+    path = f"{checkpoint_dir(spark)}/scratch/{name}-{uuid.uuid4().hex[:12]}"
+    atexit.register(_remove, spark, path)
+    return path
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    """Delete a scratch path; a session that was stopped before keeps its files."""
+    sc = spark.sparkContext
+    if sc._jsc is None or sc._jvm is None:
+        return
+    at = sc._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(sc._jsc.hadoopConfiguration()).delete(at, True)

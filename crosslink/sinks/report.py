@@ -14,6 +14,8 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
+from crosslink.config import DEFAULT_PREVIEW_ROWS
+
 # Section order and headings of the rendered report.
 SECTIONS = (
     ("record_counts", "Record counts"),
@@ -24,8 +26,6 @@ SECTIONS = (
     ("threshold_violations", "Threshold violations (warnings)"),
 )
 
-# Upper bound on report and sample rows collected for rendering (there are a few dozen).
-MAX_REPORT_ROWS = 10_000
 
 
 def _fmt(v) -> str:
@@ -67,6 +67,9 @@ def render_report_markdown(
             lines += [f"## {n}. {heading}", ""]
             lines += _table(("check", "metric", "observed"), rows) if rows else ["None."]
             lines.append("")
+        elif section == "match_rate" and not rows:
+            n += 1
+            lines += [f"## {n}. {heading}", "", "No knowledge base was joined.", ""]
         elif rows:
             n += 1
             lines += [f"## {n}. {heading}", ""] + _table(("subject", "metric", "value"), rows) + [""]
@@ -86,18 +89,21 @@ def write_report_markdown(
     path: str,
     samples: DataFrame | None = None,
     runtime_seconds: float | None = None,
+    rendered_sample_rows: int = DEFAULT_PREVIEW_ROWS,
 ) -> str:
-    """Render ``report`` (and ``samples``) as Markdown; one text file under ``path``."""
-    rows = [tuple(r) for r in report.limit(MAX_REPORT_ROWS + 1).collect()]
-    if len(rows) > MAX_REPORT_ROWS:
-        raise ValueError(f"report has more than {MAX_REPORT_ROWS} rows; not a summary")
+    """Render ``report`` (and ``samples``) as Markdown; one text file under ``path``.
+
+    The report has a row per source, critical column and metric. Of the samples
+    the first ``rendered_sample_rows`` are shown; the sample table has them all.
+    """
+    rows = [tuple(r) for r in report.collect()]
     cols: list[str] = []
     srows: list[tuple] = []
     if samples is not None:
         cols = samples.columns
-        srows = [tuple(r) for r in samples.limit(MAX_REPORT_ROWS + 1).collect()]
-        if len(srows) > MAX_REPORT_ROWS:
-            raise ValueError(f"more than {MAX_REPORT_ROWS} sample rows; pass the sample, not the table")
+        srows = [tuple(r) for r in samples.limit(rendered_sample_rows).collect()]
     text = render_report_markdown(rows, cols, srows, runtime_seconds)
+    if samples is not None and len(srows) == rendered_sample_rows:
+        text += f"\n_At most {rendered_sample_rows} sample rows are shown._\n"
     spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
     return path

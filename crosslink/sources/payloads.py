@@ -13,6 +13,7 @@ The HTTP clients that fetch pages are not part of this library.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,8 +22,10 @@ from pyspark.sql import functions as F
 from crosslink import schemas
 from crosslink.config import DEFAULT_MAX_GAMES
 from crosslink.functions import qid_from_uri, to_int_key
-from crosslink.operators.clean import keep_first_or_null
-from crosslink.sources.standins import KB_URI_PREFIX, RESIDUES, supplier_slice, table
+from crosslink.operators.clean import keep_first_with_key
+from crosslink.sources.standins import KB_URI_PREFIX, parts_with_supplier, table
+
+log = logging.getLogger(__name__)
 
 ARRIVAL_ORDER = ("page_no", "pos")
 
@@ -65,14 +68,22 @@ def cap_rows(df: DataFrame, n: int = DEFAULT_MAX_GAMES, order: Sequence[str] = A
 
 
 def dedup_kb_by_qid(bindings: DataFrame, order: Sequence[str] = ARRIVAL_ORDER) -> DataFrame:
-    """Keep the first binding of each entity; bindings without an id are all kept."""
-    return keep_first_or_null(bindings, "wikidata_qid", list(order))
+    """Keep the first binding of each entity; bindings without an id (null or empty) are all kept."""
+    return keep_first_with_key(bindings, "wikidata_qid", list(order))
+
 
+def kb_from_pages(pages: DataFrame, max_games: int | None = None) -> DataFrame:
+    """Pages → flat → de-duplicated KB rows (the JSON-lines file).
 
-def kb_from_pages(pages: DataFrame, max_games: int | None = DEFAULT_MAX_GAMES) -> DataFrame:
-    """Pages → capped → flat → de-duplicated KB rows (the JSON-lines file)."""
+    ``max_games`` caps the bindings taken, in arrival order, as the acquisition
+    does (``DEFAULT_MAX_GAMES``); by default all are taken. A cap that removes
+    rows is logged with their number.
+    """
     flat = parse_kb_bindings(pages)
     if max_games is not None:
+        total = flat.count()
+        if total > max_games:
+            log.warning("cap of %d bindings: %d of %d left out", max_games, total - max_games, total)
         flat = cap_rows(flat, max_games)
     return dedup_kb_by_qid(flat).select(*schemas.KB_FIELDS)
 
@@ -82,13 +93,11 @@ def kb_payload_pages(spark: SparkSession, sf_dir: str, page_parts: int = 100) ->
 
     One binding per part; a second binding with another publisher for the
     same entity on some parts (the duplicate an OPTIONAL clause produces);
-    bindings without an entity URI on others. A page holds the bindings of
+    bindings without an entity URI, or with one that ends before the id, on
+    others. A page holds the bindings of
     ``page_parts`` consecutive parts, so page size stays bounded.
     """
-    part = table(spark, sf_dir, "part")
-    base = part.join(
-        supplier_slice(spark, sf_dir, how="left"), F.col("s_suppkey") == F.col("p_partkey") % RESIDUES, "left"
-    )
+    base = parts_with_supplier(spark, sf_dir, how="left")
     key = F.col("p_partkey")
     ks = key.cast("string")
 
@@ -121,6 +130,7 @@ def kb_payload_pages(spark: SparkSession, sf_dir: str, page_parts: int = 100) ->
         binding(0, uri, no_pub, label),
         F.when(key % 13 == 0, binding(1, uri, F.lit("Second publisher"), label)),
         F.when(key % 17 == 0, binding(2, F.lit(None).cast("string"), no_pub, F.concat(F.lit("unnamed "), ks))),
+        F.when(key % 19 == 0, binding(3, F.lit(KB_URI_PREFIX), no_pub, F.concat(F.lit("no id "), ks))),
     )
     exploded = base.select(
         F.floor(key / page_parts).alias("page_no"),
@@ -141,17 +151,19 @@ def kb_payload_pages(spark: SparkSession, sf_dir: str, page_parts: int = 100) ->
 def parse_popularity_payload(pages: DataFrame, payload_col: str = "payload") -> DataFrame:
     """Flatten ``{appid: record}`` pages to the nine feed fields.
 
-    A field missing from a record becomes null (the reference writes ``""``,
-    which its CSV re-read turns into null).
+    Numbers may be bare or quoted; text that is no number becomes null. A field
+    missing from a record becomes null (the reference writes ``""``, which its
+    CSV re-read turns into null).
     """
     m = pages.select(F.from_json(payload_col, schemas.POPULARITY_PAYLOAD).alias("_m"))
     recs = m.select(F.explode("_m").alias("_key", "r"))
-    return recs.select(*[F.col(f"r.{f}").alias(f) for f in schemas.POPULARITY_FIELDS])
+    types = {f.name: f.dataType for f in schemas.POPULARITY.fields}
+    return recs.select(*[F.col(f"r.{f}").try_cast(types[f]).alias(f) for f in schemas.POPULARITY_FIELDS])
 
 
 def popularity_payload_pages(spark: SparkSession, sf_dir: str, page_parts: int = 1000) -> DataFrame:
-    """Stand-in feed pages: one record per listed part, keyed by its id."""
-    part = table(spark, sf_dir, "part").filter(F.col("p_partkey") % 20 == 0)
+    """Stand-in feed pages: one record per part, keyed by its id; odd pages quote their prices."""
+    part = table(spark, sf_dir, "part")
     key = F.col("p_partkey")
     rec = F.struct(
         key.cast("int").alias("appid"),
@@ -169,4 +181,5 @@ def popularity_payload_pages(spark: SparkSession, sf_dir: str, page_parts: int =
     pages = part.groupBy(F.floor(key / page_parts).alias("page_no")).agg(
         F.map_from_entries(F.collect_list(F.struct(key.cast("string"), rec))).alias("m")
     )
-    return pages.select("page_no", F.to_json("m").alias("payload"))
+    quoted = F.regexp_replace(F.to_json("m"), r'"price":(\d+)', '"price":"$1"')
+    return pages.select("page_no", F.when(F.col("page_no") % 2 == 1, quoted).otherwise(F.to_json("m")).alias("payload"))

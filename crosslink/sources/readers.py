@@ -8,11 +8,12 @@ removed by the cleaning step where they matter.
 from __future__ import annotations
 
 import logging
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
 
 from crosslink import schemas
 from crosslink.sources.contract import available, require
@@ -29,7 +30,8 @@ class Sources:
 
     ``review_order`` lists columns of ``recs`` that give a total order inside
     one ``(app_id, user_id)`` group; the first review in that order survives
-    de-duplication. Empty means "order by all review columns".
+    de-duplication. Empty means "by a hash of the whole row", which favours no
+    value of any column.
     """
 
     games: DataFrame
@@ -60,27 +62,25 @@ def read_csv(
     """CSV with header, columns picked **by header name** (not position).
 
     The file is read as text columns (only the header line is inspected, no
-    inference pass), then each wanted column is converted with ``try_cast``,
-    so a malformed cell becomes null. Wanted columns absent from the file are
-    skipped; callers treat them as optional. CRLF line ends are accepted.
+    inference pass), then each column of ``schema`` is converted with
+    ``try_cast``, so a malformed cell becomes null. Columns of ``schema`` absent
+    from the file are skipped (callers treat them as optional); columns of the
+    file that ``schema`` lacks follow as text. CRLF line ends are accepted.
     """
-    from pyspark.sql import functions as F
-    from pyspark.sql.types import StringType
-
     raw = (
         spark.read.option("header", header)
         .option("sep", delimiter)
         .option("mode", "PERMISSIVE")
         .csv(path)
     )
-    present = set(raw.columns)
     cols = []
     for f in schema.fields:
-        if f.name not in present:
+        if f.name not in raw.columns:
             continue
         c = F.col(f"`{f.name}`")
         cols.append(c if isinstance(f.dataType, StringType) else c.try_cast(f.dataType).alias(f.name))
-    return raw.select(*cols)
+    extra = [F.col(f"`{c}`") for c in raw.columns if c not in schema.names]
+    return raw.select(*cols, *extra)
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -94,6 +94,13 @@ def read_categories(spark: SparkSession, path: str, delimiter: str = ",") -> Dat
 
 @dataclass(frozen=True)
 class SourcePaths:
+    """Where the sources lie.
+
+    ``review_order``: columns of the review file that order the reviews of one
+    user on one game. ``review_types``: Spark types of further review columns
+    (text otherwise), so that numbers and dates sort as such.
+    """
+
     games: str
     metadata: str
     recs: str
@@ -102,6 +109,18 @@ class SourcePaths:
     kb: str | None = None
     categories_delimiter: str = ","
     review_order: tuple[str, ...] = ()
+    review_types: Mapping[str, str] = field(default_factory=dict)
+
+
+def read_reviews(
+    spark: SparkSession, path: str, order: Sequence[str] = (), types: Mapping[str, str] | None = None
+) -> DataFrame:
+    """Reviews with all columns of the file; ``ValueError`` if an order column is absent."""
+    recs = read_csv(spark, path, schemas.RECS)
+    absent = [c for c in (*order, *(types or {})) if c not in recs.columns]
+    if absent:
+        raise ValueError(f"review columns {absent} are not in {path}; it has {recs.columns}")
+    return recs.withColumns({c: F.col(c).try_cast(t) for c, t in (types or {}).items()})
 
 
 def load_sources(spark: SparkSession, paths: SourcePaths) -> Sources:
@@ -116,7 +135,7 @@ def load_sources(spark: SparkSession, paths: SourcePaths) -> Sources:
     src = Sources(
         games=read_csv(spark, paths.games, schemas.GAMES),
         metadata=read_json_lines(spark, paths.metadata, schemas.METADATA),
-        recs=read_csv(spark, paths.recs, schemas.RECS),
+        recs=read_reviews(spark, paths.recs, paths.review_order, paths.review_types),
         popularity=read_csv(spark, paths.popularity, schemas.POPULARITY),
         categories=read_categories(spark, paths.categories, paths.categories_delimiter),
         kb=kb,

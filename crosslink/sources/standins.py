@@ -6,7 +6,7 @@ query reads real tables and its work grows with them:
 * reviews  (R) — every line item, joined to its order for the user id;
 * games    (G) — every part; titles carry punctuation, some are null or CJK;
 * metadata (M) — parts' name words as tags; some absent, null or empty;
-* popularity (S) — a top-list feed: a slice of the parts, some without price;
+* popularity (S) — a feed row per part; some keys are of no game, some prices missing;
 * categories (C) — a tiny, mixed-case genre lookup;
 * knowledge base (K) — entities matching by id, by title only, by both,
   duplicates, garbage ids and one empty-key entity.
@@ -103,13 +103,13 @@ def metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def popularity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S: a top-list feed covering one part in twenty; some prices missing."""
+    """S: one feed row per part; one key in ten is of no known game, some prices are missing."""
     return _sql(
         spark,
         """
-        SELECT p_partkey AS appid,
+        SELECT CASE WHEN p_partkey % 10 = 6 THEN -1 - p_partkey ELSE p_partkey END AS appid,
                CASE WHEN p_partkey % 40 = 0 THEN NULL ELSE CAST(floor(p_retailprice) AS INT) END AS price
-        FROM {part} WHERE p_partkey % 20 = 0
+        FROM {part}
         """,
         part=table(spark, sf_dir, "part"),
     )
@@ -121,34 +121,31 @@ def categories(spark: SparkSession) -> DataFrame:
     return spark.sql(f"SELECT genre, category FROM VALUES {rows} AS t(genre, category)")
 
 
-RESIDUES = 10  # a part's publisher is the supplier whose key is p_partkey % 10
-
-
-def supplier_slice(spark: SparkSession, sf_dir: str, how: str = "inner") -> DataFrame:
-    """The publisher lookup: one supplier (and its nation) per residue key.
+def parts_with_supplier(spark: SparkSession, sf_dir: str, how: str = "inner") -> DataFrame:
+    """All parts with their publisher: the supplier whose key is the part's key
+    modulo the number of suppliers, and that supplier's nation.
 
-    ``p_partkey % 10`` only takes values in [-9, 9], so only those supplier
-    keys can join. Keeping one row per key (the smallest name) bounds the
-    slice to 19 rows *by construction*, so it is broadcast without a probe. Joining the whole supplier table on a
-    10-valued key instead would hash all parts into at most 10 partitions.
+    One row per supplier key (the smallest name). Every supplier takes part, so
+    the join's keys grow with the table; no side is hinted.
     """
-    from pyspark.sql import functions as F
-
     join = "JOIN" if how == "inner" else "LEFT JOIN"
-    sl = _sql(
+    return _sql(
         spark,
         f"""
-        SELECT s_suppkey, s_name, n_name FROM (
-          SELECT s_suppkey, s_name, n_name,
-                 row_number() OVER (PARTITION BY s_suppkey ORDER BY s_name NULLS LAST, n_name NULLS LAST) AS rn
-          FROM {{supplier}} {join} {{nation}} ON s_nationkey = n_nationkey
-          WHERE s_suppkey BETWEEN -{RESIDUES - 1} AND {RESIDUES - 1})
-        WHERE rn = 1
+        SELECT p.*, s.s_suppkey, s.s_name, s.n_name
+        FROM (SELECT *, p_partkey % nullif((SELECT count(*) FROM {{supplier}}), 0) AS publisher_key FROM {{part}}) p
+        {join} (
+          SELECT s_suppkey, s_name, n_name FROM (
+            SELECT s_suppkey, s_name, n_name,
+                   row_number() OVER (PARTITION BY s_suppkey ORDER BY s_name NULLS LAST, n_name NULLS LAST) AS rn
+            FROM {{supplier}} {join} {{nation}} ON s_nationkey = n_nationkey)
+          WHERE rn = 1) s
+        ON s.s_suppkey = p.publisher_key
         """,
+        part=table(spark, sf_dir, "part"),
         supplier=table(spark, sf_dir, "supplier"),
         nation=table(spark, sf_dir, "nation"),
     )
-    return F.broadcast(sl)
 
 
 def knowledge_base(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -156,43 +153,47 @@ def knowledge_base(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Entities matching by id (key % 5 = 0), by title only (1), with a garbage
     id and no name (2); duplicates by id ('QD'), title-only twins ('QT') and
-    one entity whose name normalizes to the empty key.
+    one entity whose name normalizes to the empty key. One pass over the parts.
     """
     uri = KB_URI_PREFIX
     return _sql(
         spark,
         f"""
-        SELECT 'Q' || CAST(p_partkey AS STRING) AS wikidata_qid,
-               '{uri}Q' || CAST(p_partkey AS STRING) AS wikidata_uri,
-               CASE WHEN p_partkey % 5 = 0 THEN CAST(p_partkey AS STRING)
-                    WHEN p_partkey % 5 = 2 THEN 'n/a' END AS steam_app_id,
-               CASE WHEN p_partkey % 5 = 2 THEN NULL
+        SELECT inline(filter(array(
+          CASE WHEN p_partkey % 5 < 3 AND s_suppkey IS NOT NULL THEN named_struct(
+               'wikidata_qid', 'Q' || CAST(p_partkey AS STRING),
+               'wikidata_uri', '{uri}Q' || CAST(p_partkey AS STRING),
+               'steam_app_id', CASE WHEN p_partkey % 5 = 0 THEN CAST(p_partkey AS STRING)
+                    WHEN p_partkey % 5 = 2 THEN 'n/a' END,
+               'name', CASE WHEN p_partkey % 5 = 2 THEN NULL
                     WHEN p_partkey % 35 = 0 THEN 'renamed ' || CAST(p_partkey AS STRING)
-                    ELSE p_name || ' ' || lower(p_brand) || ' ' || CAST(p_partkey AS STRING) END AS name,
-               CASE WHEN p_partkey % 3 = 0 THEN NULL
-                    ELSE CAST(p_size + 1970 AS STRING) || '-01-01T00:00:00Z' END AS release_date,
-               CASE WHEN p_partkey % 11 = 0 THEN CAST(p_size * 2 AS STRING) END AS metacritic,
-               CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE s_name END AS publisher,
-               n_name AS country
-        FROM {{part}} JOIN {{suppliers}} ON s_suppkey = p_partkey % {RESIDUES}
-        WHERE p_partkey % 5 < 3
-        UNION ALL
-        SELECT 'QD' || CAST(p_partkey AS STRING), '{uri}QD' || CAST(p_partkey AS STRING),
-               CAST(p_partkey AS STRING), 'dup ' || CAST(p_partkey AS STRING),
-               CAST(NULL AS STRING), CAST(NULL AS STRING), 'Dup', 'NATION_0'
-        FROM {{part}} WHERE p_partkey % 25 = 0
-        UNION ALL
-        SELECT 'QT' || CAST(p_partkey AS STRING), '{uri}QT' || CAST(p_partkey AS STRING),
-               CAST(NULL AS STRING), p_name || ' ' || lower(p_brand) || ' ' || CAST(p_partkey AS STRING),
-               CAST(NULL AS STRING), CAST(NULL AS STRING), 'Title only', 'NATION_1'
-        FROM {{part}} WHERE p_partkey % 35 = 0
+                    ELSE p_name || ' ' || lower(p_brand) || ' ' || CAST(p_partkey AS STRING) END,
+               'release_date', CASE WHEN p_partkey % 3 = 0 THEN NULL
+                    ELSE CAST(p_size + 1970 AS STRING) || '-01-01T00:00:00Z' END,
+               'metacritic', CASE WHEN p_partkey % 11 = 0 THEN CAST(p_size * 2 AS STRING) END,
+               'publisher', CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE s_name END,
+               'country', n_name) END,
+          CASE WHEN p_partkey % 25 = 0 THEN named_struct(
+               'wikidata_qid', 'QD' || CAST(p_partkey AS STRING),
+               'wikidata_uri', '{uri}QD' || CAST(p_partkey AS STRING),
+               'steam_app_id', CAST(p_partkey AS STRING), 'name', 'dup ' || CAST(p_partkey AS STRING),
+               'release_date', CAST(NULL AS STRING), 'metacritic', CAST(NULL AS STRING),
+               'publisher', 'Dup', 'country', 'NATION_0') END,
+          CASE WHEN p_partkey % 35 = 0 THEN named_struct(
+               'wikidata_qid', 'QT' || CAST(p_partkey AS STRING),
+               'wikidata_uri', '{uri}QT' || CAST(p_partkey AS STRING),
+               'steam_app_id', CAST(NULL AS STRING),
+               'name', p_name || ' ' || lower(p_brand) || ' ' || CAST(p_partkey AS STRING),
+               'release_date', CAST(NULL AS STRING), 'metacritic', CAST(NULL AS STRING),
+               'publisher', 'Title only', 'country', 'NATION_1') END
+          ), e -> e IS NOT NULL))
+        FROM {{parts}}
         UNION ALL
         SELECT 'QEMPTY', '{uri}QEMPTY', CAST(NULL AS STRING), '!!!',
                CAST(NULL AS STRING), CAST(NULL AS STRING), 'Empty', 'NATION_2'
         FROM {{region}} WHERE r_regionkey = 0
         """,
-        part=table(spark, sf_dir, "part"),
-        suppliers=supplier_slice(spark, sf_dir),
+        parts=parts_with_supplier(spark, sf_dir, how="left"),
         region=table(spark, sf_dir, "region"),
     )
 

@@ -3,8 +3,8 @@
 from pyspark.sql import functions as F
 
 from crosslink.config import Options
-from crosslink.operators.aggregate import game_summary, game_summary_review_grain
-from crosslink.operators.clean import dedup_first, drop_incomplete, keep_first_or_null
+from crosslink.operators.aggregate import game_summary
+from crosslink.operators.clean import dedup_first, drop_incomplete, keep_first_with_key
 from crosslink.operators.enrich import clean_categories, clean_recs
 from crosslink.operators.resolve import resolve_entities
 from crosslink.sources.readers import Sources
@@ -53,7 +53,7 @@ def test_drop_incomplete_any(spark):
 
 def test_e4_keep_first_but_all_null_keys(spark):
     df = spark.createDataFrame([("Q1", 0), ("Q1", 1), (None, 2), (None, 3)], "q string, pos int")
-    got = sorted(keep_first_or_null(df, "q", ["pos"]).collect(), key=lambda r: r.pos)
+    got = sorted(keep_first_with_key(df, "q", ["pos"]).collect(), key=lambda r: r.pos)
     assert [(r.q, r.pos) for r in got] == [("Q1", 0), (None, 2), (None, 3)]
 
 
@@ -127,12 +127,59 @@ def test_t6_duplicate_dimension_rows_do_not_inflate(spark):
 
 
 def test_aggregate_first_equals_review_grain(spark, small_sources):
+    """Reviews joined to games and counted one by one, in plain SQL, give the same counts."""
+    from crosslink.operators.enrich import enrich_reviews
+
     a = game_summary(small_sources)
-    b = game_summary_review_grain(small_sources).select(*a.columns)
+    b = spark.sql(
+        """
+        SELECT app_id, avg(is_recommended_num) AS steam_recommend_rate, count(*) AS num_reviews,
+               sum(is_recommended_num) AS num_positive_reviews, max(title) AS title, max(primary_tag) AS primary_tag,
+               max(genre_category) AS genre_category, max(price) AS price, max(wikidata_qid) AS wikidata_qid,
+               max(wd_release_date) AS wd_release_date, max(wd_metacritic) AS wd_metacritic,
+               max(wd_publisher) AS wd_publisher, max(wd_country) AS wd_country
+        FROM {reviews} GROUP BY app_id
+        """,
+        reviews=enrich_reviews(small_sources),
+    ).select(*a.columns)
     assert a.count() == b.count() == 196
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
+def test_default_survivor_favours_no_flag(spark):
+    """Without an order, conflicting reviews of a user survive about evenly."""
+    rows = [("1", str(u), flag) for u in range(400) for flag in ("True", "False")]
+    recs = spark.createDataFrame(rows, "app_id string, user_id string, is_recommended string")
+    kept = clean_recs(recs)
+    assert kept.count() == 400
+    assert 120 < kept.filter("is_recommended_num = 1").count() < 280
+    assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, clean_recs(recs.repartition(7)).collect()))
+
+
+def test_conflicting_flags_follow_the_given_order(spark):
+    recs = spark.createDataFrame([("1", "7", "False", 2), ("1", "7", "True", 1)], "app_id string, user_id string, is_recommended string, review_id int")
+    assert clean_recs(recs, ("review_id",)).first().is_recommended == "True"
+
+
+def test_keyless_rows_stay_spread(spark):
+    """Nine tenths of the rows lack an id: they aren't ranked, so no task gathers them."""
+    df = spark.range(20000).selectExpr("CASE WHEN id % 10 = 0 THEN 'Q' || (id % 500) WHEN id % 10 < 6 THEN '' END AS qid", "id AS pos")
+    out = keep_first_with_key(df.repartition(8), "qid", ["pos"])
+    assert out.filter("qid IS NULL OR qid = ''").count() == 18000
+    assert out.filter("qid <> ''").count() == 50
+    sizes = [n for n in out.rdd.mapPartitions(lambda it: [sum(1 for _ in it)]).collect() if n]
+    assert max(sizes) < 0.3 * sum(sizes)
+    assert "WindowGroupLimit" in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_review_columns_that_clash_are_prefixed(spark):
+    from crosslink.operators.enrich import join_reviews
+
+    games = spark.createDataFrame([(1, "A")], "app_id int, title string")
+    reviews = spark.createDataFrame([(1, "fine", 3)], "app_id int, title string, hours int")
+    assert join_reviews(games, reviews).columns == ["app_id", "title", "review_title", "hours"]
+
+
 def test_invariants(spark, small_sources):
     from crosslink.operators.enrich import enrich_reviews
 
@@ -156,6 +203,6 @@ def test_fixture_counts_sf0001(small_sources):
 
     cats = Counter(r.genre_category for r in rows)
     assert cats == Counter({None: 130, "Warm": 38, "Age": 18, "Size": 10})
-    assert sum(r.price is not None for r in rows) == 5
+    assert sum(r.price is not None for r in rows) == 171  # every part is in the feed; some keys miss, some prices are null
     assert sum(r.primary_tag is None for r in rows) == 56
     assert sum(r.wikidata_qid is not None for r in rows) == 80

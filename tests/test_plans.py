@@ -1,6 +1,11 @@
 """Plan-shape checks: the properties the design relies on at scale."""
 
-from crosslink.operators.aggregate import game_summary, game_summary_review_grain
+import re
+
+from pyspark.sql import functions as F
+
+from crosslink.operators.aggregate import game_facts, game_summary
+from crosslink.operators.quality import dq_report, match_rate
 
 
 def _plan(df) -> str:
@@ -18,78 +23,45 @@ def test_flagship_plan(small_sources):
     assert "SortAggregate" not in plan
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
-    opt = _optimized(df)
     # dedup uses rank-1 limits (pruned before the shuffle as well)
-    assert "WindowGroupLimit" in opt
+    assert "WindowGroupLimit" in _optimized(df)
 
 
-def test_reference_shape_needs_sort_aggregate(small_sources):
-    # The review-grain shape with first(string) is what the flagship avoids.
-    opt = _optimized(game_summary_review_grain(small_sources))
-    assert "first(" in opt
+def test_no_join_is_hinted(small_sources):
+    """Sides are broadcast only on sizes that Spark measured."""
+    assert "ResolvedHint" not in game_summary(small_sources)._jdf.queryExecution().analyzed().toString()
 
 
-def test_small_dims_broadcast_after_probe(small_sources):
+def test_tags_never_reach_a_shuffle(spark, small_sources):
     df = game_summary(small_sources)
-    assert "ResolvedHint (strategy=broadcast)" in df._jdf.queryExecution().analyzed().toString() or "broadcast" in _optimized(df).lower()
-
-
-def test_counting_probe_rows_and_bytes(spark):
-    from crosslink.operators.joins import bounded_counts, measure, row_bytes
-
-    df = spark.createDataFrame([(1, "abcd"), (2, None), (3, "xy")], "k INT, s STRING")
-    # 8 bytes per field (2 fields) plus the string payload
-    sizes = sorted(r[0] for r in df.select(row_bytes(df)).collect())
-    assert sizes == [16, 18, 20]
-    frames = {"d": df, "empty": df.filter("k > 99")}
-    assert bounded_counts(frames, 3) == {"d": True, "empty": True}
-    assert bounded_counts(frames, 2) == {"d": False, "empty": True}
-    assert bounded_counts(frames, 3, max_bytes=54) == {"d": True, "empty": True}
-    assert bounded_counts(frames, 3, max_bytes=53) == {"d": False, "empty": True}
-    assert measure(frames) == {"d": (3, 54, 20), "empty": (0, 0, 0)}
-
-
-def test_finished_game_rows_bounded_with_dimension_widths(small_sources):
-    from crosslink.config import Options
-    from crosslink.operators.enrich import probe_dimensions
-    from crosslink.operators.joins import measure
-
-    s = small_sources
-    m = measure({"games": s.games, "metadata": s.metadata, "popularity": s.popularity,
-                 "categories": s.categories, "kb": s.kb})
-    n_games, b_games, _ = m["games"]
-    finished = b_games + n_games * sum(w for k, (_, _, w) in m.items() if k != "games")
-    # every raw source fits, but the finished game row (games + one row of each dimension) does not
-    limit = max(b for _, b, _ in m.values())
-    assert limit < finished
-    small = probe_dimensions(s, Options(broadcast_max_bytes=limit))
-    assert small == {"popularity": True, "categories": True, "games": False, "kb": True}
-    assert probe_dimensions(s, Options(broadcast_max_bytes=finished))["games"] is True
-
-
-def test_dimension_over_byte_bound_is_not_broadcast(small_sources):
-    from crosslink.config import Options
-    from crosslink.operators.enrich import probe_dimensions
-
-    assert all(probe_dimensions(small_sources).values())
-    # Row bound met, byte bound not: every dimension is left to a shuffle join.
-    tight = Options(broadcast_max_bytes=1)
-    assert not any(probe_dimensions(small_sources, tight).values())
-    lines = game_summary(small_sources, tight)._jdf.queryExecution().analyzed().toString().splitlines()
-    hinted = [lines[i + 1] for i, ln in enumerate(lines) if "ResolvedHint (strategy=broadcast)" in ln]
-    # only the stand-in KB's supplier lookup (19 rows by construction) stays broadcast
-    assert all("s_suppkey" in ln for ln in hinted)
-    default = game_summary(small_sources)._jdf.queryExecution().analyzed().toString()
-    assert default.count("ResolvedHint (strategy=broadcast)") > len(hinted)
-
-
-def test_counting_probe_has_no_limit_funnel(small_sources):
-    from crosslink.operators.joins import probe_frame
-
-    # The probe is a partial/final aggregate per frame: no limit node funnels
-    # rows from many partitions into one task.
-    s = small_sources
-    df = probe_frame({"games": s.games, "kb": s.kb, "popularity": s.popularity})
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert not any(n in plan for n in ("GlobalLimit", "LocalLimit", "CollectLimit"))
-    assert plan.count("partial_count") == 3
+    below = [ln for ln in _plan(df).splitlines() if "Exchange" in ln or "Sort " in ln or "WindowGroupLimit" in ln]
+    assert below and not any(re.search(r"\btags#", ln) for ln in below)
+
+
+def test_report_reads_each_input_once(spark, small_sources):
+    """One aggregate over the facts, one over each source: no row expansion, no second use of a metric frame."""
+    facts = spark.createDataFrame([(1, 2, 1, 0.5, "t", 2, "Q", "id")], "app_id int, num_reviews long, num_positive_reviews long, steam_recommend_rate double, title string, num_flags_present long, wikidata_qid string, wd_match_stage string")
+    plan = _optimized(dq_report(small_sources, facts))
+    assert "Expand" not in plan
+    assert plan.count("l_partkey") and len(re.findall(r"Relation \[[^]]*l_partkey[^]]*\] parquet", plan)) == 1
+    assert "Expand" not in _optimized(match_rate(game_facts(small_sources)))
+
+
+def test_keyless_rows_spread_over_the_join(spark):
+    """Titles that normalize to nothing can match nothing and must not meet in one partition."""
+    from crosslink.operators.resolve import join_kb_by_title
+
+    kb = spark.createDataFrame([("Q1", "u", None, "a b", None, None, None, None)], "wikidata_qid string, wikidata_uri string, steam_app_id string, name string, release_date string, metacritic string, publisher string, country string")
+    games = spark.range(4000).select(F.col("id").cast("int").alias("app_id"), F.when(F.col("id") % 10 == 0, F.lit("A b")).otherwise(F.lit("東方")).alias("title"))
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        out = join_kb_by_title(games, kb)
+        assert out.filter("wikidata_qid_t = 'Q1'").count() == 400
+        sizes = out.filter("wikidata_qid_t IS NULL").rdd.mapPartitions(lambda it: [sum(1 for _ in it)]).collect()
+        assert sum(sizes) == 3600 and max(sizes) < 0.3 * 3600
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)

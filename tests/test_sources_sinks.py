@@ -43,7 +43,7 @@ def test_t12_lookup_comma_lf_and_tab_crlf(spark, tmp_path):
 def test_csv_columns_by_header_name(spark, tmp_path):
     p = _write(tmp_path / "recs.csv", "helpful,is_recommended,user_id,app_id\n3,true,7, 70 \n1,x,8,abc\n")
     df = read_csv(spark, p, schemas.RECS)
-    assert df.columns == ["app_id", "user_id", "is_recommended"]
+    assert df.columns == ["app_id", "user_id", "is_recommended", "helpful"]
     from crosslink.functions import to_int_key
 
     got = sorted(df.select(to_int_key("app_id").alias("a"), "user_id", "is_recommended").collect(), key=lambda r: r.user_id)
@@ -106,11 +106,11 @@ def test_a6_load_sources_and_run_pipeline(spark, tmp_path):
     assert "## 1. Record counts" in md and "| processed | rows | 3 |" in md
     assert "Threshold violations" in md and "min_records:games" in md
     assert "Sample rows" in md and "North Studio" in md
-    # raw-source null rates of critical columns (observed during the facts pass)
+    # raw-source null rates of critical columns
     assert rep[("raw_null_rates", "games.title", "null_rate")] == 1 / 3
     assert rep[("raw_null_rates", "recs.is_recommended", "null_rate")] == 0.0
     assert ("raw_null_rates", "popularity.app_id", "null_rate") not in rep
-    # raw counts: observed during the facts pass (kb is counted by a scan)
+    # raw counts
     raw = {k[1]: v for k, v in rep.items() if k[0] == "record_counts" and k[1].startswith("raw:")}
     assert raw == {"raw:games": 3.0, "raw:metadata": 2.0, "raw:recs": 5.0, "raw:popularity": 1.0,
                    "raw:categories": 2.0, "raw:kb": 1.0}
@@ -122,6 +122,8 @@ def test_a4_optional_kb_absent(spark, tmp_path):
     res = run_pipeline(spark, src, str(tmp_path / "out"))
     assert "wikidata_qid" not in res.result.columns
     assert res.report.filter("section = 'match_rate'").count() == 0
+    md = "".join(r.value + "\n" for r in spark.read.text(res.markdown_path).collect())
+    assert "No knowledge base was joined." in md
 
 
 def test_a8_parse_bindings_and_e4_dedup(spark):
@@ -148,10 +150,15 @@ def test_a8_parse_bindings_and_e4_dedup(spark):
 
 
 def test_a9_parse_popularity_payload(spark):
-    page = {"70": {"appid": 70, "name": "Star-Fall", "price": 999}, "10": {"appid": 10, "name": "Cards"}}
+    page = {
+        "70": {"appid": 70, "name": "Star-Fall", "price": 999},
+        "10": {"appid": "10", "name": "Cards"},
+        "20": {"appid": 20, "price": "1999", "ccu": "n/a"},
+    }
     pages = spark.createDataFrame([(0, json.dumps(page))], "page_no long, payload string")
     rows = {r.appid: r for r in parse_popularity_payload(pages).collect()}
     assert rows[70].price == 999 and rows[10].price is None and rows[10].developer is None
+    assert rows[20].price == 1999 and rows[20].ccu is None
     assert list(parse_popularity_payload(pages).columns) == list(schemas.POPULARITY_FIELDS)
 
 
@@ -199,3 +206,91 @@ def test_b5_render_report_markdown():
     assert "None." in lines and "| a\\|b | m |  |" in lines
     assert "| 1 | A |" in lines
     assert lines[-1].endswith("1.3 s")
+
+
+def test_a1_csv_keeps_columns_outside_the_schema(spark, tmp_path):
+    p = tmp_path / "recs.csv"
+    p.write_text("date,app_id,hours,user_id,is_recommended\n2020-01-02,1,3.5,7,True\n2020-01-01,1,9,7,False\n")
+    got = read_csv(spark, str(p), schemas.RECS)
+    assert got.columns == ["app_id", "user_id", "is_recommended", "date", "hours"]
+
+
+def test_a6_review_order_from_a_file(spark, tmp_path):
+    from dataclasses import replace
+
+    from crosslink.operators.aggregate import game_summary
+
+    paths = _source_files(tmp_path, with_kb=False)
+    p = tmp_path / "ordered.csv"
+    p.write_text("review_id,app_id,user_id,is_recommended\n10,70,1,False\n9,70,1,True\n")
+    src = load_sources(spark, replace(paths, recs=str(p), review_order=("review_id",), review_types={"review_id": "bigint"}))
+    row = game_summary(src).filter("app_id = 70").first()
+    assert (row.num_reviews, row.num_positive_reviews) == (1, 1)  # 9 comes before 10
+    with pytest.raises(ValueError, match="no_such"):
+        load_sources(spark, replace(paths, review_order=("no_such",)))
+
+
+def test_a2_kb_ids_may_be_quoted(spark, tmp_path):
+    from crosslink.operators.resolve import kb_by_id
+    from crosslink.sources.readers import read_json_lines
+
+    p = tmp_path / "kb.json"
+    p.write_text('{"wikidata_qid":"Q1","steam_app_id":"1"}\n{"wikidata_qid":"Q2","steam_app_id":2}\n')
+    got = {r.app_id: r.wikidata_qid for r in kb_by_id(read_json_lines(spark, str(p), schemas.KB)).collect()}
+    assert got == {1: "Q1", 2: "Q2"}
+
+
+@pytest.mark.parametrize("case", ["no_review_survives", "unknown_games_only", "empty_reviews", "empty_everything"])
+def test_j1_job_finishes_with_warnings(spark, tmp_path, case):
+    from crosslink.sources.readers import Sources
+
+    empty = case == "empty_everything"
+    recs = {"no_review_survives": [("x", "1", "True")], "unknown_games_only": [("99", "1", "True")]}.get(case, [])
+    src = Sources(
+        games=spark.createDataFrame([] if empty else [("1", "Star-Fall")], "app_id string, title string"),
+        metadata=spark.createDataFrame([] if empty else [("1", ["Action"])], "app_id string, tags array<string>"),
+        recs=spark.createDataFrame(recs, "app_id string, user_id string, is_recommended string"),
+        popularity=spark.createDataFrame([] if empty else [("1", 5)], "appid string, price int"),
+        categories=spark.createDataFrame([] if empty else [("action", "Popular")], "genre string, category string"),
+    )
+    res = run_pipeline(spark, src, str(tmp_path / "out"))
+    assert res.result.count() == 0
+    rep = {(r.section, r.subject): r.value for r in res.report.collect()}
+    assert rep["record_counts", "raw:recs"] == len(recs) and rep["record_counts", "processed"] == 0.0
+    assert ("threshold_violations", "min_records:recs") in rep
+
+
+def test_kb_from_pages_caps_only_when_asked(spark, caplog):
+    from crosslink.sources.payloads import kb_from_pages
+
+    bindings = [{"game": {"value": f"http://x/Q{i}"}} for i in range(30)]
+    pages = spark.createDataFrame([(0, json.dumps({"results": {"bindings": bindings}}))], "page_no long, payload string")
+    assert kb_from_pages(pages).count() == 30
+    with caplog.at_level("WARNING"):
+        assert kb_from_pages(pages, max_games=20).count() == 20
+    assert "10 of 30 left out" in caplog.text
+
+
+def test_null_rate_threshold_fires(spark):
+    from crosslink.config import Options
+    from crosslink.operators.quality import facts_report
+
+    facts = spark.createDataFrame([(1, 10, None), (2, 30, "B")], "app_id int, num_reviews long, title string")
+    got = {(r.section, r.subject): r.value for r in facts_report(facts, Options(max_null_rate=0.2)).collect()}
+    assert got["threshold_violations", "max_null_rate:title"] == 0.25
+    assert ("threshold_violations", "max_null_rate:app_id") not in got
+
+
+def test_submit_script(spark, tmp_path):
+    import submit_job
+
+    paths = _source_files(tmp_path, with_kb=True)
+    out = str(tmp_path / "job")
+    names = ("games", "metadata", "recs", "popularity", "categories")
+    argv = [x for n in names for x in (f"--{n}", getattr(paths, n))] + ["--kb", paths.kb, "--out", out, "--review-order", "user_id"]
+    if paths.categories_delimiter != ",":
+        argv += ["--categories-delimiter", paths.categories_delimiter]
+    assert submit_job.main(argv) == 0
+    assert spark.read.parquet(f"{out}/result_parquet").count() > 0
+    argv[1] = str(tmp_path / "absent.csv")
+    assert submit_job.main(argv) == 2
