@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from llm.rolling import pack, unpack
 
 SHARD_BYTES = 2 << 20
-BUCKET_BYTES = 32 << 20
+BUCKET_BYTES = 8 << 20
 PARTITION_BYTES = 16 << 20
 MOST_PARTITIONS = 20_000
 
