@@ -1,7 +1,7 @@
 """Main text of web pages by template deduction.
 
 1. Every page is parsed into *tokens*: its container elements, named by their
-   path with class and role words.  For each host and token Spark adds up the
+   path with class and role words and by their number among equal siblings.  For each host and token Spark adds up the
    occurrence vector over all the host's pages as a fingerprint, so tokens fall
    into one equivalence class if they occur equally often on every page.  Sums
    are formed in the tasks first; a host with a third of all pages adds a few
@@ -63,13 +63,11 @@ PAGE = "#page"
 
 
 class Element:
-    __slots__ = ("tag", "path", "hidden", "main")
+    __slots__ = ("tag", "path", "hidden", "main", "kids")
 
-    def __init__(self, tag: str, path: str, hidden: bool, main: bool):
+    def __init__(self, tag: str = "", path: str = "", hidden: bool = False, main: bool = False):
         self.tag, self.path, self.hidden, self.main = tag, path, hidden, main
-
-
-ROOT = Element("", "", False, False)
+        self.kids: dict[str, int] = {}  # how many children of a name have come
 
 
 def host_of(url: str | None) -> str:
@@ -82,12 +80,14 @@ def element(tag: str, rest: str, parent: Element) -> Element:
     main = tag in MAIN_TAGS or not MAIN_WORDS.isdisjoint(words)
     named = not NO_CONTENT_WORDS.isdisjoint(words) and tag not in ("html", "body", "main") and not (tag == "article" and "comment" not in words)
     hidden = parent.hidden or tag in NO_CONTENT_TAGS or named or (tag == "header" and not parent.main)
-    return Element(tag, f"{parent.path}>{'.'.join([tag, *words])}", hidden, parent.main or (main and not hidden))
+    name = ".".join([tag, *words])
+    k = parent.kids[name] = parent.kids.get(name, 0) + 1
+    return Element(tag, f"{parent.path}>{name}" + f"[{k}]" * (k > 1), hidden, parent.main or (main and not hidden))
 
 
 def blocks(page: str) -> Iterator[tuple[Element, str, int]]:
     """(innermost container, text, characters in links) of each block; an empty text tells that a container opens."""
-    stack, text, link, in_link, at = [ROOT], [], 0, False, 0
+    stack, text, link, in_link, at = [Element()], [], 0, False, 0
 
     def flush():
         nonlocal link
@@ -173,9 +173,9 @@ def deduce(slots: list[dict]) -> tuple[list[str], list[str]]:
     fixed = {t for t in valid if pages >= LEAST_PAGES and of[t]["chars"] and of[t]["least_text"] == of[t]["most_text"] and of[t]["pages"] == pages}
 
     def built(path: str) -> Element:
-        e = ROOT
+        e = Element()
         for part in path.split(">")[1:]:
-            tag, _, words = part.partition(".")
+            tag, _, words = part.partition("[")[0].partition(".")
             e = element(tag, f'class="{words.replace(".", " ")}"', e)
         return e
 
