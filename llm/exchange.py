@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from llm.rolling import pack, unpack
+from llm.rolling import give_back, pack, unpack
 
 SHARD_BYTES = 2 << 20
 BUCKET_BYTES = 8 << 20
@@ -92,6 +92,7 @@ def replies(rows: list[tuple[int, int, int, bytes]]) -> pa.Table:
 
 def gathered(table: pa.Table) -> tuple[list[int], np.ndarray, list[np.ndarray]]:
     """Of a bucket: its shards, the rows' sizes, and the columns of all requests end to end."""
+    give_back()
     blobs = [unpack(x) for x in table["payload"].to_pylist()]
     return table["shard"].to_pylist(), np.array([len(b[0]) for b in blobs]), [np.concatenate(c) for c in zip(*blobs, strict=True)]
 

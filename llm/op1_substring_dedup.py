@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from llm import exchange as X
-from llm.rolling import SPACE_WORDS, Texts, Words, covered, mix, pack
+from llm.rolling import SPACE_WORDS, Texts, Words, covered, give_back, mix, pack
 
 WINDOW = 13
 PROBE_BITS = 48
@@ -48,6 +48,7 @@ def _probes(words: Words, block: int) -> tuple[np.ndarray, np.ndarray, np.ndarra
 
 def _ask_blocks(block: int, buckets: int):
     def run(table: pa.Table) -> pa.Table:
+        give_back()
         words = Texts(table["text"]).words(SPACE_WORDS)
         at, name, aligned = _probes(words, block)
         doc = X.ids(table)[words.doc[at]]
@@ -107,6 +108,7 @@ def _candidates(table: pa.Table, told: pa.Table, words: Words, window: int):
 
 def _ask_windows(window: int, buckets: int):
     def run(table: pa.Table, told: pa.Table) -> pa.Table:
+        give_back()
         words = Texts(table["text"]).words(SPACE_WORDS)
         _, _, _, h, h2, least = _candidates(table, told, words, window)
         return X.requests(X.one_shard(table), buckets, 64, h, h2, least)
@@ -116,6 +118,7 @@ def _ask_windows(window: int, buckets: int):
 
 def _cover(window: int, keep_text: bool):
     def run(table: pa.Table, told: pa.Table) -> pa.Table:
+        give_back()
         words = Texts(table["text"]).words(SPACE_WORDS)
         start, member, doc, h, _, least = _candidates(table, told, words, window)
         elsewhere = X.flags(told, EARLIER, len(h))

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from llm import exchange as X
-from llm.rolling import BYTE_VALUES, BYTE_VALUES_2, Texts, each_width, mix, pack, prefix_sums, ranges, span_hash
+from llm.rolling import BYTE_VALUES, BYTE_VALUES_2, Texts, each_width, give_back, mix, pack, prefix_sums, ranges, span_hash
 
 LENGTH = 100
 FIRST = 32
@@ -63,6 +63,7 @@ class Shard:
     """Ranks, samples and stretches of one shard."""
 
     def __init__(self, table: pa.Table, length: int):
+        give_back()
         self.table = X.in_order(table)
         self.length, first = length, min(FIRST, length)
         self.texts = Texts(self.table["text"])

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from llm import exchange as X
 from llm.components import components
-from llm.rolling import SPACE_WORDS, Texts, mix, pack, rolling, slices, unpack
+from llm.rolling import SPACE_WORDS, Texts, give_back, mix, pack, rolling, slices, unpack
 from llm.storage import saved
 
 WORDS = 4
@@ -55,6 +55,7 @@ class Shingles:
     """Distinct shingles of each text of a shard, ascending, end to end; ``first`` where each text's begin."""
 
     def __init__(self, table: pa.Table, width: int):
+        give_back()
         words = Texts(table["text"]).lower().words(SPACE_WORDS)
         values = words.hashes()
         at, h = words.windows(values, width)

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from llm import exchange as X
-from llm.rolling import SPACE_WORDS, Texts, mix, pack, unpack
+from llm.rolling import SPACE_WORDS, Texts, give_back, mix, pack, unpack
 
 ADD = 0.1
 PRIOR = 20.0  # M: how many tokens the root counts for in each state
@@ -47,6 +47,7 @@ class Tokens:
     """Tokens of a shard: distinct words and pairs, and each token's place among them."""
 
     def __init__(self, table: pa.Table, folds: int):
+        give_back()
         words = Texts(table["text"]).lower().words(SPACE_WORDS)
         n_docs = table.num_rows
         self.n = words.count + 1

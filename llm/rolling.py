@@ -8,6 +8,8 @@ hashes, on every machine and in every task.
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 import zstandard
@@ -94,6 +96,19 @@ def rolling(values: np.ndarray, width: int) -> np.ndarray:
     return mix((sums[width:] - sums[:-width]) * q[:n])
 
 
+try:
+    _trim = ctypes.CDLL(None).malloc_trim
+except (OSError, AttributeError):  # a C library without it
+    _trim = None
+
+
+def give_back() -> None:
+    """Return the memory of the last group's arrays to the system: workers live on between tasks and stages."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
 class Texts:
     """Buffers of one string column: ``buf`` bytes, ``off`` document offsets."""
 
