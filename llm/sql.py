@@ -61,7 +61,7 @@ WITH crc AS (SELECT doc_id, xor(list_reduce(list_prepend(4294967295::BIGINT, ran
      p AS (SELECT t.doc_id, t.held_out, coalesce(u.c, 0) AS c, (coalesce(u.c, 0) + 0.1::DOUBLE) / (z.n + 0.1::DOUBLE * (z.v + 1)) AS p, coalesce(g.c, 0) AS ch, coalesce(b.c, 0) AS cb, z.n
            FROM t LEFT JOIN u ON t.w = u.w LEFT JOIN g ON t.h = g.h LEFT JOIN b ON t.h = b.h AND t.w = b.w CROSS JOIN z)
 SELECT doc_id, held_out, count(*)::BIGINT AS n_tokens, count(*) FILTER (c > 0)::BIGINT AS n_known, max(n)::BIGINT AS train_tokens,
-       round(sum(log10(p)), 6) AS base_score, round(sum(log10(CASE WHEN ch > 0 THEN (cb + 20.0::DOUBLE * p) / (ch + 20.0::DOUBLE) ELSE p END)), 6) AS score
+       round(sum(log10(p)), 6) AS base_score, round(sum(log10(CASE WHEN ch > 0 THEN (cb + 500.0::DOUBLE * p) / (ch + 500.0::DOUBLE) ELSE p END)), 6) AS score
 FROM p GROUP BY doc_id, held_out
 """
 
