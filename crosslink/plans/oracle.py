@@ -41,10 +41,10 @@ g AS (
               ELSE upper(p_name) || ': ' || p_brand || '  -- ' || CAST(p_partkey AS VARCHAR) || '!' END AS title
   FROM part),
 m AS (
-  SELECT p_partkey AS app_id,
+  SELECT CASE WHEN p_partkey % 10 = 9 THEN -1 - p_partkey ELSE p_partkey END AS app_id,
          CASE WHEN p_partkey % 10 = 3 THEN NULL WHEN p_partkey % 10 = 7 THEN CAST([] AS VARCHAR[])
               ELSE string_split(p_name, ' ') END AS tags
-  FROM part WHERE p_partkey % 10 <> 9),
+  FROM part),
 s AS (
   SELECT CASE WHEN p_partkey % 10 = 6 THEN -1 - p_partkey ELSE p_partkey END AS appid,
          CASE WHEN p_partkey % 40 = 0 THEN NULL ELSE CAST(floor(p_retailprice) AS INTEGER) END AS price
@@ -62,15 +62,14 @@ c AS (SELECT * FROM (VALUES ('RED', 'Warm'), ('Hot', 'Warm'), ('small', 'Size'),
 k AS (
   SELECT 'Q' || CAST(p_partkey AS VARCHAR) AS wikidata_qid,
          '{URI}Q' || CAST(p_partkey AS VARCHAR) AS wikidata_uri,
-         CASE WHEN p_partkey % 5 = 0 THEN CAST(p_partkey AS VARCHAR) WHEN p_partkey % 5 = 2 THEN 'n/a' END AS steam_app_id,
-         CASE WHEN p_partkey % 5 = 2 THEN NULL WHEN p_partkey % 35 = 0 THEN 'renamed ' || CAST(p_partkey AS VARCHAR)
+         CASE WHEN p_partkey % 5 = 0 THEN CAST(p_partkey AS VARCHAR) WHEN p_partkey % 5 >= 2 THEN 'n/a' END AS steam_app_id,
+         CASE WHEN p_partkey % 5 = 2 THEN NULL WHEN p_partkey % 5 > 2 THEN 'unlisted ' || CAST(p_partkey AS VARCHAR) WHEN p_partkey % 35 = 0 THEN 'renamed ' || CAST(p_partkey AS VARCHAR)
               ELSE p_name || ' ' || lower(p_brand) || ' ' || CAST(p_partkey AS VARCHAR) END AS name,
          CASE WHEN p_partkey % 3 = 0 THEN NULL ELSE CAST(p_size + 1970 AS VARCHAR) || '-01-01T00:00:00Z' END AS release_date,
          CASE WHEN p_partkey % 11 = 0 THEN CAST(p_size * 2 AS VARCHAR) END AS metacritic,
          CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE s_name END AS publisher,
          n_name AS country
   FROM part JOIN sup ON s_suppkey = p_partkey % (SELECT n FROM ns)
-  WHERE p_partkey % 5 < 3
   UNION ALL
   SELECT 'QD' || CAST(p_partkey AS VARCHAR), '{URI}QD' || CAST(p_partkey AS VARCHAR), CAST(p_partkey AS VARCHAR),
          'dup ' || CAST(p_partkey AS VARCHAR), NULL, NULL, 'Dup', 'NATION_0'

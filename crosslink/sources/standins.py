@@ -88,15 +88,15 @@ def games(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M: name words as tags; some games absent, some tags null or empty."""
+    """M: name words as tags; some keys are of no known game, some tags null or empty."""
     return _sql(
         spark,
         """
-        SELECT p_partkey AS app_id,
+        SELECT CASE WHEN p_partkey % 10 = 9 THEN -1 - p_partkey ELSE p_partkey END AS app_id,
                CASE WHEN p_partkey % 10 = 3 THEN CAST(NULL AS ARRAY<STRING>)
                     WHEN p_partkey % 10 = 7 THEN CAST(array() AS ARRAY<STRING>)
                     ELSE split(p_name, ' ') END AS tags
-        FROM {part} WHERE p_partkey % 10 <> 9
+        FROM {part}
         """,
         part=table(spark, sf_dir, "part"),
     )
@@ -151,8 +151,9 @@ def parts_with_supplier(spark: SparkSession, sf_dir: str, how: str = "inner") ->
 def knowledge_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K: flattened KB rows (the JSON-lines file of a real deployment).
 
-    Entities matching by id (key % 5 = 0), by title only (1), with a garbage
-    id and no name (2); duplicates by id ('QD'), title-only twins ('QT') and
+    One entity per part: matching by id (key % 5 = 0), by title only (1), with a
+    garbage id and no name (2) or a name of no game (3, 4); duplicates by id
+    ('QD'), title-only twins ('QT') and
     one entity whose name normalizes to the empty key. One pass over the parts.
     """
     uri = KB_URI_PREFIX
@@ -160,12 +161,13 @@ def knowledge_base(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark,
         f"""
         SELECT inline(filter(array(
-          CASE WHEN p_partkey % 5 < 3 AND s_suppkey IS NOT NULL THEN named_struct(
+          CASE WHEN s_suppkey IS NOT NULL THEN named_struct(
                'wikidata_qid', 'Q' || CAST(p_partkey AS STRING),
                'wikidata_uri', '{uri}Q' || CAST(p_partkey AS STRING),
                'steam_app_id', CASE WHEN p_partkey % 5 = 0 THEN CAST(p_partkey AS STRING)
-                    WHEN p_partkey % 5 = 2 THEN 'n/a' END,
+                    WHEN p_partkey % 5 >= 2 THEN 'n/a' END,
                'name', CASE WHEN p_partkey % 5 = 2 THEN NULL
+                    WHEN p_partkey % 5 > 2 THEN 'unlisted ' || CAST(p_partkey AS STRING)
                     WHEN p_partkey % 35 = 0 THEN 'renamed ' || CAST(p_partkey AS STRING)
                     ELSE p_name || ' ' || lower(p_brand) || ' ' || CAST(p_partkey AS STRING) END,
                'release_date', CASE WHEN p_partkey % 3 = 0 THEN NULL
