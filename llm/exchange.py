@@ -24,6 +24,7 @@ from llm.rolling import give_back, pack, unpack
 
 SHARD_BYTES = 2 << 20
 BUCKET_BYTES = 8 << 20
+LEAST_BUCKET_BYTES = 1 << 20  # smaller buckets than BUCKET_BYTES where the cluster has the partitions for them
 PARTITION_BYTES = 16 << 20
 MOST_PARTITIONS = 20_000
 
@@ -56,7 +57,8 @@ def deal(docs: DataFrame, shard_bytes: int | None = None, carry: bool = False) -
     parts = max(least, min(MOST_PARTITIONS, math.ceil(total / PARTITION_BYTES)))
     carried = [F.struct(*(F.lit(None).cast("string").alias(c) if c == "text" else F.col(c) for c in docs.columns)).alias("row")] if carry else []
     frame = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", shard_of(shards).alias("shard"), *carried)
-    return Shards(frame.repartition(parts, "shard"), shards, max(1, math.ceil(total / BUCKET_BYTES)))
+    buckets = max(1, math.ceil(total / BUCKET_BYTES), min(least, math.ceil(total / LEAST_BUCKET_BYTES)))
+    return Shards(frame.repartition(parts, "shard"), shards, buckets)
 
 
 def ids(table: pa.Table) -> np.ndarray:
