@@ -44,6 +44,9 @@ RAW = "script|style|textarea|title|xmp"
 MARKUP = re.compile(rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</(?P=raw)\s*>|\Z)|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<[!?/][^>]*+>", re.DOTALL | re.IGNORECASE)
 NAMES = re.compile(r"\b(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
 WORD = re.compile(r"[a-z]+")
+QUOTED = re.compile(r"\"[^\"]*\"|'[^']*'")
+UNSEEN = re.compile(r"aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.IGNORECASE)
+UNSEEN_FLAG = re.compile(r"(?:^|\s)hidden(?=[\s/=]|$)", re.IGNORECASE)
 CONTAINERS = frozenset("html head body nav header footer aside main article section div form ul ol table figure dialog menu noscript template iframe svg button select details fieldset object video audio canvas".split())
 SEPARATORS = CONTAINERS | frozenset("p h1 h2 h3 h4 h5 h6 li tr td th caption thead tbody tfoot br hr pre blockquote dl dt dd address figcaption summary legend option center hgroup".split())
 NO_CONTENT_TAGS = frozenset("head nav footer aside form noscript template iframe svg button select menu dialog object video audio canvas".split())
@@ -75,11 +78,22 @@ def host_of(url: str | None) -> str:
     return m[1].lower() if m else ""
 
 
+def names(rest: str) -> list[str]:
+    """Words of an element's class, id, role and itemprop."""
+    return sorted({w for m in NAMES.findall(rest) for w in WORD.findall("".join(m).lower())}) if "=" in rest else []
+
+
+def told_off(rest: str, words: list[str]) -> bool:
+    """Whether an element's names or attributes say that it is no content."""
+    return not NO_CONTENT_WORDS.isdisjoint(words) or bool(rest and (UNSEEN.search(rest) or UNSEEN_FLAG.search(QUOTED.sub("", rest))))
+
+
 def element(tag: str, rest: str, parent: Element) -> Element:
-    words = sorted({w for m in NAMES.findall(rest) for w in WORD.findall("".join(m).lower())}) if "=" in rest else []
+    words = names(rest)
     main = tag in MAIN_TAGS or not MAIN_WORDS.isdisjoint(words)
-    named = not NO_CONTENT_WORDS.isdisjoint(words) and tag not in ("html", "body", "main") and not (tag == "article" and "comment" not in words)
-    hidden = parent.hidden or tag in NO_CONTENT_TAGS or named or (tag == "header" and not parent.main)
+    whole = tag in ("html", "body", "main") or (tag == "article" and "comment" not in words)
+    head = (tag == "header" or "header" in words) and not parent.main and not whole
+    hidden = parent.hidden or tag in NO_CONTENT_TAGS or head or (told_off(rest, words) and not whole)
     name = ".".join([tag, *words])
     k = parent.kids[name] = parent.kids.get(name, 0) + 1
     return Element(tag, f"{parent.path}>{name}" + f"[{k}]" * (k > 1), hidden, parent.main or (main and not hidden))
@@ -87,11 +101,11 @@ def element(tag: str, rest: str, parent: Element) -> Element:
 
 def blocks(page: str) -> Iterator[tuple[Element, str, int]]:
     """(innermost container, text, characters in links) of each block; an empty text tells that a container opens."""
-    stack, text, link, in_link, at = [Element()], [], 0, False, 0
+    stack, text, link, in_link, at, unseen = [Element()], [], 0, False, 0, False
 
     def flush():
         nonlocal link
-        out = " ".join(references.unescape("".join(text)).split()) if text else ""
+        out = " ".join(references.unescape("".join(text)).split()) if text and not unseen else ""
         text.clear()
         n, link = link, 0
         return [(stack[-1], out, min(n, len(out)))] if out else []
@@ -107,6 +121,8 @@ def blocks(page: str) -> Iterator[tuple[Element, str, int]]:
         if tag not in SEPARATORS:
             continue
         yield from flush()
+        # a paragraph, item or the like may be named as no content too; that holds up to the next block
+        unseen = tag not in CONTAINERS and not m["end"] and bool(m["rest"]) and told_off(m["rest"], names(m["rest"]))
         if tag not in CONTAINERS:
             continue
         if not m["end"]:

@@ -32,6 +32,8 @@ def test_main_text_without_a_template():
     assert main_text("<article>a <a href='x>y'>b</a> c</article> d", [], []) == "a b c"
     assert main_text("<article><p>a<!-- never ends <p>b", [], []) == "a"
     assert main_text("<article><script>x", [], []) == ""
+    assert main_text("<article><p class='advert'>buy<p>a<li id=ad>b</li><div hidden>c</div><div style='display: none'>d</div><div class='overflow-hidden'>e</div></article>", [], []) == "a\ne"
+    assert main_text("<div class='page-header'>site</div><article><div class='entry-header'><h1>T</h1></div>x</article>", [], []) == "T\nx"
     assert main_text("<article></div></p>a</article>", [], []) == "a"
 
 
