@@ -23,8 +23,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest doc_id, of each group of near duplicates."""
-    return distinct_documents(docs)
+    """One document, that of the smallest doc_id, of each group of near duplicates: five-word shingles, similarity 0.8."""
+    return distinct_documents(docs, words=5, percent=80)
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -105,8 +105,8 @@ def shingles(text: str | None, width: int = 4) -> frozenset:
     return frozenset(tuple(w[k : k + width]) for k in range(len(w) - width + 1))
 
 
-def brute_components(rows, percent: int = 85):
-    sets = [shingles(t) for _, t in rows]
+def brute_components(rows, percent: int = 85, width: int = 4):
+    sets = [shingles(t, width) for _, t in rows]
     parent = list(range(len(rows)))
 
     def find(x):

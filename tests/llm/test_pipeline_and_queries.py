@@ -41,7 +41,7 @@ def test_stages_against_brute_force(spark, tmp_path):
         if name == "quality_rules":
             assert set(after) == {r.doc_id for r in quality(docs).where("kept").collect()}
         elif name == "ngram_jaccard_join":
-            assert set(after) == {i for i, _, c in brute_components(rows) if i == c}
+            assert set(after) == {i for i, _, c in brute_components(rows, 80, 5) if i == c}
         elif name == "suffix_dedup":
             assert set(after) == set(before)
             for i, n, removed, _, kept_sha in brute_suffix(rows):
