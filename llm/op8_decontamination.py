@@ -19,7 +19,6 @@ tables give no hits or an empty result.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import ahocorasick

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-SPACE_WORD = r"[^\x20\x09-\x0D]+"
-
 OP1 = r"""
 WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
      g AS (SELECT doc_id, unnest(range(1, len(words) - 11)) AS i, words FROM w WHERE len(words) >= 13),
