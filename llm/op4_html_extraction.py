@@ -40,6 +40,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from llm.storage import saved
+
 RAW = "script|style|textarea|title|xmp"
 MARKUP = re.compile(rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</(?P=raw)\s*>|\Z)|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<[!?/][^>]*+>", re.DOTALL | re.IGNORECASE)
 NAMES = re.compile(r"\b(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
@@ -60,7 +62,8 @@ SUPPORT = 0.5  # share of a host's pages that a valid class needs
 LEAST_PAGES = 3  # a slot is fixed only if seen on so many pages
 DESCEND = 0.6  # share of the text below an element that one child must keep to be the better choice
 SLOTS = "host string, token string, pages long, total long, print1 long, print2 long, chars long, link_chars long, least_text long, most_text long"
-TEMPLATE = "host string, content array<string>, fixed array<string>"
+TEMPLATE = "host string, pages long, content array<string>, fixed array<string>"
+HOT_SHARE = 1000  # a host with more than a thousandth of all pages is hot; there are fewer than a thousand
 RESULT = "page_id long, url string, text string, n_chars long"
 PAGE = "#page"
 
@@ -213,8 +216,10 @@ def deduce(slots: list[dict]) -> tuple[list[str], list[str]]:
 
 
 def _deduce(table: pa.Table) -> pa.Table:
-    content, fixed = deduce(table.to_pylist())
-    return pa.table({"host": [table["host"][0].as_py()], "content": pa.array([content], pa.list_(pa.string())), "fixed": pa.array([fixed], pa.list_(pa.string()))})
+    slots = table.to_pylist()
+    pages = next(s["pages"] for s in slots if s["token"] == PAGE)
+    content, fixed = deduce(slots)
+    return pa.table({"host": [table["host"][0].as_py()], "pages": pa.array([pages], pa.int64()), "content": pa.array([content], pa.list_(pa.string())), "fixed": pa.array([fixed], pa.list_(pa.string()))})
 
 
 # --- extraction ---------------------------------------------------------------------
@@ -238,7 +243,7 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """(host, content, fixed): the template of each host, from all its pages."""
+    """(host, pages, content, fixed): the template of each host, from all its pages."""
     sums = pages.mapInArrow(_occurrences, SLOTS).groupBy("host", "token").agg(*(F.sum(c).alias(c) for c in ("pages", "total", "print1", "print2", "chars", "link_chars")), F.min("least_text").alias("least_text"), F.max("most_text").alias("most_text"))
     seen = sums.where(F.col("token") == PAGE).select("host", F.col("pages").alias("of"))
     # tokens of at least half of a host's pages: no more than twice the tokens of a page
@@ -247,10 +252,21 @@ def templates(pages: DataFrame) -> DataFrame:
 
 
 def extract(pages: DataFrame) -> DataFrame:
-    """Returns page_id, url, text and n_chars (code points)."""
+    """Returns page_id, url, text and n_chars (code points).
+
+    Pages of hot hosts get their template by a broadcast of fewer than a thousand
+    templates, so they are not shuffled; the other hosts' pages are joined by
+    host, none of which holds more than a thousandth.
+    """
     own = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
     url = F.regexp_extract(F.coalesce("url", F.lit("")), r"^\s*[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)
-    return own.withColumn("host", F.lower(url)).join(templates(own), "host", "left").mapInArrow(_extract, RESULT)
+    hosted = own.withColumn("host", F.lower(url))
+    told = saved(templates(own))
+    total = told.agg(F.sum("pages")).first()[0] or 0
+    hot = F.broadcast(told.where(F.col("pages") * HOT_SHARE > total).drop("pages"))
+    cold = told.where(F.col("pages") * HOT_SHARE <= total).drop("pages")
+    rest = hosted.join(hot.select("host"), "host", "left_anti").join(cold, "host", "left")
+    return hosted.join(hot, "host").unionByName(rest).mapInArrow(_extract, RESULT)
 
 
 def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

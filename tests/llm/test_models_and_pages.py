@@ -6,7 +6,7 @@ from collections import Counter
 
 import pytest
 from conftest import SF_SMALL
-from llm import exchange
+from llm import exchange, op4_html_extraction
 from llm.op4_html_extraction import deduce, extract, main_text, templates
 from llm.op9_lm_scoring import ADD, FOLDS, PRIOR, held_out, lm_scores
 from llm.op10_chat_formatting import link_tool_calls, with_tools
@@ -52,6 +52,19 @@ def test_template_of_a_site_without_names(spark):
         assert r.text == f"{story}\n{story} more" and r.n_chars == len(r.text)
 
 
+@pytest.mark.parametrize("share", [1, 2, 1000])
+def test_hot_and_other_hosts_get_their_templates(spark, monkeypatch, share):
+    """With a share of 1 no host is hot, with 2 the larger one, with 1000 both."""
+    monkeypatch.setattr(op4_html_extraction, "HOT_SHARE", share)
+    rows = plain_site(8) + [(100 + k, f"https://other.example.com/{k}", h.replace("story", "tale")) for k, _, h in plain_site(4)] + [(200, None, "<p>alone")]
+    got = {r.page_id: r.text for r in extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert len(got) == len(rows) and got[200] == "alone"
+    for k in range(8):
+        assert got[k].startswith(f"story {k}") and "Welcome" not in got[k] and "Home" not in got[k]
+    for k in range(4):
+        assert got[100 + k].startswith(f"tale {k}") and "Contact" not in got[100 + k]
+
+
 def slot(token, pages, print1, chars=0, link=0, least=0, most=1):
     return {"token": token, "pages": pages, "total": pages, "print1": print1, "print2": 0, "chars": chars, "link_chars": link, "least_text": least, "most_text": most}
 
