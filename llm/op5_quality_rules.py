@@ -18,11 +18,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from llm.rolling import SPACE_WORDS, SPACES, Texts, covered, slices
+from llm.rolling import SPACE_WORDS, SPACES, Texts, covered, give_back, slices
 from llm.storage import saved
 
 MIN_WORDS = 20
@@ -59,7 +60,10 @@ RULES = {
 def _count(keep: tuple[str, ...]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if "text" not in batch.schema.names:  # it comes inside the whole row
+                batch = pa.RecordBatch.from_arrays([batch["row"], pc.struct_field(batch["row"], "text")], ["row", "text"])
             for own in slices(batch, "text"):
+                give_back()
                 yield pa.RecordBatch.from_arrays([*(own[c] for c in keep), *(pa.array(c, pa.int64()) for c in counts(own["text"]))], [*keep, *COUNTS])
 
     return run
@@ -159,7 +163,7 @@ def quality(docs: DataFrame, keep: float = KEEP, rounds: int = ROUNDS) -> DataFr
 def good_documents(docs: DataFrame, keep: float = KEEP, rounds: int = ROUNDS) -> DataFrame:
     """The rows that the base rules and the posterior keep, with all columns; texts are read twice, none is shuffled."""
     fitted = _posteriors(_judged(docs.select("text")), rounds)
-    rows = docs.select(F.struct("*").alias("row"), "text")
+    rows = docs.select(F.struct("*").alias("row"))
     return _judged(rows, "row").join(fitted, "pattern").where(_kept(keep)).select("row.*")
 
 
