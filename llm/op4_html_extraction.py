@@ -12,16 +12,20 @@
    slots.
 3. Slots of menus, adverts, forms, comments and the like (by element, class or
    role), slots with one and the same text on all pages, and slots that are
-   mostly links are no content.  Content is the slots below the template's
-   article or main element, or else below the element that keeps most of the
-   remaining text.
+   mostly links are no content.  If the template has an article or main element,
+   content is what stands in such elements; else it is all that is left.
 4. Every page is parsed again with its host's template, and the text of the
-   content slots is returned: character references decoded, white space in a
-   block turned into one space, blocks in page order joined by a newline.
-
-A page that lacks its template's content element, or whose host has no template,
-falls back to its own article or main element, or else its body without the
-slots named above.
+   content is returned: character references decoded, white space in a
+   block turned into one space, blocks in page order joined by a newline.  Fixed
+   slots are known again by their path without sibling numbers and their text,
+   link slots by that path and their links on the page itself, so an element more
+   or less on a page moves nothing.
+
+All article and main elements of a page count, also those that few pages of the
+host have.  A main element below an ancestor whose name or form element tells it
+off is shown; an article there if the page has no other article or main text.  A
+page without such elements, or whose host has no template, gives its own article
+or main elements, or else its body without the slots named above.
 
 Defined results: a null or empty page, or one without content, has empty text; a
 null or malformed url has the empty host; repeated rows are extracted each; a
@@ -34,7 +38,7 @@ from __future__ import annotations
 import hashlib
 import html as references
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -46,6 +50,7 @@ RAW = "script|style|textarea|title|xmp"
 MARKUP = re.compile(rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</(?P=raw)\s*>|\Z)|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<[!?/][^>]*+>", re.DOTALL | re.IGNORECASE)
 NAMES = re.compile(r"\b(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
 WORD = re.compile(r"[a-z]+")
+NUMBER = re.compile(r"\[\d+\]")
 QUOTED = re.compile(r"\"[^\"]*\"|'[^']*'")
 UNSEEN = re.compile(r"aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.IGNORECASE)
 UNSEEN_FLAG = re.compile(r"(?:^|\s)hidden(?=[\s/=]|$)", re.IGNORECASE)
@@ -60,7 +65,6 @@ MAIN_WORDS = frozenset("main articlebody".split())
 MAIN_TAGS = frozenset(("article", "main"))
 SUPPORT = 0.5  # share of a host's pages that a valid class needs
 LEAST_PAGES = 3  # a slot is fixed only if seen on so many pages
-DESCEND = 0.6  # share of the text below an element that one child must keep to be the better choice
 SLOTS = "host string, token string, pages long, total long, print1 long, print2 long, chars long, link_chars long, least_text long, most_text long"
 TEMPLATE = "host string, pages long, content array<string>, fixed array<string>"
 HOT_SHARE = 1000  # a host with more than a thousandth of all pages is hot; there are fewer than a thousand
@@ -69,12 +73,18 @@ PAGE = "#page"
 
 
 class Element:
-    __slots__ = ("tag", "path", "hidden", "main", "kids")
+    """``hard``: hidden for good; ``soft``: told off by a name or form; ``again``: in an article below one that is told off."""
+
+    __slots__ = ("tag", "path", "hard", "soft", "main", "again", "kids")
 
-    def __init__(self, tag: str = "", path: str = "", hidden: bool = False, main: bool = False):
-        self.tag, self.path, self.hidden, self.main = tag, path, hidden, main
+    def __init__(self, tag: str = "", path: str = "", hard: bool = False, soft: bool = False, main: bool = False, again: bool = False):
+        self.tag, self.path, self.hard, self.soft, self.main, self.again = tag, path, hard, soft, main, again
         self.kids: dict[str, int] = {}  # how many children of a name have come
 
+    @property
+    def hidden(self) -> bool:
+        return self.hard or self.soft
+
 
 def host_of(url: str | None) -> str:
     m = re.match(r"\s*[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", url or "")
@@ -86,20 +96,36 @@ def names(rest: str) -> list[str]:
     return sorted({w for m in NAMES.findall(rest) for w in WORD.findall("".join(m).lower())}) if "=" in rest else []
 
 
+def out_of_sight(rest: str) -> bool:
+    return bool(rest and (UNSEEN.search(rest) or UNSEEN_FLAG.search(QUOTED.sub("", rest))))
+
+
 def told_off(rest: str, words: list[str]) -> bool:
     """Whether an element's names or attributes say that it is no content."""
-    return not NO_CONTENT_WORDS.isdisjoint(words) or bool(rest and (UNSEEN.search(rest) or UNSEEN_FLAG.search(QUOTED.sub("", rest))))
+    return not NO_CONTENT_WORDS.isdisjoint(words) or out_of_sight(rest)
 
 
 def element(tag: str, rest: str, parent: Element) -> Element:
     words = names(rest)
     main = tag in MAIN_TAGS or not MAIN_WORDS.isdisjoint(words)
     whole = tag in ("html", "body", "main") or (tag == "article" and "comment" not in words)
-    head = (tag == "header" or "header" in words) and not parent.main and not whole
-    hidden = parent.hidden or tag in NO_CONTENT_TAGS or head or (told_off(rest, words) and not whole)
+    head = (tag == "header" or "header" in words) and not (parent.main or parent.again) and not whole
+    hard = parent.hard or (tag in NO_CONTENT_TAGS and tag != "form") or (not whole and out_of_sight(rest))
+    off = tag == "form" or head or (not whole and not NO_CONTENT_WORDS.isdisjoint(words))
+    soft = (parent.soft or off) and tag != "main"
+    again = soft and not hard and not off and (parent.again or (tag == "article" and whole))
     name = ".".join([tag, *words])
     k = parent.kids[name] = parent.kids.get(name, 0) + 1
-    return Element(tag, f"{parent.path}>{name}" + f"[{k}]" * (k > 1), hidden, parent.main or (main and not hidden))
+    return Element(tag, f"{parent.path}>{name}" + f"[{k}]" * (k > 1), hard, soft, parent.main or (main and not hard and not soft), again)
+
+
+def unnumbered(path: str) -> str:
+    return NUMBER.sub("", path)
+
+
+def is_main(path: str) -> bool:
+    tag, *words = unnumbered(path).rpartition(">")[2].split(".")
+    return tag in MAIN_TAGS or not MAIN_WORDS.isdisjoint(words)
 
 
 def blocks(page: str) -> Iterator[tuple[Element, str, int]]:
@@ -148,6 +174,10 @@ def _number(*parts) -> int:
     return int.from_bytes(hashlib.blake2b("\0".join(map(str, parts)).encode(), digest_size=8).digest(), "little")
 
 
+def _print(texts: Iterable[str]) -> int:
+    return _number(*texts) >> 1
+
+
 def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sums over the batch for each host and token."""
     for batch in batches:
@@ -165,7 +195,7 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             host = host_of(url)
             for token, (n, chars, link, texts) in own.items():
                 seen = _number(page_id, url, n)
-                said = _number(*texts) >> 1
+                said = _print(texts)
                 s = sums.setdefault((host, token), [0, 0, 0, 0, 0, 0, said, said])
                 for k, v in enumerate((1, n, seen >> 34, seen & 0x3FFFFFFF, chars, link)):
                     s[k] += v
@@ -176,7 +206,7 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def deduce(slots: list[dict]) -> tuple[list[str], list[str]]:
-    """(paths of content elements, paths of fixed slots) of a host's template."""
+    """(paths of content elements, of slots that are no content) of a host's template; a fixed slot also as path#text."""
     of = {s["token"]: s for s in slots}
     pages = of.pop(PAGE)["pages"]
     if pages < 2:
@@ -198,21 +228,22 @@ def deduce(slots: list[dict]) -> tuple[list[str], list[str]]:
             e = element(tag, f'class="{words.replace(".", " ")}"', e)
         return e
 
+    def told(own: Iterable[str]) -> list[str]:
+        return sorted(x for t in own for x in ([t, f"{t}#{of[t]['least_text']}"] if t in fixed else [t]))
+
     shown = {t: e for t in valid if not (e := built(t)).hidden}
     mains = sorted((t for t, e in shown.items() if e.main), key=len)
     outer = [t for t in mains if not any(t.startswith(m + ">") for m in mains)]
     if outer:
-        return outer, sorted(t for t in fixed if not built(t).main)
+        return outer, told(t for t in fixed if not built(t).main)
     mostly_links = {t for t in shown if 2 * of[t]["link_chars"] > of[t]["chars"]}
     plain = {t: of[t]["chars"] - of[t]["link_chars"] for t in shown if t not in fixed and t not in mostly_links}
     below = lambda t: sum(n for k, n in plain.items() if k == t or k.startswith(t + ">"))
     at = next((t for t in sorted(shown, key=len) if t.endswith(">body") or ">body." in t), "")
-    while at and (inner := [t for t in shown if t.rpartition(">")[0] == at]):
-        best = max(sorted(inner), key=below)
-        if below(best) < DESCEND * below(at) or not below(best):
-            break
-        at = best
-    return [at] if at else [], sorted(fixed | mostly_links)
+    # one element stands for the content only if its siblings and its parent's own text are no content
+    while at and not plain.get(at) and len(inner := [t for t in shown if t.rpartition(">")[0] == at and below(t)]) == 1:
+        at = inner[0]
+    return [at] if at else [], told(fixed | mostly_links)
 
 
 def _deduce(table: pa.Table) -> pa.Table:
@@ -226,13 +257,23 @@ def _deduce(table: pa.Table) -> pa.Table:
 
 
 def main_text(page: str, content: list[str], fixed: list[str]) -> str:
-    found = [(e, text) for e, text, _ in blocks(page)]
-    inside = tuple(c + ">" for c in content)
-    chosen = [x for x in found if inside and (x[0].path + ">").startswith(inside)]
-    if not chosen:
-        chosen = [x for x in found if x[0].main] or found
-    fixed = frozenset(fixed)
-    return "\n".join(text for e, text in chosen if text and not e.hidden and e.path not in fixed)
+    found = [x for x in blocks(page) if x[1] and not x[0].hard]
+    mains = [x for x in found if x[0].main and not x[0].soft]
+    found = [x for x in found if not x[0].soft or (x[0].again and not mains)]
+    if not content or any(map(is_main, content)):
+        found = mains or found
+    if fixed:
+        slots: dict[str, list] = {}
+        for e, text, link in found:
+            slots.setdefault(e.path, []).append((text, link))
+        no_content, gone = {unnumbered(f) for f in fixed}, set()
+        for path, own in slots.items():
+            name = unnumbered(path)
+            links = 2 * sum(link for _, link in own) > sum(len(text) for text, _ in own)
+            if (name in no_content and links) or f"{name}#{_print(text for text, _ in own)}" in no_content:
+                gone.add(path)
+        found = [x for x in found if x[0].path not in gone]
+    return "\n".join(text for _, text, _ in found)
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

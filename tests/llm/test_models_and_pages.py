@@ -81,6 +81,34 @@ def test_deduced_template():
     assert deduce(orphan)[0] == []  # its parent is in no valid class
 
 
+def page_texts(spark, htmls: list[str]) -> list[str]:
+    rows = [(k, f"https://a.example/{k}", h) for k, h in enumerate(htmls)]
+    got = {r.page_id: r.text for r in extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    return [got[k] for k in range(len(htmls))]
+
+
+def test_no_sibling_is_left_behind(spark):
+    first, second = (lambda k: f"first {k} " * 30), (lambda k: f"second {k} " * 20)
+    two = [f"<body><div class=one><p>{first(k)}</p></div><div class=two><p>{second(k)}</p></div><div>Contact</div></body>" for k in range(6)]
+    assert page_texts(spark, two) == [f"{first(k).strip()}\n{second(k).strip()}" for k in range(6)]
+    # a rare second article, and a rare article of another name
+    more = [f"<body><div>site</div><article><p>{first(k)}</article>" + f"<article><p>{second(k)}</article>" * (k == 1) + f"<article class=late><p>{second(k)}</article>" * (k == 2) for k in range(6)]
+    assert page_texts(spark, more) == [first(k).strip() + f"\n{second(k).strip()}" * (k in (1, 2)) for k in range(6)]
+
+
+def test_one_more_element_moves_nothing(spark):
+    page = "<html><body><div><p>Welcome to the site</p></div><div><a href='/'>Home</a> <a href='/x'>Other</a></div>{1}<div><p>{0}</p></div></body></html>"
+    got = page_texts(spark, [page.format(f"story {k} of all", "<div><p>Flash</p></div>" * (k == 3)) for k in range(8)])
+    assert got == ["Flash\n" * (k == 3) + f"story {k} of all" for k in range(8)]
+
+
+def test_article_below_a_told_off_ancestor():
+    assert main_text("<body><div class='widget page'><article><p>a<div class=comments>c</div></article></div>", [], []) == "a"
+    assert main_text("<body><form><main><p>a</p><div class=ad>b</div></main></form>", [], []) == "a"
+    assert main_text("<article>a</article><div class=related><article>b</article></div>", [], []) == "a"
+    assert main_text("<p>a</p><div hidden><article>b</article></div><aside><article>c</article></aside>", [], []) == "a"
+
+
 def test_extraction_of_awkward_rows(spark):
     rows = [(1, "https://a.example/x", ARTICLE), (1, "https://a.example/x", ARTICLE), (2, None, ARTICLE), (None, "not a url", ARTICLE), (3, "https://a.example/y", None), (4, "HTTP://u@A.example:80/z", ""), (5, "https://a.example/l", "<article>" + "<p>word</p>" * 20000)]
     pages = spark.createDataFrame([(*r, "clash", 1) for r in rows], "page_id long, url string, html string, text string, pages int")
