@@ -1,7 +1,9 @@
 """Main text of web pages by template deduction.
 
 1. Every page is parsed into *tokens*: its container elements, named by their
-   path with class and role words and by their number among equal siblings.  For each host and token Spark adds up the
+   path with class and role words and by their number among equal siblings, and
+   its blocks of text, named by their text and their container's path without
+   numbers.  For each host and token Spark adds up the
    occurrence vector over all the host's pages as a fingerprint, so tokens fall
    into one equivalence class if they occur equally often on every page.  Sums
    are formed in the tasks first; a host with a third of all pages adds a few
@@ -9,7 +11,12 @@
 2. A class is valid if it occurs on at least half of the host's pages and nests:
    the parent of each of its tokens belongs to a valid class too.  The nested
    valid classes are the host's template; what stands between its tokens are
-   slots.
+   slots.  A class of texts is valid if it occurs on at least half of the pages
+   (three or more, not all alike) and once on each of them; a text's container
+   and all above it are there wherever the text is, so it nests by itself.  On a
+   page the texts of valid classes are template as far as they come in the order
+   that they have on the host; they stay if they are the larger part of the
+   page's main text, as in copies of one article.
 3. Slots of menus, adverts, forms, comments and the like (by element, class or
    role), slots with one and the same text on all pages, and slots that are
    mostly links are no content.  If the template has an article or main element,
@@ -38,6 +45,7 @@ from __future__ import annotations
 import hashlib
 import html as references
 import re
+from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -64,7 +72,8 @@ NO_CONTENT_WORDS = frozenset(
 MAIN_WORDS = frozenset("main articlebody".split())
 MAIN_TAGS = frozenset(("article", "main"))
 SUPPORT = 0.5  # share of a host's pages that a valid class needs
-LEAST_PAGES = 3  # a slot is fixed only if seen on so many pages
+LEAST_PAGES = 3  # a slot is fixed and a text is template only if seen on so many pages
+MOST_TOKENS = 50_000  # sums held in a task before they are passed on
 SLOTS = "host string, token string, pages long, total long, print1 long, print2 long, chars long, link_chars long, least_text long, most_text long"
 TEMPLATE = "host string, pages long, content array<string>, fixed array<string>"
 HOT_SHARE = 1000  # a host with more than a thousandth of all pages is hot; there are fewer than a thousand
@@ -75,10 +84,11 @@ PAGE = "#page"
 class Element:
     """``hard``: hidden for good; ``soft``: told off by a name or form; ``again``: in an article below one that is told off."""
 
-    __slots__ = ("tag", "path", "hard", "soft", "main", "again", "kids")
+    __slots__ = ("tag", "path", "hard", "soft", "main", "again", "name", "kids")
 
     def __init__(self, tag: str = "", path: str = "", hard: bool = False, soft: bool = False, main: bool = False, again: bool = False):
         self.tag, self.path, self.hard, self.soft, self.main, self.again = tag, path, hard, soft, main, again
+        self.name: str | None = None  # the path without numbers, once asked for
         self.kids: dict[str, int] = {}  # how many children of a name have come
 
     @property
@@ -174,17 +184,35 @@ def _number(*parts) -> int:
     return int.from_bytes(hashlib.blake2b("\0".join(map(str, parts)).encode(), digest_size=8).digest(), "little")
 
 
+def text_token(e: Element, text: str) -> str:
+    if e.name is None:
+        e.name = unnumbered(e.path)
+    return f"#{_number(e.name, text):x}"
+
+
 def _print(texts: Iterable[str]) -> int:
     return _number(*texts) >> 1
 
 
 def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums over the batch for each host and token."""
+    """Sums for each host and token; a text's ``chars`` are its places, its least and most texts those of its pages."""
+
+    def told() -> pa.RecordBatch:
+        names = [c.split()[0] for c in SLOTS.split(", ")]
+        cols = [pa.array([k[0] for k in sums], pa.string()), pa.array([k[1] for k in sums], pa.string())]
+        return pa.RecordBatch.from_arrays([*cols, *(pa.array([s[i] for s in sums.values()], pa.int64()) for i in range(8))], names)
+
     for batch in batches:
         sums: dict[tuple[str, str], list[int]] = {}
         for page_id, url, page in zip(batch["page_id"].to_pylist(), batch["url"].to_pylist(), batch["html"], strict=True):
             own: dict[str, list] = {PAGE: [1, 0, 0, []]}
-            for e, text, link in blocks(page.as_py() or ""):
+            lines: dict[str, list[int]] = {}
+            page = page.as_py() or ""
+            for place, (e, text, link) in enumerate(blocks(page)):
+                if text and (not e.hidden or e.again):
+                    line = lines.setdefault(text_token(e, text), [0, 0])
+                    line[0] += 1
+                    line[1] += place
                 slot = own.setdefault(e.path, [0, 0, 0, []])
                 if text:
                     slot[1] += len(text)
@@ -193,20 +221,26 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 else:
                     slot[0] += 1
             host = host_of(url)
-            for token, (n, chars, link, texts) in own.items():
-                seen = _number(page_id, url, n)
-                said = _print(texts)
+            whole = _print([page])
+            tokens = [(token, n, chars, link, _print(texts)) for token, (n, chars, link, texts) in own.items()]
+            tokens += [(token, n, places, 0, whole) for token, (n, places) in lines.items()]
+            prints: dict[int, int] = {}
+            for token, n, chars, link, said in tokens:
+                seen = prints.get(n)
+                if seen is None:
+                    seen = prints[n] = _number(page_id, url, n)
                 s = sums.setdefault((host, token), [0, 0, 0, 0, 0, 0, said, said])
                 for k, v in enumerate((1, n, seen >> 34, seen & 0x3FFFFFFF, chars, link)):
                     s[k] += v
                 s[6], s[7] = min(s[6], said), max(s[7], said)
-        names = [c.split()[0] for c in SLOTS.split(", ")]
-        cols = [pa.array([k[0] for k in sums], pa.string()), pa.array([k[1] for k in sums], pa.string())]
-        yield pa.RecordBatch.from_arrays([*cols, *(pa.array([s[i] for s in sums.values()], pa.int64()) for i in range(8))], names)
+            if len(sums) > MOST_TOKENS:
+                yield told()
+                sums.clear()
+        yield told()
 
 
 def deduce(slots: list[dict]) -> tuple[list[str], list[str]]:
-    """(paths of content elements, of slots that are no content) of a host's template; a fixed slot also as path#text."""
+    """(paths of content elements, what is no content) of a host's template: paths, of fixed slots also path#text, then text tokens in order."""
     of = {s["token"]: s for s in slots}
     pages = of.pop(PAGE)["pages"]
     if pages < 2:
@@ -214,8 +248,13 @@ def deduce(slots: list[dict]) -> tuple[list[str], list[str]]:
     classes: dict[tuple, list[str]] = {}
     for token, s in of.items():
         classes.setdefault((s["pages"], s["total"], s["print1"], s["print2"]), []).append(token)
+    lines = []
+    for (seen, total, *_), own in classes.items():
+        if seen >= max(LEAST_PAGES, SUPPORT * pages) and total == seen:
+            lines += [t for t in own if t.startswith("#") and of[t]["least_text"] != of[t]["most_text"]]
+    lines.sort(key=lambda t: (of[t]["chars"] / of[t]["total"], t))
     valid = {""}
-    for token in sorted((t for k, own in classes.items() if k[0] >= SUPPORT * pages for t in own), key=lambda t: t.count(">")):
+    for token in sorted((t for k, own in classes.items() if k[0] >= SUPPORT * pages for t in own if t.startswith(">")), key=lambda t: t.count(">")):
         if token.rpartition(">")[0] in valid:
             valid.add(token)
     valid.discard("")
@@ -229,7 +268,7 @@ def deduce(slots: list[dict]) -> tuple[list[str], list[str]]:
         return e
 
     def told(own: Iterable[str]) -> list[str]:
-        return sorted(x for t in own for x in ([t, f"{t}#{of[t]['least_text']}"] if t in fixed else [t]))
+        return sorted(x for t in own for x in ([t, f"{t}#{of[t]['least_text']}"] if t in fixed else [t])) + lines
 
     shown = {t: e for t in valid if not (e := built(t)).hidden}
     mains = sorted((t for t, e in shown.items() if e.main), key=len)
@@ -256,23 +295,51 @@ def _deduce(table: pa.Table) -> pa.Table:
 # --- extraction ---------------------------------------------------------------------
 
 
+def in_order(places: list[int]) -> set[int]:
+    """Indices of a longest ascending subsequence."""
+    tails: list[int] = []
+    at: list[int] = []
+    before = []
+    for i, p in enumerate(places):
+        k = bisect_left(tails, p)
+        before.append(at[k - 1] if k else -1)
+        tails[k : k + 1], at[k : k + 1] = [p], [i]
+    out, i = set(), at[-1] if at else -1
+    while i >= 0:
+        out.add(i)
+        i = before[i]
+    return out
+
+
+def varying(found: list[tuple[Element, str, int]], lines: list[str]) -> list[tuple[Element, str, int]]:
+    """The blocks without the template's texts, unless these are the larger part."""
+    place = {t: k for k, t in enumerate(lines)}
+    known = [(i, place[t]) for i, (e, text, _) in enumerate(found) if (t := text_token(e, text)) in place]
+    template = {known[k][0] for k in in_order([p for _, p in known])}
+    left = [x for i, x in enumerate(found) if i not in template]
+    return left if 2 * sum(len(x[1]) for x in left) >= sum(len(x[1]) for x in found) else found
+
+
 def main_text(page: str, content: list[str], fixed: list[str]) -> str:
     found = [x for x in blocks(page) if x[1] and not x[0].hard]
     mains = [x for x in found if x[0].main and not x[0].soft]
     found = [x for x in found if not x[0].soft or (x[0].again and not mains)]
     if not content or any(map(is_main, content)):
         found = mains or found
-    if fixed:
+    lines = [f for f in fixed if f.startswith("#")]
+    if len(lines) < len(fixed):
         slots: dict[str, list] = {}
         for e, text, link in found:
             slots.setdefault(e.path, []).append((text, link))
-        no_content, gone = {unnumbered(f) for f in fixed}, set()
+        no_content, gone = {unnumbered(f) for f in fixed if f.startswith(">")}, set()
         for path, own in slots.items():
             name = unnumbered(path)
             links = 2 * sum(link for _, link in own) > sum(len(text) for text, _ in own)
             if (name in no_content and links) or f"{name}#{_print(text for text, _ in own)}" in no_content:
                 gone.add(path)
         found = [x for x in found if x[0].path not in gone]
+    if lines:
+        found = varying(found, lines)
     return "\n".join(text for _, text, _ in found)
 
 
@@ -286,6 +353,7 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def templates(pages: DataFrame) -> DataFrame:
     """(host, pages, content, fixed): the template of each host, from all its pages."""
     sums = pages.mapInArrow(_occurrences, SLOTS).groupBy("host", "token").agg(*(F.sum(c).alias(c) for c in ("pages", "total", "print1", "print2", "chars", "link_chars")), F.min("least_text").alias("least_text"), F.max("most_text").alias("most_text"))
+    sums = sums.where(~F.col("token").startswith("#") | (F.col("token") == PAGE) | (F.col("pages") >= LEAST_PAGES))
     seen = sums.where(F.col("token") == PAGE).select("host", F.col("pages").alias("of"))
     # tokens of at least half of a host's pages: no more than twice the tokens of a page
     often = sums.join(seen, "host").where((F.col("token") == PAGE) | (F.col("pages") >= SUPPORT * F.col("of"))).drop("of")

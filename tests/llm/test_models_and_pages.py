@@ -102,6 +102,20 @@ def test_one_more_element_moves_nothing(spark):
     assert got == ["Flash\n" * (k == 3) + f"story {k} of all" for k in range(8)]
 
 
+def test_texts_of_the_template_within_an_article(spark):
+    story = lambda k: f"story {k} " * 30
+    page = "<body><article><p>Read on every page</p><p>{0}</p>{1}<ul><li>subscribe now</li></ul></article></body>"
+    got = page_texts(spark, [page.format(story(k), "<p>seldom</p>" * (k < 2)) for k in range(8)])
+    assert got == [story(k).strip() + "\nseldom" * (k < 2) for k in range(8)]
+    # out of the template's order it is a text like others
+    moved = page_texts(spark, [page.format(story(k), "") for k in range(7)] + [f"<body><article><ul><li>subscribe now</li></ul><p>{story(7)}</p><p>Read on every page</p></article></body>"])
+    assert moved[:7] == [story(k).strip() for k in range(7)] and sum(x in moved[7] for x in ("Read on", "subscribe")) == 1
+    # copies of an article, with a date or not, are no template
+    for last in ("", "<p>seen {0}</p>"):
+        copies = page_texts(spark, [f"<body><article><p>{story(1)}</p><p>{story(2)}</p>{last.format(k)}</article></body>" for k in range(5)])
+        assert all(t.startswith(f"{story(1).strip()}\n{story(2).strip()}") for t in copies)
+
+
 def test_article_below_a_told_off_ancestor():
     assert main_text("<body><div class='widget page'><article><p>a<div class=comments>c</div></article></div>", [], []) == "a"
     assert main_text("<body><form><main><p>a</p><div class=ad>b</div></main></form>", [], []) == "a"
