@@ -139,18 +139,32 @@ def contains(ascending: np.ndarray, values: np.ndarray) -> np.ndarray:
     return ascending[np.minimum(np.searchsorted(ascending, values), len(ascending) - 1)] == values
 
 
+def tied(tie: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The key that orders equal doc_ids, for lexsort; none if all have a doc_id."""
+    return (tie,) if tie.any() else ()
+
+
+def after_first(new: np.ndarray, count: np.ndarray, least: np.ndarray, tie: np.ndarray | None = None) -> np.ndarray:
+    """Of entries grouped by name and in order: which come after the first of their name, by doc_id and tie."""
+    first = np.repeat(least[new], count)
+    later = first < least
+    if tie is not None and tie.any():
+        later |= (first == least) & (np.repeat(tie[new], count) < tie)
+    return later
+
+
 def answer_earlier(kind: int):
-    """Of a bucket with columns (name, more bits, least doc_id): does a smaller doc_id have the name in another shard?"""
+    """Of a bucket with columns (name, more bits, least doc_id[, tie]): does a smaller doc_id have the name in another shard?"""
 
     def run(table: pa.Table) -> pa.Table:
         bucket = table["bucket"][0].as_py()
-        shards, sizes, (h, h2, least) = gathered(table)
-        order = np.lexsort((least, h2, h))
-        a, b, d = h[order], h2[order], least[order]
+        shards, sizes, (h, h2, least, *tie) = gathered(table)
+        order = np.lexsort((*(k for t in tie for k in tied(t)), least, h2, h))
+        a, b = h[order], h2[order]
         new = np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))
         count = np.diff(np.append(np.flatnonzero(new), len(a)))
         earlier = np.zeros(len(a), bool)
-        earlier[order] = np.repeat(d[new], count) < d
+        earlier[order] = after_first(new, count, least[order], *(t[order] for t in tie))
         ends = np.cumsum(sizes)
         return replies([(s, bucket, kind, pack_flags(earlier[i:j])) for s, i, j in zip(shards, ends - sizes, ends, strict=True)])
 

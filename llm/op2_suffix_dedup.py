@@ -18,10 +18,10 @@ leave before the next round.  Three rounds meet the corpus:
 Names have 48 bits in round 1, which only selects, and 80 bits later.
 
 Defined results: null and empty texts have no bytes; texts shorter than
-``length`` lose nothing; a null doc_id comes after all others and null ids are
-not earlier than each other across shards; rows that share a doc_id count as
-one document, in the order of their texts; other columns are ignored; an empty
-table gives an empty result.
+``length`` lose nothing; a null doc_id comes after all others, null ids in the
+order of a hash of their texts, whatever shards they are in; rows that share a
+doc_id, or without one a text, count as one document, in the order of their
+texts; other columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -59,12 +59,22 @@ def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(tail[: n - width + 1], head[width - 1 : n])
 
 
+def in_order(table: pa.Table) -> tuple[pa.Table, np.ndarray]:
+    """Rows in the order that holds across shards, and what orders null doc_ids among themselves (0: has a doc_id)."""
+    ties = np.zeros(table.num_rows, np.uint64)
+    for i in np.flatnonzero(table["doc_id"].is_null().to_numpy()):
+        text = (table["text"][int(i)].as_py() or "").encode()
+        ties[i] = int.from_bytes(hashlib.blake2b(text, digest_size=8).digest(), "little") | 1
+    table = table.append_column("tie", pa.array(ties)).sort_by([("doc_id", "ascending"), ("tie", "ascending"), ("text", "ascending")])
+    return table.drop_columns("tie"), table["tie"].to_numpy()
+
+
 class Shard:
     """Ranks, samples and stretches of one shard."""
 
     def __init__(self, table: pa.Table, length: int):
         give_back()
-        self.table = X.in_order(table)
+        self.table, self.ties = in_order(table)
         self.length, first = length, min(FIRST, length)
         self.texts = Texts(self.table["text"])
         self.ids = X.ids(self.table)
@@ -112,8 +122,11 @@ class Shard:
             self.sums2 = prefix_sums(BYTE_VALUES_2[self.texts.buf])
         return (span_hash(self.sums2, start, end) >> np.uint64(48)).astype(np.uint16)
 
-    def doc(self, x: np.ndarray) -> np.ndarray:
-        return self.ids[np.searchsorted(self.texts.off, x, side="right") - 1]
+    def doc(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """doc_ids and ties of places x; ties of one byte if all have a doc_id."""
+        row = np.searchsorted(self.texts.off, x, side="right") - 1
+        tie = self.ties[row]
+        return self.ids[row], tie if tie.any() else tie.astype(np.uint8)
 
     def stretches(self, told: pa.Table) -> Grouped:
         (live,) = X.joined(X.answers(told, LIVE), np.uint64)
@@ -149,7 +162,7 @@ class Grouped:
         self.is_first = np.zeros(len(x), bool)
         self.is_first[order] = new
         self.keys = [k[new] for k in keys]
-        self.least = shard.doc(x[order][new])  # rows are in the order of doc_id
+        self.least = shard.doc(x[order][new])  # rows are in the order of doc_id and tie
 
 
 def _ask_samples(length: int, buckets: int):
@@ -174,7 +187,7 @@ def _answer_samples(table: pa.Table) -> pa.Table:
 def _ask_stretches(length: int, buckets: int):
     def run(table: pa.Table, told: pa.Table) -> pa.Table:
         s = Shard(table, length).stretches(told)
-        return X.requests(X.one_shard(table), buckets, SAMPLE_BITS, *s.keys, s.least)
+        return X.requests(X.one_shard(table), buckets, SAMPLE_BITS, *s.keys, *s.least)
 
     return run
 
@@ -182,15 +195,15 @@ def _ask_stretches(length: int, buckets: int):
 def _answer_stretches(table: pa.Table) -> pa.Table:
     """Of each stretch: does it occur in an earlier document elsewhere, and do others share its sample?"""
     bucket = table["bucket"][0].as_py()
-    shards, sizes, (name, a, b, least) = X.gathered(table)
-    order = np.lexsort((least, b, a, name))
-    name, a, b, d = name[order], a[order], b[order], least[order]
+    shards, sizes, (name, a, b, least, tie) = X.gathered(table)
+    order = np.lexsort((*X.tied(tie), least, b, a, name))
+    name, a, b = name[order], a[order], b[order]
     new_name = np.append(True, name[1:] != name[:-1])
     new = new_name | np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))
     count = np.diff(np.append(np.flatnonzero(new), len(a)))
     classes = np.cumsum(new_name) - 1
     earlier, mixed = np.zeros(len(a), bool), np.zeros(len(a), bool)
-    earlier[order] = np.repeat(d[new], count) < d
+    earlier[order] = X.after_first(new, count, least[order], tie[order])
     mixed[order] = np.bincount(classes, new)[classes] > 1
     ends = np.cumsum(sizes)
     return X.replies([(s, bucket, kind, X.pack_flags(f[i:j])) for s, i, j in zip(shards, ends - sizes, ends, strict=True) for kind, f in ((STRETCH_EARLIER, earlier), (STRETCH_MIXED, mixed))])
@@ -200,7 +213,7 @@ def _ask_strings(length: int, buckets: int):
     def run(table: pa.Table, told: pa.Table) -> pa.Table:
         shard = Shard(table, length)
         _, w = shard.strings(told, shard.stretches(told))
-        return X.requests(X.one_shard(table), buckets, 64, *w.keys, w.least)
+        return X.requests(X.one_shard(table), buckets, 64, *w.keys, *w.least)
 
     return run
 
@@ -264,7 +277,7 @@ def _texts_left(length: int):
     def run(table: pa.Table, told: pa.Table) -> pa.Table:
         cut = _cut(length, True)(table, told)
         text = [x.decode(errors="ignore") for x in cut["kept_bytes"].to_pylist()]
-        table = X.in_order(table)
+        table, _ = in_order(table)
         left = [None if was is None else now for was, now in zip(table["text"].to_pylist(), text, strict=True)]
         return pa.table({"row": table["row"], "kept": pa.array(left, pa.string())})
 

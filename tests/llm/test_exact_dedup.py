@@ -1,5 +1,6 @@
 """Operators 1, 2 and 6 against brute force, over many small shards and buckets."""
 
+import hashlib
 import random
 
 import pytest
@@ -59,6 +60,23 @@ def test_suffix_dedup_null_ids_come_last(spark):
     assert next(r.n_removed for r in got if r.doc_id is None) == len(text) * 2
 
 
+def test_suffix_dedup_of_null_ids(spark, sizes):
+    """Each passage stays once, in one shard or many; copies of a text are one document."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choices("abcdefghij", k=6))
+    passages = [" ".join(word() for _ in range(30)) for _ in range(3)]
+    texts = [f"{' '.join(word() for _ in range(40))} {p} {' '.join(word() for _ in range(40))}" for p in passages * 12]
+    texts += [texts[0], texts[0], None, "short"]
+    key = lambda t: int.from_bytes(hashlib.blake2b((t or "").encode(), digest_size=8).digest(), "little") | 1
+    rows = [(7, texts[5]), *((None, t) for t in texts)]
+    want = brute_suffix([((0, 7) if i is not None else (1, key(t)), t) for i, t in rows])
+    want = [(7 if i == (0, 7) else None, *x) for i, *x in want]
+    docs = frame(spark, rows).repartition(3)
+    assert ordered((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup(docs).collect()) == ordered(want)
+    left = [r.text or "" for r in without_repeats(docs).collect()]
+    assert len(left) == len(rows) and [sum(p in t for t in left) for p in passages] == [1, 1, 1]
+
+
 def test_without_repeats_keeps_rows_and_columns(spark, sizes):
     rows = [(i, t) for i, t in awkward_texts() if i is not None]
     docs = frame(spark, rows).withColumn("n_chars", F.length("text").cast("long"))
