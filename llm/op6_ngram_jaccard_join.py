@@ -47,7 +47,7 @@ BLOCK_SETS = 250
 BITS = 48
 RESERVED = 1 << 62
 LEVELS, CLASSES = 1, 2
-SETS = "shard int, id long, n long, h1 long, h2 long"
+SETS = "shard int, id long, said long, n long, h1 long, h2 long"
 CANDIDATES = "cls long, n long, tokens binary, prefix array<long>"
 
 
@@ -92,7 +92,7 @@ def _sets(width: int):
             for own in slices(batch, "text"):
                 s = Shingles(pa.table(own.columns, names=own.schema.names), width)
                 h1, h2 = s.keys()
-                yield pa.RecordBatch.from_arrays([own["shard"], own["id"], pa.array(s.n, pa.int64()), pa.array(h1), pa.array(h2)], [c.split()[0] for c in SETS.split(", ")])
+                yield pa.RecordBatch.from_arrays([own["shard"], own["id"], own["said"], pa.array(s.n, pa.int64()), pa.array(h1), pa.array(h2)], [c.split()[0] for c in SETS.split(", ")])
 
     return run
 
@@ -311,13 +311,13 @@ def with_id(docs: DataFrame) -> DataFrame:
     return docs.withColumn("id", F.coalesce(F.col("doc_id").cast("long"), surrogate))
 
 
-def components_of(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, block_sets: int = BLOCK_SETS) -> DataFrame:
-    """(id, n_shingles, component) for each row; see with_id."""
+def labelled_classes(docs: DataFrame, words: int, percent: int, block_sets: int) -> tuple[DataFrame, DataFrame]:
+    """(SETS of each row; h1, h2, n, id and said of the first row, cls and label of each class); see with_id."""
     dealt = X.deal(docs)
     shards, buckets = dealt.frame.groupBy("shard"), dealt.buckets
-    rows = with_id(docs.select("doc_id", "text")).withColumn("shard", X.shard_of(dealt.shards)).drop("doc_id")
+    rows = with_id(docs.select("doc_id", "text")).withColumn("shard", X.shard_of(dealt.shards)).withColumn("said", F.xxhash64("text")).drop("doc_id")
     sets = saved(rows.mapInArrow(_sets(words), SETS))
-    classes = sets.where("n > 0").groupBy("h1", "h2", "n").agg(F.min(F.struct("id", "shard")).alias("first"))
+    classes = sets.where("n > 0").groupBy("h1", "h2", "n").agg(F.min(F.struct("id", "said", "shard")).alias("first"))
     classes = saved(classes.select("h1", "h2", "n", "first.*", F.monotonically_increasing_id().alias("cls")))
     number = lambda c: F.unhex(F.lpad(F.hex(c), 16, "0"))
     chosen = classes.select("shard", F.lit(0).alias("bucket"), F.lit(CLASSES).alias("kind"), F.concat(*map(number, ("h1", "h2", "cls"))).alias("payload"))
@@ -326,7 +326,12 @@ def components_of(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, b
     told = X.union([chosen, levels])
     candidates = saved(shards.cogroup(told.groupBy("shard")).applyInArrow(_candidates(words, percent), CANDIDATES))
     labels = connect(candidates, percent, block_sets)
-    linked = classes.join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
+    return sets, classes.join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
+
+
+def components_of(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, block_sets: int = BLOCK_SETS) -> DataFrame:
+    """(id, n_shingles, component) for each row; see with_id."""
+    sets, linked = labelled_classes(docs, words, percent, block_sets)
     least = linked.groupBy("label").agg(F.min("id").alias("component"))
     named = linked.join(least, "label").select("h1", "h2", "n", "component")
     out = sets.join(named, ["h1", "h2", "n"], "left")
@@ -343,11 +348,16 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     return components_of(docs, words, percent, block_sets).select(real("id").alias("doc_id"), "n_shingles", real("component").alias("component_id"))
 
 
-def distinct_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """The rows of the least doc_id of each component, with all columns; of rows with equal doc_id and text one."""
-    least = components_of(docs, words, percent).where("id = component").select("id").distinct()
+def distinct_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, block_sets: int = BLOCK_SETS) -> DataFrame:
+    """One row of each component, with all columns: of the least doc_id and among its rows that of the least text hash; of rows with equal doc_id and text one.
+
+    Texts without words are in no component; each stays.
+    """
+    sets, linked = labelled_classes(docs, words, percent, block_sets)
+    least = linked.groupBy("label").agg(F.min(F.struct("id", "said")).alias("first")).select("first.*")
+    kept = least.unionByName(sets.where("n = 0").select("id", "said")).distinct()
     rows = with_id(docs.select(F.struct("*").alias("row"), "doc_id", "text")).select("row", "id", F.xxhash64("text").alias("said"))
-    once = rows.join(least, "id", "left_semi").withColumn("nth", F.row_number().over(Window.partitionBy("id", "said").orderBy("id")))
+    once = rows.join(kept, ["id", "said"], "left_semi").withColumn("nth", F.row_number().over(Window.partitionBy("id", "said").orderBy("id")))
     return once.where("nth = 1").select("row.*")
 
 

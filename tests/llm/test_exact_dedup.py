@@ -148,6 +148,17 @@ def test_rows_that_share_a_doc_id_stay_apart(spark):
     assert {(r.doc_id, r.text) for r in distinct_documents(frame(spark, rows)).collect()} == {(5, a), (5, b)}
 
 
+def test_one_row_of_each_component_stays(spark):
+    """Rows that share a doc_id with near copies, and one whose doc_id is the least of another group."""
+    a, b = [f"w{i}" for i in range(60)], [f"v{i}" for i in range(60)]
+    changed = " ".join([*a[:-1], "other"])
+    a, b = " ".join(a), " ".join(b)
+    kept = distinct_documents(frame(spark, [(5, a), (5, changed)])).collect()
+    assert len(kept) == 1 and kept[0].text in (a, changed)
+    rows = [(3, a), (5, changed), (5, b), (8, b), (9, ""), (9, ""), (9, " ")]
+    assert ordered((r.doc_id, r.text) for r in distinct_documents(frame(spark, rows)).collect()) == ordered([(3, a), (5, b), (9, ""), (9, " ")])
+
+
 def test_empty_tables(spark):
     empty = frame(spark, [])
     for f in (substring_dedup, suffix_dedup, jaccard_components, without_repeats, distinct_documents):
