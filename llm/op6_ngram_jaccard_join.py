@@ -18,6 +18,11 @@
    its group.  Every pair is compared or already connected, so no component is
    missed, and no task holds more than ``block_sets`` sets and its probes.
 
+``jaccard_links`` counts links instead: without the cut at connected subtrees
+each set meets each other set of its group once, in tasks of one trie and the
+sets of at most ``PROBING`` other blocks, and a link counts with the number of
+rows of the class at its other end.  No pair leaves a task.
+
 Defined results: texts without words have an empty set and are linked with
 nothing; with fewer words than a shingle has, the whole sequence is the one
 shingle; a null doc_id never is a component's id (null if it has no other);
@@ -44,6 +49,7 @@ from llm.storage import saved
 WORDS = 4
 PERCENT = 85
 BLOCK_SETS = 250
+PROBING = 8
 BITS = 48
 RESERVED = 1 << 62
 LEVELS, CLASSES = 1, 2
@@ -220,22 +226,43 @@ class Trie:
         visit(self.root, 0, 0)
         mark[tokens] = False
 
+    def linked(self, k: int, tokens: np.ndarray, mark: np.ndarray, percent: int) -> list[int]:
+        """All sets in the trie that set k links to."""
+        n, own, out = int(self.sizes[k]), len(tokens), []
+        mark[tokens] = True
+        todo = [(self.root, 0, 0)]
+        while todo:
+            node, overlap, depth = todo.pop()
+            if len(node.tokens):
+                overlap += int(np.count_nonzero(mark[node.tokens]))
+                depth += len(node.tokens)
+                left = own - int(np.searchsorted(tokens, node.tokens[-1], side="right"))
+                if 100 * node.most < (100 + percent) * (depth - overlap) + percent * n or (100 + percent) * (overlap + left) < percent * (n + node.least):
+                    continue
+            out += [s for s in node.ends if (100 + percent) * overlap >= percent * (n + int(self.sizes[s]))]
+            todo += [(child, overlap, depth) for child in node.children.values()]
+        mark[tokens] = False
+        return out
+
+
+def _paths(table: pa.Table) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+    """Of a block: the sets' sizes, their tokens as ascending ranks, the most frequent first, and room for marks."""
+    blobs = [unpack(x) for x in table["tokens"].to_pylist()]
+    h, level = (np.concatenate([b[i] for b in blobs]) for i in (1, 2))
+    order = np.lexsort((h, -level.astype(np.int16)))  # most frequent first
+    new = np.append(True, h[order][1:] != h[order][:-1])
+    rank = np.empty(len(h), np.int64)
+    rank[order] = np.cumsum(new) - 1
+    ends = np.cumsum([len(b[0]) for b in blobs])
+    return table["n"].to_numpy(), [np.sort(x) for x in np.split(rank, ends[:-1])], np.zeros(len(h) + 1, bool)
+
 
 def _join_block(percent: int):
     """Rows (cls, label, n, tokens, probe) of a block: labels that links connect, as pairs."""
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by([("probe", "ascending"), ("n", "ascending"), ("cls", "ascending")])
-        size = table["n"].to_numpy()
-        blobs = [unpack(x) for x in table["tokens"].to_pylist()]
-        h, level = (np.concatenate([b[i] for b in blobs]) for i in (1, 2))
-        order = np.lexsort((h, -level.astype(np.int16)))  # most frequent first
-        new = np.append(True, h[order][1:] != h[order][:-1])
-        rank = np.empty(len(h), np.int64)
-        rank[order] = np.cumsum(new) - 1
-        ends = np.cumsum([len(b[0]) for b in blobs])
-        sets = [np.sort(x) for x in np.split(rank, ends[:-1])]
-        mark = np.zeros(len(h) + 1, bool)
+        size, sets, mark = _paths(table)
         labels, member = np.unique(table["label"].to_numpy(), return_inverse=True)
         parent = np.arange(len(labels)).tolist()
         member = member.tolist()
@@ -265,6 +292,28 @@ def _join_block(percent: int):
     return run
 
 
+def _count_block(percent: int):
+    """(cls, links) of a trie and the sets that probe it: with how many rows of the other classes each set links."""
+
+    def run(table: pa.Table) -> pa.Table:
+        give_back()
+        table = table.sort_by([("probe", "ascending"), ("n", "ascending"), ("cls", "ascending")])
+        size, sets, mark = _paths(table)
+        weight, links = table["rows"].to_numpy(), np.zeros(table.num_rows, np.int64)
+        trie = Trie(size)
+        for k, (probe, home) in enumerate(zip(table["probe"].to_pylist(), table["home"].to_pylist(), strict=True)):
+            if probe or home:
+                met = trie.linked(k, sets[k], mark, percent)
+                links[k] += weight[met].sum()
+                links[met] += weight[k]
+            if not probe:
+                trie.insert(k, sets[k], lambda _: 0)
+        some = links > 0
+        return pa.table({"cls": pa.array(table["cls"].to_numpy()[some], pa.int64()), "links": pa.array(links[some], pa.int64())})
+
+    return run
+
+
 # --- the join -------------------------------------------------------------------
 
 
@@ -278,14 +327,28 @@ def _labelled(sets: DataFrame, links: DataFrame) -> DataFrame:
     return sets.join(found, "label", "left").withColumn("label", F.coalesce("to", "label")).drop("to")
 
 
-def connect(candidates: DataFrame, percent: int, block_sets: int) -> DataFrame:
-    """(cls, label) of the candidates that link: components by trie joins, hot groups in several blocks."""
+def grouped(candidates: DataFrame, block_sets: int) -> DataFrame:
+    """The candidates connected through prefixes, with their group ``comp``, its number of ``blocks`` and their ``block``."""
     meet = candidates.select("cls", F.explode("prefix").alias("token"))
     least = meet.groupBy("token").agg(F.min("cls").alias("b"), F.max("cls").alias("most")).where("b < most").drop("most")
     groups = components(meet.join(least, "token").where("cls > b").select(F.col("cls").alias("a"), "b").distinct()).select(F.col("node").alias("cls"), F.col("label").alias("comp"))
     sizes = groups.groupBy("comp").agg(F.ceil(F.count("*") / F.lit(block_sets)).cast("int").alias("blocks"))
     sets = candidates.drop("prefix").join(groups.join(sizes, "comp"), "cls")
-    sets = saved(sets.withColumn("block", F.pmod(F.xxhash64("cls"), "blocks").cast("int")).withColumn("label", F.col("cls")).withColumn("probe", F.lit(False)))
+    return saved(sets.withColumn("block", F.pmod(F.xxhash64("cls"), "blocks").cast("int")).withColumn("label", F.col("cls")).withColumn("probe", F.lit(False)))
+
+
+def count_links(sets: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """(cls, links): with how many rows of other classes the classes link; each pair is met in the trie of its lower block."""
+    own = sets.drop("label").join(classes.select("cls", "rows"), "cls").withColumn("run", F.floor(F.col("block") / PROBING).cast("int"))
+    runs = F.sequence(F.col("run"), F.floor((F.col("blocks") - 1) / PROBING).cast("int"))
+    tries = own.withColumn("home", F.col("run")).withColumn("run", F.explode(runs)).withColumn("home", F.col("home") == F.col("run"))
+    probes = own.where("block > 0").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("block") - 1))).withColumn("probe", F.lit(True)).withColumn("home", F.lit(False))
+    met = tries.unionByName(probes).groupBy("comp", "block", "run").applyInArrow(_count_block(percent), "cls long, links long")
+    return met.groupBy("cls").agg(F.sum("links").alias("links"))
+
+
+def connect(sets: DataFrame, percent: int, block_sets: int) -> DataFrame:
+    """(cls, label) of the candidates that link: components by trie joins, hot groups in several blocks; sets: see grouped."""
     links = saved(_linked(sets, percent))
     hot = sets.where("blocks > 1")
     if hot.isEmpty():
@@ -311,22 +374,23 @@ def with_id(docs: DataFrame) -> DataFrame:
     return docs.withColumn("id", F.coalesce(F.col("doc_id").cast("long"), surrogate))
 
 
-def labelled_classes(docs: DataFrame, words: int, percent: int, block_sets: int) -> tuple[DataFrame, DataFrame]:
-    """(SETS of each row; h1, h2, n, id and said of the first row, cls and label of each class); see with_id."""
+def labelled_classes(docs: DataFrame, words: int, percent: int, block_sets: int, links: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(SETS of each row; h1, h2, n, rows, id and said of the first row, cls, label and, if asked for, links of each class); see with_id."""
     dealt = X.deal(docs)
     shards, buckets = dealt.frame.groupBy("shard"), dealt.buckets
     rows = with_id(docs.select("doc_id", "text")).withColumn("shard", X.shard_of(dealt.shards)).withColumn("said", F.xxhash64("text")).drop("doc_id")
     sets = saved(rows.mapInArrow(_sets(words), SETS))
-    classes = sets.where("n > 0").groupBy("h1", "h2", "n").agg(F.min(F.struct("id", "said", "shard")).alias("first"))
-    classes = saved(classes.select("h1", "h2", "n", "first.*", F.monotonically_increasing_id().alias("cls")))
+    classes = sets.where("n > 0").groupBy("h1", "h2", "n").agg(F.min(F.struct("id", "said", "shard")).alias("first"), F.count("*").alias("rows"))
+    classes = saved(classes.select("h1", "h2", "n", "rows", "first.*", F.monotonically_increasing_id().alias("cls")))
     number = lambda c: F.unhex(F.lpad(F.hex(c), 16, "0"))
     chosen = classes.select("shard", F.lit(0).alias("bucket"), F.lit(CLASSES).alias("kind"), F.concat(*map(number, ("h1", "h2", "cls"))).alias("payload"))
     asked = shards.cogroup(chosen.groupBy("shard")).applyInArrow(_ask_counts(words, buckets), X.REQUEST)
     levels = asked.groupBy("bucket").applyInArrow(_answer_levels, X.REPLY)
     told = X.union([chosen, levels])
     candidates = saved(shards.cogroup(told.groupBy("shard")).applyInArrow(_candidates(words, percent), CANDIDATES))
-    labels = connect(candidates, percent, block_sets)
-    return sets, classes.join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
+    groups = grouped(candidates, block_sets)
+    linked = classes.join(connect(groups, percent, block_sets), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
+    return sets, linked.join(saved(count_links(groups, classes, percent)), "cls", "left") if links else linked
 
 
 def components_of(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, block_sets: int = BLOCK_SETS) -> DataFrame:
@@ -348,6 +412,14 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     return components_of(docs, words, percent, block_sets).select(real("id").alias("doc_id"), "n_shingles", real("component").alias("component_id"))
 
 
+def jaccard_links(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, block_sets: int = BLOCK_SETS) -> DataFrame:
+    """doc_id, n_shingles and n_links of each row: how many other rows it links with, copies included."""
+    sets, linked = labelled_classes(docs, words, percent, block_sets, links=True)
+    counted = linked.select("h1", "h2", "n", (F.col("rows") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+    out = sets.join(counted, ["h1", "h2", "n"], "left")
+    return out.select(F.when(F.col("id") < RESERVED, F.col("id")).alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+
+
 def distinct_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, block_sets: int = BLOCK_SETS) -> DataFrame:
     """One row of each component, with all columns: of the least doc_id and among its rows that of the least text hash; of rows with equal doc_id and text one.
 
@@ -363,3 +435,7 @@ def distinct_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCE
 
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+def op6_ngram_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_links(spark.read.parquet(f"{sf_dir}/documents.parquet"))

@@ -8,7 +8,7 @@ from llm.op2_suffix_dedup import op2_suffix_dedup
 from llm.op3_license_scan import op3_license_scan
 from llm.op4_html_extraction import op4_html_extraction
 from llm.op5_quality_rules import op5_quality_rules
-from llm.op6_ngram_jaccard_join import op6_ngram_jaccard_join
+from llm.op6_ngram_jaccard_join import op6_ngram_jaccard_join, op6_ngram_jaccard_links
 from llm.op7_sentencepiece import op7_sentencepiece
 from llm.op8_decontamination import op8_decontamination
 from llm.op9_lm_scoring import op9_lm_scoring
@@ -27,6 +27,9 @@ QUERIES = {
     "op10_chat_formatting": op10_chat_formatting,
 }
 
+#: results beside those that the queries' SQL has
+FURTHER = {"op6_ngram_jaccard_links": op6_ngram_jaccard_links}
+
 ORACLE_SQL = {
     "op1_substring_dedup": sql.OP1,
     "op2_suffix_dedup": sql.OP2,

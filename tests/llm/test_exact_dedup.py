@@ -7,7 +7,7 @@ import pytest
 from llm import exchange, op2_suffix_dedup, op6_ngram_jaccard_join
 from llm.op1_substring_dedup import block_words, substring_dedup
 from llm.op2_suffix_dedup import suffix_dedup, without_repeats
-from llm.op6_ngram_jaccard_join import distinct_documents, jaccard_components, prefix_length
+from llm.op6_ngram_jaccard_join import distinct_documents, jaccard_components, jaccard_links, prefix_length
 from pyspark.sql import functions as F
 
 from llm_fixtures import awkward_texts, brute_components, brute_substring, brute_suffix, frame, shingles
@@ -122,6 +122,18 @@ def test_hot_groups_lose_no_link(spark, monkeypatch, seed):
     assert ordered(map(tuple, got)) == ordered(brute_components(rows))
 
 
+@pytest.mark.parametrize("block_sets", [1000, 3])
+def test_all_links_are_counted(spark, monkeypatch, block_sets):
+    """Groups of many linked texts, copies among them, in one trie and over many."""
+    monkeypatch.setattr(op6_ngram_jaccard_join, "PROBING", 2)
+    rows = near_copies(45, 7) + [(100 + i, t) for i, t in near_copies(15, 8)] + [(None, "one two"), (None, "one two"), (300, ""), (301, None)]
+    sets = [shingles(t) for _, t in rows]
+    links = [sum(a != b and len(x & y) > 0 and 100 * len(x & y) >= 85 * len(x | y) for b, y in enumerate(sets)) for a, x in enumerate(sets)]
+    got = jaccard_links(frame(spark, rows), block_sets=block_sets).collect()
+    assert ordered(map(tuple, got)) == ordered((i, len(x), n) for (i, _), x, n in zip(rows, sets, links, strict=True))
+    assert max(links) > 5
+
+
 def test_prefix_length_is_exact():
     for n in range(1, 200):
         # a partner with none of the prefix shares too few
