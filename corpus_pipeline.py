@@ -15,6 +15,7 @@ from llm.op5_quality_rules import good_documents
 from llm.op6_ngram_jaccard_join import distinct_documents
 from llm.op7_sentencepiece import encode_texts
 from llm.op8_decontamination import clean_documents
+from llm.storage import saved
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,8 +56,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages, in order, over the documents table."""
+    """The stages, in order, over the documents table; each reads the files that the one before it wrote."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    for k, (_, stage) in enumerate(STAGES):
+        docs = stage(spark, saved(docs) if k else docs, sf_dir)
     return docs

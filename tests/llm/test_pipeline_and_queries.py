@@ -70,6 +70,18 @@ def test_stages_on_an_empty_table(spark):
         assert stage(spark, docs, SF_SMALL).collect() == []
 
 
+def test_run_writes_each_stage(spark, monkeypatch):
+    plans = []
+
+    def noted(_, docs, __):
+        plans.append(docs._jdf.queryExecution().optimizedPlan().toString())
+        return docs.where("doc_id >= 0")
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("a", noted), ("b", noted)])
+    assert corpus_pipeline.run(spark, SF_SMALL).count() > 0
+    assert len(plans) == 2 and "Filter" not in plans[1]
+
+
 def test_every_operator_is_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in registry.QUERIES)
     assert numbers == list(range(1, 11))
