@@ -1,10 +1,10 @@
-"""Suffix dedup by distributed prefix doubling.
+"""Suffix dedup by winnowing and an exact exchange of hashes, in place of prefix doubling.
 
-Positions of the corpus get ranks of growing prefixes, ``FIRST`` bytes, then
-twice that, up to ``length`` bytes: the rank of 2w bytes at p is named after the
-pair of ranks at p and p + w, and the last step overlaps so that the prefix is
-exactly ``length``.  Names come from the content, so tasks agree on them; Spark
-deals them by range, sorts them and reranks, and positions that prove unique
+Positions get names of growing prefixes, ``FIRST`` bytes, then twice that, up to
+``length`` bytes, within their shard: the name of 2w bytes at p is a hash of the
+names at p and p + w, and the last step overlaps so that the prefix is exactly
+``length``.  Names come from the content, so tasks agree on them without a sort
+of the corpus; buckets compare them by range, and positions that prove unique
 leave before the next round.  Three rounds meet the corpus:
 
 1. the ``FIRST``-byte ranks at *sampled* positions: of each ``length``-byte
