@@ -13,6 +13,9 @@ from llm.op7_sentencepiece import op7_sentencepiece
 from llm.op8_decontamination import op8_decontamination
 from llm.op9_lm_scoring import op9_lm_scoring
 from llm.op10_chat_formatting import op10_chat_formatting
+from llm.op11_hard_negatives import op11_hard_negatives
+from llm.op12_phrase_collocations import op12_phrase_collocations
+from llm.op13_line_dedup import op13_line_dedup
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
@@ -25,6 +28,9 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_chat_formatting": op10_chat_formatting,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_phrase_collocations": op12_phrase_collocations,
+    "op13_line_dedup": op13_line_dedup,
 }
 
 #: results beside those that the queries' SQL has
@@ -37,4 +43,7 @@ ORACLE_SQL = {
     "op8_decontamination": sql.OP8,
     "op9_lm_scoring": sql.OP9,
     "op10_chat_formatting": sql.OP10,
+    "op11_hard_negatives": sql.OP11,
+    "op12_phrase_collocations": sql.OP12,
+    "op13_line_dedup": sql.OP13,
 }

@@ -94,3 +94,51 @@ UNION ALL
 SELECT conv_id, turn, 'tool', 'result', call_id, 0, 0, linked, CASE WHEN linked THEN call_turn ELSE turn END, linked::BIGINT, 0,
        to_json({'content': content, 'role': 'tool', 'tool_call_id': call_id})::VARCHAR FROM results
 """
+
+OP11 = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS code
+           FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+     s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+                  list_sum(list_transform(range(1, len(a.code) + 1), lambda i: a.code[i] * b.code[i]))::BIGINT AS score
+           FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+     p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+           QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score
+FROM (SELECT p.anchor_id, positive_id, positive_score, s.vec_id AS negative_id, s.score AS negative_score,
+             row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id)::INTEGER AS rank
+      FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT s.same
+      WHERE 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score)
+WHERE rank <= 10
+"""
+
+OP12 = r"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+     w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces),
+     n AS (SELECT lang, sum(len(words))::BIGINT AS n FROM w GROUP BY lang),
+     g AS (SELECT lang, m, array_to_string(list_slice(words, i, i + m - 1), ' ') AS phrase
+           FROM (SELECT lang, words, m, unnest(range(1, len(words) - m + 2)) AS i FROM w, (SELECT unnest([1, 2, 3, 4]) AS m) WHERE len(words) >= m)),
+     f AS MATERIALIZED (SELECT lang, m, phrase, count(*) AS f FROM g GROUP BY lang, m, phrase HAVING count(*) >= 30),
+     c AS (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE m > 1),
+     k AS (SELECT lang, phrase, a, k, array_to_string(list_slice(ws, 1, k), ' ') AS x, array_to_string(list_slice(ws, k + 1, m), ' ') AS y
+           FROM (SELECT *, unnest(range(1, m)) AS k FROM c)),
+     z AS (SELECT k.lang, k.phrase, a, x.f AS l, y.f AS r, ((2000000::HUGEINT * a) // (x.f::HUGEINT + y.f))::BIGINT AS score
+           FROM k JOIN f x ON x.lang = k.lang AND x.phrase = k.x JOIN f y ON y.lang = k.lang AND y.phrase = k.y
+           QUALIFY row_number() OVER (PARTITION BY k.lang, k.phrase ORDER BY score, k) = 1),
+     i AS (SELECT lang, array_to_string(list_slice(ws, j, j + b - 1), ' ') AS phrase, max(a) AS longer
+           FROM (SELECT *, unnest(range(1, m - b + 2)) AS j FROM (SELECT *, unnest(range(2, m)) AS b FROM c WHERE m > 2)) GROUP BY ALL),
+     q AS (SELECT z.*, row_number() OVER (PARTITION BY z.lang ORDER BY score DESC, a DESC, encode(z.phrase)) AS rank
+           FROM z LEFT JOIN i ON i.lang = z.lang AND i.phrase = z.phrase WHERE longer IS NULL OR 100::HUGEINT * longer < 80::HUGEINT * a)
+SELECT q.lang, rank, phrase, a, l, r, n, score FROM q JOIN n ON n.lang = q.lang WHERE rank <= 2000
+"""
+
+OP13 = r"""
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+     l AS (SELECT doc_id, i, lines[i] AS line, translate(trim(lines[i], chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+           FROM (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS i FROM d)),
+     g AS (SELECT k FROM l WHERE k <> '' GROUP BY k HAVING count(DISTINCT doc_id) >= 10)
+SELECT l.doc_id, count(*) AS n_lines, count(g.k) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (g.k IS NULL), '')) AS kept_sha256
+FROM l LEFT JOIN g ON g.k = l.k GROUP BY l.doc_id
+"""

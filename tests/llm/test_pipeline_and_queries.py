@@ -13,7 +13,7 @@ from llm.op7_sentencepiece import model_path
 
 from llm_fixtures import alnum, brute_components, brute_suffix, sha
 
-TABLES = "documents pages benchmark labels conversations".split()
+TABLES = "documents embeddings pages benchmark labels conversations".split()
 
 
 def test_stages_against_brute_force(spark, tmp_path):
@@ -84,7 +84,7 @@ def test_run_writes_each_stage(spark, monkeypatch):
 
 def test_every_operator_is_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in registry.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(registry.QUERIES) | {"pipeline"} <= set(E.queries()) and set(registry.ORACLE_SQL) <= set(E.oracle_sql())
 
 
