@@ -27,8 +27,7 @@ Defined results: texts without words have an empty set and are linked with
 nothing; with fewer words than a shingle has, the whole sequence is the one
 shingle; a null doc_id never is a component's id (null if it has no other);
 rows that share a doc_id are members each by its own text; other columns are
-ignored; an empty table gives an empty result.  doc_ids from 2**62 on are
-reserved.
+ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -38,7 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from llm import exchange as X
@@ -51,9 +50,8 @@ PERCENT = 85
 BLOCK_SETS = 250
 PROBING = 8
 BITS = 48
-RESERVED = 1 << 62
 LEVELS, CLASSES = 1, 2
-SETS = "shard int, id long, said long, n long, h1 long, h2 long"
+SETS = "shard int, nameless boolean, id long, said long, n long, h1 long, h2 long"
 CANDIDATES = "cls long, n long, tokens binary, prefix array<long>"
 
 
@@ -98,7 +96,7 @@ def _sets(width: int):
             for own in slices(batch, "text"):
                 s = Shingles(pa.table(own.columns, names=own.schema.names), width)
                 h1, h2 = s.keys()
-                yield pa.RecordBatch.from_arrays([own["shard"], own["id"], own["said"], pa.array(s.n, pa.int64()), pa.array(h1), pa.array(h2)], [c.split()[0] for c in SETS.split(", ")])
+                yield pa.RecordBatch.from_arrays([own["shard"], own["nameless"], own["id"], own["said"], pa.array(s.n, pa.int64()), pa.array(h1), pa.array(h2)], [c.split()[0] for c in SETS.split(", ")])
 
     return run
 
@@ -261,6 +259,7 @@ def _join_block(percent: int):
     """Rows (cls, label, n, tokens, probe) of a block: labels that links connect, as pairs."""
 
     def run(table: pa.Table) -> pa.Table:
+        give_back()
         table = table.sort_by([("probe", "ascending"), ("n", "ascending"), ("cls", "ascending")])
         size, sets, mark = _paths(table)
         labels, member = np.unique(table["label"].to_numpy(), return_inverse=True)
@@ -369,18 +368,18 @@ def connect(sets: DataFrame, percent: int, block_sets: int) -> DataFrame:
 
 
 def with_id(docs: DataFrame) -> DataFrame:
-    """``id``: the doc_id, or for null a number from the text beyond all doc_ids."""
-    surrogate = F.lit(RESERVED) + F.xxhash64("text").bitwiseAND(F.lit(RESERVED - 1))
-    return docs.withColumn("id", F.coalesce(F.col("doc_id").cast("long"), surrogate))
+    """``nameless``, ``id``: false and the doc_id, or for null, after all doc_ids, true and a number from the text."""
+    id_ = F.col("doc_id").cast("long")
+    return docs.withColumns({"nameless": id_.isNull(), "id": F.coalesce(id_, F.xxhash64("text"))})
 
 
 def labelled_classes(docs: DataFrame, words: int, percent: int, block_sets: int, links: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(SETS of each row; h1, h2, n, rows, id and said of the first row, cls, label and, if asked for, links of each class); see with_id."""
+    """(SETS of each row; h1, h2, n, rows, nameless, id and said of the first row, cls, label and, if asked for, links of each class); see with_id."""
     dealt = X.deal(docs)
     shards, buckets = dealt.frame.groupBy("shard"), dealt.buckets
     rows = with_id(docs.select("doc_id", "text")).withColumn("shard", X.shard_of(dealt.shards)).withColumn("said", F.xxhash64("text")).drop("doc_id")
     sets = saved(rows.mapInArrow(_sets(words), SETS))
-    classes = sets.where("n > 0").groupBy("h1", "h2", "n").agg(F.min(F.struct("id", "said", "shard")).alias("first"), F.count("*").alias("rows"))
+    classes = sets.where("n > 0").groupBy("h1", "h2", "n").agg(F.min(F.struct("nameless", "id", "said", "shard")).alias("first"), F.count("*").alias("rows"))
     classes = saved(classes.select("h1", "h2", "n", "rows", "first.*", F.monotonically_increasing_id().alias("cls")))
     number = lambda c: F.unhex(F.lpad(F.hex(c), 16, "0"))
     chosen = classes.select("shard", F.lit(0).alias("bucket"), F.lit(CLASSES).alias("kind"), F.concat(*map(number, ("h1", "h2", "cls"))).alias("payload"))
@@ -393,23 +392,21 @@ def labelled_classes(docs: DataFrame, words: int, percent: int, block_sets: int,
     return sets, linked.join(saved(count_links(groups, classes, percent)), "cls", "left") if links else linked
 
 
-def components_of(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, block_sets: int = BLOCK_SETS) -> DataFrame:
-    """(id, n_shingles, component) for each row; see with_id."""
-    sets, linked = labelled_classes(docs, words, percent, block_sets)
-    least = linked.groupBy("label").agg(F.min("id").alias("component"))
-    named = linked.join(least, "label").select("h1", "h2", "n", "component")
-    out = sets.join(named, ["h1", "h2", "n"], "left")
-    return out.select("id", F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component"))
-
-
 def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, block_sets: int = BLOCK_SETS) -> DataFrame:
     """Components of documents whose ``words``-word shingle sets have a Jaccard similarity of ``percent`` or more.
 
     Returns doc_id, n_shingles, component_id (the smallest doc_id that links
     reach, the document's own included).
     """
-    real = lambda c: F.when(F.col(c) < RESERVED, F.col(c))
-    return components_of(docs, words, percent, block_sets).select(real("id").alias("doc_id"), "n_shingles", real("component").alias("component_id"))
+    sets, linked = labelled_classes(docs, words, percent, block_sets)
+    least = linked.groupBy("label").agg(F.min(F.struct("nameless", "id")).alias("component"))
+    named = linked.join(least, "label").select("h1", "h2", "n", "component")
+    out = sets.join(named, ["h1", "h2", "n"], "left").withColumn("component", F.coalesce("component", F.struct("nameless", "id")))
+    return out.select(_doc_id(), F.col("n").alias("n_shingles"), F.when(~F.col("component.nameless"), F.col("component.id")).alias("component_id"))
+
+
+def _doc_id() -> Column:
+    return F.when(~F.col("nameless"), F.col("id")).alias("doc_id")
 
 
 def jaccard_links(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, block_sets: int = BLOCK_SETS) -> DataFrame:
@@ -417,7 +414,7 @@ def jaccard_links(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, b
     sets, linked = labelled_classes(docs, words, percent, block_sets, links=True)
     counted = linked.select("h1", "h2", "n", (F.col("rows") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
     out = sets.join(counted, ["h1", "h2", "n"], "left")
-    return out.select(F.when(F.col("id") < RESERVED, F.col("id")).alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    return out.select(_doc_id(), F.col("n").alias("n_shingles"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 
 def distinct_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, block_sets: int = BLOCK_SETS) -> DataFrame:
@@ -426,10 +423,10 @@ def distinct_documents(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     Texts without words are in no component; each stays.
     """
     sets, linked = labelled_classes(docs, words, percent, block_sets)
-    least = linked.groupBy("label").agg(F.min(F.struct("id", "said")).alias("first")).select("first.*")
-    kept = least.unionByName(sets.where("n = 0").select("id", "said")).distinct()
-    rows = with_id(docs.select(F.struct("*").alias("row"), "doc_id", "text")).select("row", "id", F.xxhash64("text").alias("said"))
-    once = rows.join(kept, ["id", "said"], "left_semi").withColumn("nth", F.row_number().over(Window.partitionBy("id", "said").orderBy("id")))
+    least = linked.groupBy("label").agg(F.min(F.struct("nameless", "id", "said")).alias("first")).select("first.*")
+    kept = least.unionByName(sets.where("n = 0").select("nameless", "id", "said")).distinct()
+    rows = with_id(docs.select(F.struct("*").alias("row"), "doc_id", "text")).select("row", "nameless", "id", F.xxhash64("text").alias("said"))
+    once = rows.join(kept, ["nameless", "id", "said"], "left_semi").withColumn("nth", F.row_number().over(Window.partitionBy("nameless", "id", "said").orderBy("id")))
     return once.where("nth = 1").select("row.*")
 
 

@@ -160,6 +160,16 @@ def test_rows_that_share_a_doc_id_stay_apart(spark):
     assert {(r.doc_id, r.text) for r in distinct_documents(frame(spark, rows)).collect()} == {(5, a), (5, b)}
 
 
+def test_ids_of_all_64_bits(spark):
+    """Hash ids: no range is reserved, the least is a component's id, and null ids come after all others."""
+    a, b = " ".join(f"w{i}" for i in range(40)), " ".join(f"v{i}" for i in range(40))
+    rows = [(2**62 + 5, a), (2**62 + 9, a), (2**63 - 1, b), (None, b), (-(2**63), "one"), (None, "one"), (2**63 - 1, "two"), (None, "three")]
+    assert ordered(map(tuple, jaccard_components(frame(spark, rows)).collect())) == ordered(brute_components(rows))
+    assert ordered((r.doc_id, r.n_links) for r in jaccard_links(frame(spark, rows)).collect()) == ordered((i, sum(t == u for _, u in rows) - 1) for i, t in rows)
+    kept = [(2**62 + 5, a), (2**63 - 1, b), (-(2**63), "one"), (2**63 - 1, "two"), (None, "three")]
+    assert ordered((r.doc_id, r.text) for r in distinct_documents(frame(spark, rows)).collect()) == ordered(kept)
+
+
 def test_one_row_of_each_component_stays(spark):
     """Rows that share a doc_id with near copies, and one whose doc_id is the least of another group."""
     a, b = [f"w{i}" for i in range(60)], [f"v{i}" for i in range(60)]
