@@ -21,10 +21,13 @@ import re
 from collections.abc import Iterator
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from llm.rolling import give_back, slices
+
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
 TABLE_CHUNKS = 300_000
@@ -94,30 +97,42 @@ def portions(texts: list[str]) -> Iterator[list[str]]:
     yield own
 
 
-def _encode(path: str | None, keep: bool):
+def _encode(path: str | None, keep_ids: bool, keep_texts: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = ChunkTable(path or model_path())
         for batch in batches:
-            rows: list[tuple] = []
-            for own in portions([t or "" for t in batch["text"].to_pylist()]):
-                for ids, said in table.encode(own):
-                    decoded = table.model.decode(ids)
-                    rows.append((len(ids), ids if keep else None, decoded if keep else None, hashlib.sha256(said.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()))
-            kinds = (pa.int64(), pa.list_(pa.int32()), pa.string(), pa.string(), pa.string())
-            names = ("n_tokens", "ids", "decoded", "ids_sha256", "decoded_sha256")
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], *(pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds))], ["doc_id", *names])
+            for rows in slices(batch, "text", PORTION_CHARS):
+                n, ids, texts, digests = [], [], [], ([], [])
+                for own in portions([t or "" for t in rows["text"].to_pylist()]):
+                    for own_ids, said in table.encode(own):
+                        text = table.model.decode(own_ids)
+                        n.append(len(own_ids))
+                        ids.append(np.array(own_ids, np.int32) if keep_ids else None)
+                        texts.append(text if keep_texts else None)
+                        for x, data in zip(digests, (said, text), strict=True):
+                            x.append(hashlib.sha256(data.encode()).hexdigest())
+                if keep_ids:
+                    lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(n)).astype(np.int32)), pa.array(np.concatenate(ids)))
+                else:
+                    lists = pa.nulls(len(n), pa.list_(pa.int32()))
+                columns = [rows["doc_id"], pa.array(n, pa.int64()), lists, pa.array(texts, pa.string()), *(pa.array(x, pa.string()) for x in digests)]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids", "decoded", "ids_sha256", "decoded_sha256"])
+                give_back()
 
     return run
 
 
-def encode_texts(docs: DataFrame, path: str | None = None, keep: bool = True) -> DataFrame:
+def encode_texts(docs: DataFrame, path: str | None = None, keep: bool = True, keep_texts: bool | None = None) -> DataFrame:
     """Encode and decode every whole text.
 
-    Returns doc_id, n_tokens, ids and decoded (null unless ``keep``), ids_sha256
-    (of the decimal ids joined by one space) and decoded_sha256.  ``path``: the
-    model's file, that of the installed vocabulary files if null.
+    Returns doc_id, n_tokens, ids (null unless ``keep``), decoded (null unless
+    ``keep_texts``, which follows ``keep`` if not given), ids_sha256 (of the decimal
+    ids joined by one space) and decoded_sha256.  ``path``: the model's file, that
+    of the installed vocabulary files if null.  Rows come out a portion at a time,
+    with ids as 32-bit arrays, so a task holds the ids of one portion.
     """
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_encode(path, keep), RESULT)
+    kept = keep if keep_texts is None else keep_texts
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_encode(path, keep, kept), RESULT)
 
 
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
