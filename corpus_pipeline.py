@@ -40,7 +40,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token ids of each document, with digests of the ids and of the text they decode to."""
-    return encode_texts(docs).drop("decoded")
+    return encode_texts(docs, keep_texts=False).drop("decoded")
 
 
 STAGES = [
