@@ -95,6 +95,31 @@ def join_reviews(games: DataFrame, reviews: DataFrame) -> DataFrame:
     return games.join(reviews.withColumnsRenamed(clash), "app_id", "inner")
 
 
+def reviews_of(recs: DataFrame, games: DataFrame) -> DataFrame:
+    """The raw reviews of known games: a semi-join on the INT key, before any review is shuffled.
+
+    Its right side has one row per game; where Spark knows it to be small it is
+    broadcast and the filter runs in the scan of the reviews.
+    """
+    keyed = cast_key(recs)
+    return keyed.join(games.select("app_id"), "app_id", "left_semi").select(*recs.columns)
+
+
+def enrich_known_reviews(sources: Sources, options: Options = Options()) -> DataFrame:
+    """``enrich_reviews`` with the reviews of unknown games left out before the de-duplication shuffles them.
+
+    The finished game rows are written first: their size is then known, and they
+    are computed once for the filter and for the join.
+    """
+    from crosslink.session import scratch_path
+
+    spark = sources.games.sparkSession
+    path = scratch_path(spark, "known_games")
+    game_dimensions(clean_games(sources.games), sources, options).write.parquet(path)
+    games = spark.read.parquet(path)
+    return join_reviews(games, clean_recs(reviews_of(sources.recs, games), sources.review_order))
+
+
 def join_popularity(df: DataFrame, popularity: DataFrame) -> DataFrame:
     """⟕ popularity feed on ``app_id``."""
     return df.join(popularity, "app_id", "left")

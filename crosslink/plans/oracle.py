@@ -379,6 +379,46 @@ def _sql() -> dict[str, str]:
     o["required_sources"] = " UNION ALL ".join(
         f"SELECT '{t}' AS source, true AS present, count(*) AS num_rows FROM {t}" for t in sorted(Q.REQUIRED_TABLES)
     ) + " UNION ALL SELECT 'absent', false, 0"
+    o["merge_kb_pages"] = o["dedup_kb_by_qid"]
+    o["dedup_reviews_delta"] = o["dedup_reviews"]
+    o["game_summary_delta"] = o["game_summary"]
+    o["top_in_country_first"] = o["top_in_country"]
+    o["enrich_known_reviews"] = o["enrich_reviews"]
+    o["schema_conformance"] = """
+        WITH kinds(source, days, day, "column", expected, found, kind) AS (VALUES
+          ('popularity', 6, 1, 'price', 'int', NULL, 'missing'), ('popularity', 6, 2, 'note', NULL, 'string', 'extra'),
+          ('popularity', 6, 3, 'price', 'int', 'smallint', 'narrowed'), ('popularity', 6, 4, 'price', 'int', 'bigint', 'widened'),
+          ('popularity', 6, 4, 'ccu', 'bigint', 'double', 'type'), ('popularity', 6, 5, 'appid', 'not null', 'null', 'nullable'),
+          ('popularity', 6, 5, 'price', 'int', 'string', 'type'),
+          ('games', 2, 1, 'app_id', 'string', NULL, 'missing'), ('games', 2, 1, 'extra note', NULL, NULL, 'extra'),
+          ('metadata', 2, 1, 'app_id', 'bigint', 'string', 'type'), ('metadata', 2, 1, 'tags', 'array<string>', NULL, 'missing'),
+          ('metadata', 2, 1, 'box', NULL, 'struct<size:bigint>', 'extra'))
+        SELECT source, day, "column", expected, found, kind, count(*) AS num_rows
+        FROM kinds JOIN part ON p_partkey % days = day GROUP BY ALL
+        """
+    o["rejected_cells"] = """
+        WITH c AS (
+          SELECT l_orderkey AS k, CAST(l_partkey AS VARCHAR) AS part, CAST(l_suppkey AS VARCHAR) AS supp,
+                 CASE WHEN l_orderkey % 53 = 0 THEN 'x' ELSE '' END || l_partkey AS app_id,
+                 CASE WHEN l_orderkey % 59 = 0 THEN '99999999999999999999' ELSE CAST(l_orderkey AS VARCHAR) END AS orderkey,
+                 CASE WHEN l_orderkey % 47 = 0 THEN 'soon' ELSE CAST(CAST(l_shipdate AS DATE) AS VARCHAR) END AS shipdate FROM lineitem),
+        rows AS (SELECT *, k % 61 <> 0 AND k % 67 = 0 AS few FROM c)
+        SELECT 'recs' AS source, NULL AS "column", 'row of another length' AS expected,
+               CASE WHEN few THEN part || ',' || supp ELSE app_id || ',' || supp || ',' || orderkey || ',' || shipdate || ',True,more' END AS raw
+        FROM rows WHERE few OR k % 61 = 0
+        UNION ALL SELECT 'recs', 'app_id', 'int', app_id FROM rows WHERE NOT few AND k % 53 = 0
+        UNION ALL SELECT 'recs', 'l_orderkey', 'bigint', orderkey FROM rows WHERE NOT few AND k % 59 = 0
+        UNION ALL SELECT 'recs', 'l_shipdate', 'date', shipdate FROM rows WHERE NOT few AND k % 47 = 0
+        """
+    o["json_drift"] = """
+        WITH p AS (SELECT p_partkey % 10 AS d FROM part), o AS (SELECT count(*) AS n FROM p WHERE d NOT IN (3, 4, 5))
+        SELECT 'metadata' AS source, 'app_id' AS key, 'bigint' AS expected, 'variant' AS found, n AS lines, 0 AS absent,
+               (SELECT count(*) FROM p WHERE d = 8) AS nulls, 'type' AS kind FROM o
+        UNION ALL SELECT 'metadata', 'tags', 'array<string>', 'array<string>', n - (SELECT count(*) FROM p WHERE d = 9), (SELECT count(*) FROM p WHERE d = 9), 0, 'declared' FROM o
+        UNION ALL SELECT 'metadata', 'pages', NULL, 'bigint', (SELECT count(*) FROM p WHERE d = 6), n - (SELECT count(*) FROM p WHERE d = 6), 0, 'new' FROM o
+        UNION ALL SELECT 'metadata', 'notes', 'string', NULL, 0, n, 0, 'missing' FROM o
+        UNION ALL SELECT 'metadata', NULL, 'json object', NULL, (SELECT count(*) FROM p WHERE d IN (3, 4)), 0, 0, 'malformed'
+        """
     o["dq_report"] = (
         f"WITH {BASE.strip()},\n{_COUNTS.strip()},\n"
         """
@@ -434,6 +474,16 @@ def _sql() -> dict[str, str]:
                   CAST(count(DISTINCT CASE WHEN wd_match_stage = 'title' THEN app_id END) AS DOUBLE) FROM facts
         """
     )
+    earlier = o["dq_report"].replace("FROM lineitem JOIN orders ON l_orderkey = o_orderkey", "FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_orderkey % 2 = 1")
+    o["metric_drift"] = f"""
+        WITH a AS ({earlier}), b AS ({o["dq_report"]}),
+        j AS (SELECT coalesce(a.section, b.section) AS section, coalesce(a.subject, b.subject) AS subject, coalesce(a.metric, b.metric) AS metric,
+                     a.value AS previous, b.value AS current, b.value - a.value AS change,
+                     CASE WHEN a.section IS NULL THEN 'new' WHEN b.section IS NULL THEN 'gone'
+                          WHEN a.value IS NOT DISTINCT FROM b.value THEN 'same' ELSE 'changed' END AS status
+              FROM a FULL JOIN b ON a.section = b.section AND a.subject = b.subject AND a.metric = b.metric)
+        SELECT *, CASE status WHEN 'same' THEN false WHEN 'changed' THEN coalesce(abs(change) > 0.1::DOUBLE * abs(previous), true) ELSE true END AS alarm FROM j
+        """
     return o
 
 

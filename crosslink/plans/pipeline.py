@@ -14,6 +14,7 @@ from crosslink.operators.quality import dq_report, sample_rows
 from crosslink.session import scratch_path
 from crosslink.sinks import write_csv_preview, write_parquet
 from crosslink.sinks.report import write_report_markdown
+from crosslink.sources.ledger import ledger_counts
 from crosslink.sources.readers import Sources
 
 log = logging.getLogger(__name__)
@@ -29,6 +30,7 @@ class PipelineResult:
     samples_path: str  # the report's sample rows (first rows by app_id)
     markdown_path: str  # the report rendered as Markdown (one text file)
     runtime_seconds: float  # load → save, excluding validation (as published)
+    rejected_path: str | None = None  # the ledger of what the readers could not parse, if the sources have one
 
 
 def run_pipeline(
@@ -55,7 +57,11 @@ def run_pipeline(
     )
     runtime = time.time() - start
 
-    report_path = write_parquet(dq_report(sources, facts, options), f"{out}/dq_report")
+    report, rejected_path = dq_report(sources, facts, options), None
+    if sources.rejected is not None:
+        rejected_path = write_parquet(sources.rejected, f"{out}/rejected")
+        report = report.unionByName(ledger_counts(spark.read.parquet(rejected_path)))
+    report_path = write_parquet(report, f"{out}/dq_report")
     report = spark.read.parquet(report_path)
     samples = sample_rows(spark.read.parquet(result_path), options.sample_rows)
     samples_path = write_parquet(samples.coalesce(1), f"{out}/dq_samples")
@@ -74,4 +80,5 @@ def run_pipeline(
         samples_path=samples_path,
         markdown_path=markdown_path,
         runtime_seconds=runtime,
+        rejected_path=rejected_path,
     )

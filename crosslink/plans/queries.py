@@ -20,6 +20,7 @@ from crosslink.config import Options
 from crosslink.functions import flag_to_int, normalize_title, primary_tag, tag_count, to_int_key
 from crosslink.operators import aggregate, clean, enrich, quality, resolve
 from crosslink.plans.pipeline import run_pipeline
+from crosslink.plans.queries_state import STATE_QUERIES
 from crosslink.session import scratch_path
 from crosslink.sinks import write_csv, write_csv_preview, write_json_lines, write_parquet
 from crosslink.sources import payloads, standins
@@ -413,4 +414,4 @@ QUERIES: dict[str, Query] = {
     "load_sources": q_load_sources,
     "run_pipeline": q_run_pipeline,
     "required_sources": q_required_sources,
-}
+} | STATE_QUERIES

@@ -19,6 +19,7 @@ from crosslink.config import DEFAULT_PREVIEW_ROWS
 # Section order and headings of the rendered report.
 SECTIONS = (
     ("record_counts", "Record counts"),
+    ("rejected", "Cells, rows and lines that did not parse"),
     ("raw_null_rates", "Null rates of critical columns, raw sources"),
     ("null_rates", "Null rates of critical columns, processed"),
     ("summary_stats", "Summary statistics, per game"),

@@ -10,6 +10,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field, replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from pyspark.sql.types import StringType, StructType
 
 from crosslink import schemas
 from crosslink.sources.contract import available, require
+from crosslink.sources.ledger import malformed_lines, rejected_cells
 
 log = logging.getLogger(__name__)
 
@@ -41,6 +43,7 @@ class Sources:
     categories: DataFrame
     kb: DataFrame | None = None
     review_order: tuple[str, ...] = field(default=())
+    rejected: DataFrame | None = None  # what the readers could not parse, if asked for (see sources.ledger)
 
     def items(self) -> Iterator[tuple[str, DataFrame]]:
         for name in REQUIRED + OPTIONAL:
@@ -123,8 +126,22 @@ def read_reviews(
     return recs.withColumns({c: F.col(c).try_cast(t) for c, t in (types or {}).items()})
 
 
-def load_sources(spark: SparkSession, paths: SourcePaths) -> Sources:
-    """Check all required inputs first, then build the (lazy) readers."""
+def read_ledger(spark: SparkSession, paths: SourcePaths, with_kb: bool) -> DataFrame:
+    """What the permissive readers lose of all sources: cells, rows of another length, lines that hold no object."""
+    csv = [
+        rejected_cells(spark, paths.games, schemas.GAMES, "games"),
+        rejected_cells(spark, paths.recs, schemas.RECS, "recs", types=paths.review_types),
+        rejected_cells(spark, paths.popularity, schemas.POPULARITY, "popularity"),
+        rejected_cells(spark, paths.categories, schemas.CATEGORIES, "categories", paths.categories_delimiter),
+    ]
+    lines = [malformed_lines(spark, paths.metadata, "metadata")]
+    if with_kb:
+        lines.append(malformed_lines(spark, paths.kb, "kb"))
+    return reduce(DataFrame.unionByName, [*csv, *lines])
+
+
+def load_sources(spark: SparkSession, paths: SourcePaths, ledger: bool = False) -> Sources:
+    """Check all required inputs first, then build the (lazy) readers; ``ledger``: and that of what they lose."""
     for name in REQUIRED:
         require(spark, getattr(paths, name))
     kb = None
@@ -140,6 +157,7 @@ def load_sources(spark: SparkSession, paths: SourcePaths) -> Sources:
         categories=read_categories(spark, paths.categories, paths.categories_delimiter),
         kb=kb,
         review_order=paths.review_order,
+        rejected=read_ledger(spark, paths, kb is not None) if ledger else None,
     )
     for name, df in src.items():
         log.info("source %-10s -> %d columns", name, len(df.columns))

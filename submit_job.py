@@ -32,6 +32,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--min-records", type=int, default=Options().min_expected_records)
     p.add_argument("--max-null-rate", type=float, default=Options().max_null_rate)
     p.add_argument("--sample-rows", type=int, default=Options().sample_rows)
+    p.add_argument("--ledger", action="store_true", help="write what the readers could not parse, with its file and raw text")
     p.add_argument("--master", help="Spark master, if spark-submit doesn't set one")
     return p.parse_args(argv)
 
@@ -54,7 +55,7 @@ def main(argv: list[str] | None = None) -> int:
     options = Options(fallback=a.fallback, min_expected_records=a.min_records, max_null_rate=a.max_null_rate, sample_rows=a.sample_rows)
     spark = build_session(a.master)
     try:
-        sources = load_sources(spark, paths)
+        sources = load_sources(spark, paths, ledger=a.ledger)
     except (FileNotFoundError, ValueError) as e:
         log.error("%s", e)
         return 2
