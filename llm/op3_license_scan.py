@@ -132,12 +132,13 @@ def scan(a: ahocorasick.Automaton, text: str | None) -> tuple:
     words = words_of(text)
     line = (b" " + b" ".join(words) + b" ").decode()
     base, labels, found, starts = set(), set(), [], []
-    tagged = False
-    for at, (phrase, n) in a.iter(line) if words else ():
+    tagged, so_far, last = False, 0, 0
+    for at, (phrase, n) in a.iter(line) if words else ():  # in the order of their ends
+        so_far, last = so_far + line.count(" ", last, at), at
         tagged = tagged or phrase == TAG
         if phrase in BASE:
             base.add(BASE[phrase])
-            starts.append(line.count(" ", 0, at) - n)
+            starts.append(so_far - n)
         if phrase != TAG:
             label = NOTICES.get(phrase) or BASE[phrase]
             labels.add(label)

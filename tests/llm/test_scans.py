@@ -156,6 +156,22 @@ def test_encoding_equals_the_library(spark, monkeypatch, limit):
     assert encode_texts(frame(spark, [])).collect() == []
 
 
+def test_notices_of_a_very_long_text_take_linear_time():
+    import time
+
+    from llm import op3_license_scan as op3
+
+    notice = "All rights reserved under the General Public License, cc by me. "
+    text = notice * (5_000_000 // len(notice))
+    begin = time.perf_counter()
+    n_words, n_base, first, last, base, labels, _ = op3.scan(op3.build(), text)
+    assert time.perf_counter() - begin < 15
+    per = len(alnum(notice))
+    repeats = len(text) // len(notice)
+    assert (n_words, n_base, first, last) == (per * repeats, 3 * repeats, 0, per * (repeats - 1) + 8)
+    assert base == "cc-by,gpl,reserved" and set(base.split(",")) <= set(labels.split(","))
+
+
 # --- 8 -----------------------------------------------------------------------------
 
 
