@@ -8,15 +8,18 @@
    into one equivalence class if they occur equally often on every page.  Sums
    are formed in the tasks first; a host with a third of all pages adds a few
    rows a task.
-2. A class is valid if it occurs on at least half of the host's pages and nests:
-   the parent of each of its tokens belongs to a valid class too.  The nested
-   valid classes are the host's template; what stands between its tokens are
-   slots.  A class of texts is valid if it occurs on at least half of the pages
-   (three or more, not all alike) and once on each of them; a text's container
-   and all above it are there wherever the text is, so it nests by itself.  On a
-   page the texts of valid classes are template as far as they come in the order
-   that they have on the host; they stay if they are the larger part of the
-   page's main text, as in copies of one article.
+2. A class is valid, as a whole, if it occurs on at least half of the host's
+   pages and nests: the parent of each of its elements belongs to a valid class
+   too.  The nested valid classes are the host's template; what stands between
+   their tokens are slots.  A text is template if its class, on three pages or
+   more and once on each, also holds the markup around it: the page itself (the
+   outermost class), or an element of the path that the text stands in (a notice
+   that only some pages have brings its own element).  Texts whose class has no
+   such markup, as those of a story that many pages carry, are data in a slot of
+   the class around them.  A class is no template either if its slots are empty,
+   that is if its pages show the same texts but for digits (copies of one
+   article, with a date or not).  On a page the texts of valid classes go as far
+   as they come in the order that they have on the host, however long they are.
 3. Slots of menus, adverts, forms, comments and the like (by element, class or
    role), slots with one and the same text on all pages, and slots that are
    mostly links are no content.  If the template has an article or main element,
@@ -59,6 +62,7 @@ MARKUP = re.compile(rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b(?:[^>\"']|\"[^\"]*\"|
 NAMES = re.compile(r"\b(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
 WORD = re.compile(r"[a-z]+")
 NUMBER = re.compile(r"\[\d+\]")
+DIGITS = re.compile(r"\d+")
 QUOTED = re.compile(r"\"[^\"]*\"|'[^']*'")
 UNSEEN = re.compile(r"aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.IGNORECASE)
 UNSEEN_FLAG = re.compile(r"(?:^|\s)hidden(?=[\s/=]|$)", re.IGNORECASE)
@@ -84,11 +88,11 @@ PAGE = "#page"
 class Element:
     """``hard``: hidden for good; ``soft``: told off by a name or form; ``again``: in an article below one that is told off."""
 
-    __slots__ = ("tag", "path", "hard", "soft", "main", "again", "name", "kids")
+    __slots__ = ("tag", "path", "hard", "soft", "main", "again", "place", "kids")
 
     def __init__(self, tag: str = "", path: str = "", hard: bool = False, soft: bool = False, main: bool = False, again: bool = False):
         self.tag, self.path, self.hard, self.soft, self.main, self.again = tag, path, hard, soft, main, again
-        self.name: str | None = None  # the path without numbers, once asked for
+        self.place: str | None = None  # hash of the path without numbers, once asked for
         self.kids: dict[str, int] = {}  # how many children of a name have come
 
     @property
@@ -184,10 +188,15 @@ def _number(*parts) -> int:
     return int.from_bytes(hashlib.blake2b("\0".join(map(str, parts)).encode(), digest_size=8).digest(), "little")
 
 
+def place_of(path: str) -> str:
+    """What a text's token begins with: its container's path without numbers, as a hash."""
+    return f"#{_number(unnumbered(path)):016x}"
+
+
 def text_token(e: Element, text: str) -> str:
-    if e.name is None:
-        e.name = unnumbered(e.path)
-    return f"#{_number(e.name, text):x}"
+    if e.place is None:
+        e.place = place_of(e.path)
+    return f"{e.place}.{_number(text):x}"
 
 
 def _print(texts: Iterable[str]) -> int:
@@ -195,7 +204,7 @@ def _print(texts: Iterable[str]) -> int:
 
 
 def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums for each host and token; a text's ``chars`` are its places, its least and most texts those of its pages."""
+    """Sums for each host and token; a text's ``chars`` are its places, its least and most texts what its pages show but for digits."""
 
     def told() -> pa.RecordBatch:
         names = [c.split()[0] for c in SLOTS.split(", ")]
@@ -207,9 +216,10 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for page_id, url, page in zip(batch["page_id"].to_pylist(), batch["url"].to_pylist(), batch["html"], strict=True):
             own: dict[str, list] = {PAGE: [1, 0, 0, []]}
             lines: dict[str, list[int]] = {}
-            page = page.as_py() or ""
-            for place, (e, text, link) in enumerate(blocks(page)):
+            shown: list[str] = []
+            for place, (e, text, link) in enumerate(blocks(page.as_py() or "")):
                 if text and (not e.hidden or e.again):
+                    shown.append(DIGITS.sub("", text))
                     line = lines.setdefault(text_token(e, text), [0, 0])
                     line[0] += 1
                     line[1] += place
@@ -221,7 +231,7 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 else:
                     slot[0] += 1
             host = host_of(url)
-            whole = _print([page])
+            whole = _print(shown)
             tokens = [(token, n, chars, link, _print(texts)) for token, (n, chars, link, texts) in own.items()]
             tokens += [(token, n, places, 0, whole) for token, (n, places) in lines.items()]
             prints: dict[int, int] = {}
@@ -239,25 +249,36 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield told()
 
 
+def template_texts(own: list[str], of: dict[str, dict]) -> list[str]:
+    """The texts of a class that its own markup makes template; none if its slots are empty."""
+    texts = [t for t in own if t.startswith("#") and t != PAGE]
+    if not texts or of[texts[0]]["pages"] < LEAST_PAGES or of[texts[0]]["total"] > of[texts[0]]["pages"]:
+        return []
+    if of[texts[0]]["least_text"] == of[texts[0]]["most_text"]:
+        return []
+    places = {place_of(t) for t in own if t.startswith(">")}
+    return [t for t in texts if PAGE in own or t.partition(".")[0] in places]
+
+
 def deduce(slots: list[dict]) -> tuple[list[str], list[str]]:
     """(paths of content elements, what is no content) of a host's template: paths, of fixed slots also path#text, then text tokens in order."""
     of = {s["token"]: s for s in slots}
-    pages = of.pop(PAGE)["pages"]
+    pages = of[PAGE]["pages"]
     if pages < 2:
         return [], []
     classes: dict[tuple, list[str]] = {}
     for token, s in of.items():
         classes.setdefault((s["pages"], s["total"], s["print1"], s["print2"]), []).append(token)
-    lines = []
-    for (seen, total, *_), own in classes.items():
-        if seen >= max(LEAST_PAGES, SUPPORT * pages) and total == seen:
-            lines += [t for t in own if t.startswith("#") and of[t]["least_text"] != of[t]["most_text"]]
+    often = [own for (seen, *_), own in classes.items() if seen >= SUPPORT * pages]
+    lines = [t for own in often for t in template_texts(own, of)]
     lines.sort(key=lambda t: (of[t]["chars"] / of[t]["total"], t))
-    valid = {""}
-    for token in sorted((t for k, own in classes.items() if k[0] >= SUPPORT * pages for t in own if t.startswith(">")), key=lambda t: t.count(">")):
-        if token.rpartition(">")[0] in valid:
-            valid.add(token)
-    valid.discard("")
+    nested = [[t for t in own if t.startswith(">")] for own in often]
+    while True:  # a class that falls takes along those within its slots
+        valid = {t for own in nested for t in own}
+        kept = [own for own in nested if all(t.rpartition(">")[0] in valid or t.count(">") == 1 for t in own)]
+        if len(kept) == len(nested):
+            break
+        nested = kept
     fixed = {t for t in valid if pages >= LEAST_PAGES and of[t]["chars"] and of[t]["least_text"] == of[t]["most_text"] and of[t]["pages"] == pages}
 
     def built(path: str) -> Element:
@@ -277,10 +298,17 @@ def deduce(slots: list[dict]) -> tuple[list[str], list[str]]:
         return outer, told(t for t in fixed if not built(t).main)
     mostly_links = {t for t in shown if 2 * of[t]["link_chars"] > of[t]["chars"]}
     plain = {t: of[t]["chars"] - of[t]["link_chars"] for t in shown if t not in fixed and t not in mostly_links}
-    below = lambda t: sum(n for k, n in plain.items() if k == t or k.startswith(t + ">"))
+    below: dict[str, int] = {}  # text of an element and of all in it
+    for t, n in plain.items():
+        while t:
+            below[t] = below.get(t, 0) + n
+            t = t.rpartition(">")[0]
+    inner_of: dict[str, list[str]] = {}
+    for t in shown:
+        inner_of.setdefault(t.rpartition(">")[0], []).append(t)
     at = next((t for t in sorted(shown, key=len) if t.endswith(">body") or ">body." in t), "")
     # one element stands for the content only if its siblings and its parent's own text are no content
-    while at and not plain.get(at) and len(inner := [t for t in shown if t.rpartition(">")[0] == at and below(t)]) == 1:
+    while at and not plain.get(at) and len(inner := [t for t in inner_of.get(at, ()) if below.get(t)]) == 1:
         at = inner[0]
     return [at] if at else [], told(fixed | mostly_links)
 
@@ -311,13 +339,12 @@ def in_order(places: list[int]) -> set[int]:
     return out
 
 
-def varying(found: list[tuple[Element, str, int]], lines: list[str]) -> list[tuple[Element, str, int]]:
-    """The blocks without the template's texts, unless these are the larger part."""
+def without_template(found: list[tuple[Element, str, int]], lines: list[str]) -> list[tuple[Element, str, int]]:
+    """The blocks but for the template's texts that come in the host's order."""
     place = {t: k for k, t in enumerate(lines)}
     known = [(i, place[t]) for i, (e, text, _) in enumerate(found) if (t := text_token(e, text)) in place]
     template = {known[k][0] for k in in_order([p for _, p in known])}
-    left = [x for i, x in enumerate(found) if i not in template]
-    return left if 2 * sum(len(x[1]) for x in left) >= sum(len(x[1]) for x in found) else found
+    return [x for i, x in enumerate(found) if i not in template]
 
 
 def main_text(page: str, content: list[str], fixed: list[str]) -> str:
@@ -339,7 +366,7 @@ def main_text(page: str, content: list[str], fixed: list[str]) -> str:
                 gone.add(path)
         found = [x for x in found if x[0].path not in gone]
     if lines:
-        found = varying(found, lines)
+        found = without_template(found, lines)
     return "\n".join(text for _, text, _ in found)
 
 
@@ -350,14 +377,18 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch["page_id"], batch["url"], pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
 
-def templates(pages: DataFrame) -> DataFrame:
-    """(host, pages, content, fixed): the template of each host, from all its pages."""
+def occurrences(pages: DataFrame) -> DataFrame:
+    """The tokens of at least half of a host's pages, with their occurrence vectors and what they hold."""
     sums = pages.mapInArrow(_occurrences, SLOTS).groupBy("host", "token").agg(*(F.sum(c).alias(c) for c in ("pages", "total", "print1", "print2", "chars", "link_chars")), F.min("least_text").alias("least_text"), F.max("most_text").alias("most_text"))
     sums = sums.where(~F.col("token").startswith("#") | (F.col("token") == PAGE) | (F.col("pages") >= LEAST_PAGES))
     seen = sums.where(F.col("token") == PAGE).select("host", F.col("pages").alias("of"))
-    # tokens of at least half of a host's pages: no more than twice the tokens of a page
-    often = sums.join(seen, "host").where((F.col("token") == PAGE) | (F.col("pages") >= SUPPORT * F.col("of"))).drop("of")
-    return often.groupBy("host").applyInArrow(_deduce, TEMPLATE)
+    # no more than twice the tokens of a page
+    return sums.join(seen, "host").where((F.col("token") == PAGE) | (F.col("pages") >= SUPPORT * F.col("of"))).drop("of")
+
+
+def templates(pages: DataFrame) -> DataFrame:
+    """(host, pages, content, fixed): the template of each host, from all its pages."""
+    return occurrences(pages).groupBy("host").applyInArrow(_deduce, TEMPLATE)
 
 
 def extract(pages: DataFrame) -> DataFrame:

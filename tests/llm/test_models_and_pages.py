@@ -2,12 +2,13 @@
 
 import json
 import math
+import random
 from collections import Counter
 
 import pytest
 from conftest import SF_SMALL
 from llm import exchange, op4_html_extraction
-from llm.op4_html_extraction import deduce, extract, main_text, templates
+from llm.op4_html_extraction import deduce, extract, main_text, occurrences, templates
 from llm.op9_lm_scoring import ADD, FOLDS, PRIOR, held_out, lm_scores
 from llm.op10_chat_formatting import link_tool_calls, with_tools
 from pyspark.sql import functions as F
@@ -116,6 +117,47 @@ def test_texts_of_the_template_within_an_article(spark):
         assert all(t.startswith(f"{story(1).strip()}\n{story(2).strip()}") for t in copies)
 
 
+def test_template_goes_however_long_it_is(spark):
+    page = "<body><article><p>tale {0}</p><div><p>Subscribe to our letter, it comes once a week and is free of charge</p><p>Copyright of this and all other pages</p></div></article></body>"
+    tales = ("sun", "moon", "star", "sea", "hill")
+    assert page_texts(spark, [page.format(t) for t in tales * 4]) == [f"tale {t}" for t in tales * 4]
+
+
+def optional_site(n: int) -> tuple[list[str], list[str]]:
+    """A site without names: a menu, a notice in its own element on some pages, one story on others, a footer."""
+    tale = "".join(f"<p>the tale that many pages carry, part {k}</p>" for k in "abc")
+    page = "<body><div>Welcome</div><div><a href=/>Home</a> <a href=/x>Other</a></div><div><p>{0}</p>{1}</div>{2}<div>Contact</div></body>"
+    own, want = [], []
+    for k in range(n):
+        carried = k % 3 > 0
+        story = f"story {'abcdefghijklm'[k]} " * (k + 3)
+        own.append(page.format(story, tale * carried, "<div>This site keeps notes<ul><li>agree</li></ul></div>" * ((k + 1) % 3 > 0)))
+        parts = [f"the tale that many pages carry, part {c}" for c in "abc"] if carried else []
+        want.append("\n".join([story.strip(), *parts]))
+    return own, want
+
+
+def test_optional_template_and_a_story_on_many_pages(spark):
+    own, want = optional_site(12)
+    assert page_texts(spark, own) == want
+
+
+@pytest.mark.parametrize("vector", ["shuffled", "zeros"])
+def test_classes_need_their_occurrence_vectors(spark, vector):
+    """Other vectors, other classes: without them the notice stays or the story goes."""
+    own, want = optional_site(12)
+    pages = spark.createDataFrame([(k, "https://a.example/", h) for k, h in enumerate(own)], "page_id long, url string, html string")
+    slots = [r.asDict() for r in occurrences(pages).collect()]
+    content, fixed = deduce(slots)
+    assert [main_text(h, content, fixed) for h in own] == want
+    prints = [(s["print1"], s["print2"]) for s in slots]
+    random.Random(7).shuffle(prints)
+    for s, p in zip(slots, prints, strict=True):
+        s["print1"], s["print2"] = p if vector == "shuffled" else (0, 0)
+    other = deduce(slots)  # with zeros, equally many pages make one class
+    assert [main_text(h, *other) for h in own] != want
+
+
 def test_article_below_a_told_off_ancestor():
     assert main_text("<body><div class='widget page'><article><p>a<div class=comments>c</div></article></div>", [], []) == "a"
     assert main_text("<body><form><main><p>a</p><div class=ad>b</div></main></form>", [], []) == "a"
