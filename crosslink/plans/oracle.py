@@ -384,6 +384,8 @@ def _sql() -> dict[str, str]:
     o["game_summary_delta"] = o["game_summary"]
     o["top_in_country_first"] = o["top_in_country"]
     o["enrich_known_reviews"] = o["enrich_reviews"]
+    o["enrich_reviews_colocated"] = o["enrich_reviews"]
+    o["game_summary_colocated"] = o["game_summary"]
     o["schema_conformance"] = """
         WITH kinds(source, days, day, "column", expected, found, kind) AS (VALUES
           ('popularity', 6, 1, 'price', 'int', NULL, 'missing'), ('popularity', 6, 2, 'note', NULL, 'string', 'extra'),

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DateType, IntegerType, LongType, StringType, StructField, StructType
 
 from crosslink import schemas
-from crosslink.operators import aggregate, enrich, history, incremental, quality
+from crosslink.operators import aggregate, colocated, enrich, history, incremental, quality
 from crosslink.session import scratch_path
 from crosslink.sources import payloads, standins
 from crosslink.sources.conformance import schema_conformance
@@ -199,6 +199,15 @@ def q_enrich_known_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich.enrich_known_reviews(standins.standin_sources(spark, sf_dir)).drop("l_shipdate")
 
 
+def q_enrich_reviews_colocated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The enriched reviews from tables that were stored in buckets."""
+    return colocated.enriched(colocated.store(standins.standin_sources(spark, sf_dir))).drop("l_shipdate")
+
+
+def q_game_summary_colocated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return colocated.summary(colocated.store(standins.standin_sources(spark, sf_dir)))
+
+
 STATE_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "schema_conformance": q_schema_conformance,
     "rejected_cells": q_rejected_cells,
@@ -209,4 +218,6 @@ STATE_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "metric_drift": q_metric_drift,
     "top_in_country_first": q_top_in_country_first,
     "enrich_known_reviews": q_enrich_known_reviews,
+    "enrich_reviews_colocated": q_enrich_reviews_colocated,
+    "game_summary_colocated": q_game_summary_colocated,
 }
