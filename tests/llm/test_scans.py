@@ -226,6 +226,22 @@ def test_decontamination(spark, monkeypatch, block):
     assert clean.count() == sum(r.n_hit == 0 for r in got)
 
 
+def test_blocks_of_items_leave_the_plan(spark, monkeypatch):
+    """With many blocks the plan has no scan of texts left: their hits are tables, read without the texts."""
+    monkeypatch.setattr(op8_decontamination.item_blocks, "__defaults__", (60,))
+    rows, items = contaminated_rows()
+    table = spark.createDataFrame(items, "item_id long, text string")
+    assert len(list(op8_decontamination.item_blocks(table))) > 3
+    plan = decontaminate(frame(spark, rows), table)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "text#" not in plan.split("MapInArrow")[1]
+
+
+def test_merged_runs():
+    run = lambda a, b: {"first": a, "last": b, "start": 10 * a, "end": 10 * b - 1}
+    assert op8_decontamination.merged([run(5, 8), run(0, 3), run(3, 4), run(6, 7), run(7, 9)]) == [run(0, 4), run(5, 9)]
+    assert op8_decontamination.merged([]) == []
+
+
 def test_decontamination_of_empty_tables(spark):
     rows, items = contaminated_rows()
     table = spark.createDataFrame(items, "item_id long, text string")
