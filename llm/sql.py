@@ -51,16 +51,20 @@ WITH crc AS (SELECT doc_id, xor(list_reduce(list_prepend(4294967295::BIGINT, ran
                lambda a, k: xor(xor(a, CASE WHEN k % 8 = 0 THEN ascii(substr(doc_id::VARCHAR, (k // 8 + 1)::BIGINT, 1))::BIGINT ELSE 0 END) >> 1,
                  (xor(a, CASE WHEN k % 8 = 0 THEN ascii(substr(doc_id::VARCHAR, (k // 8 + 1)::BIGINT, 1))::BIGINT ELSE 0 END) & 1) * 3988292384)), 4294967295::BIGINT) % 10 = 0 AS held_out FROM documents),
      w AS (SELECT doc_id, held_out, list_append(list_prepend('<start>', regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')), ' end ') AS words FROM documents JOIN crc USING (doc_id)),
-     t AS (SELECT doc_id, held_out, CASE WHEN i = 2 THEN ' start ' ELSE words[i - 1] END AS h, words[i] AS w FROM (SELECT doc_id, held_out, words, unnest(range(2, len(words) + 1)) AS i FROM w)),
+     t AS (SELECT doc_id, held_out, CASE WHEN i = 3 THEN ' start ' WHEN i > 3 THEN words[i - 2] END AS h2, CASE WHEN i = 2 THEN ' start ' ELSE words[i - 1] END AS h, words[i] AS w FROM (SELECT doc_id, held_out, words, unnest(range(2, len(words) + 1)) AS i FROM w)),
      u AS (SELECT w, count(*) AS c FROM t WHERE NOT held_out GROUP BY w),
      g AS (SELECT h, count(*) AS c FROM t WHERE NOT held_out GROUP BY h),
      b AS (SELECT h, w, count(*) AS c FROM t WHERE NOT held_out GROUP BY h, w),
+     b3 AS (SELECT h2, h, w, count(*) AS c FROM t WHERE NOT held_out AND h2 IS NOT NULL GROUP BY h2, h, w),
+     g2 AS (SELECT h2, h, sum(c) AS c FROM b3 GROUP BY h2, h),
      z AS (SELECT sum(c) AS n, count(*) AS v FROM u),
-     p AS (SELECT t.doc_id, t.held_out, coalesce(u.c, 0) AS c, (coalesce(u.c, 0) + 0.1::DOUBLE) / (z.n + 0.1::DOUBLE * (z.v + 1)) AS p, coalesce(g.c, 0) AS ch, coalesce(b.c, 0) AS cb, z.n
-           FROM t LEFT JOIN u ON t.w = u.w LEFT JOIN g ON t.h = g.h LEFT JOIN b ON t.h = b.h AND t.w = b.w CROSS JOIN z)
+     p AS (SELECT t.doc_id, t.held_out, coalesce(u.c, 0) AS c, (coalesce(u.c, 0) + 0.1::DOUBLE) / (z.n + 0.1::DOUBLE * (z.v + 1)) AS p, coalesce(g.c, 0) AS ch, coalesce(b.c, 0) AS cb, coalesce(g2.c, 0)::BIGINT AS cg, coalesce(b3.c, 0) AS ct, z.n
+           FROM t LEFT JOIN u ON t.w = u.w LEFT JOIN g ON t.h = g.h LEFT JOIN b ON t.h = b.h AND t.w = b.w
+           LEFT JOIN g2 ON t.h2 = g2.h2 AND t.h = g2.h LEFT JOIN b3 ON t.h2 = b3.h2 AND t.h = b3.h AND t.w = b3.w CROSS JOIN z),
+     q AS (SELECT *, CASE WHEN ch > 0 THEN (cb + 1000.0::DOUBLE * p) / (ch + 1000.0::DOUBLE) ELSE p END AS s FROM p)
 SELECT doc_id, held_out, count(*)::BIGINT AS n_tokens, count(*) FILTER (c > 0)::BIGINT AS n_known, max(n)::BIGINT AS train_tokens,
-       round(sum(log10(p)), 6) AS base_score, round(sum(log10(CASE WHEN ch > 0 THEN (cb + 500.0::DOUBLE * p) / (ch + 500.0::DOUBLE) ELSE p END)), 6) AS score
-FROM p GROUP BY doc_id, held_out
+       round(sum(log10(p)), 6) AS base_score, round(sum(log10(CASE WHEN cg > 0 THEN (ct + 3.0::DOUBLE * s) / (cg + 3.0::DOUBLE) ELSE s END)), 6) AS score
+FROM q GROUP BY doc_id, held_out
 """
 
 OP8 = r"""

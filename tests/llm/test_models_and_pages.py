@@ -9,7 +9,7 @@ import pytest
 from conftest import SF_SMALL
 from llm import exchange, op4_html_extraction
 from llm.op4_html_extraction import deduce, extract, main_text, occurrences, templates
-from llm.op9_lm_scoring import ADD, FOLDS, PRIOR, held_out, lm_scores
+from llm.op9_lm_scoring import ADD, FOLDS, PAIR_PRIOR, PRIOR, held_out, lm_scores
 from llm.op10_chat_formatting import link_tool_calls, with_tools
 from pyspark.sql import functions as F
 
@@ -197,14 +197,19 @@ def brute_scores(rows):
     uni = Counter(x for w in train for x in w)
     state = Counter(x for w in train for x in ["<start>", *w[:-1]])
     pair = Counter(p for w in train for p in zip(["<start>", *w[:-1]], w, strict=True))
+    triple = Counter(t for w in train for t in zip(["<start>", *w], w, w[1:], strict=False))
+    after = Counter()
+    for (g, h, _), c in triple.items():
+        after[g, h] += c
     n, v = sum(uni.values()), len(uni)
     out = []
     for i, w in tokens:
         base = score = 0.0
-        for h, x in zip(["<start>", *w[:-1]], w, strict=True):
+        for g, h, x in zip([None, "<start>", *w], ["<start>", *w], w, strict=False):
             p = (uni[x] + ADD) / (n + ADD * (v + 1))
             base += math.log10(p)
-            score += math.log10((pair[h, x] + PRIOR * p) / (state[h] + PRIOR) if state[h] else p)
+            p = (pair[h, x] + PRIOR * p) / (state[h] + PRIOR) if state[h] else p
+            score += math.log10((triple[g, h, x] + PAIR_PRIOR * p) / (after[g, h] + PAIR_PRIOR) if after[g, h] else p)
         out.append((i, held_out(i, FOLDS), len(w), sum(uni[x] > 0 for x in w), n, base, score))
     return out
 
@@ -228,11 +233,23 @@ def test_automaton_is_a_distribution_and_predicts(spark):
     n, v = 3, 2
     p = {x: (uni[x] + ADD) / (n + ADD * (v + 1)) for x in "ab?"}  # ?: any unseen word
     assert sum(p.values()) == pytest.approx(1)
-    assert sum((pair["a", x] + PRIOR * p[x]) / (2 + PRIOR) for x in p) == pytest.approx(1)
+    short = {x: (pair["a", x] + PRIOR * p[x]) / (2 + PRIOR) for x in p}
+    assert sum(short.values()) == pytest.approx(1)
+    assert sum(((x == "b") + PAIR_PRIOR * short[x]) / (1 + PAIR_PRIOR) for x in p) == pytest.approx(1)  # out of the pair a a
     held = lm_scores(spark.read.parquet(f"{SF_SMALL.replace('0.001', '0.01')}/documents.parquet")).where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
     assert held[0] > held[1]
 
 
+def test_third_order_tells_texts_that_occur_twice(spark):
+    """With the same words and pairs, a training text that occurs twice is likelier than texts that occur once; no pair of words tells them apart."""
+    ids = [i for i in range(1, 200) if not held_out(i, FOLDS)]
+    rows = [(ids[0], "a b c"), (ids[1], "a b c"), (ids[2], "a b d"), (ids[3], "e b d"), (ids[4], "e b d"), (ids[5], "e b c")]
+    score = {r.doc_id: r.score for r in lm_scores(frame(spark, rows)).collect()}
+    assert score[ids[0]] == score[ids[1]] > score[ids[2]] and score[ids[3]] == score[ids[4]] > score[ids[5]]
+    pairs = {r.doc_id: r.score for r in lm_scores(frame(spark, rows), pair_prior=1e12).collect()}
+    assert pairs[ids[0]] == pytest.approx(pairs[ids[2]], abs=1e-5)
+
+
 # --- 10 ----------------------------------------------------------------------------
 
 
