@@ -20,8 +20,8 @@ as vectors, the failure arcs first.
 Defined results: null and empty texts are one end token; a null doc_id counts as
 the empty text for the held-out rule; ties and repeated rows are scored one by
 one and each counts; other columns are ignored; an empty table gives an empty
-result.  Word names have 64 bits, pair names 52 and triple names 48: of the
-triples of 1 TB of text about one in two thousand shares its name with another.
+result.  Word names have 64 bits, pair and triple names 48: of the triples of
+1 TB of text about one in two thousand shares its name with another.
 """
 
 from __future__ import annotations
@@ -40,7 +40,7 @@ PRIOR = 1000.0  # M of a word's state
 PAIR_PRIOR = 3.0  # M of a pair's state
 FOLDS = 10
 WORDS, PAIRS, TRIPLES = 0, 1, 2
-BITS = {WORDS: 64, PAIRS: 52, TRIPLES: 48}
+BITS = {WORDS: 64, PAIRS: 48, TRIPLES: 48}
 SHARDS = 2  # shards are so many times larger than those of the other operators: fewer names are sent twice
 END, START = np.uint64(1), np.uint64(2)
 RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
