@@ -4,8 +4,8 @@
 2. The shard/bucket exchange counts in how many classes each shingle occurs.
    That fixes one global order, rarest first.  A set whose part before the last
    ``ceil(t n)`` shingles (its *prefix*) holds only shingles of its own has no
-   partner; the others are candidates, and two sets can only link if their
-   prefixes meet.
+   partner; the others are candidates.  Two sets can only link if a shingle of
+   both prefixes is among the first ``early_length`` of the smaller set.
 3. Candidates connected through prefixes form blocks.  In a block the sets,
    most frequent shingles first, become paths of a compressed trie.  Each set
    traverses the trie of those before it: sets with a common path share its
@@ -14,14 +14,16 @@
    connected with the traversing one.
 4. A candidate group beyond ``block_sets`` classes is split over several tries:
    each joins its own part, then one set of every component found meets the
-   others', then each set outside the largest component traverses all tries of
-   its group.  Every pair is compared or already connected, so no component is
-   missed, and no task holds more than ``block_sets`` sets and its probes.
+   others', then each set outside the largest component traverses those tries
+   of its group that hold a set which it can link with by 2.  Every pair is
+   compared, already connected or can't link, so no component is missed, and no
+   task holds more than ``block_sets`` sets and its probes.
 
 ``jaccard_links`` counts links instead: without the cut at connected subtrees
-each set meets each other set of its group once, in tasks of one trie and the
-sets of at most ``PROBING`` other blocks, and a link counts with the number of
-rows of the class at its other end.  No pair leaves a task.
+each set meets the tries that hold a set which it can link with by 2, each pair
+once, in tasks of one trie and the sets of at most ``PROBING`` other blocks, and
+a link counts with the number of rows of the class at its other end.  No pair
+leaves a task.
 
 Defined results: texts without words have an empty set and are linked with
 nothing; with fewer words than a shingle has, the whole sequence is the one
@@ -52,7 +54,7 @@ PROBING = 8
 BITS = 48
 LEVELS, CLASSES = 1, 2
 SETS = "shard int, nameless boolean, id long, said long, n long, h1 long, h2 long"
-CANDIDATES = "cls long, n long, tokens binary, prefix array<long>"
+CANDIDATES = "cls long, n long, tokens binary, prefix array<long>, early int"
 
 
 class Shingles:
@@ -126,6 +128,11 @@ def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
+def early_length(n: int, percent: int) -> int:
+    """So many of a set's rarest shingles must meet the prefix of any partner that is not smaller."""
+    return n - -(-2 * percent * n // (100 + percent)) + 1
+
+
 def _candidates(width: int, percent: int):
     def run(table: pa.Table, told: pa.Table) -> pa.Table:
         s = Shingles(table, width)
@@ -145,9 +152,9 @@ def _candidates(width: int, percent: int):
             a, b = first[i], first[i + 1]
             alone, m = int((level[a:b] == 0).sum()), prefix_length(int(b - a), percent)
             if alone < m:
-                rows.append((int(cls[i]), int(b - a), pack(np.arange(b - a - alone), h[a + alone : b], level[a + alone : b]), h[a + alone : a + m].view(np.int64)))
-        cols = list(zip(*rows, strict=True)) if rows else [[], [], [], []]
-        return pa.table({"cls": pa.array(cols[0], pa.int64()), "n": pa.array(cols[1], pa.int64()), "tokens": pa.array(cols[2], pa.binary()), "prefix": pa.array(cols[3], pa.list_(pa.int64()))})
+                rows.append((int(cls[i]), int(b - a), pack(np.arange(b - a - alone), h[a + alone : b], level[a + alone : b]), h[a + alone : a + m].view(np.int64), max(0, early_length(int(b - a), percent) - alone)))
+        cols = list(zip(*rows, strict=True)) if rows else [[], [], [], [], []]
+        return pa.table({"cls": pa.array(cols[0], pa.int64()), "n": pa.array(cols[1], pa.int64()), "tokens": pa.array(cols[2], pa.binary()), "prefix": pa.array(cols[3], pa.list_(pa.int64())), "early": pa.array(cols[4], pa.int32())})
 
     return run
 
@@ -326,43 +333,66 @@ def _labelled(sets: DataFrame, links: DataFrame) -> DataFrame:
     return sets.join(found, "label", "left").withColumn("label", F.coalesce("to", "label")).drop("to")
 
 
+def meetings(candidates: DataFrame) -> DataFrame:
+    """(cls, n, token, first): the shingles of each prefix; ``first``: among the early ones."""
+    return candidates.select("cls", "n", "early", F.posexplode("prefix").alias("at", "token")).select("cls", "n", "token", (F.col("at") < F.col("early")).alias("first"))
+
+
 def grouped(candidates: DataFrame, block_sets: int) -> DataFrame:
-    """The candidates connected through prefixes, with their group ``comp``, its number of ``blocks`` and their ``block``."""
-    meet = candidates.select("cls", F.explode("prefix").alias("token"))
-    least = meet.groupBy("token").agg(F.min("cls").alias("b"), F.max("cls").alias("most")).where("b < most").drop("most")
-    groups = components(meet.join(least, "token").where("cls > b").select(F.col("cls").alias("a"), "b").distinct()).select(F.col("node").alias("cls"), F.col("label").alias("comp"))
+    """The candidates connected through prefixes, with their group ``comp``, its number of ``blocks`` and their ``block``.
+
+    Of the sets that hold a shingle early the smallest is connected with all that are not smaller.
+    """
+    meet = meetings(candidates)
+    least = meet.groupBy("token").agg(F.min(F.when(F.col("first"), F.struct("n", "cls"))).alias("least"), F.count("*").alias("sets")).where("sets > 1 AND least IS NOT NULL")
+    edges = meet.join(least.select("token", F.col("least.n").alias("from"), F.col("least.cls").alias("b")), "token").where("n >= from AND cls != b")
+    groups = components(edges.select(F.col("cls").alias("a"), "b").distinct()).select(F.col("node").alias("cls"), F.col("label").alias("comp"))
     sizes = groups.groupBy("comp").agg(F.ceil(F.count("*") / F.lit(block_sets)).cast("int").alias("blocks"))
-    sets = candidates.drop("prefix").join(groups.join(sizes, "comp"), "cls")
+    sets = candidates.join(groups.join(sizes, "comp"), "cls")
     return saved(sets.withColumn("block", F.pmod(F.xxhash64("cls"), "blocks").cast("int")).withColumn("label", F.col("cls")).withColumn("probe", F.lit(False)))
 
 
+def visits(sets: DataFrame, own: DataFrame) -> DataFrame:
+    """(cls, other): the other blocks of its group that hold a set with which one of ``own`` can link; sets: see grouped."""
+    held = meetings(sets).join(sets.select("cls", "comp", "block"), "cls")
+    there = held.groupBy("comp", "token", F.col("block").alias("other")).agg(F.max("n").alias("most"), F.min(F.when(F.col("first"), F.col("n"))).alias("least"))
+    mine = held.join(own.select("cls"), "cls", "left_semi")
+    meet = (F.col("first") & (F.col("n") <= F.col("most"))) | (F.col("least") <= F.col("n"))
+    return mine.join(there, ["comp", "token"]).where((F.col("block") != F.col("other")) & meet).select("cls", "other").distinct()
+
+
 def count_links(sets: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """(cls, links): with how many rows of other classes the classes link; each pair is met in the trie of its lower block."""
-    own = sets.drop("label").join(classes.select("cls", "rows"), "cls").withColumn("run", F.floor(F.col("block") / PROBING).cast("int"))
-    runs = F.sequence(F.col("run"), F.floor((F.col("blocks") - 1) / PROBING).cast("int"))
-    tries = own.withColumn("home", F.col("run")).withColumn("run", F.explode(runs)).withColumn("home", F.col("home") == F.col("run"))
-    probes = own.where("block > 0").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("block") - 1))).withColumn("probe", F.lit(True)).withColumn("home", F.lit(False))
+    plain = sets.drop("label", "prefix", "early").join(classes.select("cls", "rows"), "cls")
+    run = lambda c: F.floor(F.col(c) / PROBING).cast("int")
+    hot = sets.where("blocks > 1")
+    lower = saved(visits(hot, hot).join(hot.select("cls", "comp", "block"), "cls").where("other < block"))
+    probes = plain.join(lower.select("cls", "other", run("block").alias("run")), "cls").withColumn("block", F.col("other")).drop("other").withColumn("probe", F.lit(True)).withColumn("home", F.lit(False))
+    away = lower.select("comp", F.col("other").alias("block"), run("block").alias("run")).where(F.col("run") != run("other")).distinct()
+    own = plain.withColumn("run", run("block")).withColumn("home", F.lit(True))
+    tries = own.unionByName(plain.join(away, ["comp", "block"]).withColumn("home", F.lit(False)))
     met = tries.unionByName(probes).groupBy("comp", "block", "run").applyInArrow(_count_block(percent), "cls long, links long")
     return met.groupBy("cls").agg(F.sum("links").alias("links"))
 
 
 def connect(sets: DataFrame, percent: int, block_sets: int) -> DataFrame:
     """(cls, label) of the candidates that link: components by trie joins, hot groups in several blocks; sets: see grouped."""
-    links = saved(_linked(sets, percent))
-    hot = sets.where("blocks > 1")
-    if hot.isEmpty():
+    plain = sets.drop("prefix", "early")
+    links = saved(_linked(plain, percent))
+    held = sets.where("blocks > 1")
+    if held.isEmpty():
         return links.select(F.col("a").alias("cls"), F.col("b").alias("label"))
-    hot = saved(_labelled(hot, links))
+    hot = saved(_labelled(plain.where("blocks > 1"), links))
     # one set of each component meets those of the others
     few = hot.where("cls = label")
     size = few.groupBy("comp").agg(F.ceil(F.count("*") / F.lit(block_sets)).cast("int").alias("tries"))
     few = few.join(size, "comp").withColumn("block", F.pmod(F.xxhash64("cls", F.lit(1)), "tries").cast("int")).drop("tries")
     links = saved(links.unionByName(_linked(few, percent)))
     hot = saved(_labelled(hot, links))
-    # the sets outside the largest component of their group traverse all its tries
+    # the sets outside the largest component of their group traverse those of its tries that hold sets they can link with
     most = hot.groupBy("comp", "label").count().groupBy("comp").agg(F.max_by("label", F.struct("count", "label")).alias("largest"))
     outside = hot.join(most, "comp").where("label != largest").drop("largest")
-    probes = outside.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).where("other != block").withColumn("block", F.col("other")).withColumn("probe", F.lit(True)).drop("other")
+    probes = outside.join(visits(held, outside), "cls").withColumn("block", F.col("other")).withColumn("probe", F.lit(True)).drop("other")
     links = saved(links.unionByName(_linked(hot.unionByName(probes), percent)))
     return components(links).select(F.col("node").alias("cls"), "label")
 

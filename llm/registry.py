@@ -33,13 +33,14 @@ QUERIES = {
     "op13_line_dedup": op13_line_dedup,
 }
 
-#: results beside those that the queries' SQL has
+#: results beside those of the numbered queries
 FURTHER = {"op6_ngram_jaccard_links": op6_ngram_jaccard_links}
 
 ORACLE_SQL = {
     "op1_substring_dedup": sql.OP1,
     "op2_suffix_dedup": sql.OP2,
     "op6_ngram_jaccard_join": sql.OP6,
+    "op6_ngram_jaccard_links": sql.OP6_LINKS,
     "op8_decontamination": sql.OP8,
     "op9_lm_scoring": sql.OP9,
     "op10_chat_formatting": sql.OP10,

@@ -46,6 +46,12 @@ SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, m.component_id
 FROM documents d LEFT JOIN n USING (doc_id) JOIN m USING (doc_id)
 """
 
+OP6_LINKS = OP6[: OP6.index("     t(doc_id, seen)")].rstrip().rstrip(",") + """,
+     k AS (SELECT x AS doc_id, count(*) AS n_links FROM u GROUP BY x)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(k.n_links, 0)::BIGINT AS n_links
+FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN k USING (doc_id)
+"""
+
 OP9 = r"""
 WITH crc AS (SELECT doc_id, xor(list_reduce(list_prepend(4294967295::BIGINT, range(0, 8 * length(doc_id::VARCHAR))),
                lambda a, k: xor(xor(a, CASE WHEN k % 8 = 0 THEN ascii(substr(doc_id::VARCHAR, (k // 8 + 1)::BIGINT, 1))::BIGINT ELSE 0 END) >> 1,

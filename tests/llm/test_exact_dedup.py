@@ -7,7 +7,7 @@ import pytest
 from llm import exchange, op2_suffix_dedup, op6_ngram_jaccard_join
 from llm.op1_substring_dedup import block_words, substring_dedup
 from llm.op2_suffix_dedup import suffix_dedup, without_repeats
-from llm.op6_ngram_jaccard_join import distinct_documents, jaccard_components, jaccard_links, prefix_length
+from llm.op6_ngram_jaccard_join import distinct_documents, early_length, jaccard_components, jaccard_links, labelled_classes, prefix_length, visits
 from pyspark.sql import functions as F
 
 from llm_fixtures import awkward_texts, brute_components, brute_substring, brute_suffix, frame, shingles
@@ -140,6 +140,55 @@ def test_prefix_length_is_exact():
         assert 100 * (n - prefix_length(n, 85)) < 85 * n <= 100 * (n - prefix_length(n, 85) + 1)
 
 
+def test_early_length_is_exact():
+    for p in (80, 85):
+        for n in range(1, 200):
+            # a partner of n or more with none of the early ones shares too few; with one more it can link
+            short = n - early_length(n, p)
+            assert (100 + p) * short < p * 2 * n <= (100 + p) * (short + 1)
+            assert early_length(n, p) <= prefix_length(n, p)
+
+
+@pytest.mark.parametrize("percent", [60, 85])
+def test_links_of_sets_of_unlike_sizes(spark, percent):
+    """Texts that are parts of others, so that sizes decide which shingles must meet; tries of two sets."""
+    rng = random.Random(percent)
+    base = [f"w{rng.randrange(400)}" for _ in range(120)]
+    rows = [(i, " ".join(base[(a := rng.randrange(20)) : a + rng.randrange(55, 100)])) for i in range(40)]
+    got = jaccard_components(frame(spark, rows), percent=percent, block_sets=2).collect()
+    sets = [shingles(t) for _, t in rows]
+    links = [sum(a != b and 100 * len(x & y) >= percent * len(x | y) for b, y in enumerate(sets)) for a, x in enumerate(sets)]
+    assert ordered(map(tuple, got)) == ordered(brute_components(rows, percent, 4))
+    assert ordered(tuple(r) for r in jaccard_links(frame(spark, rows), percent=percent, block_sets=2).collect()) == ordered((i, len(x), n) for (i, _), x, n in zip(rows, sets, links, strict=True))
+    assert 0 < sum(links) < len(rows) * (len(rows) - 1)
+
+
+def passages(n: int) -> list[tuple[int, str]]:
+    """Unlike texts of six passages of 30 words, each passage in about 24 texts: no link."""
+    rng = random.Random(n)
+    word = lambda: "".join(rng.choices("abcdefghijklmnop", k=6))
+    pool = [" ".join(word() for _ in range(30)) for _ in range(n // 4)]
+    return [(i, " ".join(rng.sample(pool, 6))) for i in range(n)]
+
+
+def test_shared_passages_send_few_probes(spark, monkeypatch):
+    """Twice the texts give about twice the probes."""
+    sent = {}
+    for n in (400, 800):
+        seen = []
+
+        def noted(sets, own, seen=seen):
+            out = visits(sets, own)
+            seen.append(out.count())
+            return out
+
+        monkeypatch.setattr(op6_ngram_jaccard_join, "visits", noted)
+        linked = labelled_classes(frame(spark, passages(n)), 4, 85, 25)[1]
+        assert linked.where("label != cls").isEmpty()
+        sent[n] = sum(seen)
+    assert sent[800] <= 2.3 * sent[400] + 50
+
+
 def test_distinct_documents(spark, sizes):
     rows = awkward_texts()
     docs = frame(spark, rows)
