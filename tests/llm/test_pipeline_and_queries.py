@@ -1,6 +1,7 @@
 """The pipeline against brute force, stage by stage, and the registered queries against their SQL."""
 
 import math
+from collections import Counter
 
 import __spark_entry__ as E
 import corpus_pipeline
@@ -11,7 +12,7 @@ from llm import registry, sql
 from llm.op5_quality_rules import quality
 from llm.op7_sentencepiece import model_path
 
-from llm_fixtures import alnum, brute_components, brute_suffix, sha
+from llm_fixtures import alnum, awkward_texts, brute_components, brute_suffix, frame, sha
 
 TABLES = "documents embeddings pages benchmark labels conversations".split()
 
@@ -70,6 +71,30 @@ def test_stages_on_an_empty_table(spark):
         assert stage(spark, docs, SF_SMALL).collect() == []
 
 
+def test_stages_on_awkward_rows(spark):
+    """Nulls in id and text, wordless and very long texts, repeated rows and ids, further columns."""
+    prose = " ".join(f"Word{i} follows word{i * 7 % 90}." for i in range(60))
+    rows = [*awkward_texts(), (None, prose), (None, prose), (90001, prose), (90002, (prose + "\n") * 400), (90003, None), (90003, "\t ")]
+    docs = frame(spark, rows)
+    stages = dict(corpus_pipeline.STAGES)
+    out = {name: f(spark, docs, SF_SMALL) for name, f in stages.items()}
+    assert all(out[n].columns == docs.columns for n in list(stages)[:-1])
+    got = {n: [(r.doc_id, r.text) for r in out[n].collect()] for n in list(stages)[:-1]}
+    given, wordless = Counter(rows), [(i, t) for i, t in rows if not (t or "").split()]
+
+    kept = {t for _, t in got["quality_rules"]}
+    assert all(len((t or "").split()) >= 20 for t in kept)
+    assert Counter(got["quality_rules"]) == Counter(r for r in rows if r[1] in kept)
+    assert set(wordless) <= set(got["ngram_jaccard_join"]) and len(set(got["ngram_jaccard_join"])) == len(got["ngram_jaccard_join"])
+    assert set(got["ngram_jaccard_join"]) <= set(rows)
+    assert Counter(i for i, _ in got["suffix_dedup"]) == Counter(i for i, _ in rows)
+    assert Counter(i for i, t in got["suffix_dedup"] if t is None) == Counter(i for i, t in rows if t is None)
+    clean = Counter(got["benchmark_decontamination"])
+    assert all(clean[r] == given[r] for r in wordless) and all(clean[r] == given[r] for r in clean)
+    ends = [r.n_tokens for r in out["sentencepiece"].collect()]
+    assert len(ends) == len(rows) and min(ends) == 1
+
+
 def test_run_writes_each_stage(spark, monkeypatch):
     plans = []
 
