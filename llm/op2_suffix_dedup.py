@@ -41,7 +41,7 @@ LENGTH = 100
 FIRST = 32
 SAMPLE_BITS = 48
 POSITION_BITS = 31
-SHARD_BYTES = 1 << 20
+SHARD_BYTES = 1 << 19
 LIVE, STRETCH_EARLIER, STRETCH_MIXED, EARLIER = 1, 2, 3, 4
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_bytes binary"
 
