@@ -34,4 +34,4 @@ def title_key(c: str | Column, empty_matches: bool = False) -> Column:
     key = normalize_title(c)
     if empty_matches:
         return key
-    return F.when(key == F.lit(""), F.lit(None).cast("string")).otherwise(key)
+    return F.nullif(key, F.lit(""))  # the title is normalized once

@@ -18,6 +18,7 @@ from crosslink.operators.joins import spread_nulls
 from crosslink.schemas import POPULARITY_FIELDS
 from crosslink.sources.readers import Sources
 
+_TAG_KEY = "__crosslink_tag_key"
 
 # --------------------------------------------------------------------------- #
 #  Per-source cleaning
@@ -127,8 +128,8 @@ def join_popularity(df: DataFrame, popularity: DataFrame) -> DataFrame:
 
 def join_category(df: DataFrame, categories: DataFrame) -> DataFrame:
     """⟕ category lookup on ``lower(primary_tag) = lower(genre)``."""
-    key = spread_nulls(F.lower(df["primary_tag"]), df["app_id"])
-    return df.join(categories, key == categories["genre_key"], "left").drop("genre_key")
+    df = df.withColumn(_TAG_KEY, spread_nulls(F.lower(df["primary_tag"]), df["app_id"]))
+    return df.join(categories, df[_TAG_KEY] == categories["genre_key"], "left").drop("genre_key", _TAG_KEY)
 
 
 def game_dimensions(

@@ -22,6 +22,7 @@ ID_HIT = "_kb_id_hit"
 TITLE_HIT = "_kb_title_hit"
 TITLE_SUFFIX = "_t"
 MATCH_STAGE = "wd_match_stage"
+_TITLE_KEY = "__crosslink_title_key"
 
 _RESULT_COLS = [r for _, r in KB_RESULT_FIELDS]
 _TIE_ORDER = _RESULT_COLS  # wikidata_qid first, then the other fields
@@ -58,12 +59,16 @@ def join_kb_by_title(
     options: Options = Options(),
     title_col: str = "title",
 ) -> DataFrame:
-    """df ⟕ stage-2 entities on the normalized title; adds ``*_t`` fields."""
+    """df ⟕ stage-2 entities on the normalized title; adds ``*_t`` fields.
+
+    The key is a column of its own: as an expression of the join it would be
+    normalized anew in each comparison of the join's sort.
+    """
     side = kb_by_title(
         kb, options.empty_title_matches, TITLE_SUFFIX, [F.lit(True).alias(TITLE_HIT)]
     )
-    key = spread_nulls(title_key(df[title_col], options.empty_title_matches), df["app_id"])
-    return df.join(side, key == side["title_key"], "left").drop(side["title_key"])
+    df = df.withColumn(_TITLE_KEY, spread_nulls(title_key(df[title_col], options.empty_title_matches), df["app_id"]))
+    return df.join(side, df[_TITLE_KEY] == side["title_key"], "left").drop(side["title_key"]).drop(_TITLE_KEY)
 
 
 def coalesce_fields(df: DataFrame, mode: str = "field", provenance: bool = False) -> DataFrame:
