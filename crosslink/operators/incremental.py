@@ -7,7 +7,7 @@ A batch shuffles its own rows and the state's rows of the same keys.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -24,7 +24,9 @@ from crosslink.sources.readers import Sources
 
 REVIEW_KEYS = ("app_id", "user_id")
 SIGN = "__crosslink_sign"
-_FRESH = "__crosslink_fresh"
+_USER = "__crosslink_user"
+_OLD = "__crosslink_old_"
+_MET = "__crosslink_met"
 
 
 def _written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
@@ -101,34 +103,59 @@ def _survivors(changes: DataFrame, order: Sequence[str]) -> DataFrame:
     return dedup_first(changes.where(F.col(SIGN) > 0).drop(SIGN), list(REVIEW_KEYS), list(order) or None)
 
 
-def _same_keys(a: DataFrame, b: DataFrame) -> Column:
-    """Null users compare equal, as in the full run."""
-    return (a["app_id"] == b["app_id"]) & a["user_id"].eqNullSafe(b["user_id"])
+def _with_user(df: DataFrame) -> DataFrame:
+    """With the user as a key that is never null: null users compare equal, as in the full run, also in a join."""
+    return df.withColumn(_USER, F.struct("user_id"))
+
+
+def _places(columns: Sequence[str], order: Sequence[str], name: Callable[[str], str] = str) -> list[Column]:
+    """The columns that order survivors; without ``order`` a hash of the row, then the row."""
+    at = lambda c: F.col(f"`{name(c)}`")
+    if order:
+        return [at(c) for c in order]
+    return [F.xxhash64(*[at(c) for c in sorted(columns)]), *(at(c) for c in columns if c not in REVIEW_KEYS)]
+
+
+def _before(places: Sequence[Column], others: Sequence[Column]) -> Column:
+    """Whether a row comes before another in the order of survivors, nulls last."""
+    one = lambda cs: F.struct(*[x.alias(f"p{k}") for k, x in enumerate(y for c in cs for y in (c.isNull(), c))])
+    return one(places) < one(others)
 
 
 def review_changes(state: DataFrame, recs: DataFrame, order: Sequence[str] = ()) -> DataFrame:
-    """What a batch changes: its reviews that become survivors (sign 1), and the survivors they replace (sign -1)."""
-    first = dedup_first(_clean(recs), list(REVIEW_KEYS), list(order) or None)
-    keys = first.select(*REVIEW_KEYS)
-    met = state.where(F.col(SIGN) > 0).drop(SIGN).alias("s")
-    old = met.join(keys, _same_keys(met, keys), "left_semi")
-    old = dedup_first(old, list(REVIEW_KEYS), list(order) or None)
-    both = first.withColumn(_FRESH, F.lit(1)).unionByName(old.withColumn(_FRESH, F.lit(0)))
-    # both sides in the order of survivors; a review that the state has already stays the state's
-    columns = [c for c in both.columns if c != _FRESH]
-    rank: list = list(order) if order else [F.xxhash64(*[F.col(f"`{c}`") for c in sorted(columns)]), *(c for c in columns if c not in REVIEW_KEYS)]
-    by = Window.partitionBy(*REVIEW_KEYS).orderBy(*[F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in rank], _FRESH)
-    told = both.withColumn("__crosslink_rn", F.row_number().over(by)).withColumn("__crosslink_won", F.first(_FRESH).over(by))
-    changed = told.where((F.col("__crosslink_won") == 1) & ((F.col("__crosslink_rn") == 1) | (F.col(_FRESH) == 0)))
-    return changed.withColumn(SIGN, F.when(F.col(_FRESH) == 1, 1).otherwise(-1)).drop(_FRESH, "__crosslink_rn", "__crosslink_won")
+    """What a batch changes: its reviews that become survivors (sign 1), and the survivors they replace (sign -1).
+
+    The batch's own survivors are written, so they are found once for the choice
+    of the state's rows and for the comparison. All steps are dealt by game and
+    user alike, so the state's rows are shuffled once.
+    """
+    clean = _clean(recs)
+    first = dedup_first(clean, list(REVIEW_KEYS), list(order) or None)
+    first = _with_user(_written(recs.sparkSession, first, "batch"))
+    keys = ["app_id", _USER]
+    met = _with_user(state.where(F.col(SIGN) > 0).drop(SIGN)).join(first.select(*keys), keys, "left_semi")
+    # a segment has a key once, so the rows of a key are few
+    old = dedup_first(met, keys, [c.asc_nulls_last() for c in _places(clean.columns, order)])
+    name = lambda c: c if c in keys else _OLD + c
+    old = old.withColumnsRenamed({c: name(c) for c in clean.columns}).withColumn(_MET, F.lit(True))
+    replaces = F.col(_MET).isNotNull()
+    # of equal places the state's review stays
+    earlier = _before(_places(clean.columns, order), _places(clean.columns, order, name))
+    won = first.join(old, keys, "left").where(~replaces | earlier)
+    row = lambda own, sign: F.struct(*[F.col(f"`{own(c)}`").alias(c) for c in clean.columns], F.lit(sign).alias(SIGN))
+    return won.select(F.inline(F.array_compact(F.array(row(str, 1), F.when(replaces, row(name, -1))))))
 
 
 def add_reviews(store: SegmentStore, recs: DataFrame, batch: str, order: Sequence[str] = ()) -> bool:
     """Apply a batch of reviews: its changes and their per-game sums, in one commit. False if it was applied before."""
-    if any(c.batch == batch for c in store.commits()):
+    commits = store.commits()
+    if any(c.batch == batch for c in commits):
         return False
-    changes = _written(recs.sparkSession, review_changes(store.read("changes"), recs, order), "changes")
-    return store.append(batch, {"changes": changes, "stats": signed_stats(changes)})
+    if commits:
+        changes = review_changes(store.read("changes"), recs, order)
+    else:  # nothing to replace
+        changes = dedup_first(_clean(recs), list(REVIEW_KEYS), list(order) or None).withColumn(SIGN, F.lit(1))
+    return store.append(batch, {"changes": changes, "stats": lambda written: signed_stats(written["changes"])})
 
 
 def signed_stats(changes: DataFrame) -> DataFrame:
@@ -160,6 +187,5 @@ def current_summary(store: SegmentStore, sources: Sources, options: Options = Op
 
 def compact_reviews(store: SegmentStore, order: Sequence[str] = ()) -> None:
     """One segment that stands for all so far: the survivors, and each game's sums."""
-    spark = store.spark
-    live = _written(spark, _survivors(store.read("changes"), order).withColumn(SIGN, F.lit(1)), "survivors")
-    store.compact({"changes": live, "stats": signed_stats(live)})
+    live = _survivors(store.read("changes"), order).withColumn(SIGN, F.lit(1))
+    store.compact({"changes": live, "stats": lambda written: signed_stats(written["changes"])})

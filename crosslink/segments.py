@@ -13,12 +13,15 @@ executors.  ``compact`` writes a segment that stands for all before it.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+#: a frame, or what makes it from the frames of the batch that are written before it
+Frame = DataFrame | Callable[[dict[str, DataFrame]], DataFrame]
 COMMIT = "seq long, batch string, segment string, base boolean, mark string"
 
 
@@ -64,23 +67,29 @@ class SegmentStore:
             return self.spark.createDataFrame([], self.schemas[name])
         return self.spark.read.schema(self.schemas[name]).parquet(*paths)
 
-    def append(self, batch: str, frames: dict[str, DataFrame], mark: str | None = None, base: bool = False) -> bool:
-        """Write and commit the frames of a batch; False, without writing, if the batch has a commit."""
+    def append(self, batch: str, frames: dict[str, Frame], mark: str | None = None, base: bool = False) -> bool:
+        """Write and commit the frames of a batch, in their order; False, without writing, if the batch has a commit.
+
+        A frame given as a function is made from those before it, read back by name.
+        """
         if set(frames) != set(self.schemas):
             raise ValueError(f"a batch has the frames {sorted(self.schemas)}, got {sorted(frames)}")
         commits = self.commits()
         if any(c.batch == batch for c in commits):
             return False
         segment = f"{self.path}/segments/{batch}-{uuid.uuid4().hex[:12]}"
-        for name, df in frames.items():
+        written: dict[str, DataFrame] = {}
+        for name, frame in frames.items():
+            df = frame if isinstance(frame, DataFrame) else frame(written)
             fields = self.schemas[name].fields
             df.select(*(df[f"`{f.name}`"].cast(f.dataType) for f in fields)).write.parquet(f"{segment}/{name}")
+            written[name] = self.spark.read.schema(self.schemas[name]).parquet(f"{segment}/{name}")
         seq = commits[-1].seq + 1 if commits else 0
         row = self.spark.createDataFrame([(seq, batch, segment, base, mark)], COMMIT)
         row.coalesce(1).write.mode("errorifexists").parquet(f"{self.path}/commits/{seq:010d}")
         return True
 
-    def compact(self, frames: dict[str, DataFrame]) -> None:
+    def compact(self, frames: dict[str, Frame]) -> None:
         """A base segment with ``frames``, which stand for all rows so far; the mark goes on."""
         commits = self.commits()
         if commits:
