@@ -8,10 +8,11 @@ from crosslink.functions.scalars import (
     tag_count,
     to_int_key,
 )
-from crosslink.functions.text import normalize_title, title_key
+from crosslink.functions.text import has_title_key, normalize_title, title_key
 
 __all__ = [
     "flag_to_int",
+    "has_title_key",
     "normalize_title",
     "null_or_nan",
     "primary_tag",

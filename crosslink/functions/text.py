@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 # and the whitespace class that is collapsed to one space.
 DELETE_PATTERN = r"[^a-z0-9\s]"
 SPACE_PATTERN = r"\s+"
+KEPT_PATTERN = r"[a-z0-9]"  # what DELETE_PATTERN leaves, blanks aside
 
 
 def normalize_title(c: str | Column) -> Column:
@@ -35,3 +36,9 @@ def title_key(c: str | Column, empty_matches: bool = False) -> Column:
     if empty_matches:
         return key
     return F.nullif(key, F.lit(""))  # the title is normalized once
+
+
+def has_title_key(c: str | Column, empty_matches: bool = False) -> Column:
+    """True iff ``title_key`` is not null, without normalizing the title (else false or null)."""
+    x = F.col(c) if isinstance(c, str) else c
+    return x.isNotNull() if empty_matches else F.lower(x).rlike(KEPT_PATTERN)

@@ -11,9 +11,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from crosslink.config import Options
-from crosslink.functions import title_key, to_int_key
+from crosslink.functions import has_title_key, normalize_title, title_key, to_int_key
 from crosslink.operators.clean import dedup_first
 from crosslink.operators.joins import spread_nulls
 from crosslink.schemas import KB_RESULT_FIELDS
@@ -35,16 +36,26 @@ def project_kb(kb: DataFrame, key: str, key_expr, suffix: str = "", extra=()) ->
 
 
 def kb_by_id(kb: DataFrame, extra=()) -> DataFrame:
-    """Stage-1 side: one entity per INT ``app_id`` (bad ids dropped)."""
+    """Stage-1 side: one entity per INT ``app_id`` (bad ids dropped).
+
+    Texts without a digit go before the cast, which raises an error inside for
+    each text that is no number.
+    """
+    if isinstance(kb.schema["steam_app_id"].dataType, StringType):
+        kb = kb.filter(F.col("steam_app_id").rlike("[0-9]"))
     df = project_kb(kb, "app_id", to_int_key("steam_app_id"), extra=extra)
     df = df.filter(F.col("app_id").isNotNull())
     return dedup_first(df, ["app_id"], _TIE_ORDER)
 
 
 def kb_by_title(kb: DataFrame, empty_matches: bool = False, suffix: str = "", extra=()) -> DataFrame:
-    """Stage-2 side: one entity per normalized title (null keys dropped)."""
-    df = project_kb(kb, "title_key", title_key("name", empty_matches), suffix, extra)
-    df = df.filter(F.col("title_key").isNotNull())
+    """Stage-2 side: one entity per normalized title (null keys dropped).
+
+    Names without a key go before the projection, and the key can't be null:
+    a filter on it would be pushed below and normalize each name twice more.
+    """
+    kb = kb.filter(has_title_key("name", empty_matches))
+    df = project_kb(kb, "title_key", F.coalesce(normalize_title("name"), F.lit("")), suffix, extra)
     return dedup_first(df, ["title_key"], [c + suffix for c in _TIE_ORDER])
 
 
